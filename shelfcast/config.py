@@ -40,10 +40,12 @@ CATEGORY_ORDER = ["Groceries", "Snacks", "Beverages", "Household", "Personal Car
 REGION_CODES = {"North": 0, "South": 1, "East": 2, "West": 3, "Central": 4}
 SEASON_CODES = {"Winter": 0, "Spring": 1, "Summer": 2, "Autumn": 3}
 
-# Encodings used by the online scorer and by the model audit.
-SCORER_CATEGORY_CODES = {"Groceries": 0, "Snacks": 1, "Beverages": 2, "Household": 3, "Personal Care": 4}
-SCORER_REGION_CODES = {"North": 0, "South": 1, "East": 2, "West": 3, "Central": 4}
-SCORER_SEASON_CODES = {"Winter": 0, "Spring": 1, "Summer": 2, "Autumn": 3}
+# Encodings used by the online scorer (D2), with their defaults for unknowns.
+SCORER_CATEGORY_CODES = {"Snacks": 0, "Beverages": 1, "Dairy": 2, "Frozen Foods": 3, "Personal Care": 4,
+                         "Household": 5, "Bakery": 6, "Produce": 7, "Meat": 8, "Canned Goods": 9}
+SCORER_REGION_CODES = {"Northeast": 0, "Southeast": 1, "Midwest": 2, "West": 3, "Southwest": 4}
+SCORER_SEASON_CODES = {"Winter": 0, "Spring": 1, "Summer": 2, "Fall": 3}
+SCORER_DEFAULTS = {"category_enc": 0, "region_enc": 0, "seasonality_enc": 1}
 
 # Month -> season (12,1,2 winter; 3-5 spring; 6-8 summer; 9-11 autumn).
 SEASON_OF_MONTH = {12: "Winter", 1: "Winter", 2: "Winter",
@@ -61,7 +63,7 @@ LOW_DAYS = 45
 HEALTH_CLASSES = ["critical", "low", "healthy"]
 
 # Days-of-supply bands of the health heat map (<=7, <=14, <=30, <=60, >60).
-HEATMAP_BANDS = [(7, "0-7d"), (14, "8-14d"), (30, "15-30d"), (60, "31-60d")]
+HEATMAP_BANDS = [(7, "≤7d"), (14, "≤14d"), (30, "≤30d"), (60, "≤60d")]
 HEATMAP_LAST_BAND = "60d+"
 
 # Trend projection: (days back, number of points).

@@ -289,21 +289,22 @@ def health_trend(kpis: DataFrame, ranges: Sequence[tuple[int, int]] = C.TREND_RA
 
 # --- facets and point lookups (A01-A04, P08, P09) ------------------------------------
 
-_TOTALS = [F.sum("current_stock").alias("total_stock"), F.sum("total_units_sold").alias("total_sold"),
-           F.sum("total_units_received").alias("total_received")]
+def _totals() -> list[Column]:
+    return [F.sum("current_stock").alias("total_stock"), F.sum("total_units_sold").alias("total_sold"),
+            F.sum("total_units_received").alias("total_received")]
 
 
 def inventory_by_product(snapshot: DataFrame) -> DataFrame:
-    return snapshot.groupBy("product_id").agg(*_TOTALS)
+    return snapshot.groupBy("product_id").agg(*_totals())
 
 
 def inventory_by_store(snapshot: DataFrame) -> DataFrame:
-    return snapshot.groupBy("store_id").agg(*_TOTALS)
+    return snapshot.groupBy("store_id").agg(*_totals())
 
 
 def inventory_overall(snapshot: DataFrame) -> DataFrame:
     return snapshot.agg(F.countDistinct("product_id").alias("total_products"),
-                        F.countDistinct("store_id").alias("total_stores"), *_TOTALS)
+                        F.countDistinct("store_id").alias("total_stores"), *_totals())
 
 
 def inventory_facets(snapshot: DataFrame) -> DataFrame:
@@ -313,7 +314,7 @@ def inventory_facets(snapshot: DataFrame) -> DataFrame:
     for the overall row).  One Expand + one shuffle instead of three scans.
     """
     g = snapshot.groupingSets([["product_id"], ["store_id"], []], "product_id", "store_id").agg(
-        F.grouping_id().alias("gid"), *_TOTALS)
+        F.grouping_id().alias("gid"), *_totals())
     facet = F.when(F.col("gid") == 1, "product").when(F.col("gid") == 2, "store").otherwise("overall")
     return g.select(facet.alias("facet"), F.coalesce("product_id", "store_id").alias("key"),
                     "total_stock", "total_sold", "total_received")

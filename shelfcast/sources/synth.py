@@ -1,0 +1,126 @@
+"""Synthetic inventory, daily retail rows and vendors.
+
+Distributions follow the source's generator; the random sequence does not
+(it used one process-global generator).  Every value is a function of
+(seed, row key) through ``xxhash64``, so generation is order-independent,
+restart-safe and scales with ``spark.range`` / ``explode`` (no driver loop,
+no cross join).
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from shelfcast import config as C
+
+# FIXED VALUES: lead-time ranges and base prices per category.
+LEAD_TIME_RANGES = {"Snacks": (3, 7), "Beverages": (3, 7), "Dairy": (2, 5), "Frozen Foods": (4, 10),
+                    "Personal Care": (5, 14), "Household": (5, 14), "Bakery": (1, 3), "Produce": (1, 4),
+                    "Meat": (2, 5), "Canned Goods": (7, 21)}
+BASE_PRICES = {"Snacks": 4.99, "Beverages": 2.49, "Dairy": 3.99, "Frozen Foods": 6.99, "Personal Care": 8.49,
+               "Household": 12.99, "Bakery": 3.49, "Produce": 2.99, "Meat": 9.99, "Canned Goods": 1.99}
+
+
+def uniform(seed: int, *keys, salt: str) -> Column:
+    """A deterministic U[0, 1) from (seed, keys, salt)."""
+    h = F.xxhash64(F.lit(seed), F.lit(salt), *keys)
+    return (F.abs(h % F.lit(1_000_000_007)) / F.lit(1_000_000_007.0))
+
+
+def randint(lo, hi, u: Column) -> Column:
+    return (F.lit(lo) + F.floor(u * (F.lit(hi) - F.lit(lo) + 1))).cast("long")
+
+
+def _lookup(m: dict, key: Column) -> Column:
+    pairs = []
+    for k, v in m.items():
+        pairs += [F.lit(k), F.lit(v)]
+    return F.element_at(F.create_map(*pairs), key)
+
+
+def synth_inventory(spark: SparkSession, n_stores: int = 5, n_products: int = 20, seed: int = 42) -> DataFrame:
+    """One row per (store, product); ~30% low stock; received = sold + stock + shrinkage."""
+    ids = spark.range(n_stores * n_products)
+    s = (F.col("id") / n_products).cast("long") + 1
+    p = F.col("id") % n_products
+    cats = list(C.PRODUCT_CATEGORIES.values())
+    regions = list(C.STORE_REGIONS.values())
+    df = ids.select(
+        F.concat(F.lit("S"), F.lpad(s.cast("string"), 3, "0")).alias("store_id"),
+        F.concat(F.lit("P"), F.lpad((p + 1).cast("string"), 4, "0")).alias("product_id"),
+        F.element_at(F.array(*[F.lit(c) for c in cats]), (p % len(cats) + 1).cast("int")).alias("category"),
+        F.element_at(F.array(*[F.lit(r) for r in regions]), ((s - 1) % len(regions) + 1).cast("int")).alias("region"))
+    k = [F.col("store_id"), F.col("product_id")]
+    lo = _lookup({c: v[0] for c, v in LEAD_TIME_RANGES.items()}, F.col("category"))
+    hi = _lookup({c: v[1] for c, v in LEAD_TIME_RANGES.items()}, F.col("category"))
+    low = uniform(seed, *k, salt="low") < 0.30
+    stock = F.when(low, randint(5, 30, uniform(seed, *k, salt="stock_low"))) \
+             .otherwise(randint(100, 2000, uniform(seed, *k, salt="stock")))
+    sold = randint(500, 15000, uniform(seed, *k, salt="sold"))
+    shrink = randint(0, 200, uniform(seed, *k, salt="shrink"))
+    return df.select(*k, "category", "region", stock.alias("current_stock"), sold.alias("total_units_sold"),
+                     (sold + stock + shrink).alias("total_units_received"),
+                     (lo + F.floor(uniform(seed, *k, salt="lead") * (hi - lo + 1))).cast("long")
+                     .alias("lead_time_days"))
+
+
+def synth_retail(inventory: DataFrame, days: int = 30, seed: int = 42,
+                 end: dt.date = dt.date(2026, 4, 11)) -> DataFrame:
+    """``days`` daily rows per inventory row (explode of a date sequence)."""
+    start = end - dt.timedelta(days=days - 1)
+    d = inventory.withColumn("date", F.explode(F.sequence(F.lit(start), F.lit(end))))
+    k = [F.col("store_id"), F.col("product_id"), F.col("date")]
+    off = F.datediff("date", F.lit(start)).cast("long")
+    wk = F.weekday("date") >= 5
+    base = F.col("total_units_sold") / F.lit(365.0) * F.when(wk, 1.3).otherwise(1.0)
+    sold = F.greatest(F.lit(0), F.floor(base * (F.lit(0.5) + uniform(seed, *k, salt="sold")))).cast("long")
+    ordered = F.when(uniform(seed, *k, salt="ord_pick") < 0.75, F.lit(0)) \
+               .otherwise(randint(50, 500, uniform(seed, *k, salt="ord")))
+    price0 = _lookup(BASE_PRICES, F.col("category"))
+    discounts = F.array(*[F.lit(x) for x in (0.0, 0.0, 0.0, 0.05, 0.10, 0.15, 0.20)])
+    month = F.month("date")
+    season = (F.when(month.isin(12, 1, 2), "Winter").when(month.isin(3, 4, 5), "Spring")
+               .when(month.isin(6, 7, 8), "Summer").otherwise("Fall"))
+    out = d.select(
+        "date", "store_id", "product_id", "category", "region",
+        sold.alias("units_sold"), ordered.cast("long").alias("units_ordered"),
+        F.col("current_stock"), off.alias("_off"),
+        F.round(price0 * (F.lit(0.95) + uniform(seed, *k, salt="price") * 0.1), 2).alias("price"),
+        F.element_at(discounts, (F.floor(uniform(seed, *k, salt="disc") * 7) + 1).cast("int")).alias("discount"),
+        F.element_at(F.array(*[F.lit(w) for w in C.WEATHER_CONDITIONS]),
+                     (F.floor(uniform(seed, *k, salt="weather") * 5) + 1).cast("int")).alias("weather_condition"),
+        (uniform(seed, *k, salt="holiday") < 0.15).cast("int").alias("holiday_promotion"),
+        F.round(price0 * (F.lit(0.8) + uniform(seed, *k, salt="comp") * 0.4), 2).alias("competitor_pricing"),
+        season.alias("seasonality"), F.lit(days).alias("_days"), uniform(seed, *k, salt="fc").alias("_ufc"))
+    level = F.greatest(F.lit(0), F.col("current_stock") - F.floor(F.col("units_sold") * (F.col("_off") + 1)
+                                                                  / F.col("_days")) + F.col("units_ordered"))
+    return out.select(
+        "date", "store_id", "product_id", "category", "region", level.cast("long").alias("inventory_level"),
+        "units_sold", "units_ordered",
+        F.greatest(F.lit(0), F.floor(F.col("units_sold") * (F.lit(0.85) + F.col("_ufc") * 0.3))).cast("double")
+         .alias("demand_forecast"),
+        "price", "discount", "weather_condition", "holiday_promotion", "competitor_pricing", "seasonality")
+
+
+def synth_vendors(spark: SparkSession, seed: int = 42, per_category: int = 1) -> DataFrame:
+    """``per_category`` vendors per category."""
+    cats = sorted(LEAD_TIME_RANGES)
+    ids = spark.range(len(cats) * per_category)
+    cat = F.element_at(F.array(*[F.lit(c) for c in cats]), (F.col("id") % len(cats) + 1).cast("int"))
+    df = ids.select(F.col("id"), cat.alias("category"))
+    k = [F.col("id")]
+    lo = _lookup({c: v[0] for c, v in LEAD_TIME_RANGES.items()}, F.col("category"))
+    hi = _lookup({c: v[1] for c, v in LEAD_TIME_RANGES.items()}, F.col("category"))
+    return df.select(
+        F.concat(F.lit("V"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("vendor_id"),
+        F.concat(F.col("category"), F.lit(" Supply "), F.col("id").cast("string")).alias("name"),
+        "category",
+        (lo + F.floor(uniform(seed, *k, salt="lead") * (hi - lo + 1))).cast("long").alias("lead_time_days"),
+        F.element_at(F.array(*[F.lit(v) for v in C.MIN_ORDER_QTYS]),
+                     (F.floor(uniform(seed, *k, salt="moq") * 5) + 1).cast("int")).cast("long").alias("min_order_qty"),
+        F.round(_lookup(BASE_PRICES, F.col("category")) * (F.lit(0.4) + uniform(seed, *k, salt="ppu") * 0.3), 2)
+         .alias("price_per_unit"),
+        F.round(F.lit(3.5) + uniform(seed, *k, salt="rating") * 1.5, 1).alias("rating"))

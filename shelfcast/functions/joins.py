@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,10 +29,15 @@ def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
 def bounded_broadcast(small: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``small`` only after checking it has at most ``max_rows`` rows.
 
-    The frame is persisted first so the size check and the join read it once.
-    Above the bound it is returned as is and the join shuffles.
+    The frame is first materialised with a reliable ``checkpoint`` into the
+    shared checkpoint folder (``spark.checkpoint.dir``), so the size check and
+    the join read it once, it survives executor loss, and — unlike a cached
+    frame, which Spark matches by plan — a later run over changed input files
+    cannot pick up stale rows.  Above the bound the join stays a shuffle join.
     """
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
+    from shelfcast.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(small.sparkSession)
+    small = small.checkpoint(eager=True)
     n = small.limit(max_rows + 1).count()
     return F.broadcast(small) if n <= max_rows else small
 

@@ -78,7 +78,8 @@ def clip_negatives(df: DataFrame, cols: Sequence[str] = ("units_sold", "inventor
     return df
 
 
-def join_lead_times(retail: DataFrame, snapshot: DataFrame, fill: str = "median") -> DataFrame:
+def join_lead_times(retail: DataFrame, snapshot: DataFrame, fill: str = "median",
+                    lead_median: DataFrame | None = None) -> DataFrame:
     """J01 + J02: left join lead time per series; fill misses with the row-weighted median.
 
     Duplicated snapshot keys fan out like a pandas merge.  The median is an
@@ -90,7 +91,8 @@ def join_lead_times(retail: DataFrame, snapshot: DataFrame, fill: str = "median"
     j = retail.join(snap, KEYS, "left")
     if fill != "median":
         return j
-    med = j.agg(F.percentile(F.col("lead_time_days"), 0.5).alias("__lead_median"))
+    med = (lead_median.select(F.col("lead_median").alias("__lead_median")) if lead_median is not None
+           else j.agg(F.percentile(F.col("lead_time_days"), 0.5).alias("__lead_median")))
     return (attach_row(j, med)
             .withColumn("lead_time_days", F.coalesce("lead_time_days", "__lead_median"))
             .drop("__lead_median"))
@@ -110,9 +112,9 @@ def store_weights(df: DataFrame, store_col: str = "store_id") -> DataFrame:
     return shares.select(store_col, S.clip(w, 0.1, 10.0).alias("sample_weight"))
 
 
-def with_sample_weight(df: DataFrame, store_col: str = "store_id") -> DataFrame:
+def with_sample_weight(df: DataFrame, store_col: str = "store_id", weights: DataFrame | None = None) -> DataFrame:
     """Join the per-store weights back (checked broadcast; unseen/null store -> 10)."""
-    weights = bounded_broadcast(store_weights(df, store_col))
+    weights = bounded_broadcast(store_weights(df, store_col) if weights is None else weights)
     out = df.join(weights, store_col, "left")
     # A store with no share (null id) gets 1/1e-6 clipped to the upper bound.
     return out.withColumn("sample_weight", F.coalesce("sample_weight", F.lit(10.0)))
@@ -185,22 +187,34 @@ def _finish(df: DataFrame, horizon: int, version: str, warmup: str,
     return df.select(*cols)
 
 
+def lead_time_median(retail: DataFrame, snapshot: DataFrame) -> DataFrame:
+    """J02 statistic as a one-row frame (``lead_median``) over the joined rows."""
+    j = retail.select(*KEYS).join(snapshot.select(*KEYS, F.col("lead_time_days").cast("double")), KEYS, "left")
+    return j.agg(F.percentile(F.col("lead_time_days"), 0.5).alias("lead_median"))
+
+
 def features_v2(retail: DataFrame, snapshot: DataFrame, horizon: int = 1,
                 discount_unit: str = "percent", dedup: bool = True,
-                include_created_at: bool = True, **code_maps) -> DataFrame:
-    """The v2 feature table: 36 columns (35 without ``created_at``)."""
+                include_created_at: bool = True, weights: DataFrame | None = None,
+                lead_median: DataFrame | None = None, **code_maps) -> DataFrame:
+    """The v2 feature table: 36 columns (35 without ``created_at``).
+
+    ``weights`` (store, sample_weight) and ``lead_median`` (one row) override
+    the two table-wide statistics, for incremental runs over a subset of
+    series that must match a full run.
+    """
     require_columns(retail, C.REQUIRED_RETAIL, "retail data")
     require_columns(snapshot, C.REQUIRED_SNAPSHOT, "snapshot")
     df = retail
     if dedup:
         df = dedup_keep_first(df)
     df = clip_negatives(df)
-    df = join_lead_times(df, snapshot)
+    df = join_lead_times(df, snapshot, lead_median=lead_median)
     df = df.withColumn("series_id", F.concat_ws("_", F.col("store_id").cast("string"),
                                                   F.col("product_id").cast("string")))
     df = with_series_features(df, horizon)
     df = with_row_features(df, discount_unit, **code_maps)
-    df = with_sample_weight(df)
+    df = with_sample_weight(df, weights=weights)
     return _finish(df, horizon, C.PIPELINE_VERSION, "sales_lag_28", C.FINAL_COLS, include_created_at)
 
 

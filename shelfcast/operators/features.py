@@ -40,8 +40,10 @@ def dedup_keep_first(df: DataFrame, keys: Sequence[str] = ("date", "store_id", "
                      order_col: str | None = None, method: str = "series") -> DataFrame:
     """Keep the first row per key by ingest order.
 
-    ``order_col`` is the ingest order; without one the read order
-    (``monotonically_increasing_id`` taken right at the source) is used.
+    ``order_col`` is the ingest order.  Without one (a derived table has no
+    input order) the survivor is chosen deterministically by a hash of the
+    whole row: identical duplicates are interchangeable, and a deterministic
+    plan lets Spark reuse exchanges between branches of the same query.
 
     ``method="series"`` (daily tables): the first key (the date) becomes the
     sort key inside the partition of the others, so the dedup shares the
@@ -56,7 +58,7 @@ def dedup_keep_first(df: DataFrame, keys: Sequence[str] = ("date", "store_id", "
     seq, part = keys[0], keys[1:]
     tmp = "__ingest"
     if order_col is None:
-        df = df.withColumn(tmp, F.monotonically_increasing_id())
+        df = df.withColumn(tmp, F.xxhash64(*[F.col(c) for c in df.columns]))
         order_col = tmp
     if method == "aggregate":
         rest = [c for c in df.columns if c not in keys and c != tmp]
@@ -112,10 +114,38 @@ def store_weights(df: DataFrame, store_col: str = "store_id") -> DataFrame:
     return shares.select(store_col, S.clip(w, 0.1, 10.0).alias("sample_weight"))
 
 
-def with_sample_weight(df: DataFrame, store_col: str = "store_id", weights: DataFrame | None = None) -> DataFrame:
-    """Join the per-store weights back (checked broadcast; unseen/null store -> 10)."""
-    weights = bounded_broadcast(store_weights(df, store_col) if weights is None else weights)
-    out = df.join(weights, store_col, "left")
+def series_store_weights(df: DataFrame, store_col: str = "store_id",
+                         weights: DataFrame | None = None) -> DataFrame:
+    """One row per series with its store's inverse-frequency weight.
+
+    ``df`` is hash-partitioned by the series keys (the snapshot join), so the
+    row count per series is an aggregate with no exchange; per-store shares
+    come from that one-row-per-series frame (small), so a hot store is never
+    gathered in one task.  ``weights`` (store, sample_weight) overrides the
+    shares (incremental runs).
+    """
+    keys = [store_col, "product_id"] if "product_id" in df.columns else [store_col]
+    per_series = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    if weights is None:
+        per_store = (per_series.filter(F.col(store_col).isNotNull()).groupBy(store_col)
+                               .agg(F.sum("__n").alias("__n")))
+        total = per_store.agg(F.sum("__n").alias("__total"))
+        share = F.col("__n") / F.col("__total")
+        weights = attach_row(per_store, total).select(
+            store_col, S.clip(F.lit(1.0) / F.greatest(share, F.lit(1e-6)), 0.1, 10.0).alias("sample_weight"))
+    return per_series.select(*keys).join(weights, store_col, "inner")
+
+
+def with_sample_weight(df: DataFrame, store_col: str = "store_id", weights: DataFrame | None = None,
+                       series_weights: DataFrame | None = None) -> DataFrame:
+    """Join the weights back on the series keys (unseen/null store -> 10).
+
+    Joining on the series keys keeps the big side's hash partitioning and
+    sort order (no shuffle of the big side, no sort).
+    """
+    sw = series_weights if series_weights is not None else series_store_weights(df, store_col, weights)
+    keys = [c for c in sw.columns if c != "sample_weight"]
+    out = df.join(sw, keys, "left")
     # A store with no share (null id) gets 1/1e-6 clipped to the upper bound.
     return out.withColumn("sample_weight", F.coalesce("sample_weight", F.lit(10.0)))
 
@@ -196,7 +226,7 @@ def lead_time_median(retail: DataFrame, snapshot: DataFrame) -> DataFrame:
 def features_v2(retail: DataFrame, snapshot: DataFrame, horizon: int = 1,
                 discount_unit: str = "percent", dedup: bool = True,
                 include_created_at: bool = True, weights: DataFrame | None = None,
-                lead_median: DataFrame | None = None, **code_maps) -> DataFrame:
+                lead_median: DataFrame | None = None, dedup_method: str = "aggregate", **code_maps) -> DataFrame:
     """The v2 feature table: 36 columns (35 without ``created_at``).
 
     ``weights`` (store, sample_weight) and ``lead_median`` (one row) override
@@ -207,14 +237,17 @@ def features_v2(retail: DataFrame, snapshot: DataFrame, horizon: int = 1,
     require_columns(snapshot, C.REQUIRED_SNAPSHOT, "snapshot")
     df = retail
     if dedup:
-        df = dedup_keep_first(df)
+        df = dedup_keep_first(df, method=dedup_method)
     df = clip_negatives(df)
     df = join_lead_times(df, snapshot, lead_median=lead_median)
+    # weights from the joined rows (same rows as after the windows), before
+    # the windows: the branch re-reads the join's shuffle, not the windows
+    sw = series_store_weights(df, weights=weights)
     df = df.withColumn("series_id", F.concat_ws("_", F.col("store_id").cast("string"),
                                                   F.col("product_id").cast("string")))
     df = with_series_features(df, horizon)
     df = with_row_features(df, discount_unit, **code_maps)
-    df = with_sample_weight(df, weights=weights)
+    df = with_sample_weight(df, series_weights=sw)
     return _finish(df, horizon, C.PIPELINE_VERSION, "sales_lag_28", C.FINAL_COLS, include_created_at)
 
 
@@ -237,7 +270,7 @@ def features_v1(retail: DataFrame, horizon: int = 1, dedup: bool = True,
                 include_created_at: bool = True) -> DataFrame:
     """The older feature set (lags 1/7/14, raw columns, warm-up on lag-14)."""
     require_columns(retail, V1_REQUIRED, "retail data")
-    df = dedup_keep_first(retail) if dedup else retail
+    df = dedup_keep_first(retail, method="aggregate") if dedup else retail
     df = clip_negatives(df)
     df = with_series_features(df, horizon, lags=(1, 7, 14), std=None, forecast_lag=False)
     df = df.withColumns({"dow": S.weekday_monday0("date"), "month": F.month("date"),

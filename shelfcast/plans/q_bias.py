@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from shelfcast import config as C
 from shelfcast.operators import bias as B
 from shelfcast.plans.catalog import register
-from shelfcast.plans.q_features import features_v2_df
+from shelfcast.plans.q_features import features_table
 from shelfcast.plans.q_quality import ff
 
 
 def perf_df(spark, sf_dir):
-    return B.slice_performance(features_v2_df(spark, sf_dir))
+    return B.slice_performance(features_table(spark, sf_dir))
 
 
 def _perf_sql_body() -> str:

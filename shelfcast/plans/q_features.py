@@ -8,6 +8,7 @@ from shelfcast.operators import features as FE
 from shelfcast.plans import oracle_features as O
 from shelfcast.plans import tables as TB
 from shelfcast.plans.catalog import register
+from shelfcast.session import cut_lineage
 
 
 def features_v2_df(spark, sf_dir, horizon=1):
@@ -15,6 +16,13 @@ def features_v2_df(spark, sf_dir, horizon=1):
                           horizon=horizon, include_created_at=False)
 
 
+def features_table(spark, sf_dir, horizon=1):
+    """The v2 features materialised once (reliable checkpoint in the shared
+    checkpoint folder) for reports that run several aggregations over them:
+    each branch then re-reads the table instead of recomputing the windows."""
+    return cut_lineage(features_v2_df(spark, sf_dir, horizon))
+
+
 @register("features_v2", O.features_v2_sql(1))
 def q_features_v2(spark, sf_dir):
     return features_v2_df(spark, sf_dir, 1)

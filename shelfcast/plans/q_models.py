@@ -18,7 +18,7 @@ from shelfcast.operators import registry as R
 from shelfcast.operators import splits as SP
 from shelfcast.plans import tables as TB
 from shelfcast.plans.catalog import register
-from shelfcast.plans.q_splits import split_df, ssql
+from shelfcast.plans.q_splits import split_df, split_table, ssql
 
 PREDICTORS = [("naive_lag1", "y_pred_baseline"), ("rolling_mean_7", "sales_roll_mean_7"),
               ("ewm_28", "sales_ewm_28")]
@@ -191,7 +191,7 @@ def q_seasonal_tuning(spark, sf_dir):
 
 
 def _gbt_inputs(spark, sf_dir):
-    sp = split_df(spark, sf_dir)
+    sp = split_table(spark, sf_dir)
     train = sp.filter(F.col("split") == "train")
     _mapping, _train, sp_enc = SP.encode_series(train, sp)
     stats = SP.scaler_stats(sp_enc.filter(F.col("split") == "train"))

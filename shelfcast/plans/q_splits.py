@@ -9,7 +9,7 @@ from shelfcast.operators import bias as B
 from shelfcast.operators import splits as SP
 from shelfcast.plans import tables as TB
 from shelfcast.plans.catalog import register
-from shelfcast.plans.q_features import features_v2_df
+from shelfcast.plans.q_features import features_table, features_v2_df
 from shelfcast.plans.q_quality import ff
 from shelfcast.plans.sqlbase import with_ctes
 
@@ -29,6 +29,12 @@ def split_df(spark, sf_dir):
     return SP.chronological_split(features_v2_df(spark, sf_dir))
 
 
+def split_table(spark, sf_dir):
+    """Split over the materialised features, for queries with several
+    full-width branches (fit statistics and transform both read all columns)."""
+    return SP.chronological_split(features_table(spark, sf_dir))
+
+
 @register("chronological_split", ssql("SELECT as_of_date, store_id, product_id, split FROM sp"))
 def q_chronological_split(spark, sf_dir):
     return split_df(spark, sf_dir).select("as_of_date", "store_id", "product_id", "split")
@@ -106,7 +112,7 @@ SCALED_SQL_UNUSED = _scaled_sql()
 
 @register("scaled_features")
 def q_scaled_features(spark, sf_dir):
-    sp = split_df(spark, sf_dir)
+    sp = split_table(spark, sf_dir)
     stats = SP.scaler_stats(sp.filter(F.col("split") == "train"))
     return SP.apply_scaler(sp, stats).select("as_of_date", "store_id", "product_id", "split", *C.SCALED_COLUMNS)
 

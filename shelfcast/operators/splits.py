@@ -187,18 +187,22 @@ def scaler_stats(train: DataFrame, cols: Sequence[str] = C.SCALED_COLUMNS) -> Da
 
 
 def apply_scaler(df: DataFrame, stats: DataFrame) -> DataFrame:
-    """M04 transform: (x - mean) / std with the fitted one-row statistics."""
-    cols = [r for r in df.columns]
-    piv = stats.agg(*[F.map_from_entries(F.collect_list(F.struct("column", F.struct("mean", "std"))))
-                      .alias("_sc")])
-    j = attach_row(df, piv)
-    scaled = {}
-    for c in C.SCALED_COLUMNS:
-        if c in cols:
-            e = F.element_at("_sc", F.lit(c))
-            scaled[c] = F.when(e.isNotNull(), (F.col(c).cast("double") - e["mean"]) / e["std"]) \
-                         .otherwise(F.col(c).cast("double"))
-    return j.withColumns(scaled).drop("_sc")
+    """M04 transform: (x - mean) / std with the fitted statistics.
+
+    The long statistics table is pivoted into one flat row (two columns per
+    scaled column) and attached by broadcast, so the transform is plain
+    column arithmetic inside whole-stage codegen.
+    """
+    cols = [c for c in C.SCALED_COLUMNS if c in df.columns]
+    flat = stats.agg(*[F.first(F.when(F.col("column") == c, F.col("mean")), ignorenulls=True).alias(f"__mu_{c}")
+                       for c in cols],
+                     *[F.first(F.when(F.col("column") == c, F.col("std")), ignorenulls=True).alias(f"__sd_{c}")
+                       for c in cols])
+    j = attach_row(df, flat)
+    scaled = {c: F.when(F.col(f"__sd_{c}").isNotNull(),
+                        (F.col(c).cast("double") - F.col(f"__mu_{c}")) / F.col(f"__sd_{c}"))
+                  .otherwise(F.col(c).cast("double")) for c in cols}
+    return j.withColumns(scaled).drop(*[f"__mu_{c}" for c in cols], *[f"__sd_{c}" for c in cols])
 
 
 def series_min_history(train: DataFrame, min_rows: int = C.MIN_SERIES_HISTORY, col: str = "series_id") -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from shelfcast import config as C
 from shelfcast.functions import scalar as S
 from shelfcast.functions.joins import attach_row, bounded_broadcast
+from shelfcast.session import ensure_checkpoint_dir
 
 
 def split_cuts(df: DataFrame, date_col: str = "as_of_date", train_frac: float = C.TRAIN_FRAC,
@@ -147,8 +148,12 @@ def dense_index(values: DataFrame, col: str, out: str = "code", partitions: int
     """
     spark = values.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    d = (values.select(col).filter(F.col(col).isNotNull()).distinct()
-               .repartitionByRange(n, col).withColumn("_pid", F.spark_partition_id()))
+    # the distinct values are materialised once (reliable checkpoint): the
+    # range sampling, the partition sizes and the ranking then read this
+    # small table instead of re-running the pipeline that produced them
+    ensure_checkpoint_dir(spark)
+    distinct = values.select(col).filter(F.col(col).isNotNull()).distinct().checkpoint(eager=True)
+    d = distinct.repartitionByRange(n, col).withColumn("_pid", F.spark_partition_id())
     sizes = d.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offs = sizes.agg(F.sort_array(F.collect_list(F.struct("_pid", "_n"))).alias("_s")).select(
         F.transform("_s", lambda e, i: F.struct(

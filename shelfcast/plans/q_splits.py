@@ -12,6 +12,7 @@ from shelfcast.plans.catalog import register
 from shelfcast.plans.q_features import features_table, features_v2_df
 from shelfcast.plans.q_quality import ff
 from shelfcast.plans.sqlbase import with_ctes
+from shelfcast.session import cut_lineage
 
 CUTS = """SELECT max(CASE WHEN rk = CAST(floor(n * 0.8e0) AS BIGINT) THEN d END) AS train_end,
   max(CASE WHEN rk = CAST(floor(n * (0.8e0 + 0.1e0)) AS BIGINT) THEN d END) AS val_end
@@ -88,8 +89,12 @@ FROM (SELECT DISTINCT series_id FROM sp) s LEFT JOIN
       FROM (SELECT DISTINCT series_id FROM sp WHERE split = 'train') t) m USING (series_id)"""))
 def q_series_encoding(spark, sf_dir):
     sp = split_df(spark, sf_dir)
-    train = sp.filter(F.col("split") == "train")
-    _mapping, _train, enc = SP.encode_series(train.select("series_id"), sp.select("series_id").distinct())
+    # one pass over the pipeline: the distinct series with an in-train flag
+    # (one row per series), materialised; codes and the lookup read that
+    ids = cut_lineage(sp.groupBy("series_id").agg(
+        F.max((F.col("split") == "train").cast("int")).alias("in_train")))
+    _mapping, _train, enc = SP.encode_series(ids.filter(F.col("in_train") == 1).select("series_id"),
+                                             ids.select("series_id"))
     return enc.select("series_id", F.col("series_enc").cast("int").alias("series_enc"))
 
 

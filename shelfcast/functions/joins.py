@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_K = "__one"
-
 # Default bound for broadcasting a dimension-like frame (rows).  Beyond it the
 # join stays a shuffle join (AQE may still pick broadcast from runtime size).
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
@@ -17,13 +15,12 @@ DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Add the columns of a one-row frame (a global aggregate) to every row.
 
-    A global aggregate has exactly one row, so broadcasting it is bounded by
-    construction.  The equi-join on a constant key plans a broadcast hash
-    join inside whole-stage codegen (no nested-loop join, no pairs).
+    Each column becomes an uncorrelated scalar subquery (``DataFrame.scalar``):
+    Spark runs the aggregate once (subqueries over the same plan are merged)
+    and uses the value as a constant in the main plan, so no join of any kind
+    is planned and the main plan stays in whole-stage codegen.
     """
-    return (df.withColumn(_K, F.lit(1))
-              .join(F.broadcast(one_row.withColumn(_K, F.lit(1))), _K, "inner")
-              .drop(_K))
+    return df.withColumns({c: one_row.select(c).scalar() for c in one_row.columns})
 
 
 def bounded_broadcast(small: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:

@@ -69,13 +69,13 @@ def rollback(versions: DataFrame, model: str, target_version: int | None = None)
         tgt = mv.filter(F.col("version") == target_version).agg(F.max("version").alias("_tgt"))
     d = attach_row(cur, tgt)  # two one-row aggregates: one row
     ok = F.col("_cur").isNotNull() & F.col("_tgt").isNotNull() & (F.col("_cur") != F.col("_tgt"))
-    d = d.select("_cur", "_tgt", F.coalesce(ok, F.lit(False)).alias("rolled_back"), F.lit(model).alias("_m"))
-    j = versions.join(F.broadcast(d), F.col("model") == F.col("_m"), "left")
-    stage = (F.when(F.col("rolled_back") & (F.col("version") == F.col("_cur")), "Archived")
-              .when(F.col("rolled_back") & (F.col("version") == F.col("_tgt")), "Production")
+    d = d.select("_cur", "_tgt", F.coalesce(ok, F.lit(False)).alias("_rb"))
+    j = attach_row(versions, d)
+    rolled = (F.col("model") == F.lit(model)) & F.col("_rb")
+    stage = (F.when(rolled & (F.col("version") == F.col("_cur")), "Archived")
+              .when(rolled & (F.col("version") == F.col("_tgt")), "Production")
               .otherwise(F.col("stage")))
-    return j.select("model", "version", stage.alias("stage"), "test_mae",
-                    F.coalesce("rolled_back", F.lit(False)).alias("rolled_back"))
+    return j.select("model", "version", stage.alias("stage"), "test_mae", rolled.alias("rolled_back"))
 
 
 def model_comparison(metrics: DataFrame, split: str = "test") -> DataFrame:

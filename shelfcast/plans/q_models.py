@@ -18,6 +18,7 @@ from shelfcast.operators import registry as R
 from shelfcast.operators import splits as SP
 from shelfcast.plans import tables as TB
 from shelfcast.plans.catalog import register
+from shelfcast.session import cut_lineage
 from shelfcast.plans.q_splits import split_df, split_table, ssql
 
 PREDICTORS = [("naive_lag1", "y_pred_baseline"), ("rolling_mean_7", "sales_roll_mean_7"),
@@ -25,11 +26,13 @@ PREDICTORS = [("naive_lag1", "y_pred_baseline"), ("rolling_mean_7", "sales_roll_
 
 
 def metrics_df(spark, sf_dir):
+    """The metrics control table (a few rows), materialised once: the registry
+    decisions read it several times."""
     sp = split_df(spark, sf_dir).filter(F.col("split").isin("val", "test"))
     long = sp.select("split", "y", F.explode(F.array(*[
         F.struct(F.lit(m).alias("model"), F.col(c).cast("double").alias("prediction")) for m, c in PREDICTORS]))
         .alias("p")).select("split", "y", "p.*")
-    return B.regression_metrics(long, pred="prediction", group=["model", "split"])
+    return cut_lineage(B.regression_metrics(long, pred="prediction", group=["model", "split"]))
 
 
 def _metrics_sql() -> str:

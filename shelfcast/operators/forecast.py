@@ -196,8 +196,9 @@ def predict(model: PipelineModel, df: DataFrame, features: Sequence[str]) -> Dat
     """Batch scoring with the fitted pipeline; predictions floored at 0."""
     feats = [f for f in features if f in df.columns]
     out = model.transform(_prepare(df, feats))
-    return out.withColumn("prediction", F.greatest(F.col("raw_prediction"), F.lit(0.0))) \
-              .drop("features", "raw_prediction")
+    return (out.withColumn("prediction", F.greatest(F.col("raw_prediction"), F.lit(0.0)))
+               .withColumn("predicted_demand", predicted_demand("prediction"))
+               .drop("features", "raw_prediction"))
 
 
 def feature_importance(model: PipelineModel, features: Sequence[str], top: int = 10) -> DataFrame:
@@ -222,3 +223,65 @@ def walk_forward_eval(train: DataFrame, features: Sequence[str], params: dict |
         met = regression_metrics(predict(model, va, features), pred="prediction").withColumn("fold_number", F.lit(f))
         out = met if out is None else out.unionByName(met)
     return out
+
+
+def feature_matrix(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """The available feature columns (absent ones are skipped); leftover string
+    columns become integer codes by their sorted distinct values (distributed
+    dense index per column, broadcast under a checked bound)."""
+    from shelfcast.functions.joins import bounded_broadcast
+    from shelfcast.operators.splits import dense_index
+    avail = [f for f in features if f in df.columns]
+    out = df.select(*keep, *[f for f in avail if f not in keep])
+    for f in avail:
+        if dict(out.dtypes)[f] == "string":
+            codes = bounded_broadcast(dense_index(out, f, "__code"))
+            out = out.join(codes, f, "left").withColumn(f, F.col("__code")).drop("__code")
+    return out
+
+
+def predicted_demand(pred) -> "F.Column":
+    """reported prediction: max(0, y_hat) rounded half-even to 2."""
+    from shelfcast.functions.scalar import round_half_even
+    return round_half_even(F.greatest(F.col(pred) if isinstance(pred, str) else pred, F.lit(0.0)), 2)
+
+
+def permutation_importance(model: PipelineModel, df: DataFrame, features: Sequence[str],
+                           seed: int = 42, n_buckets: int | None = None, top: int = 20,
+                           keys: Sequence[str] = ("store_id", "product_id", "as_of_date")) -> DataFrame:
+    """M12 (re-aimed): MAE increase when one feature's values are permuted.
+
+    A permutation without global row numbers: rows are spread over hash
+    buckets of their keys; inside a bucket, rows in a seeded random order take
+    the value of the previous row (the first takes the last): a cyclic shift,
+    i.e. a random permutation per bucket.  All features are scored in one
+    pass: the frame is exploded once per feature (bounded by the feature
+    count), the swapped column is chosen per copy, and one ``transform`` plus
+    one grouped MAE gives every delta.
+    """
+    from pyspark.sql import Window
+    feats = [f for f in features if f in df.columns]
+    spark = df.sparkSession
+    nb = n_buckets or int(spark.conf.get("spark.sql.shuffle.partitions")) * 4
+    kc = [F.col(k) for k in keys if k in df.columns]
+    base = _prepare(df, feats).withColumns({
+        "__b": F.pmod(F.xxhash64(F.lit(seed), *kc), F.lit(nb)),
+        "__r": F.xxhash64(F.lit(seed + 1), *kc)})
+    w = Window.partitionBy("__b").orderBy("__r")
+    wall = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    perm = {f"__p_{i}": F.coalesce(F.lag(f, 1).over(w), F.last(f).over(wall)) for i, f in enumerate(feats)}
+    p = base.withColumns(perm)
+    variants = F.explode(F.sequence(F.lit(-1), F.lit(len(feats) - 1))).alias("__v")
+    x = p.select("*", variants)
+    x = x.withColumns({f: F.when(F.col("__v") == i, F.col(f"__p_{i}")).otherwise(F.col(f))
+                       for i, f in enumerate(feats)})
+    scored = model.transform(x.drop(*perm.keys()))
+    err = F.abs(F.greatest(F.col("raw_prediction"), F.lit(0.0)) - F.col("y"))
+    mae = scored.groupBy("__v").agg(F.avg(err).alias("mae"))
+    names = F.array(*[F.lit(f) for f in feats])
+    baseline = mae.filter(F.col("__v") == -1).select(F.col("mae").alias("__base"))
+    from shelfcast.functions.joins import attach_row
+    out = attach_row(mae.filter(F.col("__v") >= 0), baseline)
+    res = out.select(F.element_at(names, (F.col("__v") + 1).cast("int")).alias("feature"),
+                     (F.col("mae") - F.col("__base")).alias("mae_increase"))
+    return res.orderBy(F.col("mae_increase").desc(), "feature").limit(top)

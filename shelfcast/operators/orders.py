@@ -125,3 +125,11 @@ def order_history(orders: DataFrame, n: int = 20) -> DataFrame:
     """Newest ``n`` orders per store (created_at desc, then order id desc)."""
     w = Window.partitionBy("store_id").orderBy(F.col("created_at").desc(), F.col("order_id").desc())
     return orders.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+
+
+def record_contacts(submissions: DataFrame, path: str, user_col: str = "user_id") -> None:
+    """Append contact submissions (name, email, subject, message, user) with their time."""
+    from shelfcast.sources.writers import append_table
+    rec = submissions.select("name", "email", "subject", "message", user_col,
+                             F.current_timestamp().alias("created_at"))
+    append_table(rec, path)

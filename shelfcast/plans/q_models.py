@@ -224,3 +224,11 @@ def q_intent_routing(spark, sf_dir):
     model = IN.train_router(spark)
     q = TB.turns(spark, sf_dir).filter(F.col("role") == "user").select("user_id", "convo_id", "turn", "text")
     return IN.route(model, q)
+
+
+@register("gbt_permutation_importance")
+def q_gbt_permutation_importance(spark, sf_dir):
+    """M12 (re-aimed attribution): MAE increase per permuted feature on the test rows."""
+    d = _gbt_inputs(spark, sf_dir)
+    model = FC.fit_gbt(d.filter(F.col("split") == "train"), d.filter(F.col("split") == "val"), C.TRAIN_FEATURES)
+    return FC.permutation_importance(model, d.filter(F.col("split") == "test"), C.TRAIN_FEATURES)

@@ -30,22 +30,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _TMP = "__ewm_"
+_LR = "__lr_"
 
 
-def ewm_adjust_false(df: DataFrame, value: str, keys: Sequence[str], order: str,
-                     span: int = 28, out: str = "ewm", shift: int = 1,
-                     block: int = 1024) -> DataFrame:
-    """Add ``out`` = EWM(span, adjust=False) of ``value`` per series.
+def linear_recurrence(df: DataFrame, value: str, keys: Sequence[str], order: str, out: str,
+                      r_of_gap, s_of_gap, first_r: float, first_s: float,
+                      block: int = 1024, shift: int = 0) -> DataFrame:
+    """y_i = r_i * y_prev + s_i * x_i over the observed rows of each series.
 
-    ``shift=1`` returns the value of the previous row (the feature pipeline's
-    ``x.shift(1).ewm(...)``: no leakage of the current row).
+    ``r_of_gap`` / ``s_of_gap`` map the gap g (rows since the previous
+    observed row, as a Column) to the coefficients; the first observation of a
+    series uses ``first_r`` (times an empty carry) and ``first_s``.  Null rows
+    repeat the last value; rows before the first observation are null.  The
+    sums are rebased per ``block`` rows (see the module note): inside a block
+    |sum ln r| stays below ``block * max|ln r|`` per gap-1 step.  ``shift=k``
+    returns the value k rows back (on the same sorted window: no extra sort).
     """
-    a = 2.0 / (span + 1.0)
-    q = 1.0 - a
-    ln_q = math.log(q)
     keys = list(keys)
-    t = lambda n: _TMP + n
-
+    t = lambda n: _LR + n
     w_row = Window.partitionBy(*keys).orderBy(order)
     x = F.col(value).cast("double")
     obs = x.isNotNull()
@@ -56,17 +58,14 @@ def ewm_adjust_false(df: DataFrame, value: str, keys: Sequence[str], order: str,
         F.last(F.when(obs, F.col(t("rn"))), ignorenulls=True)
          .over(w_row.rowsBetween(Window.unboundedPreceding, -1)))
     rn, prev = F.col(t("rn")), F.col(t("prev"))
-    blk = F.floor((rn - 1) / F.lit(block)).cast("long")
-    df = df.withColumn(t("blk"), blk)
+    df = df.withColumn(t("blk"), F.floor((rn - 1) / F.lit(block)).cast("long"))
     g = (rn - prev).cast("double")
-    # q^g via exp(g ln q): underflows to 0 for huge gaps, which is the limit.
-    qg = F.exp(g * F.lit(ln_q))
     first_in_series = obs & prev.isNull()
     first_in_blk = obs & (prev.isNull() | (F.floor((prev - 1) / F.lit(block)) < F.col(t("blk"))))
-    r = F.when(first_in_series, F.lit(0.0)).otherwise(qg / (qg + F.lit(a)))
-    s = F.when(first_in_series, F.lit(1.0)).otherwise(F.lit(a) / (qg + F.lit(a)))
+    r = F.when(first_in_series, F.lit(first_r)).otherwise(r_of_gap(g))
+    s_ = F.when(first_in_series, F.lit(first_s)).otherwise(s_of_gap(g))
     df = (df.withColumn(t("r"), F.when(obs, r))
-            .withColumn(t("s"), F.when(obs, s))
+            .withColumn(t("s"), F.when(obs, s_))
             .withColumn(t("fib"), first_in_blk))
 
     # Same sort for the block window and the series window below:
@@ -100,12 +99,49 @@ def ewm_adjust_false(df: DataFrame, value: str, keys: Sequence[str], order: str,
         lambda acc, e: F.when(e["seen"], e["z"] + e["m"] * F.coalesce(acc, F.lit(0.0))).otherwise(acc))
     y = F.when(F.col(t("seen")), F.col(t("z")) + F.col(t("m")) * F.coalesce(carry, F.lit(0.0))) \
          .otherwise(carry)
-    df = df.withColumn(t("y"), y)
-    if shift:
-        df = df.withColumn(out, F.lag(t("y"), shift).over(w_ser))
-    else:
-        df = df.withColumn(out, F.col(t("y")))
-    return df.drop(*[c for c in df.columns if c.startswith(_TMP)])
+    df = df.withColumn(out, F.lag(y, shift).over(w_ser) if shift else y)
+    return df.drop(*[c for c in df.columns if c.startswith(_LR)])
+
+
+def ewm_adjust_false(df: DataFrame, value: str, keys: Sequence[str], order: str,
+                     span: int = 28, out: str = "ewm", shift: int = 1,
+                     block: int = 1024) -> DataFrame:
+    """Add ``out`` = EWM(span, adjust=False) of ``value`` per series.
+
+    ``shift=1`` returns the value of the previous row (the feature pipeline's
+    ``x.shift(1).ewm(...)``: no leakage of the current row).
+    """
+    a = 2.0 / (span + 1.0)
+    ln_q = math.log(1.0 - a)
+
+    def qg(g):
+        # q^g via exp(g ln q): underflows to 0 for huge gaps, which is the limit
+        return F.exp(g * F.lit(ln_q))
+
+    return linear_recurrence(df, value, keys, order, out,
+                             r_of_gap=lambda g: qg(g) / (qg(g) + F.lit(a)),
+                             s_of_gap=lambda g: F.lit(a) / (qg(g) + F.lit(a)),
+                             first_r=0.0, first_s=1.0, block=block, shift=shift)
+
+
+def ewm_adjust_true(df: DataFrame, value: str, keys: Sequence[str], order: str,
+                    span: int = 28, out: str = "ewm_adj", shift: int = 0,
+                    block: int = 512) -> DataFrame:
+    """EWM(span, adjust=True) per series, as pandas (``ignore_na=False``).
+
+    The weighted mean with weights (1-a)^age is the ratio of two recurrences
+    S_i = q^g S_prev + x_i and W_i = q^g W_prev + 1 over the observed rows
+    (ages count null rows too).  ``shift=0`` includes the current row (the
+    scorer's value at the latest row).
+    """
+    a = 2.0 / (span + 1.0)
+    ln_q = math.log(1.0 - a)
+    num, den, one = _TMP + "num", _TMP + "den", _TMP + "one"
+    df = df.withColumn(one, F.when(F.col(value).isNotNull(), F.lit(1.0)))
+    rg = lambda g: F.exp(g * F.lit(ln_q))
+    df = linear_recurrence(df, value, keys, order, num, rg, lambda g: F.lit(1.0), 0.0, 1.0, block, shift)
+    df = linear_recurrence(df, one, keys, order, den, rg, lambda g: F.lit(1.0), 0.0, 1.0, block, shift)
+    return df.withColumn(out, F.col(num) / F.col(den)).drop(num, den, one)
 
 
 def ewm_adjusted_over_array(values: Column, span: int = 28) -> Column:

@@ -8,6 +8,7 @@ from shelfcast.operators import features as FE
 from shelfcast.plans import oracle_features as O
 from shelfcast.plans import tables as TB
 from shelfcast.plans.catalog import register
+from shelfcast.plans.sqlbase import with_ctes
 from shelfcast.session import cut_lineage
 
 
@@ -143,3 +144,27 @@ def q_clip_negatives(spark, sf_dir):
                  F.sum(F.col("_neg").cast("int")).cast("long").alias("neg_units"),
                  F.sum("units_sold").alias("sum_units"), F.sum("inventory_level").alias("sum_level"),
                  F.min("units_sold").alias("min_units"))
+
+
+@register("retail_daily", with_ctes("retail_daily") + "SELECT * FROM retail_daily")
+def q_retail_daily(spark, sf_dir):
+    """The daily store x product table (derived from the line table)."""
+    return TB.retail(spark, sf_dir)
+
+
+@register("inventory_snapshot", with_ctes("inventory_snapshot") + "SELECT * FROM inventory_snapshot")
+def q_inventory_snapshot(spark, sf_dir):
+    """The current-state snapshot (one row per store x product)."""
+    return TB.snapshot(spark, sf_dir)
+
+
+@register("ewm_28_adjusted", with_ctes("retail_daily") + """SELECT date, store_id, product_id,
+  SUM(units_sold * pow(29e0 / 27e0, rn)) OVER s / SUM(pow(29e0 / 27e0, rn)) OVER s AS sales_ewm_28_adjusted
+FROM (SELECT *, row_number() OVER (PARTITION BY store_id, product_id ORDER BY date) AS rn FROM retail_daily) t
+WINDOW s AS (PARTITION BY store_id, product_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+def q_ewm_28_adjusted(spark, sf_dir):
+    """EWM(span 28, adjust=True) of daily units per series, current row included."""
+    from shelfcast.functions.ewm import ewm_adjust_true
+    r = TB.retail(spark, sf_dir).select("date", "store_id", "product_id", "units_sold")
+    return ewm_adjust_true(r, "units_sold", ["store_id", "product_id"], "date",
+                           out="sales_ewm_28_adjusted").drop("units_sold")

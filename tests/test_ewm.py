@@ -47,3 +47,14 @@ def test_ewm_adjusted_array_matches_pandas(spark):
     df = spark.createDataFrame([(vals,)], "a array<double>")
     got = df.select(ewm_adjusted_over_array(F.col("a")).alias("e")).first()["e"]
     assert abs(got - exp) < 1e-12
+
+
+@pytest.mark.parametrize("block", [512, 7])
+def test_ewm_adjusted_matches_pandas(spark, block):
+    from shelfcast.functions.ewm import ewm_adjust_true
+    pdf = _frame(seed=11, n=400)
+    exp = pdf.groupby("k")["v"].transform(lambda x: x.ewm(span=28).mean()).values
+    got = (ewm_adjust_true(spark.createDataFrame(pdf), "v", ["k"], "d", block=block)
+           .toPandas().sort_values(["k", "d"])["ewm_adj"].values.astype(float))
+    assert (np.isnan(exp) == np.isnan(got)).all()
+    assert np.nanmax(np.abs(exp - got)) < 1e-9

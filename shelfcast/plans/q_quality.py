@@ -141,3 +141,19 @@ def _expect_sql() -> str:
 @register("expectations", _expect_sql())
 def q_expectations(spark, sf_dir):
     return Q.expectations(features_table(spark, sf_dir))
+
+
+def _retail_outlier_sql() -> str:
+    from shelfcast.plans.sqlbase import RETAIL_DAILY
+    cols = ("units_sold", "price", "inventory_level")
+    body = _outlier_body(cols).replace("FROM ff, st", "FROM rd AS ff, st")
+    stats = _outlier_stats(cols).replace("FROM ff", "FROM rd")
+    return f"WITH rd AS ({RETAIL_DAILY}),\n st AS ({stats})\n{body}"
+
+
+@register("outliers_retail", _retail_outlier_sql())
+def q_outliers_retail(spark, sf_dir):
+    """Q05-Q07 on the daily table: units, price (continuous: exact bracketed
+    percentiles) and inventory level."""
+    from shelfcast.plans import tables as TB
+    return Q.outliers(TB.retail(spark, sf_dir), cols=["units_sold", "price", "inventory_level"])

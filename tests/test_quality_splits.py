@@ -60,3 +60,13 @@ def test_scaler_matches_population_std(spark):
     exp = (x - x.mean()) / x.std(ddof=0)
     assert np.allclose(out["sales_lag_1"].dropna(), exp.dropna())
     assert (out["inventory_level"] == 0).all()           # zero std -> divide by 1
+
+
+def test_exact_quantiles_match_numpy(spark):
+    from shelfcast.functions.quantiles import exact_quantiles
+    rng = np.random.default_rng(9)
+    x = rng.normal(50, 20, 20000).round(3)
+    df = spark.createDataFrame(pd.DataFrame({"x": x}))
+    got = exact_quantiles(df, "x", [0.001, 0.5, 0.999], max_in_bracket=500, accuracy=200)
+    exp = np.percentile(x, [0.1, 50, 99.9])
+    assert np.allclose(got, exp, rtol=0, atol=1e-9)

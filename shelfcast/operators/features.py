@@ -159,8 +159,13 @@ def with_series_features(df: DataFrame, horizon: int = 1, value: str = "units_so
                          lags: Sequence[int] = (1, 7, 14, 28),
                          means: Sequence[tuple[int, int]] = ((7, 3), (14, 7), (28, 7)),
                          std: tuple[int, int] | None = (7, 3),
-                         ewm_span: int = 28, forecast_lag: bool = True) -> DataFrame:
-    """W01-W06, W09 (baseline) and the label W05, one window spec for all."""
+                         ewm_span: int = 28, forecast_lag: bool = True,
+                         ewm_value: str | None = None) -> DataFrame:
+    """W01-W06, W09 (baseline) and the label W05, one window spec for all.
+
+    ``ewm_value`` feeds the EWM from another column (incremental runs put the
+    carried EWM state in the first row of a look-back window there).
+    """
     w = Window.partitionBy(*KEYS).orderBy("date")
     cols = {}
     for k in lags:
@@ -173,7 +178,7 @@ def with_series_features(df: DataFrame, horizon: int = 1, value: str = "units_so
         cols["demand_forecast_lag1"] = F.lag("demand_forecast", 1).over(w)
     cols["y"] = F.lead(value, horizon).over(w)
     df = df.withColumns(cols)
-    df = ewm_adjust_false(df, value, KEYS, "date", span=ewm_span, out=f"sales_ewm_{ewm_span}")
+    df = ewm_adjust_false(df, ewm_value or value, KEYS, "date", span=ewm_span, out=f"sales_ewm_{ewm_span}")
     if horizon == 1:
         base = F.coalesce(F.col("sales_lag_1"), F.col("sales_lag_7"))
     else:
@@ -226,7 +231,8 @@ def lead_time_median(retail: DataFrame, snapshot: DataFrame) -> DataFrame:
 def features_v2(retail: DataFrame, snapshot: DataFrame, horizon: int = 1,
                 discount_unit: str = "percent", dedup: bool = True,
                 include_created_at: bool = True, weights: DataFrame | None = None,
-                lead_median: DataFrame | None = None, dedup_method: str = "aggregate", **code_maps) -> DataFrame:
+                lead_median: DataFrame | None = None, dedup_method: str = "aggregate",
+                ewm_value: str | None = None, keep: Sequence[str] = (), **code_maps) -> DataFrame:
     """The v2 feature table: 36 columns (35 without ``created_at``).
 
     ``weights`` (store, sample_weight) and ``lead_median`` (one row) override
@@ -245,10 +251,11 @@ def features_v2(retail: DataFrame, snapshot: DataFrame, horizon: int = 1,
     sw = series_store_weights(df, weights=weights)
     df = df.withColumn("series_id", F.concat_ws("_", F.col("store_id").cast("string"),
                                                   F.col("product_id").cast("string")))
-    df = with_series_features(df, horizon)
+    df = with_series_features(df, horizon, ewm_value=ewm_value)
     df = with_row_features(df, discount_unit, **code_maps)
     df = with_sample_weight(df, series_weights=sw)
-    return _finish(df, horizon, C.PIPELINE_VERSION, "sales_lag_28", C.FINAL_COLS, include_created_at)
+    return _finish(df, horizon, C.PIPELINE_VERSION, "sales_lag_28", list(C.FINAL_COLS) + list(keep),
+                   include_created_at)
 
 
 V1_FEATURES = [

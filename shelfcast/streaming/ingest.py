@@ -1,62 +1,173 @@
-"""Incremental retail ingest -> feature table, as a Structured Streaming job.
-
-New daily rows arrive as files.  Each micro-batch is appended to the history
-(``<history>/batch_id=<b>``, overwritten on replay: idempotent), the series it
-touches are mapped to ``n_buckets`` hash buckets, and the features of those
-buckets are recomputed from their whole history (the EWM carries the whole
-series, lags need 28 rows back) and written with dynamic partition overwrite
-into ``<features>/bucket=<k>``.  The two table-wide statistics (store shares
-for the weights, the median lead time) are computed over the full history
-and stored as small tables; ``read_features`` joins the current weights so
-untouched buckets are never stale.  The checkpoint replaces the source's
-fingerprint file.
+"""Incremental retail ingest -> feature table (Structured Streaming).
+
+New daily rows arrive as files; each micro-batch ``b`` is processed by
+``foreachBatch`` and only touches the series it contains:
+
+* **append path** (the usual case: every new row is later than its series'
+  last stored row): the features of the new rows — and of the last
+  ``horizon`` stored rows, whose label just arrived — are computed over a
+  look-back window of the last ``28 + horizon`` stored rows plus the new rows.
+  Lags and rolling statistics need at most 28 rows back.  The EWM needs the
+  whole series, so each stored row keeps its EWM state (the value including
+  the row); the first look-back row feeds that state into the recurrence.
+* **rewind path** (a row at or before the series' last stored date arrived
+  late): the series is recomputed from its full history and gets a new
+  epoch ``b``; rows it had in earlier batches are superseded.
+
+Storage is append-only and idempotent by batch id (a replayed batch
+overwrites its own ``batch_id=b`` partitions and reads only batches < b):
+``hist/`` rows + EWM state, ``feat/`` emitted feature rows, ``epoch/``
+rewound series.  A row of a series is valid when its batch id is at least
+the series' epoch.  The two table-wide statistics (store shares, median lead
+time) come from key-only scans of the valid history and are re-applied at
+read time (``read_features``), so earlier rows never go stale.  The
+checkpoint replaces the source's fingerprint file.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import os
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from shelfcast.functions import scalar as S
+from shelfcast.functions.ewm import ewm_adjust_false
 from shelfcast.functions.joins import bounded_broadcast
 from shelfcast.operators import features as FE
+from shelfcast.session import ensure_checkpoint_dir
 from shelfcast.sources.readers import RETAIL_SCHEMA
 
+KEYS = ["store_id", "product_id"]
+LOOKBACK = 28
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def _epochs(spark: SparkSession, base: str, upto: int | None = None) -> DataFrame | None:
+    p = os.path.join(base, "epoch")
+    if not _exists(spark, p):
+        return None
+    e = spark.read.parquet(p)
+    if upto is not None:
+        e = e.filter(F.col("batch_id") <= upto)
+    return e.groupBy(*KEYS).agg(F.max("batch_id").alias("_epoch"))
+
+
+def _valid(spark: SparkSession, base: str, table: str, upto: int | None, before: bool = False) -> DataFrame | None:
+    """Rows of ``table`` from batches <= upto (< upto if ``before``), minus superseded ones."""
+    p = os.path.join(base, table)
+    if not _exists(spark, p):
+        return None
+    d = spark.read.parquet(p)
+    if upto is not None:
+        d = d.filter(F.col("batch_id") < upto if before else F.col("batch_id") <= upto)
+    e = _epochs(spark, base, upto - 1 if (before and upto is not None) else upto)
+    if e is None:
+        return d
+    return (d.join(e, KEYS, "left")
+             .filter(F.col("_epoch").isNull() | (F.col("batch_id") >= F.col("_epoch"))).drop("_epoch"))
+
+
+def _with_state(rows: DataFrame, ewm_input: str) -> DataFrame:
+    """EWM state per row (value including the row) from ``ewm_input``."""
+    return ewm_adjust_false(rows, ewm_input, KEYS, "date", out="ewm_state", shift=0)
 
-def bucket_of(n_buckets: int):
-    return F.pmod(F.xxhash64("store_id", "product_id"), F.lit(n_buckets)).cast("int")
 
+def _process(snapshot: DataFrame, base: str, horizon: int):
+    hist_p, feat_p, epoch_p = (os.path.join(base, t) for t in ("hist", "feat", "epoch"))
 
-def _process(snapshot: DataFrame, history: str, features: str, n_buckets: int):
-    def run(batch: DataFrame, batch_id: int) -> None:
+    def run(batch: DataFrame, b: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{history}/batch_id={batch_id}")
-        hist = spark.read.parquet(history).drop("batch_id")
-        weights = FE.store_weights(hist)
-        weights.write.mode("overwrite").parquet(f"{features}_weights")
-        med = FE.lead_time_median(hist, snapshot)
-        touched = bounded_broadcast(batch.select(bucket_of(n_buckets).alias("bucket")).distinct())
-        sub = hist.withColumn("bucket", bucket_of(n_buckets)).join(touched, "bucket", "left_semi").drop("bucket")
-        f = FE.features_v2(sub, snapshot, include_created_at=False, weights=weights, lead_median=med)
-        (f.withColumn("bucket", bucket_of(n_buckets)).write.mode("overwrite")
-          .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(features))
+        ensure_checkpoint_dir(spark)
+        cols = [c for c in batch.columns]
+        new = FE.dedup_keep_first(batch, method="aggregate")
+        hist = _valid(spark, base, "hist", b, before=True)
+        if hist is not None:
+            hist = hist.drop("batch_id")
+        touched = new.select(*KEYS).distinct().checkpoint(eager=True)
+        if hist is None:
+            h_t = None
+            fresh, late_keys = new, None
+        else:
+            h_t = hist.join(F.broadcast(touched) if touched.count() < 1_000_000 else touched, KEYS, "left_semi")
+            known = h_t.select(*KEYS, "date")
+            fresh = new.join(known, KEYS + ["date"], "left_anti")      # a re-delivered day keeps the first copy
+            last = h_t.groupBy(*KEYS).agg(F.max("date").alias("_last"))
+            late_keys = (fresh.join(last, KEYS, "inner").filter(F.col("date") <= F.col("_last"))
+                              .select(*KEYS).distinct().checkpoint(eager=True))
+        out_hist, out_feat = [], []
+        # the table-wide statistics over all valid rows including this batch
+        all_rows = fresh.select(*KEYS) if h_t is None else hist.select(*KEYS).unionByName(fresh.select(*KEYS))
+        weights = FE.store_weights(all_rows).checkpoint(eager=True)
+        med = FE.lead_time_median(all_rows, snapshot).checkpoint(eager=True)
+        # --- append path ------------------------------------------------------------------
+        app_new = fresh if late_keys is None else fresh.join(late_keys, KEYS, "left_anti")
+        if h_t is not None:
+            h_app = h_t.join(late_keys, KEYS, "left_anti")
+            wd = Window.partitionBy(*KEYS).orderBy(F.col("date").desc())
+            tail = (h_app.withColumn("_rk", F.row_number().over(wd))
+                         .filter(F.col("_rk") <= LOOKBACK + horizon))
+            first = F.col("_rk") == F.max("_rk").over(Window.partitionBy(*KEYS))
+            tail = tail.withColumns({
+                "_ewm_in": F.when(first, F.col("ewm_state")).otherwise(F.col("units_sold").cast("double")),
+                "_emit": F.col("_rk") <= horizon, "_new": F.lit(False)}).drop("_rk", "ewm_state")
+        else:
+            tail = None
+        app = app_new.withColumns({"_ewm_in": F.col("units_sold").cast("double"),
+                                   "_emit": F.lit(True), "_new": F.lit(True)})
+        frame = app if tail is None else tail.unionByName(app)
+        f = FE.features_v2(frame, snapshot, horizon=horizon, include_created_at=False, weights=weights,
+                           lead_median=med, ewm_value="_ewm_in", keep=["_emit"])
+        out_feat.append(f.filter("_emit").drop("_emit"))
+        st = _with_state(frame.filter("_new"), "_ewm_in") if tail is None else \
+            _with_state(frame, "_ewm_in").filter("_new")
+        out_hist.append(st.select(*cols, "ewm_state"))
+        # --- rewind path (late rows): whole series recomputed under a new epoch ----------
+        if late_keys is not None:
+            rw = h_t.join(late_keys, KEYS, "left_semi").drop("ewm_state").select(*cols) \
+                    .unionByName(fresh.join(late_keys, KEYS, "left_semi").select(*cols))
+            out_feat.append(FE.features_v2(rw, snapshot, horizon=horizon, include_created_at=False,
+                                           weights=weights, lead_median=med))
+            rwd = FE.dedup_keep_first(rw, method="aggregate")
+            out_hist.append(_with_state(rwd.withColumn("_x", F.col("units_sold").cast("double")), "_x")
+                            .select(*cols, "ewm_state"))
+            late_keys.withColumn("batch_id", F.lit(b).cast("long")).write.mode("overwrite") \
+                     .parquet(os.path.join(epoch_p, f"batch_id={b}"))
+        h_out = out_hist[0] if len(out_hist) == 1 else out_hist[0].unionByName(out_hist[1])
+        f_out = out_feat[0] if len(out_feat) == 1 else out_feat[0].unionByName(out_feat[1])
+        h_out.write.mode("overwrite").parquet(os.path.join(hist_p, f"batch_id={b}"))
+        f_out.write.mode("overwrite").parquet(os.path.join(feat_p, f"batch_id={b}"))
+        weights.write.mode("overwrite").parquet(os.path.join(base, "weights"))
+        med.write.mode("overwrite").parquet(os.path.join(base, "lead_median"))
     return run
 
 
-def start_ingest(spark: SparkSession, retail_dir: str, snapshot: DataFrame, history: str, features: str,
-                 checkpoint: str, n_buckets: int = 64, max_files_per_trigger: int | None = None,
+def start_ingest(spark: SparkSession, retail_dir: str, snapshot: DataFrame, base: str, checkpoint: str,
+                 horizon: int = 1, max_files_per_trigger: int | None = None,
                  schema=RETAIL_SCHEMA) -> StreamingQuery:
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = r.parquet(retail_dir)
-    return (stream.writeStream.foreachBatch(_process(snapshot, history, features, n_buckets))
-                  .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    return (r.parquet(retail_dir).writeStream.foreachBatch(_process(snapshot, base, horizon))
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
-def read_features(spark: SparkSession, features: str) -> DataFrame:
-    """The incrementally maintained features with the current store weights."""
-    f = spark.read.parquet(features).drop("bucket", "sample_weight")
-    w = spark.read.parquet(f"{features}_weights")
-    return f.join(bounded_broadcast(w), "store_id", "left") \
-            .withColumn("sample_weight", F.coalesce("sample_weight", F.lit(10.0)))
+def read_features(spark: SparkSession, base: str, snapshot: DataFrame) -> DataFrame:
+    """The maintained features with the current table-wide statistics re-applied."""
+    f = _valid(spark, base, "feat", None).drop("batch_id", "sample_weight")
+    w = spark.read.parquet(os.path.join(base, "weights"))
+    med = spark.read.parquet(os.path.join(base, "lead_median")).select("lead_median").scalar()
+    snap = snapshot.select(*KEYS, F.col("lead_time_days").cast("double").alias("_lead"))
+    f = f.join(bounded_broadcast(w), "store_id", "left").join(snap, KEYS, "left")
+    lead = F.coalesce(F.col("_lead"), med)
+    return f.withColumns({
+        "sample_weight": F.coalesce("sample_weight", F.lit(10.0)),
+        "lead_time_days": lead,
+        "lead_time_demand": S.clip_lower("sales_roll_mean_7", 0) * lead,
+    }).drop("_lead")

@@ -15,12 +15,19 @@ DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Add the columns of a one-row frame (a global aggregate) to every row.
 
-    Each column becomes an uncorrelated scalar subquery (``DataFrame.scalar``):
-    Spark runs the aggregate once (subqueries over the same plan are merged)
-    and uses the value as a constant in the main plan, so no join of any kind
-    is planned and the main plan stays in whole-stage codegen.
+    The row becomes one uncorrelated scalar subquery (``DataFrame.scalar``)
+    holding a struct of all its columns: Spark runs the aggregate once and
+    uses the value as a constant in the main plan, so no join of any kind is
+    planned and the main plan stays in whole-stage codegen.  The subquery
+    appears once in the plan (fields are read from one column), which keeps
+    nested uses from multiplying plan size.
     """
-    return df.withColumns({c: one_row.select(c).scalar() for c in one_row.columns})
+    cols = one_row.columns
+    att = "__attached"
+    s = one_row.select(F.struct(*[F.col(c) for c in cols]).alias(att)).scalar()
+    return (df.withColumn(att, s)
+              .withColumns({c: F.col(att)[c] for c in cols})
+              .drop(att))
 
 
 def bounded_broadcast(small: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:

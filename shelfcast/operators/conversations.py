@@ -29,9 +29,15 @@ def conversation_titles(turns: DataFrame, length: int = 50) -> DataFrame:
 
 
 def latest_active(convos: DataFrame) -> DataFrame:
-    """Exactly one active conversation per user — the newest (largest id)."""
-    w = Window.partitionBy("user_id")
-    return convos.withColumn("active", F.col("convo_id") == F.max("convo_id").over(w))
+    """Exactly one active conversation per user — the newest (largest id).
+
+    The newest id per user is a partial aggregate (a user with a third of all
+    conversations is reduced map side) joined back on the user id (AQE splits
+    a skewed join partition).
+    """
+    newest = convos.groupBy("user_id").agg(F.max("convo_id").alias("_newest"))
+    return (convos.join(newest, "user_id", "inner")
+                  .withColumn("active", F.col("convo_id") == F.col("_newest")).drop("_newest"))
 
 
 def activate(convos: DataFrame, choices: DataFrame) -> DataFrame:

@@ -198,7 +198,8 @@ def _gbt_inputs(spark, sf_dir):
     train = sp.filter(F.col("split") == "train")
     _mapping, _train, sp_enc = SP.encode_series(train, sp)
     stats = SP.scaler_stats(sp_enc.filter(F.col("split") == "train"))
-    return SP.apply_scaler(sp_enc, stats)
+    # the model inputs are read by several fits: materialise them once
+    return cut_lineage(SP.apply_scaler(sp_enc, stats))
 
 
 @register("gbt_forecast")
@@ -232,3 +233,14 @@ def q_gbt_permutation_importance(spark, sf_dir):
     d = _gbt_inputs(spark, sf_dir)
     model = FC.fit_gbt(d.filter(F.col("split") == "train"), d.filter(F.col("split") == "val"), C.TRAIN_FEATURES)
     return FC.permutation_importance(model, d.filter(F.col("split") == "test"), C.TRAIN_FEATURES)
+
+
+@register("walk_forward_eval")
+def q_walk_forward_eval(spark, sf_dir):
+    """M07 + A15: per-fold tree-model metrics on the train split's walk-forward folds."""
+    d = _gbt_inputs(spark, sf_dir)
+    per_fold = FC.walk_forward_eval(d.filter(F.col("split") == "train"), C.TRAIN_FEATURES)
+    return per_fold.unionByName(SP.fold_average(per_fold, ["mae", "rmse", "r2"]).select(
+        F.lit(-1).alias("fold_number"), F.col("avg_mae").alias("mae"), F.col("avg_rmse").alias("rmse"),
+        F.lit(None).cast("double").alias("mape"), F.col("avg_r2").alias("r2"), F.col("n_folds").alias("n")),
+        allowMissingColumns=True)

@@ -64,13 +64,24 @@ def slice_performance(df: DataFrame, slice_cols: Sequence[str] = C.BIAS_SLICE_CO
 
 
 def mitigation_plan(perf: DataFrame, min_samples: int = C.MIN_SLICE_SAMPLES) -> DataFrame:
-    """Per slice column: low-sample and high-bias slices, weights, priority, messages.
-
-    Inverse weights divide by (slices + 1), as the source counts its overall
-    entry among the slices (D11).  Messages are built with ``format_string``
-    and collected per column in slice order.
+    """The mitigation plan in long form, one row per (slice column, slice value).
+
+    Each row carries the inverse weight, the low-sample / high-bias flags and
+    its recommendation sentences (at most two); the column-level counts and
+    priority come from one aggregate per slice column joined back.  The plan
+    is not folded into one map per column: a slice column such as the product
+    id has as many values as there are products, and that group must not be
+    gathered in one task.  Inverse weights divide by (slices + 1), as the
+    source counts its overall entry among the slices (D11).
     """
-    per_col = perf.groupBy("slice_col").agg(F.count(F.lit(1)).alias("n_slices"))
+    per_col = perf.groupBy("slice_col").agg(
+        F.count(F.lit(1)).alias("n_slices"),
+        F.count_if(F.col("sample_count") < min_samples).alias("low_sample_slices"),
+        F.count_if("bias_flag").alias("high_bias_slices"))
+    pr = (F.when((F.col("low_sample_slices") > 0) & (F.col("high_bias_slices") > 0), "high")
+           .when((F.col("low_sample_slices") > 0) | (F.col("high_bias_slices") > 0), "medium")
+           .otherwise("low"))
+    per_col = per_col.withColumn("priority", pr)
     p = perf.join(per_col, "slice_col", "inner")
     low = F.col("sample_count") < min_samples
     weight = F.lit(1.0) / F.greatest(F.col("sample_count") / (F.col("n_slices") + 1), F.lit(0.01))
@@ -82,19 +93,10 @@ def mitigation_plan(perf: DataFrame, min_samples: int = C.MIN_SLICE_SAMPLES) ->
     msg_bias = F.when(F.col("bias_flag"), F.format_string(
         "High bias detected for %s (MAE ratio: %s). Consider feature engineering.",
         F.col("slice_val"), ratio_txt))
-    p = p.select("slice_col", "slice_val", "sample_count", "bias_flag", low.alias("low_sample"),
-                 weight.alias("weight"),
-                 F.filter(F.array(msg_low, msg_bias), lambda m: m.isNotNull()).alias("msgs"))
-    plan = p.groupBy("slice_col").agg(
-        F.count_if("low_sample").alias("low_sample_slices"),
-        F.count_if("bias_flag").alias("high_bias_slices"),
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("slice_val", "weight")))).alias("sample_weights"),
-        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("slice_val", "msgs"))),
-                              lambda e: e["msgs"])).alias("recommendations"))
-    pr = (F.when((F.col("low_sample_slices") > 0) & (F.col("high_bias_slices") > 0), "high")
-           .when((F.col("low_sample_slices") > 0) | (F.col("high_bias_slices") > 0), "medium")
-           .otherwise("low"))
-    return plan.withColumn("priority", pr)
+    return p.select("slice_col", "slice_val", "sample_count", low.alias("low_sample"),
+                    F.col("bias_flag").alias("high_bias"), weight.alias("weight"),
+                    F.filter(F.array(msg_low, msg_bias), lambda m: m.isNotNull()).alias("recommendations"),
+                    "low_sample_slices", "high_bias_slices", "priority")
 
 
 def bias_summary(perf: DataFrame, min_samples: int = C.MIN_SLICE_SAMPLES) -> DataFrame:

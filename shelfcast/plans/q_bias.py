@@ -54,7 +54,7 @@ def q_bias_summary(spark, sf_dir):
 
 @register("mitigation_plan")
 def q_mitigation_plan(spark, sf_dir):
-    """B02 full plan (nested weights map and message list)."""
+    """B02 full plan, one row per slice value (weights, flags, sentences, priority)."""
     return B.mitigation_plan(perf_df(spark, sf_dir))
 
 
@@ -66,12 +66,12 @@ def q_mitigation_plan(spark, sf_dir):
 FROM perf GROUP BY slice_col"""))
 def q_mitigation_priority(spark, sf_dir):
     p = B.mitigation_plan(perf_df(spark, sf_dir))
-    return p.select("slice_col", "low_sample_slices", "high_bias_slices", "priority",
-                    F.size("sample_weights").cast("long").alias("n_weights"))
+    return p.groupBy("slice_col", "low_sample_slices", "high_bias_slices", "priority").agg(
+        F.count(F.lit(1)).alias("n_weights"))
 
 
 @register("mitigation_weights", psql("""SELECT slice_col, slice_val,
   1e0 / GREATEST(sample_count / (COUNT(*) OVER (PARTITION BY slice_col) + 1), 0.01) AS weight FROM perf"""))
 def q_mitigation_weights(spark, sf_dir):
     p = B.mitigation_plan(perf_df(spark, sf_dir))
-    return p.select("slice_col", F.explode("sample_weights").alias("slice_val", "weight"))
+    return p.select("slice_col", "slice_val", "weight")

@@ -25,6 +25,7 @@ from shelfcast import config as C
 from shelfcast.functions import scalar as S
 from shelfcast.functions.ewm import ewm_adjust_false
 from shelfcast.functions.joins import attach_row, bounded_broadcast
+from shelfcast.session import cut_lineage
 
 KEYS = ["store_id", "product_id"]
 
@@ -115,7 +116,7 @@ def store_weights(df: DataFrame, store_col: str = "store_id") -> DataFrame:
 
 
 def series_store_weights(df: DataFrame, store_col: str = "store_id",
-                         weights: DataFrame | None = None) -> DataFrame:
+                         weights: DataFrame | None = None, counts_col: str | None = None) -> DataFrame:
     """One row per series with its store's inverse-frequency weight.
 
     ``df`` is hash-partitioned by the series keys (the snapshot join), so the
@@ -125,7 +126,10 @@ def series_store_weights(df: DataFrame, store_col: str = "store_id",
     shares (incremental runs).
     """
     keys = [store_col, "product_id"] if "product_id" in df.columns else [store_col]
-    per_series = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    if counts_col is None:
+        per_series = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    else:
+        per_series = df.select(*keys, F.col(counts_col).alias("__n"))
     if weights is None:
         per_store = (per_series.filter(F.col(store_col).isNotNull()).groupBy(store_col)
                                .agg(F.sum("__n").alias("__n")))
@@ -245,10 +249,19 @@ def features_v2(retail: DataFrame, snapshot: DataFrame, horizon: int = 1,
     if dedup:
         df = dedup_keep_first(df, method=dedup_method)
     df = clip_negatives(df)
-    df = join_lead_times(df, snapshot, lead_median=lead_median)
-    # weights from the joined rows (same rows as after the windows), before
-    # the windows: the branch re-reads the join's shuffle, not the windows
-    sw = series_store_weights(df, weights=weights)
+    df = join_lead_times(df, snapshot, fill="none")
+    # Both table-wide statistics come from one small frame — rows per
+    # (series, lead time) — materialised once (bounded by the number of
+    # series): the row-weighted median lead time is a frequency-weighted
+    # percentile of it, the store shares are sums over it.
+    stats = cut_lineage(df.groupBy(*KEYS, "lead_time_days").agg(F.count(F.lit(1)).alias("__n")))
+    if lead_median is None:
+        lead_median = stats.agg(F.percentile(F.col("lead_time_days"), F.lit(0.5), F.col("__n"))
+                                .alias("lead_median"))
+    df = (attach_row(df, lead_median.select(F.col("lead_median").alias("__lead_median")))
+          .withColumn("lead_time_days", F.coalesce("lead_time_days", "__lead_median")).drop("__lead_median"))
+    per_series = stats.groupBy(*KEYS).agg(F.sum("__n").alias("__n"))
+    sw = series_store_weights(per_series, weights=weights, counts_col="__n")
     df = df.withColumn("series_id", F.concat_ws("_", F.col("store_id").cast("string"),
                                                   F.col("product_id").cast("string")))
     df = with_series_features(df, horizon, ewm_value=ewm_value)

@@ -159,14 +159,16 @@ def q_conversation_list(spark, sf_dir):
 
 @register("conversation_activate", csql(f"""SELECT c.user_id, c.convo_id,
   CASE WHEN ch.user_id IS NOT NULL THEN COALESCE(c.convo_id = ch.chosen, false) ELSE c.active END AS active
-FROM ({CONVS}) c LEFT JOIN (SELECT user_id, MIN(convo_id) AS chosen FROM conv_turns WHERE user_id % 2 = 0
-  GROUP BY user_id) ch ON c.user_id = ch.user_id"""))
+FROM ({CONVS}) c LEFT JOIN (SELECT user_id, arg_min(convo_id, (-n, convo_id)) AS chosen
+  FROM (SELECT user_id, convo_id, COUNT(*) AS n FROM conv_turns GROUP BY 1, 2) t GROUP BY user_id) ch
+  ON c.user_id = ch.user_id"""))
 def q_conversation_activate(spark, sf_dir):
-    """Even users switch to their oldest conversation; the others keep theirs."""
+    """Every user switches to their longest conversation (ties: smallest id)."""
     turns = TB.turns(spark, sf_dir)
     convs = CV.conversations(turns)
-    choices = turns.filter(F.col("user_id") % 2 == 0).groupBy("user_id").agg(F.min("convo_id").alias("convo_id"))
-    return CV.activate(convs, choices).select("user_id", "convo_id", "active")
+    longest = convs.groupBy("user_id").agg(
+        F.min_by("convo_id", F.struct((-F.col("n_messages")).alias("k"), F.col("convo_id"))).alias("convo_id"))
+    return CV.activate(convs, longest).select("user_id", "convo_id", "active")
 
 
 @register("conversation_replay", csql("""SELECT user_id, convo_id,

@@ -74,3 +74,28 @@ def test_feature_matrix_codes_strings(spark):
     df = spark.createDataFrame([("b", 1.0), ("a", 2.0), ("c", 3.0), ("a", 4.0)], "cat string, x double")
     m = {r["x"]: r["cat"] for r in FC.feature_matrix(df, ["cat", "x", "missing"]).collect()}
     assert m == {1.0: 1, 2.0: 0, 3.0: 2, 4.0: 0}
+
+
+def test_reports_gate_schema_and_contacts(spark):
+    import pytest
+    from shelfcast.operators import orders as OR
+    from shelfcast.operators import quality as Q
+    base = tempfile.mkdtemp()
+    df = spark.createDataFrame([("a", 1.0), ("b", None)], "k string, x double")
+    assert Q.schema_dump(df) == [("k", "string"), ("x", "double")]
+    m = Q.missingness(df)
+    WR.write_report(m, os.path.join(base, "miss"), "json")
+    WR.write_report(m, os.path.join(base, "miss_csv"), "csv")
+    assert spark.read.json(os.path.join(base, "miss")).count() == 2
+    summary = spark.createDataFrame([(2, 1, 1, 0, True)], "total_anomaly_types int, missingness_anomalies int, "
+                                    "outlier_anomalies int, date_gap_anomalies int, has_critical_anomalies boolean")
+    assert Q.anomaly_gate(summary, max_anomalies=5)["total_anomaly_types"] == 2
+    with pytest.raises(RuntimeError):
+        Q.anomaly_gate(summary, max_anomalies=0)
+    sub = spark.createDataFrame([("n", "e@x", "s", "m", "u1")], "name string, email string, subject string, "
+                                "message string, user_id string")
+    p = os.path.join(base, "contacts")
+    OR.record_contacts(sub, p)
+    OR.record_contacts(sub, p)
+    got = spark.read.parquet(p)
+    assert got.count() == 2 and "created_at" in got.columns

@@ -173,7 +173,8 @@ def q_conversation_activate(spark, sf_dir):
 
 @register("conversation_replay", csql("""SELECT user_id, convo_id,
   CAST(row_number() OVER (PARTITION BY user_id, convo_id ORDER BY turn) - 1 AS INTEGER) AS pos, role, text
-FROM conv_turns WHERE role IN ('user', 'assistant') AND length(COALESCE(text, '')) > 0"""))
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id, convo_id ORDER BY turn DESC) AS rk FROM conv_turns) s
+WHERE rk <= 100 AND role IN ('user', 'assistant') AND length(COALESCE(text, '')) > 0"""))
 def q_conversation_replay(spark, sf_dir):
     """The replay arrays, one row per message with its position."""
     r = CV.replay_history(TB.turns(spark, sf_dir))

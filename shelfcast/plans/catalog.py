@@ -17,12 +17,32 @@ _ORACLES: dict[str, str] = {}
 _LOADED = False
 
 
+def _bigint_counts(sql: str) -> str:
+    """DuckDB's ``count_if`` returns HUGEINT; Spark's returns BIGINT: cast each call."""
+    out, i, key = [], 0, "count_if("
+    low = sql.lower()
+    while True:
+        j = low.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 0, j + len(key) - 1
+        while k < len(sql):
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            if depth == 0:
+                break
+            k += 1
+        inner = _bigint_counts(sql[j + len(key):k])
+        out.append(sql[i:j] + f"CAST(count_if({inner}) AS BIGINT)")
+        i = k + 1
+
+
 def register(name: str, sql: str | None = None):
     """Decorator: add a query (and its DuckDB oracle, if SQL can express it)."""
     def deco(fn: QueryFn) -> QueryFn:
         _QUERIES[name] = fn
         if sql is not None:
-            _ORACLES[name] = sql
+            _ORACLES[name] = _bigint_counts(sql)
         return fn
     return deco
 

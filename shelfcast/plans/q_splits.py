@@ -61,7 +61,7 @@ def q_split_checks(spark, sf_dir):
     return SP.split_checks(split_df(spark, sf_dir))
 
 
-FOLDS = """SELECT fold_number, min_date AS train_start, train_end, val_start,
+FOLDS = """SELECT CAST(fold_number AS INTEGER) AS fold_number, min_date AS train_start, train_end, val_start,
   LEAST(val_start + INTERVAL 60 DAY, max_date)::DATE AS val_end
 FROM (SELECT i AS fold_number, min_date, max_date, (min_date + CAST(step * i AS INTEGER))::DATE AS train_end,
              (min_date + CAST(step * i + 14 AS INTEGER))::DATE AS val_start

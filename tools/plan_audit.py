@@ -4,9 +4,10 @@
 
 Prints, per query, the counts of plan nodes worth watching at scale: Python
 evaluation (row UDFs, Arrow UDFs, grouped pandas), Cartesian products and
-nested-loop joins, sort-merge joins, windows and per-group limits.  Exits
-non-zero if a query outside the model family evaluates Python or any query
-plans a Cartesian product or nested-loop join.
+nested-loop joins, unkeyed (single-partition) windows, sort-merge joins,
+windows and per-group limits.  Exits non-zero if a query outside the model
+family evaluates Python or any query plans a Cartesian product, a
+nested-loop join or an unkeyed window.
 """
 
 from __future__ import annotations
@@ -29,6 +30,26 @@ PYTHON_OK = {"seasonal_forecast", "seasonal_metrics", "seasonal_tuning"}
 SKIP = {"gbt_forecast", "gbt_importance", "gbt_permutation_importance", "intent_routing"}  # fit at call time
 
 
+def unkeyed_windows(plan: str) -> int:
+    """Windows fed by a single-partition exchange (walk up the explain tree)."""
+    lines = plan.splitlines()
+    found = 0
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" not in line:
+            continue
+        depth = len(line) - len(line.lstrip(" :+-"))
+        for j in range(i - 1, max(-1, i - 12), -1):
+            d = len(lines[j]) - len(lines[j].lstrip(" :+-"))
+            if d < depth:
+                depth = d
+                if "Window [" in lines[j]:
+                    found += 1
+                    break
+                if "Sort [" not in lines[j] and "Project [" not in lines[j]:
+                    break
+    return found
+
+
 def main() -> int:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.001")
@@ -43,9 +64,13 @@ def main() -> int:
             fn(spark, a.sf).explain("simple")
         txt = buf.getvalue()
         hits = {w.strip(): txt.count(w) for w in WATCH if w in txt}
+        unkeyed = unkeyed_windows(txt)
+        if unkeyed:
+            hits["UnkeyedWindow"] = unkeyed
         print(f"{name:30s} {hits}")
         py = any(k in hits for k in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas"))
-        if (py and name not in PYTHON_OK) or "CartesianProduct" in hits or "BroadcastNestedLoopJoin" in hits:
+        if (py and name not in PYTHON_OK) or "CartesianProduct" in hits or "BroadcastNestedLoopJoin" in hits \
+                or "UnkeyedWindow" in hits:
             bad.append(name)
     print("flagged:", bad)
     return 1 if bad else 0

@@ -98,23 +98,10 @@ def q_series_encoding(spark, sf_dir):
     return enc.select("series_id", F.col("series_enc").cast("int").alias("series_enc"))
 
 
-def _scaled_sql() -> str:
-    cols = C.SCALED_COLUMNS
-    st = ", ".join(f"avg(CAST({c} AS DOUBLE)) AS mu_{c}, "
-                   f"CASE WHEN stddev_pop(CAST({c} AS DOUBLE)) = 0 THEN 1e0 ELSE stddev_pop(CAST({c} AS DOUBLE)) END"
-                   f" AS sd_{c}" for c in cols)
-    sel = ", ".join(f"(CAST({c} AS DOUBLE) - mu_{c}) / sd_{c} AS {c}" for c in cols)
-    return ssql(f"SELECT as_of_date, store_id, product_id, split, {sel} FROM sp, sc",
-                [("sc", f"SELECT {st} FROM sp WHERE split = 'train'")])
-
-
 # No oracle: the scaled values compare at 6 decimals and one feature value lands
 # on a rounding boundary that the two engines' summation orders decide
 # differently; the statistics have their own oracle (scaler_stats) and the
 # transform is unit-tested against pandas.
-SCALED_SQL_UNUSED = _scaled_sql()
-
-
 @register("scaled_features")
 def q_scaled_features(spark, sf_dir):
     sp = split_table(spark, sf_dir)

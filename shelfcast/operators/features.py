@@ -236,7 +236,8 @@ def features_v2(retail: DataFrame, snapshot: DataFrame, horizon: int = 1,
                 discount_unit: str = "percent", dedup: bool = True,
                 include_created_at: bool = True, weights: DataFrame | None = None,
                 lead_median: DataFrame | None = None, dedup_method: str = "aggregate",
-                ewm_value: str | None = None, keep: Sequence[str] = (), **code_maps) -> DataFrame:
+                ewm_value: str | None = None, keep: Sequence[str] = (), materialize: bool = True,
+                **code_maps) -> DataFrame:
     """The v2 feature table: 36 columns (35 without ``created_at``).
 
     ``weights`` (store, sample_weight) and ``lead_median`` (one row) override
@@ -250,11 +251,15 @@ def features_v2(retail: DataFrame, snapshot: DataFrame, horizon: int = 1,
         df = dedup_keep_first(df, method=dedup_method)
     df = clip_negatives(df)
     df = join_lead_times(df, snapshot, fill="none")
-    # Both table-wide statistics come from one small frame — rows per
-    # (series, lead time) — materialised once (bounded by the number of
-    # series): the row-weighted median lead time is a frequency-weighted
-    # percentile of it, the store shares are sums over it.
-    stats = cut_lineage(df.groupBy(*KEYS, "lead_time_days").agg(F.count(F.lit(1)).alias("__n")))
+    # The joined daily table is materialised once (reliable checkpoint in the
+    # shared folder): the table-wide statistics and the windows all read it,
+    # so the line-level aggregation behind it runs once, and a lost executor
+    # never re-runs it.  Both statistics come from one small frame of rows
+    # per (series, lead time): the row-weighted median lead time is a
+    # frequency-weighted percentile of it, the store shares are sums over it.
+    if materialize:
+        df = cut_lineage(df)
+    stats = df.groupBy(*KEYS, "lead_time_days").agg(F.count(F.lit(1)).alias("__n"))
     if lead_median is None:
         lead_median = stats.agg(F.percentile(F.col("lead_time_days"), F.lit(0.5), F.col("__n"))
                                 .alias("lead_median"))

@@ -51,37 +51,70 @@ def reorder_suggestions(snapshot: DataFrame, vendors: DataFrame, threshold: int
 
 
 def _normalise_lines(lines: DataFrame) -> DataFrame:
-    """Upper-case ids and sum repeated (order, product) lines."""
+    """Upper-case ids and sum repeated (order, product) lines.
+
+    The lines are hash-partitioned by order id first, so the per-(order,
+    product) sum, the order-level window and the per-order totals below all
+    run on that one partitioning (order groups are small; a hot store or
+    product does not matter).
+    """
     return (lines.select("order_id", F.upper("store_id").alias("store_id"),
                          F.upper("product_id").alias("product_id"), "quantity")
+                 .repartition("order_id")
                  .groupBy("order_id", "store_id", "product_id")
                  .agg(F.sum("quantity").alias("quantity")))
 
 
-def order_rejects(lines: DataFrame, snapshot: DataFrame) -> DataFrame:
+def evaluate_orders(lines: DataFrame, snapshot: DataFrame, vendors: DataFrame) -> DataFrame:
+    """One pass over the order lines: each (order, product) line with its category
+    (null when the store does not stock the product), the order's accept flag
+    (every line stocked) and its price (first vendor of the category; price 0,
+    name Unknown without one).  Rejects, pricing and totals all read this."""
+    ln = _normalise_lines(lines)
+    prod = snapshot.select(F.upper("store_id").alias("store_id"), F.upper("product_id").alias("product_id"),
+                           "category")
+    j = ln.join(prod, ["store_id", "product_id"], "left")
+    unknown = F.max(F.col("category").isNull().cast("int")).over(Window.partitionBy("order_id"))
+    j = j.withColumn("accepted", unknown == 0)
+    v = bounded_broadcast(first_vendor_per_category(vendors).select(
+        "category", F.col("price_per_unit").alias("unit_price"), F.col("name").alias("vendor_name")))
+    p = j.join(v, "category", "left")
+    return p.select("order_id", "store_id", "product_id", "category", "quantity", "accepted",
+                    F.when(F.col("category").isNotNull(), F.coalesce("unit_price", F.lit(0.0))).alias("unit_price"),
+                    F.when(F.col("category").isNotNull(), F.coalesce("vendor_name", F.lit("Unknown")))
+                     .alias("vendor_name"))
+
+
+def rejects_of(evaluated: DataFrame) -> DataFrame:
+    """J04 rejects from evaluated lines: orders with unknown products."""
+    bad = evaluated.filter(F.col("category").isNull())
+    return bad.groupBy("order_id", "store_id").agg(
+        F.count(F.lit(1)).alias("unknown_products"),
+        F.min("product_id").alias("first_unknown_product"),
+        F.sum("quantity").alias("unknown_units"))
+
+
+def priced_of(evaluated: DataFrame) -> DataFrame:
+    """J04 + F26 priced lines of the accepted orders."""
+    ok = evaluated.filter("accepted")
+    return ok.select("order_id", "store_id", "product_id", "category", "quantity", "unit_price", "vendor_name",
+                     (F.col("quantity") * F.col("unit_price")).alias("subtotal"))
+
+
+def order_rejects(lines: DataFrame, snapshot: DataFrame, vendors: DataFrame | None = None) -> DataFrame:
     """J04 rejects: orders with at least one product not stocked at the order's store."""
     ln = _normalise_lines(lines)
     stocked = snapshot.select(F.upper("store_id").alias("store_id"), F.upper("product_id").alias("product_id"))
     bad = ln.join(stocked, ["store_id", "product_id"], "left_anti")
     return bad.groupBy("order_id", "store_id").agg(
         F.count(F.lit(1)).alias("unknown_products"),
-        F.min("product_id").alias("first_unknown_product"))
+        F.min("product_id").alias("first_unknown_product"),
+        F.sum("quantity").alias("unknown_units"))
 
 
 def order_pricing(lines: DataFrame, snapshot: DataFrame, vendors: DataFrame) -> DataFrame:
     """J04 + F26: priced lines of accepted orders (unknown vendor: price 0, name Unknown)."""
-    ln = _normalise_lines(lines)
-    rejected = order_rejects(lines, snapshot).select("order_id")
-    ok = ln.join(rejected, "order_id", "left_anti")
-    prod = snapshot.select(F.upper("store_id").alias("store_id"), F.upper("product_id").alias("product_id"),
-                           "category")
-    v = bounded_broadcast(first_vendor_per_category(vendors).select(
-        "category", F.col("price_per_unit").alias("unit_price"), F.col("name").alias("vendor_name")))
-    p = ok.join(prod, ["store_id", "product_id"], "inner").join(v, "category", "left")
-    return p.select("order_id", "store_id", "product_id", "category", "quantity",
-                    F.coalesce("unit_price", F.lit(0.0)).alias("unit_price"),
-                    F.coalesce("vendor_name", F.lit("Unknown")).alias("vendor_name"),
-                    (F.col("quantity") * F.coalesce("unit_price", F.lit(0.0))).alias("subtotal"))
+    return priced_of(evaluate_orders(lines, snapshot, vendors))
 
 
 def order_totals(headers: DataFrame, priced: DataFrame, rejected: DataFrame) -> DataFrame:
@@ -99,9 +132,9 @@ def order_totals(headers: DataFrame, priced: DataFrame, rejected: DataFrame) ->
 
 def place_orders(headers: DataFrame, lines: DataFrame, snapshot: DataFrame, vendors: DataFrame) -> DataFrame:
     """Order documents (header + nested items, totals, status) for accepted orders."""
-    priced = order_pricing(lines, snapshot, vendors)
-    rejected = order_rejects(lines, snapshot)
-    totals = order_totals(headers, priced, rejected)
+    ev = evaluate_orders(lines, snapshot, vendors)
+    priced = priced_of(ev)
+    totals = order_totals(headers, priced, rejects_of(ev))
     items = priced.groupBy("order_id").agg(F.array_sort(F.collect_list(F.struct(
         "product_id", "category", "quantity", "unit_price", "vendor_name"))).alias("items"))
     empty = F.array().cast("array<struct<product_id:string,category:string,quantity:bigint,"

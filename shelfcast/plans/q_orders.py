@@ -23,7 +23,8 @@ FIRSTV = """SELECT category, arg_min(name, vendor_id) AS vendor, arg_min(min_ord
 LN = """SELECT order_id, upper(h.store_id) AS store_id, upper(product_id) AS product_id,
   CAST(SUM(quantity) AS BIGINT) AS quantity
 FROM order_lines l JOIN order_headers h USING (order_id) GROUP BY 1, 2, 3"""
-REJ = """SELECT order_id, store_id, COUNT(*) AS unknown_products, MIN(product_id) AS first_unknown_product
+REJ = """SELECT order_id, store_id, COUNT(*) AS unknown_products, MIN(product_id) AS first_unknown_product,
+  CAST(SUM(quantity) AS BIGINT) AS unknown_units
 FROM ln WHERE NOT EXISTS (SELECT 1 FROM inventory_snapshot s WHERE s.store_id = ln.store_id
                           AND s.product_id = ln.product_id) GROUP BY 1, 2"""
 PRICED = """SELECT ln.order_id, ln.store_id, ln.product_id, s.category, ln.quantity,
@@ -69,7 +70,8 @@ def q_reorder_suggestions(spark, sf_dir):
 
 @register("order_rejects", osql("SELECT * FROM rej", "rej"))
 def q_order_rejects(spark, sf_dir):
-    return OR.order_rejects(line_items(spark, sf_dir), TB.snapshot(spark, sf_dir))
+    return OR.rejects_of(OR.evaluate_orders(line_items(spark, sf_dir), TB.snapshot(spark, sf_dir),
+                                            TB.vendors(spark, sf_dir)))
 
 
 @register("order_pricing", osql("SELECT * FROM priced", "priced"))
@@ -78,9 +80,8 @@ def q_order_pricing(spark, sf_dir):
 
 
 def _totals_df(spark, sf_dir):
-    li, snap, ven = line_items(spark, sf_dir), TB.snapshot(spark, sf_dir), TB.vendors(spark, sf_dir)
-    return OR.order_totals(TB.order_headers(spark, sf_dir), OR.order_pricing(li, snap, ven),
-                           OR.order_rejects(li, snap))
+    ev = OR.evaluate_orders(line_items(spark, sf_dir), TB.snapshot(spark, sf_dir), TB.vendors(spark, sf_dir))
+    return OR.order_totals(TB.order_headers(spark, sf_dir), OR.priced_of(ev), OR.rejects_of(ev))
 
 
 @register("order_totals", osql("SELECT * FROM totals"))

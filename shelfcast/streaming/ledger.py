@@ -46,9 +46,9 @@ def _apply_batch(vendors: DataFrame, ledger: str):
         snap = current_snapshot(spark, ledger, before=batch_id)
         lines = batch.select("order_id", "store_id", F.explode("items").alias("i")).select(
             "order_id", "store_id", "i.product_id", "i.quantity")
-        priced = OR.order_pricing(lines, snap, vendors)
-        new = OR.apply_receipts(snap, priced)
-        OR.order_rejects(lines, snap).write.mode("overwrite").parquet(f"{ledger}_rejects/batch={batch_id}")
+        ev = OR.evaluate_orders(lines, snap, vendors)
+        new = OR.apply_receipts(snap, OR.priced_of(ev))
+        OR.rejects_of(ev).write.mode("overwrite").parquet(f"{ledger}_rejects/batch={batch_id}")
         new.withColumn("v", F.lit(batch_id).cast("long")).write.mode("overwrite") \
            .option("partitionOverwriteMode", "dynamic").partitionBy("v").parquet(ledger)
     return run

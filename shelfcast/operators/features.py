@@ -296,11 +296,12 @@ def features_v1(retail: DataFrame, horizon: int = 1, dedup: bool = True,
     """The older feature set (lags 1/7/14, raw columns, warm-up on lag-14)."""
     require_columns(retail, V1_REQUIRED, "retail data")
     df = dedup_keep_first(retail, method="aggregate") if dedup else retail
-    df = clip_negatives(df)
+    df = cut_lineage(clip_negatives(df))          # one pass over the source, see features_v2
+    sw = series_store_weights(df)
     df = with_series_features(df, horizon, lags=(1, 7, 14), std=None, forecast_lag=False)
     df = df.withColumns({"dow": S.weekday_monday0("date"), "month": F.month("date"),
                          "series_id": F.concat_ws("_", "store_id", "product_id")})
-    df = with_sample_weight(df)
+    df = with_sample_weight(df, series_weights=sw)
     return _finish(df, horizon, C.PIPELINE_VERSION_V1, "sales_lag_14", V1_FINAL, include_created_at)
 
 

@@ -117,13 +117,24 @@ def order_pricing(lines: DataFrame, snapshot: DataFrame, vendors: DataFrame) ->
     return priced_of(evaluate_orders(lines, snapshot, vendors))
 
 
-def order_totals(headers: DataFrame, priced: DataFrame, rejected: DataFrame) -> DataFrame:
-    """Per accepted order total units and cost (round half-even to 2); no lines -> 0."""
-    t = priced.groupBy("order_id").agg(F.sum("quantity").alias("total_units"),
-                                       F.sum("subtotal").alias("_cost"),
-                                       F.count(F.lit(1)).alias("n_items"))
-    h = headers.join(rejected.select("order_id"), "order_id", "left_anti")
-    j = h.join(t, "order_id", "left")
+def order_summary(evaluated: DataFrame, with_items: bool = False) -> DataFrame:
+    """Per order, in one aggregation over the evaluated lines: accepted (every line
+    stocked), total units and cost of the lines, number of lines and (for
+    X02) the item structs.  One branch over the lines: no second scan."""
+    sub = F.col("quantity") * F.col("unit_price")
+    aggs = [F.bool_and("accepted").alias("accepted"), F.sum("quantity").alias("total_units"),
+            F.sum(sub).alias("_cost"), F.count(F.lit(1)).alias("n_items")]
+    if with_items:
+        aggs.append(F.array_sort(F.collect_list(F.struct(
+            "product_id", "category", "quantity", "unit_price", "vendor_name"))).alias("items"))
+    return evaluated.groupBy("order_id").agg(*aggs)
+
+
+def order_totals(headers: DataFrame, evaluated: DataFrame) -> DataFrame:
+    """Per accepted order total units and cost (round half-even to 2); an order
+    without lines totals 0; rejected orders are left out."""
+    sm = order_summary(evaluated)
+    j = headers.join(sm, "order_id", "left").filter(F.coalesce("accepted", F.lit(True)))
     return j.select("order_id", F.upper("store_id").alias("store_id"),
                     F.coalesce("total_units", F.lit(0).cast("long")).alias("total_units"),
                     F.coalesce(S.round_half_even("_cost", 2), F.lit(0.0)).alias("total_cost"),
@@ -132,17 +143,14 @@ def order_totals(headers: DataFrame, priced: DataFrame, rejected: DataFrame) ->
 
 def place_orders(headers: DataFrame, lines: DataFrame, snapshot: DataFrame, vendors: DataFrame) -> DataFrame:
     """Order documents (header + nested items, totals, status) for accepted orders."""
-    ev = evaluate_orders(lines, snapshot, vendors)
-    priced = priced_of(ev)
-    totals = order_totals(headers, priced, rejects_of(ev))
-    items = priced.groupBy("order_id").agg(F.array_sort(F.collect_list(F.struct(
-        "product_id", "category", "quantity", "unit_price", "vendor_name"))).alias("items"))
+    sm = order_summary(evaluate_orders(lines, snapshot, vendors), with_items=True)
     empty = F.array().cast("array<struct<product_id:string,category:string,quantity:bigint,"
                            "unit_price:double,vendor_name:string>>")
-    h = headers.select("order_id", "created_at")
-    return (totals.join(items, "order_id", "left").join(h, "order_id", "inner")
-                  .select("order_id", "store_id", F.coalesce("items", empty).alias("items"),
-                          "total_units", "total_cost", F.lit("completed").alias("status"), "created_at"))
+    j = headers.join(sm, "order_id", "left").filter(F.coalesce("accepted", F.lit(True)))
+    return j.select("order_id", F.upper("store_id").alias("store_id"), F.coalesce("items", empty).alias("items"),
+                    F.coalesce("total_units", F.lit(0).cast("long")).alias("total_units"),
+                    F.coalesce(S.round_half_even("_cost", 2), F.lit(0.0)).alias("total_cost"),
+                    F.lit("completed").alias("status"), "created_at")
 
 
 def apply_receipts(snapshot: DataFrame, priced: DataFrame) -> DataFrame:

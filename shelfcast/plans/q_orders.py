@@ -81,7 +81,7 @@ def q_order_pricing(spark, sf_dir):
 
 def _totals_df(spark, sf_dir):
     ev = OR.evaluate_orders(line_items(spark, sf_dir), TB.snapshot(spark, sf_dir), TB.vendors(spark, sf_dir))
-    return OR.order_totals(TB.order_headers(spark, sf_dir), OR.priced_of(ev), OR.rejects_of(ev))
+    return OR.order_totals(TB.order_headers(spark, sf_dir), ev)
 
 
 @register("order_totals", osql("SELECT * FROM totals"))

@@ -55,8 +55,12 @@ def _apply_batch(vendors: DataFrame, ledger: str):
 
 
 def start_ledger(spark: SparkSession, orders_dir: str, vendors: DataFrame, ledger: str, checkpoint: str,
-                 watermark: str = "7 days", available_now: bool = True) -> StreamingQuery:
-    stream = (spark.readStream.schema(ORDER_DOC_SCHEMA).parquet(orders_dir)
+                 watermark: str = "7 days", available_now: bool = True,
+                 max_files_per_trigger: int | None = None) -> StreamingQuery:
+    r = spark.readStream.schema(ORDER_DOC_SCHEMA)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = (r.parquet(orders_dir)
                    .withWatermark("created_at", watermark)
                    .dropDuplicatesWithinWatermark(["order_id"]))
     w = stream.writeStream.foreachBatch(_apply_batch(vendors, ledger)).option("checkpointLocation", checkpoint)

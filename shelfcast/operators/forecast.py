@@ -292,7 +292,7 @@ GBT_SPACE = {"maxDepth": (3, 10), "stepSize": (0.01, 0.3), "subsamplingRate": (0
 
 
 def tune_gbt(train: DataFrame, features: Sequence[str], n_trials: int = 50, seed: int = 42,
-             n_folds: int = C.N_FOLDS) -> DataFrame:
+             n_folds: int = C.N_FOLDS, space: dict | None = None) -> DataFrame:
     """M08 (tree part, re-aimed): seeded random search scored by mean walk-forward MAE.
 
     The loop runs at most ``n_trials`` x ``n_folds`` distributed fits (the
@@ -301,7 +301,7 @@ def tune_gbt(train: DataFrame, features: Sequence[str], n_trials: int = 50, seed
     """
     spark = train.sparkSession
     rows = []
-    for c in random_candidates(n_trials, GBT_SPACE, seed, log_scale=("stepSize",)):
+    for c in random_candidates(n_trials, space or GBT_SPACE, seed, log_scale=("stepSize",)):
         params = {"maxDepth": int(c["maxDepth"]), "stepSize": c["stepSize"],
                   "subsamplingRate": c["subsamplingRate"], "minInstancesPerNode": int(c["minInstancesPerNode"]),
                   "minInfoGain": c["minInfoGain"], "maxIter": int(c["maxIter"])}

@@ -73,3 +73,20 @@ def test_router_fits_its_examples(spark):
     out = IN.route(model, texts).toPandas()
     acc = (out["intent"] == out["label"].map(lambda i: IN.LABELS[i])).mean()
     assert acc >= 0.9
+
+
+def test_tree_random_search_trials(spark):
+    rng = np.random.default_rng(2)
+    rows = []
+    for p in range(4):
+        for i in range(220):
+            sig = float(rng.normal())
+            rows.append(("S1", f"P{p}", dt.date(2021, 1, 1) + dt.timedelta(days=i), sig, float(rng.normal()),
+                         10 + 3 * sig + float(rng.normal(0, 0.2))))
+    df = spark.createDataFrame(rows, "store_id string, product_id string, as_of_date date, sig double, "
+                                     "noise double, y double")
+    space = {"maxDepth": (2, 4), "stepSize": (0.1, 0.3), "subsamplingRate": (0.8, 1.0),
+             "minInstancesPerNode": (1, 3), "minInfoGain": (0.0, 0.0), "maxIter": (5, 10)}
+    t = FC.tune_gbt(df, ["sig", "noise"], n_trials=2, n_folds=2, space=space).orderBy("trial").toPandas()
+    assert list(t["trial"]) == [0, 1] and (t["state"] == "COMPLETE").all()
+    assert set(t.loc[0, "params"]) == set(space) and (t["mae"] > 0).all()

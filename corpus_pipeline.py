@@ -11,8 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm.common import stage
+from shelfcast.llm.decontamination import decontaminate
 from shelfcast.llm.line_dedup import line_dedup
+from shelfcast.llm.packing import pack
 from shelfcast.llm.quality_rules import quality_rules
+from shelfcast.llm.queries import tokenizer_path
+from shelfcast.llm.simhash import simhash_dedup
 
 
 def _with_text(docs: DataFrame, result: DataFrame, text: str) -> DataFrame:
@@ -32,7 +36,24 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.where(F.regexp_like("text", F.lit(r"[^\x20\x09-\x0D]")))
 
 
-STAGES = [("quality rules", quality), ("line dedup", lines)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 10: one document of each SimHash component stays (3-word shingles, 2 bits)."""
+    return simhash_dedup(docs, shingle=3, radius=2).select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 5: documents that hold a window of a benchmark item go."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate(docs, benchmark).where(~F.col("contaminated")).select(*docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 6: pieces of at most 4096 tokens and their places in sequences."""
+    return pack(docs, tokenizer_path(), capacity=4096, end_id=1)
+
+
+STAGES = [("quality rules", quality), ("line dedup", lines), ("simhash near-dedup", near_duplicates),
+          ("benchmark decontamination", decontamination), ("best-fit packing", packing)]
 ORACLE_SQL = None  # SimHash fingerprints (XXH64) have no SQL form; tested against brute force
 
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +17,27 @@ from shelfcast.session import ensure_checkpoint_dir
 WS = r"[\x20\x09-\x0D]+"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable for the Python workers of all executors (once per application).
+
+    Spark itself carries the archive from the driver to the executors, so no
+    worker needs the repository on its path.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="shelfcast-code-")) / "shelfcast-code.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    _SHIPPED.add(sc.applicationId)
+
+
 def shared_path(spark: SparkSession, tag: str) -> str:
     """A fresh folder name under ``spark.checkpoint.dir`` (shared by all executors)."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/shelfcast-llm/{tag}-{uuid.uuid4().hex}"

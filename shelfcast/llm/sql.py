@@ -58,3 +58,30 @@ SELECT raw.doc_id,
   coalesce(spans, '[]') AS spans
 FROM raw LEFT JOIN gone USING (doc_id)
 """
+
+_WORDS = """[w FOR w IN string_split_regex(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') IF w <> '']"""
+
+DECONTAMINATION = f"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r, {_WORDS.format(text="coalesce(text, '')")} AS w FROM documents
+), b AS (
+  SELECT item_id, {_WORDS.format(text="coalesce(text, '')")} AS w FROM benchmark
+), pat AS (
+  SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, w[i + 1 : i + 10] AS p
+  FROM b, unnest(range(greatest(len(w) - 9, 1))) AS t(i) WHERE len(w) > 0
+), sizes AS (SELECT DISTINCT len(p) AS k FROM pat
+), win AS (
+  SELECT r, i, k, w[i + 1 : i + k] AS p FROM d, sizes, unnest(range(len(w) - k + 1)) AS t(i)
+), occ AS (
+  SELECT r, i, k, item FROM win JOIN pat USING (p)
+), hit AS (
+  SELECT r, count(DISTINCT j) AS n_hit FROM (SELECT r, unnest(range(i, i + k)) AS j FROM occ) GROUP BY r
+), items AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS l FROM (SELECT DISTINCT r, item FROM occ) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(l, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
+"""

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import add_columns, bind, join_by_key, quoted, stage, text_key
+from shelfcast.llm.common import add_columns, bind, fresh, join_by_key, quoted, stage, text_key
 
 BLANK = " \t\n\x0b\x0c\r"
 RESULT = ["text", "n_lines", "n_removed"]
@@ -68,13 +68,14 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3) -> DataFrame:
     """``docs`` with ``text`` cleaned, ``n_lines`` and ``n_removed`` (lines before, lines removed)."""
-    gone = removed_lines(docs, id_col, text_col, size).withColumnsRenamed({"d": "__d", "t": "__t", "gone": "__gone"})
+    d, t, g = fresh(docs, "_d", "_t", "_gone")
+    gone = removed_lines(docs, id_col, text_col, size).withColumnsRenamed({"d": d, "t": t, "gone": g})
     text = quoted(text_col)
-    met = docs.join(gone, quoted(id_col).eqNullSafe(F.col("__d")) & (text_key(text) == F.col("__t")), "left")
+    met = docs.join(gone, quoted(id_col).eqNullSafe(F.col(d)) & (text_key(text) == F.col(t)), "left")
     lines = F.split(text, "\n")
     left = bind(lines, lambda x: F.transform(
-        F.array_except(F.sequence(F.lit(0), F.size(x) - 1), F.col("__gone")), lambda i: F.get(x, i)))
-    res = {text_col: F.when(F.col("__gone").isNull(), text).otherwise(F.array_join(left, "\n")),
+        F.array_except(F.sequence(F.lit(0), F.size(x) - 1), F.col(g)), lambda i: F.get(x, i)))
+    res = {text_col: F.when(F.col(g).isNull(), text).otherwise(F.array_join(left, "\n")),
            "n_lines": F.coalesce(F.size(lines), F.lit(0)).cast("long"),
-           "n_removed": F.coalesce(F.size("__gone"), F.lit(0)).cast("long")}
-    return add_columns(met, res).drop("__d", "__t", "__gone")
+           "n_removed": F.coalesce(F.size(g), F.lit(0)).cast("long")}
+    return add_columns(met, res).drop(d, t, g)

@@ -35,7 +35,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import add_columns, bind, has_rows, join_by_key, quoted, stage, text_key
+from shelfcast.llm.common import add_columns, bind, fresh, has_rows, join_by_key, quoted, stage, text_key
 
 # Titles by gender, given names by gender and script.
 MALE = ["Mr", "Herr", "Monsieur", "Señor", "Sr", "г-н", "господин", "κύριος"]
@@ -224,22 +224,23 @@ def attempts(entities: DataFrame, key: str) -> DataFrame:
 def surrogates(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with entities in ``text`` replaced and ``n_entities``."""
     text = quoted(text_col)
+    d, t, redo_col, found_col = fresh(docs, "_d", "_t", "_redo", "_found")
     mentions = docs.select(quoted(id_col).alias("d"), text_key(text).alias("t"), F.explode(_described(_found(docs, text))).alias("m"))
     mentions = stage(mentions.select("d", "t", "m.kind", "m.norm"), "mentions")
     later = stage(attempts(mentions, key), "attempts")
     total = later.agg(F.sum("n")).first()[0] or 0
     met = join_by_key(mentions, later, ["kind", "norm"], ["d", "t"], "n", total).where("attempt is not null")
     redo = met.groupBy("d", "t").agg(F.map_from_entries(F.collect_set(F.struct(
-        F.concat_ws("\x1f", "kind", "norm").alias("k"), F.col("attempt").alias("v")))).alias("__redo"))
-    redo = redo.withColumnsRenamed({"d": "__d", "t": "__t"})
-    joined = docs.join(redo, quoted(id_col).eqNullSafe(F.col("__d")) & (text_key(text) == F.col("__t")), "left")
+        F.concat_ws("\x1f", "kind", "norm").alias("k"), F.col("attempt").alias("v")))).alias(redo_col))
+    redo = redo.withColumnsRenamed({"d": d, "t": t})
+    joined = docs.join(redo, quoted(id_col).eqNullSafe(F.col(d)) & (text_key(text) == F.col(t)), "left")
 
     def replaced(s: Column) -> Column:
-        attempt = F.coalesce(F.try_element_at(F.col("__redo"), F.concat_ws("\x1f", s["kind"], s["norm"])), F.lit(0))
+        attempt = F.coalesce(F.try_element_at(F.col(redo_col), F.concat_ws("\x1f", s["kind"], s["norm"])), F.lit(0))
         return rendered(s["kind"], s["e"], surrogate(key, s["kind"], s["norm"], attempt))
-    found = joined.withColumn("__found", _described(_found(joined, text)))
-    new = F.transform("__found", replaced)
+    found = joined.withColumn(found_col, _described(_found(joined, text)))
+    new = F.transform(found_col, replaced)
     between = F.split(text, ANY)
-    clean = F.when(F.size("__found") == 0, text).otherwise(F.concat(F.get(between, F.lit(0)), F.array_join(F.zip_with(
-        new, F.slice(between, F.lit(2), F.size("__found")), lambda a, b: F.concat(a, b)), "")))
-    return add_columns(found, {text_col: clean, "n_entities": F.size("__found").cast("long")}).drop("__d", "__t", "__redo", "__found")
+    clean = F.when(F.size(found_col) == 0, text).otherwise(F.concat(F.get(between, F.lit(0)), F.array_join(F.zip_with(
+        new, F.slice(between, F.lit(2), F.size(found_col)), lambda a, b: F.concat(a, b)), "")))
+    return add_columns(found, {text_col: clean, "n_entities": F.size(found_col).cast("long")}).drop(d, t, redo_col, found_col)

@@ -220,10 +220,11 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                   radius: int = 2) -> DataFrame:
     """``docs`` with one row of each component: its smallest id (null last), of those the smallest text digest."""
+    d, t = fresh(docs, "_d", "_t")
     ident = docs.select(quoted(id_col).alias("d"), text_key(quoted(text_col)).alias("t"), quoted(text_col).alias("text"))
     found = simhash_components(ident, "d", "text", shingle, radius)
     # one row per component, combined map-side: a component that holds a third of all rows is no hot group
     best = found.groupBy("component").agg(F.min(F.struct(F.col("d").isNull().alias("z"), "d", "t")).alias("k")) \
-        .select(F.col("k.d").alias("__d"), F.col("k.t").alias("__t"))
-    met = docs.join(best, quoted(id_col).eqNullSafe(F.col("__d")) & (text_key(quoted(text_col)) == F.col("__t")))
-    return met.dropDuplicates(["__d", "__t"]).drop("__d", "__t")
+        .select(F.col("k.d").alias(d), F.col("k.t").alias(t))
+    met = docs.join(best, quoted(id_col).eqNullSafe(F.col(d)) & (text_key(quoted(text_col)) == F.col(t)))
+    return met.dropDuplicates([d, t]).drop(d, t)

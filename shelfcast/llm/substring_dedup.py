@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import add_columns, bind, join_by_key, quoted, stage, text_key, words_of
+from shelfcast.llm.common import add_columns, bind, fresh, join_by_key, quoted, stage, text_key, words_of
 
 BLOCK = 256
 SEPARATOR = {"line": "\n", "paragraph": "\n\n"}
@@ -61,6 +61,7 @@ def running(n: Column, sums: Column, i: Column) -> Column:
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: str = "line",
                     min_words: int = 10) -> DataFrame:
     """``docs`` with repeated units cut from ``text``; ``n_units``, ``n_removed`` and ``spans`` describe the cuts."""
+    d, t, g = fresh(docs, "_d", "_t", "_gone")
     many = stage(units(docs, id_col, text_col, unit, min_words), "units")
     rank = F.struct(F.col("d").isNull().alias("z"), F.col("d").alias("d"), F.col("t").alias("t"), F.col("u").alias("u"))
     firsts = stage(many.groupBy("h1", "h2").agg(F.min(rank).alias("first"), F.max(rank).alias("last"),
@@ -70,19 +71,19 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     met = join_by_key(many, firsts, ["h1", "h2"], ["d", "t", "u"], "n", total)
     gone = (met.where(F.col("first").isNotNull() & (rank != F.col("first")))
             .groupBy("d", "t").agg(F.array_sort(F.collect_set("u")).alias("gone"))
-            .withColumnsRenamed({"d": "__d", "t": "__t", "gone": "__gone"}))
+            .withColumnsRenamed({"d": d, "t": t, "gone": g}))
     text, sep = quoted(text_col), SEPARATOR[unit]
-    met = docs.join(gone, quoted(id_col).eqNullSafe(F.col("__d")) & (text_key(text) == F.col("__t")), "left")
+    met = docs.join(gone, quoted(id_col).eqNullSafe(F.col(d)) & (text_key(text) == F.col(t)), "left")
     parts = F.split(text, sep)
     left = bind(parts, lambda x: F.transform(
-        F.array_except(F.sequence(F.lit(0), F.size(x) - 1), F.col("__gone")), lambda i: F.get(x, i)))
+        F.array_except(F.sequence(F.lit(0), F.size(x) - 1), F.col(g)), lambda i: F.get(x, i)))
     spans = bind(F.transform(parts, lambda x: F.length(x).cast("long") + len(sep)), lambda n: bind(
-        block_sums(n), lambda sums: F.transform("__gone", lambda i: F.struct(
+        block_sums(n), lambda sums: F.transform(g, lambda i: F.struct(
             running(n, sums, i).alias("start"), (F.get(n, i) - len(sep)).alias("length")))))
     none = F.array().cast("array<struct<start:bigint,length:bigint>>")
-    cut = F.col("__gone").isNotNull()
+    cut = F.col(g).isNotNull()
     res = {text_col: F.when(cut, F.array_join(left, sep)).otherwise(text),
            "n_units": F.coalesce(F.size(parts), F.lit(0)).cast("long"),
-           "n_removed": F.coalesce(F.size("__gone"), F.lit(0)).cast("long"),
+           "n_removed": F.coalesce(F.size(g), F.lit(0)).cast("long"),
            "spans": F.when(cut, spans).otherwise(none)}
-    return add_columns(met, res).drop("__d", "__t", "__gone")
+    return add_columns(met, res).drop(d, t, g)

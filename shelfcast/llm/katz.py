@@ -56,7 +56,7 @@ from shelfcast.llm.common import quoted, ship, stage
 
 K = 5
 TAIL = 0.01
-BLOCK_TOKENS = 4_000_000
+BLOCK_TOKENS = 2_000_000
 BUCKET_ENTRIES = 1 << 21
 END, START = b"\n", b"\r"  # no word contains white space
 START_KEY = np.uint64(xxhash.xxh64_intdigest(START))
@@ -316,11 +316,12 @@ def _evaluate(model: Model):
         ch = np.append(c, model.texts)
         # one value per distinct pair, then per token
         hp, wp = h[at], w[at]
+        del told, at
         with np.errstate(divide="ignore"):
-            seen = np.log10(discounted(r, model.d2) / np.maximum(ch[hp], 1))
-            value = np.where(r > 0, seen, np.log10(p)[wp])
+            value = np.where(r > 0, np.log10(discounted(r, model.d2) / np.maximum(ch[hp], 1)), np.log10(p)[wp])
         docs = np.repeat(np.arange(len(b.sizes)), b.sizes)
         part = np.bincount(docs, value[number], len(b.sizes))
+        del value
         base = np.bincount(docs, np.log10((c + 1) / (model.n + model.v + 1))[w], len(b.sizes))
         known = np.bincount(docs, c[w] > 0, len(b.sizes))
         ids = own["ids"]

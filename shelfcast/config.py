@@ -45,6 +45,8 @@ SCORER_CATEGORY_CODES = {"Snacks": 0, "Beverages": 1, "Dairy": 2, "Frozen Foods"
                          "Household": 5, "Bakery": 6, "Produce": 7, "Meat": 8, "Canned Goods": 9}
 SCORER_REGION_CODES = {"Northeast": 0, "Southeast": 1, "Midwest": 2, "West": 3, "Southwest": 4}
 SCORER_SEASON_CODES = {"Winter": 0, "Spring": 1, "Summer": 2, "Fall": 3}
+# Our tables say "Autumn" where the scorer says "Fall".
+SCORER_SEASON_ALIASES = {"Autumn": 3}
 SCORER_DEFAULTS = {"category_enc": 0, "region_enc": 0, "seasonality_enc": 1}
 
 # Month -> season (12,1,2 winter; 3-5 spring; 6-8 summer; 9-11 autumn).

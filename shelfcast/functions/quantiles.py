@@ -8,11 +8,11 @@ statistics around each target rank distributively:
 1. one pass: n and ``percentile_approx`` brackets around every target rank;
 2. one pass: for every bracket, the number of values below it and the number
    inside it (conditional counts);
-3. if a bracket holds more than ``max_in_bracket`` values it is narrowed with
-   another approximate pass restricted to it; otherwise its values are
-   ranked exactly (a bounded ``collect_list``) and the order statistics read
-   off.  Only bounded data reaches the driver: bracket bounds and at most
-   ``max_in_bracket`` values per target.
+3. a bracket of equal values is the answer; one with more than
+   ``max_in_bracket`` values is narrowed again, by percentiles restricted to it
+   or, where ties leave them no effect, by halving its value range; otherwise
+   its values are ranked exactly.  Only bounded data reaches the driver:
+   bracket bounds, counts and at most ``max_in_bracket`` values per target.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], max_in_bracket: int = 100_000,
-                    accuracy: int = 10_000, max_rounds: int = 8) -> list[float | None]:
+                    accuracy: int = 10_000) -> list[float | None]:
     x = F.col(col).cast("double")
     vals = df.select(x.alias("v")).filter(F.col("v").isNotNull())
     n = vals.count()
@@ -39,33 +39,40 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], max_in_brac
         need = sorted({lo_k, hi_k})
         got = {}
         for k in need:
-            got[k] = _order_statistic(vals, n, k, max_in_bracket, accuracy, max_rounds)
+            got[k] = _order_statistic(vals, n, k, max_in_bracket, accuracy)
         out.append(got[lo_k] + (got[hi_k] - got[lo_k]) * frac)
     return out
 
 
-def _order_statistic(vals: DataFrame, n: int, k: int, max_in: int, accuracy: int, rounds: int) -> float:
-    """The k-th smallest value (0-based)."""
-    lo, hi = None, None              # open/closed bracket (lo, hi]
-    below = 0                        # values <= lo
-    sub = vals
-    for _ in range(rounds):
-        m = sub.count() if (lo is not None or hi is not None) else n
+def _order_statistic(vals: DataFrame, n: int, k: int, max_in: int, accuracy: int) -> float:
+    """The k-th smallest value (0-based).
+
+    Each round is one aggregate over the bracket; it always shrinks: to the
+    approximate percentiles around the rank if they exclude anything, else to
+    one half of the value range (by an exact count).  Equal values end the
+    search at once, however many they are.
+    """
+    sub, below, m = vals, 0, n
+    while True:
         kk = k - below               # rank inside the bracket
+        q_lo, q_hi = max(0.0, (kk - 2 * m / accuracy) / m), min(1.0, (kk + 2 * m / accuracy) / m)
+        r = sub.agg(F.min("v").alias("lo"), F.max("v").alias("hi"),
+                    F.percentile_approx("v", [q_lo, q_hi], accuracy).alias("q")).first()
+        lo, hi, (a, b) = r["lo"], r["hi"], r["q"]
+        if lo == hi:
+            return float(lo)
         if m <= max_in:
-            ranked = sub.agg(F.sort_array(F.collect_list("v")).alias("a")).first()["a"]
-            return float(ranked[kk])
-        q_lo = max(0.0, (kk - 0.5 * m / accuracy * 4) / m)
-        q_hi = min(1.0, (kk + 0.5 * m / accuracy * 4) / m)
-        a, b = sub.agg(F.percentile_approx("v", [q_lo, q_hi], accuracy).alias("q")).first()["q"]
-        c = sub.agg(F.count_if(F.col("v") < a).alias("lt"),
-                    F.count_if((F.col("v") >= a) & (F.col("v") <= b)).alias("inb")).first()
-        if c["lt"] <= kk < c["lt"] + c["inb"]:
-            below += c["lt"]
+            return float(sub.agg(F.sort_array(F.collect_list("v")).alias("a")).first()["a"][kk])
+        mid = lo + (hi - lo) / 2
+        mid = lo if mid >= hi else mid
+        c = sub.agg(F.count_if(F.col("v") < a).alias("lt"), F.count_if(F.col("v") <= b).alias("le"),
+                    F.count_if(F.col("v") <= mid).alias("half")).first()
+        if c["lt"] <= kk < c["le"] and c["le"] - c["lt"] < m:
+            below, m = below + c["lt"], c["le"] - c["lt"]
             sub = sub.filter((F.col("v") >= a) & (F.col("v") <= b))
-            lo, hi = a, b
+        elif kk < c["half"]:
+            m = c["half"]
+            sub = sub.filter(F.col("v") <= mid)
         else:
-            # the approximation missed (rare): widen to the full remaining range once more
-            accuracy *= 4
-    ranked = sub.agg(F.sort_array(F.collect_list("v")).alias("a")).first()["a"]
-    return float(ranked[k - below])
+            below, m = below + c["half"], m - c["half"]
+            sub = sub.filter(F.col("v") > mid)

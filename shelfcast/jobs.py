@@ -42,19 +42,27 @@ def daily_features_job(spark: SparkSession, retail: DataFrame, snapshot: DataFra
     WR.write_report(Q.missingness(f), os.path.join(rep, "missingness"))
     WR.write_report(Q.outliers(f), os.path.join(rep, "outliers"))
     WR.write_report(Q.date_gaps(f).filter("is_anomaly"), os.path.join(rep, "date_gap_anomalies"))
-    summary = Q.anomaly_summary(f)
+    row = Q.anomaly_summary(f).first()
+    summary = spark.createDataFrame([row])
     WR.write_report(summary, os.path.join(rep, "anomaly_summary"))
     perf = B.slice_performance(f)
     WR.write_report(perf, os.path.join(rep, "slice_performance"), "csv")
     WR.write_report(B.mitigation_plan(perf), os.path.join(rep, "mitigation_plan"))
     WR.write_report(B.bias_summary(perf), os.path.join(rep, "bias_summary"))
-    row = summary.first().asDict()
+    row = row.asDict()
     row["data_changed"] = changed
     if fail_on_anomalies:
         Q.anomaly_gate(summary, max_anomalies)
     return row
 
 
+def candidate(choice: DataFrame, versions: DataFrame) -> DataFrame:
+    """The winner as the next version of its model (1 for a new model)."""
+    newest = versions.groupBy("model").agg(F.max("version").alias("v"))
+    return choice.select(F.col("winner").alias("model"), F.col("winner_mae").alias("test_mae")) \
+        .join(newest, "model", "left").select("model", (F.coalesce("v", F.lit(0)) + 1).alias("version"), "test_mae")
+
+
 def model_job(spark: SparkSession, features_path: str, out_dir: str, series_trials: int = 20,
               gbt_params: dict | None = None, versions: DataFrame | None = None) -> DataFrame:
     """Split -> per-series tuning -> per-series and tree fits -> metrics ->
@@ -84,11 +92,9 @@ def model_job(spark: SparkSession, features_path: str, out_dir: str, series_tria
     metrics = spark.read.parquet(os.path.join(out_dir, "metrics"))
     choice = R.select_model(metrics, ["tree", "seasonal"])
     WR.write_report(choice, os.path.join(out_dir, "reports", "selection"))
-    cand = choice.select(F.col("winner").alias("model"), F.lit(1).alias("version"),
-                         F.col("winner_mae").alias("test_mae"))
     current = versions if versions is not None else spark.createDataFrame(
         [], "model string, version int, stage string, test_mae double")
-    R.promote(current, cand).write.mode("overwrite").parquet(os.path.join(out_dir, "versions"))
+    R.promote(current, candidate(choice, current)).write.mode("overwrite").parquet(os.path.join(out_dir, "versions"))
     WR.write_report(B.model_slice_bias(tree.filter(F.col("split") == "test"), pred="prediction"),
                     os.path.join(out_dir, "reports", "model_slice_bias"))
     WR.write_report(FC.feature_importance(model, C.TRAIN_FEATURES), os.path.join(out_dir, "reports", "importance"))

@@ -17,11 +17,13 @@ from shelfcast import config as C
 from shelfcast.functions import scalar as S
 from shelfcast.functions.joins import attach_row
 
-# FIXED VALUES: decode maps of the model audit's slice columns (code -> name).
+# Names of the encoder's codes: its maps, read backwards.  Codes the encoder gives to
+# values it does not know are a slice of their own.
+UNKNOWN = {-1: "Unknown"}
 MODEL_SLICE_MAPS = {
-    "category_enc": {0: "Electronics", 1: "Clothing", 2: "Food", 3: "Home"},
-    "region_enc": {0: "North", 1: "South", 2: "East", 3: "West"},
-    "seasonality_enc": {0: "Spring", 1: "Summer", 2: "Autumn", 3: "Winter"},
+    "category_enc": dict(enumerate(C.CATEGORY_ORDER)) | UNKNOWN,
+    "region_enc": {code: name for name, code in C.REGION_CODES.items()} | UNKNOWN,
+    "seasonality_enc": {code: name for name, code in C.SEASON_CODES.items()} | UNKNOWN,
 }
 
 
@@ -86,12 +88,12 @@ def mitigation_plan(perf: DataFrame, min_samples: int = C.MIN_SLICE_SAMPLES) ->
     low = F.col("sample_count") < min_samples
     weight = F.lit(1.0) / F.greatest(F.col("sample_count") / (F.col("n_slices") + 1), F.lit(0.01))
     msg_low = F.when(low, F.format_string(
-        "Low sample count for %s (%d). Consider data collection or oversampling.",
+        "%s has only %d rows: collect or oversample.",
         F.col("slice_val"), F.col("sample_count")))
     ratio_txt = F.when(F.col("mae_ratio").isNull(), F.lit("None")).otherwise(
         F.format_string("%.2f", F.col("mae_ratio")))
     msg_bias = F.when(F.col("bias_flag"), F.format_string(
-        "High bias detected for %s (MAE ratio: %s). Consider feature engineering.",
+        "%s is predicted worse than average (error ratio %s): look for features that explain it.",
         F.col("slice_val"), ratio_txt))
     return p.select("slice_col", "slice_val", "sample_count", low.alias("low_sample"),
                     F.col("bias_flag").alias("high_bias"), weight.alias("weight"),
@@ -158,8 +160,7 @@ def model_slice_bias(df: DataFrame, pred: str, y: str = "y",
     flagged = F.coalesce(disp > F.lit(threshold), F.lit(False))
     pct = S.round_half_even(disp * F.lit(100.0), 1)
     text = F.when(flagged, F.format_string(
-        "%s=%s (MAE +%s%%): Consider (1) up-weighting this slice via sample_weight, "
-        "(2) training a slice-specific sub-model, or (3) adding slice-specific lag/rolling features.",
+        "%s=%s: error %s%% above average; give the slice more weight, a model or features of its own.",
         F.col("slice_col"), F.col("slice_val"), pct.cast("string")))
     return j.select("slice_col", "slice_val", "mae", "rmse", "r2", "n", "overall_mae",
                     flagged.alias("flagged"), F.when(flagged, pct).alias("disparity_pct"),

@@ -50,13 +50,12 @@ def activate(convos: DataFrame, choices: DataFrame) -> DataFrame:
     return j.withColumn("active", act).drop("_chosen", "_has")
 
 
-def replay_history(turns: DataFrame, cap: int = 100) -> DataFrame:
+def replay_history(saved: DataFrame) -> DataFrame:
     """user/assistant turns with non-empty text, in turn order, as one array per conversation.
 
-    The replayed history is the saved one, i.e. the last ``cap`` messages
-    (X04), so each collected array is bounded by ``cap``.
+    Everything saved is replayed; saving (X04, ``recent_messages``) has the cap,
+    which bounds each collected array.
     """
-    saved = recent_messages(turns, cap)
     keep = saved.filter(F.col("role").isin("user", "assistant") & (F.length(F.coalesce("text", F.lit(""))) > 0))
     return keep.groupBy("user_id", "convo_id").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))),

@@ -62,10 +62,10 @@ def dedup_keep_first(df: DataFrame, keys: Sequence[str] = ("date", "store_id", "
         df = df.withColumn(tmp, F.xxhash64(*[F.col(c) for c in df.columns]))
         order_col = tmp
     if method == "aggregate":
-        rest = [c for c in df.columns if c not in keys and c != tmp]
+        rest = [c for c in df.columns if c not in keys and c not in (tmp, order_col)]
         first = F.min_by(F.struct(*rest), F.col(order_col)).alias("__first")
         out = df.groupBy(*keys).agg(first).select(*keys, "__first.*")
-        return out.select(*[c for c in df.columns if c != tmp])
+        return out.select(*[c for c in df.columns if c not in (tmp, order_col)])
     w = Window.partitionBy(*part).orderBy(seq, order_col)
     first = F.row_number().over(w) == 1
     same_as_prev = F.lag(seq, 1).over(w).eqNullSafe(F.col(seq))
@@ -237,9 +237,12 @@ def features_v2(retail: DataFrame, snapshot: DataFrame, horizon: int = 1,
                 include_created_at: bool = True, weights: DataFrame | None = None,
                 lead_median: DataFrame | None = None, dedup_method: str = "aggregate",
                 ewm_value: str | None = None, keep: Sequence[str] = (), materialize: bool = True,
-                **code_maps) -> DataFrame:
+                order_col: str | None = None, **code_maps) -> DataFrame:
     """The v2 feature table: 36 columns (35 without ``created_at``).
 
+    ``order_col`` is the ingest order that decides between conflicting
+    duplicates (P02; the readers' ``_ingest``); it is not part of the result.
+
     ``weights`` (store, sample_weight) and ``lead_median`` (one row) override
     the two table-wide statistics, for incremental runs over a subset of
     series that must match a full run.
@@ -248,7 +251,9 @@ def features_v2(retail: DataFrame, snapshot: DataFrame, horizon: int = 1,
     require_columns(snapshot, C.REQUIRED_SNAPSHOT, "snapshot")
     df = retail
     if dedup:
-        df = dedup_keep_first(df, method=dedup_method)
+        df = dedup_keep_first(df, order_col=order_col, method=dedup_method)
+    if order_col:
+        df = df.drop(order_col)
     df = clip_negatives(df)
     df = join_lead_times(df, snapshot, fill="none")
     # The joined daily table is materialised once (reliable checkpoint in the
@@ -292,10 +297,11 @@ V1_REQUIRED = ["date", "store_id", "product_id", "units_sold", "inventory_level"
 
 
 def features_v1(retail: DataFrame, horizon: int = 1, dedup: bool = True,
-                include_created_at: bool = True) -> DataFrame:
+                include_created_at: bool = True, order_col: str | None = None) -> DataFrame:
     """The older feature set (lags 1/7/14, raw columns, warm-up on lag-14)."""
     require_columns(retail, V1_REQUIRED, "retail data")
-    df = dedup_keep_first(retail, method="aggregate") if dedup else retail
+    df = dedup_keep_first(retail, order_col=order_col, method="aggregate") if dedup else retail
+    df = df.drop(order_col) if order_col else df
     df = cut_lineage(clip_negatives(df))          # one pass over the source, see features_v2
     sw = series_store_weights(df)
     df = with_series_features(df, horizon, lags=(1, 7, 14), std=None, forecast_lag=False)

@@ -19,6 +19,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
@@ -30,7 +31,8 @@ from pyspark.sql import functions as F
 
 from shelfcast import config as C
 from shelfcast.operators.bias import regression_metrics
-from shelfcast.operators.splits import fold_membership
+from shelfcast.operators.splits import apply_scaler, encode_series, fold_membership, scaler_stats
+from shelfcast.session import cut_lineage
 
 # Regressors of the per-series model (names of the v2 feature table).
 SERIES_REGRESSORS = ["holiday_promotion", "discount", "price_vs_competitor", "effective_price",
@@ -157,8 +159,11 @@ def tune_series(df: DataFrame, n_trials: int = 20, seed: int = 42,
                                  F.lit("n_changepoints"), F.col("nc")).alias("params"))
 
 
+# Row share, column share (per split here), node size and depth as the source sets them.
+# Early stopping differs: the source waits 30 rounds for a better error, Spark ends at the
+# first round that gains less than ``validationTol`` (relative).
 GBT_DEFAULTS = {"maxDepth": 6, "stepSize": 0.05, "maxIter": 500, "subsamplingRate": 0.8,
-                "validationTol": 0.001, "seed": 42}
+                "featureSubsetStrategy": "0.8", "minInstancesPerNode": 5, "validationTol": 0.001, "seed": 42}
 
 
 def gbt_pipeline(features: Sequence[str], params: dict | None = None, weight: str | None = "sample_weight",
@@ -210,19 +215,40 @@ def feature_importance(model: PipelineModel, features: Sequence[str], top: int =
     return spark.createDataFrame(rows, "feature string, importance double")
 
 
+def fold_inputs(train: DataFrame, n_folds: int = C.N_FOLDS, gap_days: int = C.FOLD_GAP_DAYS,
+                val_days: int = C.FOLD_VAL_DAYS) -> list[tuple[int, DataFrame]]:
+    """M07 inputs: per fold the member rows with ``role``, encoded and scaled by the fold's training rows only.
+
+    A series unseen in the fold's training rows gets code -1.  Each fold is
+    written once to the shared folder, so every trial and fit reads the same table.
+    """
+    m = cut_lineage(fold_membership(train, n_splits=n_folds, gap_days=gap_days, val_days=val_days))
+    out = []
+    for f in sorted(r["fold_number"] for r in m.select("fold_number").distinct().collect()):
+        rows = m.filter(F.col("fold_number") == f)
+        fit_on = rows.filter(F.col("role") == "train")
+        if "series_id" in rows.columns:
+            _mapping, _train, rows = encode_series(fit_on, rows)
+        if any(c in rows.columns for c in C.SCALED_COLUMNS):
+            rows = apply_scaler(rows, scaler_stats(fit_on))
+        out.append((f, cut_lineage(rows)))
+    return out
+
+
 def walk_forward_eval(train: DataFrame, features: Sequence[str], params: dict | None = None,
-                      n_folds: int = C.N_FOLDS) -> DataFrame:
-    """Per fold fit on the fold's train rows (its val rows stop early), MAE/RMSE/R2 on val."""
-    m = fold_membership(train, n_splits=n_folds).cache()
-    folds = [r["fold_number"] for r in m.select("fold_number").distinct().orderBy("fold_number").collect()]
-    out = None
-    for f in folds:  # at most n_folds iterations, each a distributed fit
-        tr = m.filter((F.col("fold_number") == f) & (F.col("role") == "train"))
-        va = m.filter((F.col("fold_number") == f) & (F.col("role") == "val"))
+                      n_folds: int = C.N_FOLDS, folds: list[tuple[int, DataFrame]] | None = None) -> DataFrame:
+    """Per fold fit on the fold's train rows (its val rows stop early), MAE/RMSE/R2 on val.
+
+    ``train`` holds raw features; ``folds`` (from :func:`fold_inputs`) saves preparing them again.
+    """
+    metrics = []
+    for f, rows in folds if folds is not None else fold_inputs(train, n_folds):  # n_folds distributed fits
+        tr, va = rows.filter(F.col("role") == "train"), rows.filter(F.col("role") == "val")
         model = fit_gbt(tr, va, features, params)
-        met = regression_metrics(predict(model, va, features), pred="prediction").withColumn("fold_number", F.lit(f))
-        out = met if out is None else out.unionByName(met)
-    return out
+        metrics.append((f, regression_metrics(predict(model, va, features), pred="prediction").first()))
+    return train.sparkSession.createDataFrame(
+        [(f, r["mae"], r["rmse"], r["mape"], r["r2"], r["n"]) for f, r in metrics],
+        "fold_number int, mae double, rmse double, mape double, r2 double, n long")
 
 
 def feature_matrix(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -247,12 +273,12 @@ def predicted_demand(pred) -> "F.Column":
 
 
 def permutation_importance(model: PipelineModel, df: DataFrame, features: Sequence[str],
-                           seed: int = 42, n_buckets: int | None = None, top: int = 20,
+                           seed: int = 42, n_buckets: int = 64, top: int = 20,
                            keys: Sequence[str] = ("store_id", "product_id", "as_of_date")) -> DataFrame:
     """M12 (re-aimed): MAE increase when one feature's values are permuted.
 
     A permutation without global row numbers: rows are spread over hash
-    buckets of their keys; inside a bucket, rows in a seeded random order take
+    buckets of their keys (``n_buckets``, a parameter: no setting changes the result); inside a bucket, rows in a seeded random order take
     the value of the previous row (the first takes the last): a cyclic shift,
     i.e. a random permutation per bucket.  All features are scored in one
     pass: the frame is exploded once per feature (bounded by the feature
@@ -261,11 +287,9 @@ def permutation_importance(model: PipelineModel, df: DataFrame, features: Sequen
     """
     from pyspark.sql import Window
     feats = [f for f in features if f in df.columns]
-    spark = df.sparkSession
-    nb = n_buckets or int(spark.conf.get("spark.sql.shuffle.partitions")) * 4
     kc = [F.col(k) for k in keys if k in df.columns]
     base = _prepare(df, feats).withColumns({
-        "__b": F.pmod(F.xxhash64(F.lit(seed), *kc), F.lit(nb)),
+        "__b": F.pmod(F.xxhash64(F.lit(seed), *kc), F.lit(n_buckets)),
         "__r": F.xxhash64(F.lit(seed + 1), *kc)})
     w = Window.partitionBy("__b").orderBy("__r")
     wall = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -287,27 +311,30 @@ def permutation_importance(model: PipelineModel, df: DataFrame, features: Sequen
     return res.orderBy(F.col("mae_increase").desc(), "feature").limit(top)
 
 
-GBT_SPACE = {"maxDepth": (3, 10), "stepSize": (0.01, 0.3), "subsamplingRate": (0.6, 1.0),
-             "minInstancesPerNode": (1, 10), "minInfoGain": (0.0, 0.5), "maxIter": (100, 1000)}
+# FIXED VALUES: ranges of the source's search (L1 and L2 penalties have no counterpart in Spark's trees).
+GBT_SPACE = {"maxDepth": (3, 10), "stepSize": (0.01, 0.3), "maxIter": (100, 800), "subsamplingRate": (0.5, 1.0),
+             "featureSubsetStrategy": (0.4, 1.0), "minInstancesPerNode": (1, 20), "minInfoGain": (0.0, 5.0)}
+WHOLE = ("maxDepth", "maxIter", "minInstancesPerNode")
 
 
 def tune_gbt(train: DataFrame, features: Sequence[str], n_trials: int = 50, seed: int = 42,
-             n_folds: int = C.N_FOLDS, space: dict | None = None) -> DataFrame:
+             n_folds: int = C.N_FOLDS, space: dict | None = None, threads: int = 4) -> DataFrame:
     """M08 (tree part, re-aimed): seeded random search scored by mean walk-forward MAE.
 
-    The loop runs at most ``n_trials`` x ``n_folds`` distributed fits (the
-    budget is the bound); the trials table ``(model, trial, state, mae,
-    params)`` feeds ``param_sensitivity`` and ``top_trials``.
+    At most ``n_trials`` x ``n_folds`` distributed fits (the budget is the
+    bound); the folds are prepared once and ``threads`` trials run at a time, so
+    small fits share the cluster.  The trials table ``(model, trial, state,
+    mae, params)`` feeds ``param_sensitivity`` and ``top_trials``.
     """
     spark = train.sparkSession
-    rows = []
-    for c in random_candidates(n_trials, space or GBT_SPACE, seed, log_scale=("stepSize",)):
-        params = {"maxDepth": int(c["maxDepth"]), "stepSize": c["stepSize"],
-                  "subsamplingRate": c["subsamplingRate"], "minInstancesPerNode": int(c["minInstancesPerNode"]),
-                  "minInfoGain": c["minInfoGain"], "maxIter": int(c["maxIter"])}
-        per_fold = walk_forward_eval(train, features, params, n_folds)
-        mae = per_fold.agg(F.avg("mae")).first()[0] if per_fold is not None else None
-        rows.append(("gbt", c["trial"], "COMPLETE" if mae is not None else "FAIL", mae,
-                     {k: float(v) for k, v in params.items()}))
+    folds = fold_inputs(train, n_folds)
+
+    def trial(c: dict) -> tuple:
+        params = {k: int(c[k]) if k in WHOLE else c[k] for k in (space or GBT_SPACE)}
+        used = {k: str(v) if k == "featureSubsetStrategy" else v for k, v in params.items()}
+        mae = walk_forward_eval(train, features, used, folds=folds).agg(F.avg("mae")).first()[0]
+        return ("gbt", c["trial"], "COMPLETE" if mae is not None else "FAIL", mae, {k: float(v) for k, v in params.items()})
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        rows = list(pool.map(trial, random_candidates(n_trials, space or GBT_SPACE, seed, log_scale=("stepSize",))))
     return spark.createDataFrame(rows, "model string, trial long, state string, mae double, "
                                        "params map<string,double>")

@@ -234,38 +234,27 @@ def variance_highlights(kpis: DataFrame, n: int = 8) -> DataFrame:
 
 def insight_cards(kpis: DataFrame) -> DataFrame:
     """Per-store arg-max/min cards (top performer, urgent stock-out or lowest
-    supply, largest positive variance, best healthy stock), via ``max_by``/``min_by``
-    over (value, product) structs so ties go to the smallest product id."""
-    kp = kpis.filter(F.col("sell_through_rate").isNotNull())
-    top_perf = top_n(kp, 1, [F.col("sell_through_rate").desc()]).select(
-        "store_id", F.col("product_id").alias("top_product"),
-        S.js_round("sell_through_rate").alias("top_rate"))
-    crit = top_n(kpis.filter(F.col("stock_health") == "critical"), 1,
-                 [F.col("days_of_supply").asc()]).select(
-        "store_id", F.col("product_id").alias("urgent_product"),
-        S.js_round("days_of_supply").alias("urgent_days"))
-    lowest = top_n(kpis, 1, [F.col("days_of_supply").asc()]).select(
-        "store_id", F.col("product_id").alias("lowest_product"),
-        S.js_round("days_of_supply").alias("lowest_days"))
-    var = top_n(kpis.filter(F.col("shrinkage") > 0), 1, [F.col("shrinkage").desc()]).select(
-        "store_id", F.col("product_id").alias("variance_product"),
-        F.col("shrinkage").alias("variance_units"))
-    best = top_n(kpis.filter(F.col("stock_health") == "healthy"), 1,
-                 [F.col("days_of_supply").desc()]).select(
-        "store_id", F.col("product_id").alias("best_product"),
-        S.js_round("days_of_supply").alias("best_days"))
-    base = kpis.select("store_id").distinct()
-    out = base
-    for part in (top_perf, crit, lowest, var, best):
-        out = out.join(part, "store_id", "left")
+    supply, largest positive variance, best healthy stock): one aggregation by store,
+    each card the minimum of a (value, product) struct, so ties go to the smallest product id."""
+    def best(cond, value, largest: bool):
+        """Product and value of the best row: the smallest (value or its negative, product) struct."""
+        order = -value if largest else value
+        return F.min(F.when(cond, F.struct(order.alias("k"), F.col("product_id").alias("p"), value.alias("v"))))
+    dos, always = F.col("days_of_supply"), F.lit(True)
+    g = kpis.groupBy("store_id").agg(
+        best(F.col("sell_through_rate").isNotNull(), F.col("sell_through_rate"), True).alias("top"),
+        best(F.col("stock_health") == "critical", dos, False).alias("urgent"),
+        best(always, dos, False).alias("lowest"),
+        best(F.col("shrinkage") > 0, F.col("shrinkage"), True).alias("variance"),
+        best(F.col("stock_health") == "healthy", dos, True).alias("healthy"))
     # urgent stock-out card falls back to the lowest supply when no critical item exists
-    return out.select(
-        "store_id", "top_product", "top_rate",
-        F.when(F.col("urgent_product").isNotNull(), F.lit("urgent_stockout"))
-         .otherwise(F.lit("lowest_supply")).alias("supply_card"),
-        F.coalesce("urgent_product", "lowest_product").alias("supply_product"),
-        F.coalesce("urgent_days", "lowest_days").alias("supply_days"),
-        "variance_product", "variance_units", "best_product", "best_days")
+    supply = F.coalesce("urgent", "lowest")
+    return g.select(
+        "store_id", F.col("top.p").alias("top_product"), S.js_round(F.col("top.v")).alias("top_rate"),
+        F.when(F.col("urgent").isNotNull(), F.lit("urgent_stockout")).otherwise(F.lit("lowest_supply")).alias("supply_card"),
+        supply["p"].alias("supply_product"), S.js_round(supply["v"]).alias("supply_days"),
+        F.col("variance.p").alias("variance_product"), F.col("variance.v").alias("variance_units"),
+        F.col("healthy.p").alias("best_product"), S.js_round(F.col("healthy.v")).alias("best_days"))
 
 
 def health_trend(kpis: DataFrame, ranges: Sequence[tuple[int, int]] = C.TREND_RANGES,

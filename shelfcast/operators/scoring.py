@@ -26,7 +26,10 @@ def _at(pos_from_end: int, col: str = "units_sold"):
 
 def scoring_features(history: DataFrame, snapshot: DataFrame, n: int = 30, span: int = 28,
                      discount_unit: str = "fraction") -> DataFrame:
-    """One feature row per series from its last ``n`` rows and its snapshot row."""
+    """One feature row per series from its last ``n`` rows and its snapshot row.
+
+    ``discount_unit`` says what the history holds; the features hold fractions.
+    """
     w = Window.partitionBy(*KEYS).orderBy(F.col("date").desc())
     last = history.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") <= n)
     last = last.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*KEYS))) \
@@ -68,8 +71,8 @@ def scoring_features(history: DataFrame, snapshot: DataFrame, n: int = 30, span:
         F.when(F.col("competitor") > 0, S.round_half_even(F.col("price") / F.col("competitor"), 4))
          .otherwise(F.lit(1.0)).alias("price_vs_competitor"),
         S.round_half_even(F.col("price") * (F.lit(1.0) - d), 2).alias("effective_price"),
-        "holiday_promotion", "discount",
-        S.round_half_even(F.col("discount") * F.col("holiday_promotion"), 4).alias("discount_x_holiday"),
+        "holiday_promotion", d.alias("discount"),
+        S.round_half_even(d * F.col("holiday_promotion"), 4).alias("discount_x_holiday"),
         "inventory_level", (F.col("inventory_level") <= 0).cast("int").alias("stockout_flag"),
         S.round_half_even(F.col("sales_roll_mean_7") * F.col("lead_time_days"), 2).alias("lead_time_demand"),
         "lead_time_days", (F.col("inventory_level") < 50).cast("int").alias("reorder_event"),
@@ -80,7 +83,7 @@ def scoring_features(history: DataFrame, snapshot: DataFrame, n: int = 30, span:
                         F.lit(C.SCORER_DEFAULTS["category_enc"])).alias("category_enc"),
              F.coalesce(F.try_element_at(_map(C.SCORER_REGION_CODES), F.col("region")),
                         F.lit(C.SCORER_DEFAULTS["region_enc"])).alias("region_enc"),
-             F.coalesce(F.try_element_at(_map(C.SCORER_SEASON_CODES), F.col("seasonality")),
+             F.coalesce(F.try_element_at(_map(C.SCORER_SEASON_CODES | C.SCORER_SEASON_ALIASES), F.col("seasonality")),
                         F.lit(C.SCORER_DEFAULTS["seasonality_enc"])).alias("seasonality_enc"),
              ).drop("category", "region", "seasonality")
 

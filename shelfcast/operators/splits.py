@@ -127,12 +127,13 @@ def fold_membership(df: DataFrame, date_col: str = "as_of_date", n_splits: int =
     return out.select("*", "_m.*").drop("_m")
 
 
-def walk_forward_folds(df: DataFrame, date_col: str = "as_of_date", **kw) -> DataFrame:
+def walk_forward_folds(df: DataFrame, date_col: str = "as_of_date", n_splits: int = C.N_FOLDS,
+                       gap_days: int = C.FOLD_GAP_DAYS, val_days: int = C.FOLD_VAL_DAYS) -> DataFrame:
     """Fold windows with train/val row counts; empty folds are skipped."""
-    m = fold_membership(df, date_col, **kw)
+    m = fold_membership(df, date_col, n_splits, gap_days, val_days)
     counts = m.groupBy("fold_number").agg(F.count_if(F.col("role") == "train").alias("n_train"),
                                           F.count_if(F.col("role") == "val").alias("n_val"))
-    folds = fold_table(fold_bounds(df, date_col))
+    folds = fold_table(fold_bounds(df, date_col, n_splits, gap_days, val_days), n_splits, gap_days, val_days)
     return (folds.join(counts, "fold_number", "inner")
                  .filter((F.col("n_train") > 0) & (F.col("n_val") > 0)))
 

@@ -75,7 +75,7 @@ SELECT date AS as_of_date, series_id, CAST({horizon} AS INTEGER) AS horizon, '2.
 FROM w LEFT JOIN wt USING (store_id)
 WHERE sales_lag_28 IS NOT NULL AND y IS NOT NULL
 """
-    return with_ctes("retail_daily", "inventory_snapshot",
+    return with_ctes("retail_daily", "inventory_snapshot", partial=True,
                      extra=[("j", JOINED), ("f", FILLED), ("wt", WEIGHTS), ("w", _windows(horizon))]) + body
 
 

@@ -52,10 +52,21 @@ def q_bias_summary(spark, sf_dir):
     return B.bias_summary(perf_df(spark, sf_dir))
 
 
-@register("mitigation_plan")
+@register("mitigation_plan", psql(""", pc AS (SELECT slice_col, COUNT(*) AS n_slices,
+  count_if(sample_count < 100) AS low_sample_slices, count_if(bias_flag) AS high_bias_slices FROM perf GROUP BY slice_col)
+SELECT slice_col, slice_val, sample_count, sample_count < 100 AS low_sample, bias_flag AS high_bias,
+  1e0 / GREATEST(sample_count / (n_slices + 1), 0.01) AS weight,
+  concat_ws(' ', CASE WHEN sample_count < 100 THEN printf('%s has only %d rows: collect or oversample.', slice_val, sample_count) END,
+    CASE WHEN bias_flag THEN printf('%s is predicted worse than average (error ratio %s): look for features that explain it.',
+      slice_val, CASE WHEN mae_ratio IS NULL THEN 'None' ELSE printf('%.2f', mae_ratio) END) END) AS recommendations,
+  low_sample_slices, high_bias_slices,
+  CASE WHEN low_sample_slices > 0 AND high_bias_slices > 0 THEN 'high'
+       WHEN low_sample_slices > 0 OR high_bias_slices > 0 THEN 'medium' ELSE 'low' END AS priority
+FROM perf JOIN pc USING (slice_col)"""))
 def q_mitigation_plan(spark, sf_dir):
-    """B02 full plan, one row per slice value (weights, flags, sentences, priority)."""
-    return B.mitigation_plan(perf_df(spark, sf_dir))
+    """B02 full plan, one row per slice value (weights, flags, sentences as one text, priority)."""
+    plan = B.mitigation_plan(perf_df(spark, sf_dir))
+    return plan.withColumn("recommendations", F.concat_ws(" ", "recommendations"))
 
 
 @register("mitigation_priority", psql("""SELECT slice_col, count_if(sample_count < 100) AS low_sample_slices,

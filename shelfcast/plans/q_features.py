@@ -13,7 +13,7 @@ from shelfcast.session import cut_lineage
 
 
 def features_v2_df(spark, sf_dir, horizon=1):
-    return FE.features_v2(TB.retail(spark, sf_dir), TB.snapshot(spark, sf_dir),
+    return FE.features_v2(TB.retail(spark, sf_dir), TB.partial_snapshot(spark, sf_dir),
                           horizon=horizon, include_created_at=False)
 
 

@@ -11,10 +11,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfcast import config as C
+from shelfcast.functions import scalar as S
+from shelfcast.functions.joins import attach_row
 from shelfcast.operators import bias as B
 from shelfcast.operators import forecast as FC
 from shelfcast.operators import intent as IN
 from shelfcast.operators import registry as R
+from shelfcast.operators import scoring as SC
 from shelfcast.operators import splits as SP
 from shelfcast.plans import tables as TB
 from shelfcast.plans.catalog import register
@@ -237,10 +240,44 @@ def q_gbt_permutation_importance(spark, sf_dir):
 
 @register("walk_forward_eval")
 def q_walk_forward_eval(spark, sf_dir):
-    """M07 + A15: per-fold tree-model metrics on the train split's walk-forward folds."""
-    d = _gbt_inputs(spark, sf_dir)
-    per_fold = FC.walk_forward_eval(d.filter(F.col("split") == "train"), C.TRAIN_FEATURES)
+    """M07 + A15: per-fold tree-model metrics; each fold is encoded and scaled by its own training rows."""
+    train = split_table(spark, sf_dir).filter(F.col("split") == "train")
+    per_fold = FC.walk_forward_eval(train, C.TRAIN_FEATURES)
     return per_fold.unionByName(SP.fold_average(per_fold, ["mae", "rmse", "r2"]).select(
         F.lit(-1).alias("fold_number"), F.col("avg_mae").alias("mae"), F.col("avg_rmse").alias("rmse"),
-        F.lit(None).cast("double").alias("mape"), F.col("avg_r2").alias("r2"), F.col("n_folds").alias("n")),
-        allowMissingColumns=True)
+        F.lit(None).cast("double").alias("mape"), F.col("avg_r2").alias("r2"), F.col("n_folds").alias("n")))
+
+
+@register("gbt_tuning")
+def q_gbt_tuning(spark, sf_dir):
+    """M08 (trees): the search with a small budget (2 trials of few trees, 2 folds); the budget is a parameter."""
+    train = split_table(spark, sf_dir).filter(F.col("split") == "train")
+    space = FC.GBT_SPACE | {"maxIter": (5, 15), "maxDepth": (3, 6)}
+    return FC.tune_gbt(train, C.TRAIN_FEATURES, n_trials=2, n_folds=2, space=space)
+
+
+@register("predicted_demand")
+def q_predicted_demand(spark, sf_dir):
+    """M14 -> J06 -> M04 -> M13 -> F30: next-day demand of every series with a snapshot row.
+
+    A series without history gets the cold-start features (M15); one that the
+    training rows do not know gets code -1.
+    """
+    sp = split_table(spark, sf_dir)
+    train = sp.filter(F.col("split") == "train")
+    retail, snap = TB.retail(spark, sf_dir), TB.snapshot(spark, sf_dir)
+    last = retail.groupBy("store_id", "product_id").agg(F.max("date").alias("d"))
+    known = SC.scoring_features(retail, snap, discount_unit="percent").join(last, ["store_id", "product_id"])
+    cold = SC.cold_start_features(snap.join(last, ["store_id", "product_id"], "left_anti"))
+    newest = retail.agg(F.max("date").alias("d"))
+    rows = known.unionByName(attach_row(cold, newest), allowMissingColumns=True)
+    target = F.date_add("d", 1)
+    rows = rows.withColumns({"target_date": target, "dow": S.weekday_monday0(target), "month": F.month(target),
+                             "series_id": F.concat_ws("_", "store_id", "product_id")})
+    rows = rows.withColumn("is_weekend", (F.col("dow") >= 5).cast("int"))
+    _mapping, _train, encoded, asked = SP.encode_series(train, sp, rows)
+    stats = SP.scaler_stats(train)
+    d = cut_lineage(SP.apply_scaler(encoded, stats))
+    model = FC.fit_gbt(d.filter(F.col("split") == "train"), d.filter(F.col("split") == "val"), C.TRAIN_FEATURES)
+    return FC.predict(model, SP.apply_scaler(asked, stats), C.TRAIN_FEATURES).select(
+        "store_id", "product_id", "target_date", "predicted_demand")

@@ -44,7 +44,7 @@ def osql(body: str, upto: str = "totals") -> str:
     order = [("firstv", FIRSTV), ("ln", LN), ("rej", REJ), ("priced", PRICED), ("totals", TOTALS)]
     names = [n for n, _ in order]
     extra = order[: names.index(upto) + 1]
-    return with_ctes("inventory_snapshot", "vendors", "order_headers", "order_lines", extra=extra) + body
+    return with_ctes("inventory_snapshot", "vendors", "order_headers", "order_lines", extra=extra, partial=True) + body
 
 
 @register("vendors_by_category", with_ctes("vendors") + "SELECT * FROM vendors WHERE category = 'Dairy'")
@@ -54,7 +54,9 @@ def q_vendors_by_category(spark, sf_dir):
 
 @register("first_vendor", with_ctes("vendors") + """SELECT category, arg_min(vendor_id, vendor_id) AS vendor_id,
   arg_min(name, vendor_id) AS name, arg_min(lead_time_days, vendor_id) AS lead_time_days,
-  arg_min(min_order_qty, vendor_id) AS min_order_qty, arg_min(price_per_unit, vendor_id) AS price_per_unit
+  arg_min(min_order_qty, vendor_id) AS min_order_qty, arg_min(price_per_unit, vendor_id) AS price_per_unit,
+  arg_min(region, vendor_id) AS region, arg_min(rating, vendor_id) AS rating,
+  arg_min(contact_email, vendor_id) AS contact_email
 FROM vendors GROUP BY category""")
 def q_first_vendor(spark, sf_dir):
     return OR.first_vendor_per_category(TB.vendors(spark, sf_dir))
@@ -70,17 +72,17 @@ def q_reorder_suggestions(spark, sf_dir):
 
 @register("order_rejects", osql("SELECT * FROM rej", "rej"))
 def q_order_rejects(spark, sf_dir):
-    return OR.rejects_of(OR.evaluate_orders(line_items(spark, sf_dir), TB.snapshot(spark, sf_dir),
+    return OR.rejects_of(OR.evaluate_orders(line_items(spark, sf_dir), TB.partial_snapshot(spark, sf_dir),
                                             TB.vendors(spark, sf_dir)))
 
 
 @register("order_pricing", osql("SELECT * FROM priced", "priced"))
 def q_order_pricing(spark, sf_dir):
-    return OR.order_pricing(line_items(spark, sf_dir), TB.snapshot(spark, sf_dir), TB.vendors(spark, sf_dir))
+    return OR.order_pricing(line_items(spark, sf_dir), TB.partial_snapshot(spark, sf_dir), TB.vendors(spark, sf_dir))
 
 
 def _totals_df(spark, sf_dir):
-    ev = OR.evaluate_orders(line_items(spark, sf_dir), TB.snapshot(spark, sf_dir), TB.vendors(spark, sf_dir))
+    ev = OR.evaluate_orders(line_items(spark, sf_dir), TB.partial_snapshot(spark, sf_dir), TB.vendors(spark, sf_dir))
     return OR.order_totals(TB.order_headers(spark, sf_dir), ev)
 
 
@@ -89,11 +91,17 @@ def q_order_totals(spark, sf_dir):
     return _totals_df(spark, sf_dir)
 
 
-@register("orders_placed")
+@register("orders_placed", osql("""SELECT t.order_id, t.store_id, t.total_units, t.total_cost, 'completed' AS status,
+  h.created_at, CAST(p.pos AS INTEGER) AS pos, p.product_id, p.category, p.quantity, p.unit_price, p.vendor_name
+FROM totals t JOIN order_headers h USING (order_id)
+LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY order_id
+             ORDER BY product_id, category, quantity, unit_price, vendor_name) - 1 AS pos FROM priced) p USING (order_id)"""))
 def q_orders_placed(spark, sf_dir):
-    """Nested order documents (items array) for accepted orders."""
-    return OR.place_orders(TB.order_headers(spark, sf_dir), line_items(spark, sf_dir),
-                           TB.snapshot(spark, sf_dir), TB.vendors(spark, sf_dir))
+    """Order documents for accepted orders, unnested to one row per item (orders without items: one row)."""
+    placed = OR.place_orders(TB.order_headers(spark, sf_dir), line_items(spark, sf_dir),
+                             TB.partial_snapshot(spark, sf_dir), TB.vendors(spark, sf_dir))
+    return placed.select("order_id", "store_id", "total_units", "total_cost", "status", "created_at",
+                         F.posexplode_outer("items").alias("pos", "i")).select("*", "i.*").drop("i")
 
 
 @register("stock_after_orders", osql("""SELECT s.store_id, s.product_id, s.category, s.region,
@@ -102,7 +110,7 @@ def q_orders_placed(spark, sf_dir):
 FROM inventory_snapshot s LEFT JOIN (SELECT store_id, product_id, CAST(SUM(quantity) AS BIGINT) AS q FROM priced
   GROUP BY 1, 2) a ON a.store_id = s.store_id AND a.product_id = s.product_id""", "priced"))
 def q_stock_after_orders(spark, sf_dir):
-    li, snap, ven = line_items(spark, sf_dir), TB.snapshot(spark, sf_dir), TB.vendors(spark, sf_dir)
+    li, snap, ven = line_items(spark, sf_dir), TB.partial_snapshot(spark, sf_dir), TB.vendors(spark, sf_dir)
     return OR.apply_receipts(snap, OR.order_pricing(li, snap, ven))
 
 
@@ -178,6 +186,6 @@ FROM (SELECT *, row_number() OVER (PARTITION BY user_id, convo_id ORDER BY turn
 WHERE rk <= 100 AND role IN ('user', 'assistant') AND length(COALESCE(text, '')) > 0"""))
 def q_conversation_replay(spark, sf_dir):
     """The replay arrays, one row per message with its position."""
-    r = CV.replay_history(TB.turns(spark, sf_dir))
+    r = CV.replay_history(CV.recent_messages(TB.turns(spark, sf_dir), 100))
     return r.select("user_id", "convo_id", F.posexplode("messages").alias("pos", "m")).select(
         "user_id", "convo_id", "pos", F.col("m.role").alias("role"), F.col("m.content").alias("text"))

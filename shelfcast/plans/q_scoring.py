@@ -43,8 +43,8 @@ SCORING_SQL = with_ctes("retail_daily", "inventory_snapshot", extra=[
   CASE WHEN n_rows >= 7 THEN std7 ELSE 0e0 END AS sales_roll_std_7, sales_ewm_28,
   COALESCE(dfl, lag1) AS demand_forecast_lag1,
   CASE WHEN competitor > 0 THEN round_even(price / competitor, 4) ELSE 1e0 END AS price_vs_competitor,
-  round_even(price * (1e0 - discount), 2) AS effective_price,
-  holiday_promotion, discount, round_even(discount * holiday_promotion, 4) AS discount_x_holiday,
+  round_even(price * (1e0 - discount / 100e0), 2) AS effective_price,
+  holiday_promotion, discount / 100e0 AS discount, round_even(discount / 100e0 * holiday_promotion, 4) AS discount_x_holiday,
   s.current_stock AS inventory_level, CAST(s.current_stock <= 0 AS INTEGER) AS stockout_flag,
   round_even(sales_roll_mean_7 * s.lead_time_days, 2) AS lead_time_demand, s.lead_time_days,
   CAST(s.current_stock < 50 AS INTEGER) AS reorder_event, lag1 AS y_pred_baseline,
@@ -52,14 +52,14 @@ SCORING_SQL = with_ctes("retail_daily", "inventory_snapshot", extra=[
     AS category_enc,
   CAST({case_map('s.region', C.SCORER_REGION_CODES, str(C.SCORER_DEFAULTS['region_enc']))} AS INTEGER)
     AS region_enc,
-  CAST({case_map('seasonality', C.SCORER_SEASON_CODES, str(C.SCORER_DEFAULTS['seasonality_enc']))} AS INTEGER)
+  CAST({case_map('seasonality', {'Winter': 0, 'Spring': 1, 'Summer': 2, 'Fall': 3, 'Autumn': 3}, str(C.SCORER_DEFAULTS['seasonality_enc']))} AS INTEGER)
     AS seasonality_enc
 FROM g JOIN inventory_snapshot s ON g.store_id = s.store_id AND g.product_id = s.product_id"""
 
 
 @register("scoring_features", SCORING_SQL)
 def q_scoring_features(spark, sf_dir):
-    return SC.scoring_features(TB.retail(spark, sf_dir), TB.snapshot(spark, sf_dir))
+    return SC.scoring_features(TB.retail(spark, sf_dir), TB.snapshot(spark, sf_dir), discount_unit="percent")
 
 
 @register("cold_start_features", with_ctes("inventory_snapshot") + """SELECT store_id, product_id,

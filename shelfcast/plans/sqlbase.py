@@ -65,15 +65,18 @@ INVENTORY_SNAPSHOT = f"""
            CAST(SUM(CASE WHEN l_returnflag <> 'N' THEN l_quantity ELSE 0e0 END) AS BIGINT) AS total_units_sold,
            SUM(CASE WHEN l_returnflag = 'N' AND l_linestatus = 'O' THEN l_quantity ELSE 0e0 END) AS open_qty
     FROM lineitem GROUP BY 1, 2, 3, 4) g
-  WHERE NOT (store_id = 'S005' AND product_id = 'P0020')
 """
+PARTIAL_SNAPSHOT = f"SELECT * FROM ({INVENTORY_SNAPSHOT}) s WHERE NOT (store_id = 'S005' AND product_id = 'P0020')"
 
 VENDORS = f"""
   SELECT s_suppkey AS vendor_id, s_name AS name,
          {sql_list(sorted(set(C.PRODUCT_CATEGORIES.values())))}[CAST(s_suppkey % 10 + 1 AS INTEGER)] AS category,
          CAST(s_suppkey % 14 + 1 AS BIGINT) AS lead_time_days,
          CAST({sql_list(C.MIN_ORDER_QTYS)}[CAST(s_suppkey % 5 + 1 AS INTEGER)] AS BIGINT) AS min_order_qty,
-         ABS(s_acctbal) AS price_per_unit
+         ABS(s_acctbal) AS price_per_unit,
+         {sql_list(C.STORE_REGIONS.values())}[CAST(s_suppkey % 5 + 1 AS INTEGER)] AS region,
+         3.5e0 + (s_suppkey % 16) / 10e0 AS rating,
+         lower(replace(s_name, '#', '.')) || '@supplier.com' AS contact_email
   FROM supplier
 """
 
@@ -104,8 +107,10 @@ CTES = {
 }
 
 
-def with_ctes(*names: str, extra: list[tuple[str, str]] | None = None) -> str:
-    """``WITH`` clause over the named base tables plus extra (name, sql) pairs."""
-    parts = [f"{n} AS ({CTES[n]})" for n in names]
+def with_ctes(*names: str, extra: list[tuple[str, str]] | None = None, partial: bool = False) -> str:
+    """``WITH`` clause over the named base tables plus extra (name, sql) pairs; ``partial``: the snapshot
+    with a missing row."""
+    tables = CTES | ({"inventory_snapshot": PARTIAL_SNAPSHOT} if partial else {})
+    parts = [f"{n} AS ({tables[n]})" for n in names]
     parts += [f"{n} AS ({s})" for n, s in (extra or [])]
     return "WITH " + ",\n".join(parts) + "\n"

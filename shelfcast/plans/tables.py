@@ -1,9 +1,4 @@
-"""Per-session cache of the derived retail tables for one test-data folder.
-
-Queries of the catalog build on the same derived tables; building them from
-the same ``DataFrame`` objects lets Spark reuse identical exchanges inside a
-plan.  Nothing is collected or cached in memory here.
-"""
+"""The derived retail tables of one test-data folder, by name (lazy; nothing is cached here)."""
 
 from __future__ import annotations
 
@@ -20,6 +15,11 @@ def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.inventory_snapshot(spark, sf_dir)
 
 
+def partial_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshot without S005 x P0020 (lead-time fill and order rejects need a miss)."""
+    return T.inventory_snapshot(spark, sf_dir, drop_missing=True)
+
+
 def vendors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.vendors(spark, sf_dir)
 

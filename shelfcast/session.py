@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,10 +47,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting names a shared folder and is used as is.  Only
-    when it is unset (local runs, tests) a scratch folder is made.
+    when it is unset and the master is local (tests) a scratch folder is made.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="shelfcast-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
@@ -57,13 +61,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` to the shared checkpoint folder (reliable checkpoint).
+    """Materialise ``df`` as Parquet in the shared checkpoint folder and read it back.
 
     Survives executor loss: the data sits in the shared folder, not in
-    executor memory or local disk.
+    executor memory or local disk.  Readers prune columns and push filters down
+    into it, which an RDD checkpoint does not allow.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path, schema = scratch_path(spark, f"stage-{uuid.uuid4().hex}"), df.schema
+    df.write.parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

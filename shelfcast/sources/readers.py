@@ -42,9 +42,19 @@ def normalise_columns(df: DataFrame) -> DataFrame:
     return out.toDF(*[C.DISPLAY_NAMES.get(c, c) for c in out.columns])
 
 
+INGEST = "_ingest"
+
+
+def _with_ingest_order(raw: DataFrame) -> DataFrame:
+    """``_ingest``: the place of each row in its source (file, block, running number in the block)."""
+    m = F.col("_metadata")
+    return raw.select("*", F.struct(m["file_path"].alias("file"), m["file_block_start"].alias("block"),
+                                    F.monotonically_increasing_id().alias("row")).alias(INGEST))
+
+
 def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     df = normalise_columns(df)
-    cols = []
+    cols = [F.col(INGEST)] if INGEST in df.columns else []
     for f in schema.fields:
         if f.name in df.columns:
             cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
@@ -52,8 +62,11 @@ def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
-               require_rows: bool = True) -> DataFrame:
-    """Read a stored table, conform names and types; error if it is empty."""
+               require_rows: bool = True, ingest_order: bool = False) -> DataFrame:
+    """Read a stored table, conform names and types; error if it is empty.
+
+    ``ingest_order`` (file formats) adds ``_ingest``, which orders rows as the source holds them.
+    """
     if fmt == "parquet":
         raw = spark.read.parquet(path)
     elif fmt == "csv":
@@ -62,14 +75,16 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
         raw = read_json(spark, path)
     else:
         raw = spark.read.format(fmt).load(path)   # e.g. a document-store connector
+    if ingest_order:
+        raw = _with_ingest_order(raw)
     df = _conform(raw, schema)
     if require_rows and df.isEmpty():
         raise ValueError(f"source {path} is empty or does not exist")
     return df
 
 
-def read_retail(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return read_table(spark, path, RETAIL_SCHEMA, fmt)
+def read_retail(spark: SparkSession, path: str, fmt: str = "parquet", ingest_order: bool = False) -> DataFrame:
+    return read_table(spark, path, RETAIL_SCHEMA, fmt, ingest_order=ingest_order)
 
 
 def read_snapshot(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -85,26 +100,36 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
     return r.option("inferSchema", False).csv(path)
 
 
-def read_json(spark: SparkSession, path: str) -> DataFrame:
-    """A top-level array (one row per element), an object wrapping a list
-    (the first list-of-objects field is exploded), or a single document.
+def read_json(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """What a JSON file means depends on that file alone.
 
-    A wrapper object yields exactly one row per file; that is how it is told
-    apart from an array (ambiguous only for a one-element array whose element
-    itself holds a list of objects).
+    A top-level array gives one row per element.  An object gives the elements
+    of its first list field (in document order, of any element type); an object
+    without a list is a single document.  ``schema`` describes one row; without
+    it the rows' schema is inferred.  Elements that are not objects come back as one
+    string column ``value``.  A file is read as a whole, so it must fit into
+    a task.
     """
-    df = spark.read.option("multiLine", True).json(path)
-    if "_corrupt_record" in df.columns and len(df.columns) == 1:
+    files = spark.read.option("wholetext", True).text(path).select(F.trim(F.regexp_replace("value", r"^\s+|\s+$", "")).alias("j"))
+    lists = F.filter(F.json_object_keys("j"), lambda k: F.substring(_json_field(F.col("j"), k), 1, 1) == "[")
+    kind = F.substring("j", 1, 1)
+    body = (F.when(kind == "[", F.col("j"))
+             .when((kind == "{") & (F.size(lists) > 0), _json_field(F.col("j"), F.get(lists, F.lit(0))))
+             .when(kind == "{", F.concat(F.lit("["), F.col("j"), F.lit("]"))))
+    parsed = files.select(body.alias("b"), F.from_json(body, "array<string>").alias("e"))
+    if parsed.filter(F.col("e").isNull()).limit(1).count():
         raise ValueError("JSON file must contain an array or object at the top level.")
-    first_list = next((f for f in df.schema.fields if isinstance(f.dataType, T.ArrayType)
-                       and isinstance(f.dataType.elementType, T.StructType)), None)
-    if first_list is None:
-        return df
-    one_row_per_file = (df.groupBy(F.input_file_name()).count()
-                          .filter(F.col("count") > 1).isEmpty())
-    if one_row_per_file:
-        return df.select(F.explode(F.col(f"`{first_list.name}`")).alias("d")).select("d.*")
-    return df
+    rows = parsed.select(F.explode("e").alias("value"))
+    if not rows.filter(F.substring("value", 1, 1) == "{").limit(1).count():
+        return rows
+    if schema is None:
+        return spark.read.json(rows.rdd.map(lambda r: r["value"]))
+    return rows.select(F.from_json("value", schema).alias("r")).select("r.*")
+
+
+def _json_field(doc, key):
+    """JSON text of a top-level field whose name is itself a column."""
+    return F.call_function("get_json_object", doc, F.concat(F.lit("$['"), key, F.lit("']")))
 
 
 def fingerprint(df: DataFrame, date_col: str = "date") -> DataFrame:
@@ -144,6 +169,16 @@ def extract_if_changed(df: DataFrame, base: str, run_id: str, date_col: str = "d
     return spark.read.parquet(data_path).filter(F.col("run_id") == run_id).drop("run_id"), True
 
 
+def partition_values(spark: SparkSession, base: str, col: str) -> list[int]:
+    """Values of an integer partition column, from the folder names under ``base`` (none: no such folder)."""
+    if not _exists(spark, base):
+        return []
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    return sorted(int(n[len(col) + 1:]) for n in names if n.startswith(col + "="))
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

@@ -89,8 +89,12 @@ def retail_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
         season_of_month(F.month("date")).alias("seasonality"))
 
 
-def inventory_snapshot(spark: SparkSession, sf_dir: str, drop_missing: bool = True) -> DataFrame:
-    """Current-state row per (store, product); S005 x P0020 dropped."""
+def inventory_snapshot(spark: SparkSession, sf_dir: str, drop_missing: bool = False) -> DataFrame:
+    """Current-state row per (store, product).
+
+    ``drop_missing`` leaves out S005 x P0020: the fixture for joins that must
+    cope with a series without snapshot row (lead times, order rejects).
+    """
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus")
     qty = F.col("l_quantity")
@@ -127,7 +131,11 @@ def vendors(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("s_suppkey") % 14 + 1).cast("long").alias("lead_time_days"),
         F.element_at(F.array(*[F.lit(v) for v in C.MIN_ORDER_QTYS]), (F.col("s_suppkey") % 5 + 1).cast("int"))
          .cast("long").alias("min_order_qty"),
-        F.abs(F.col("s_acctbal")).alias("price_per_unit"))
+        F.abs(F.col("s_acctbal")).alias("price_per_unit"),
+        F.element_at(F.array(*[F.lit(r) for r in C.STORE_REGIONS.values()]), (F.col("s_suppkey") % 5 + 1).cast("int"))
+         .alias("region"),
+        (F.lit(3.5) + (F.col("s_suppkey") % 16) / F.lit(10.0)).alias("rating"),
+        F.concat(F.lower(F.replace("s_name", F.lit("#"), F.lit("."))), F.lit("@supplier.com")).alias("contact_email"))
 
 
 def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:

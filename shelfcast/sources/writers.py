@@ -37,8 +37,8 @@ def append_table(df: DataFrame, path: str, replace: bool = False) -> None:
 
 
 def write_report(df: DataFrame, path: str, fmt: str = "json") -> None:
-    """Small report frames (bounded by columns/slices, not rows) as JSON or CSV."""
-    w = df.coalesce(1).write.mode("overwrite")
+    """Report frames as JSON or CSV, written by the tasks that hold the rows (some reports have a row per series)."""
+    w = df.write.mode("overwrite")
     if fmt == "csv":
         w.option("header", True).csv(path)
     else:

@@ -2,11 +2,13 @@
 
 Input: a stream of order documents (order_id, store_id, created_at, items
 array<struct<product_id, quantity>>), one row per whole order, so an order
-is accepted or rejected atomically inside one micro-batch.  Duplicate
-deliveries are dropped with ``dropDuplicatesWithinWatermark(order_id)``.
+is accepted or rejected atomically inside one micro-batch.  No order is too
+late: repeats are found by id, not by event time.  Ids handled by batch ``b``
+are kept under ``<ledger>_applied/batch=<b>``; a batch drops repeats inside
+itself and orders that an earlier batch has handled.
 
 State: versions of the snapshot under ``<ledger>/v=<batch>``.  Batch ``b``
-reads the newest version below ``b``, applies the accepted receipts (X03)
+reads the newest version below ``b`` (found by listing the folders), applies the accepted receipts (X03)
 and overwrites ``v=b``; rejects go to ``<ledger>_rejects/batch=<b>``.  A
 replayed batch (restart after a failure) recomputes the same version from
 the same input: the sink is idempotent by batch id.
@@ -19,6 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfcast.operators import orders as OR
+from shelfcast.session import cut_lineage
+from shelfcast.sources.readers import partition_values
 
 ORDER_DOC_SCHEMA = ("order_id long, store_id string, created_at timestamp, "
                     "items array<struct<product_id:string,quantity:bigint>>")
@@ -32,37 +36,44 @@ def init_ledger(snapshot: DataFrame, ledger: str) -> None:
 
 def current_snapshot(spark: SparkSession, ledger: str, before: int | None = None) -> DataFrame:
     """The newest committed version (below ``before`` when given)."""
-    all_v = spark.read.parquet(ledger)
-    vs = all_v.select("v").distinct()
-    if before is not None:
-        vs = vs.filter(F.col("v") < before)
-    newest = vs.agg(F.max("v")).first()[0]
-    return all_v.filter(F.col("v") == newest).drop("v")
+    newest = max(v for v in partition_values(spark, ledger, "v") if before is None or v < before)
+    return spark.read.parquet(f"{ledger}/v={newest}")
+
+
+def new_orders(batch: DataFrame, ledger: str, batch_id: int) -> DataFrame:
+    """One row per order of the batch that no earlier batch has handled."""
+    spark = batch.sparkSession
+    fields = [c for c in batch.columns if c != "order_id"]
+    once = batch.groupBy("order_id").agg(F.min(F.struct(*fields)).alias("o")).select("order_id", "o.*")
+    applied = f"{ledger}_applied"
+    if any(b < batch_id for b in partition_values(spark, applied, "batch")):
+        seen = spark.read.parquet(applied).filter(F.col("batch") < batch_id).select("order_id")
+        once = once.join(seen, "order_id", "left_anti")
+    return once
 
 
 def _apply_batch(vendors: DataFrame, ledger: str):
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         snap = current_snapshot(spark, ledger, before=batch_id)
-        lines = batch.select("order_id", "store_id", F.explode("items").alias("i")).select(
+        orders = cut_lineage(new_orders(batch, ledger, batch_id))
+        lines = orders.select("order_id", "store_id", F.explode("items").alias("i")).select(
             "order_id", "store_id", "i.product_id", "i.quantity")
         ev = OR.evaluate_orders(lines, snap, vendors)
         new = OR.apply_receipts(snap, OR.priced_of(ev))
         OR.rejects_of(ev).write.mode("overwrite").parquet(f"{ledger}_rejects/batch={batch_id}")
         new.withColumn("v", F.lit(batch_id).cast("long")).write.mode("overwrite") \
            .option("partitionOverwriteMode", "dynamic").partitionBy("v").parquet(ledger)
+        orders.select("order_id").write.mode("overwrite").parquet(f"{ledger}_applied/batch={batch_id}")
     return run
 
 
 def start_ledger(spark: SparkSession, orders_dir: str, vendors: DataFrame, ledger: str, checkpoint: str,
-                 watermark: str = "7 days", available_now: bool = True,
+                 available_now: bool = True,
                  max_files_per_trigger: int | None = None) -> StreamingQuery:
     r = spark.readStream.schema(ORDER_DOC_SCHEMA)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = (r.parquet(orders_dir)
-                   .withWatermark("created_at", watermark)
-                   .dropDuplicatesWithinWatermark(["order_id"]))
-    w = stream.writeStream.foreachBatch(_apply_batch(vendors, ledger)).option("checkpointLocation", checkpoint)
+    w = r.parquet(orders_dir).writeStream.foreachBatch(_apply_batch(vendors, ledger)).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()

@@ -11,22 +11,25 @@ COLS = ["date", "store_id", "product_id", "category", "region", "units_sold", "i
         "seasonality"]
 
 
-def _retail(spark, n_days=60, series=(("S001", "P0001"), ("S001", "P0002"), ("S002", "P0001")), seed=1):
+def _retail(spark, n_days=60, series=(("A7", "K1"), ("A7", "K2"), ("B9", "K1")), seed=11):
+    """Daily rows of our own making: a weekly wave per series, with an out-of-stock day and a price cut each month."""
     rng = np.random.default_rng(seed)
     rows = []
-    for s, p in series:
+    for n, (s, p) in enumerate(series):
+        wave = 60 + 25 * n + 15 * np.sin(np.arange(n_days) * 2 * np.pi / 7)
+        units = np.maximum(0, np.round(wave + rng.normal(0, 6, n_days))).astype(int)
         for i in range(n_days):
-            rows.append((dt.date(2022, 1, 1) + dt.timedelta(days=i), s, p, "Groceries", "North",
-                         int(rng.integers(20, 200)), int(rng.integers(0, 500)), int(rng.integers(0, 170)),
-                         float(rng.uniform(50, 200)), float(rng.uniform(10, 70)), int(rng.choice([0, 5, 10])),
-                         int(rng.integers(0, 2)), float(rng.uniform(10, 70)), "Winter"))
+            cut = 20 if i % 30 == 12 else 0
+            rows.append((dt.date(2031, 3, 5) + dt.timedelta(days=i), s, p, "Snacks", "East", int(units[i]),
+                         0 if i % 30 == 20 else int(300 - units[i]), int(units[i] // 2), float(wave[i] * 1.1),
+                         12.5 + n, cut, int(cut > 0), 13.0 + n, "Spring"))
     schema = ("date date, store_id string, product_id string, category string, region string, units_sold long, "
               "inventory_level long, units_ordered long, demand_forecast double, price double, discount long, "
               "holiday_promotion int, competitor_pricing double, seasonality string")
     return spark.createDataFrame(rows, schema)
 
 
-def _snap(spark, rows=(("S001", "P0001", 3), ("S001", "P0002", 8))):
+def _snap(spark, rows=(("A7", "K1", 3), ("A7", "K2", 8))):
     return spark.createDataFrame(list(rows), "store_id string, product_id string, lead_time_days long")
 
 
@@ -42,7 +45,7 @@ def test_shape_and_nulls(spark):
 def test_median_fill_for_missing_snapshot_row(spark):
     out = FE.features_v2(_retail(spark), _snap(spark)).toPandas()
     # S002/P0001 has no snapshot row: median over joined rows of (3, 8) weighted equally = 5.5
-    assert set(out.loc[out.store_id == "S002", "lead_time_days"]) == {5.5}
+    assert set(out.loc[out.store_id == "B9", "lead_time_days"]) == {5.5}
 
 
 def test_series_isolation_and_no_leakage(spark):
@@ -64,7 +67,7 @@ def test_series_isolation_and_no_leakage(spark):
 
 def test_label_is_next_row_and_differs_from_lag(spark):
     out = FE.features_v2(_retail(spark), _snap(spark)).toPandas()
-    g = out[(out.store_id == "S001") & (out.product_id == "P0001")].sort_values("as_of_date")
+    g = out[(out.store_id == "A7") & (out.product_id == "K1")].sort_values("as_of_date")
     assert (g["y"].values[:-2] == g["sales_lag_1"].values[2:]).all()
     assert not (g["y"] == g["sales_lag_1"]).all()
 
@@ -109,3 +112,19 @@ def test_windows_vs_pandas(spark):
     assert np.allclose(m["sales_roll_mean_7"], m["m7"])
     assert np.allclose(m["sales_roll_std_7"], m["s7"])
     assert np.allclose(m["sales_ewm_28"], m["e"])
+
+
+def test_conflicting_duplicates_are_decided_by_ingest_order(spark, tmp_path):
+    from shelfcast.sources import readers as RD
+    pdf = _retail(spark, series=(("A7", "K1"),)).toPandas()
+    again = pdf.copy()
+    again["units_sold"] += 1000                         # a second, conflicting delivery of every row
+    p = str(tmp_path / "retail")
+    spark.createDataFrame(pdf).coalesce(1).write.parquet(p + "/a")
+    spark.createDataFrame(again).coalesce(1).write.parquet(p + "/b")
+    raw = RD.read_table(spark, p + "/a", RD.RETAIL_SCHEMA, ingest_order=True).unionByName(
+        RD.read_table(spark, p + "/b", RD.RETAIL_SCHEMA, ingest_order=True)).repartition(5)
+    got = FE.features_v2(raw, _snap(spark), include_created_at=False, order_col="_ingest").toPandas()
+    exp = FE.features_v2(spark.createDataFrame(pdf), _snap(spark), include_created_at=False).toPandas()
+    assert "_ingest" not in got.columns and len(got) == len(exp) > 0
+    assert got.sort_values("as_of_date")["sales_lag_1"].tolist() == exp.sort_values("as_of_date")["sales_lag_1"].tolist()

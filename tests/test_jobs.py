@@ -21,3 +21,14 @@ def test_daily_and_model_jobs(spark, sf_dir):
     assert got == {("seasonal", "val"), ("seasonal", "test"), ("tree", "val"), ("tree", "test")}
     v = spark.read.parquet(os.path.join(out, "model", "versions")).collect()
     assert len(v) == 1 and v[0]["stage"] == "Production"
+
+
+def test_second_run_makes_the_next_version(spark):
+    from shelfcast.operators import registry as R
+    none = spark.createDataFrame([], "model string, version int, stage string, test_mae double")
+    first = spark.createDataFrame([("tree", 10.0)], "winner string, winner_mae double")
+    one = R.promote(none, jobs.candidate(first, none))
+    second = spark.createDataFrame([("tree", 5.0)], "winner string, winner_mae double")
+    two = R.promote(one, jobs.candidate(second, one))
+    assert sorted((r["model"], r["version"], r["stage"]) for r in two.collect()) == [
+        ("tree", 1, "Archived"), ("tree", 2, "Production")]

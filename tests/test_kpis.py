@@ -41,3 +41,32 @@ def test_facets_one_scan(spark):
     rows = [("S1", "P1", "A", 1, 2, 3, 1), ("S2", "P1", "A", 4, 5, 6, 1)]
     f = {(r["facet"], r["key"]): r for r in K.inventory_facets(_snap(spark, rows)).collect()}
     assert f[("product", "P1")]["total_stock"] == 5 and f[("overall", None)]["total_received"] == 9
+
+
+def test_scoring_features_use_fractions_and_autumn(spark):
+    import datetime as dt
+
+    from shelfcast.operators import scoring as SC
+    hist = spark.createDataFrame([(dt.date(2031, 10, i + 1), "S1", "P1", 10 + i, 100.0, 80.0, 20, 1, 9.0, "Autumn")
+                                  for i in range(10)], "date date, store_id string, product_id string, units_sold long, "
+                                 "price double, competitor_pricing double, discount long, holiday_promotion int, "
+                                 "demand_forecast double, seasonality string")
+    r = SC.scoring_features(hist, _snap(spark, [("S1", "P1", "Dairy", 5, 1, 1, 3)]).withColumn(
+        "region", K.F.lit("West")), discount_unit="percent").first()
+    assert r["effective_price"] == 80.0 and r["discount"] == 0.2 and r["discount_x_holiday"] == 0.2
+    assert r["seasonality_enc"] == 3
+
+
+def test_slice_names_are_the_encoders(spark):
+    from shelfcast.operators import bias as B
+    rows = [(c, 10.0 + c, 10.0) for c in (-1, 0, 1, 4) for _ in range(12)]
+    df = spark.createDataFrame(rows, "category_enc int, y double, pred double")
+    got = {r["slice_val"] for r in B.model_slice_bias(df, "pred").collect()}
+    assert got == {"Unknown", "Groceries", "Snacks", "Personal Care"}
+
+
+def test_insight_cards_ties_and_fallback(spark):
+    rows = [("S1", f"P{i}", "A", 200, 3650, 3900, 5) for i in range(3)] + [("S2", "P1", "A", 900, 365, 1300, 5)]
+    c = {r["store_id"]: r for r in K.insight_cards(K.inventory_kpis(_snap(spark, rows))).collect()}
+    assert c["S1"]["top_product"] == "P0" and c["S1"]["supply_product"] == "P0" and c["S1"]["variance_units"] == 50
+    assert c["S2"]["supply_card"] == "lowest_supply" and c["S2"]["best_product"] == "P1"

@@ -22,14 +22,54 @@ def _series_frame(spark, n=200, seed=3):
                                        "y double, holiday_promotion double, price_vs_competitor double")
 
 
+def _ridge_by_hand(pdf, regs, ridge=1.0, hinges=25, upto=0.8, weekly=3, yearly=10):
+    """The model's definition solved another way: least squares with penalty rows (the intercept is free)."""
+    pdf = pdf.sort_values("as_of_date")
+    train = (pdf["split"] == "train").to_numpy()
+    days = np.array([d.toordinal() for d in pdf["as_of_date"]], float)
+    years = (days - days[train].min()) / 365.25
+    last = years[train].max()
+    columns = [np.ones(len(pdf)), years]
+    columns += [np.where(years > k, years - k, 0) for k in [(i + 1) * upto * last / (hinges + 1) for i in range(hinges)]]
+    for period, order in ((7 / 365.25, weekly), (1.0, yearly)):
+        for k in range(1, order + 1):
+            columns += [np.sin(2 * np.pi * k * years / period), np.cos(2 * np.pi * k * years / period)]
+    for r in regs:
+        x = pdf[r].to_numpy(float)
+        columns.append((x - x[train].mean()) / (x[train].std() or 1.0))
+    a = np.stack(columns, axis=1)
+    penalty = np.sqrt(ridge) * np.diag([0.0] + [1.0] * (a.shape[1] - 1))
+    y = pdf["y"].to_numpy(float).clip(min=0)
+    coef = np.linalg.lstsq(np.vstack([a[train], penalty]), np.concatenate([y[train], np.zeros(a.shape[1])]), rcond=None)[0]
+    return pd.Series((a @ coef).clip(min=0), index=pdf.index)
+
+
+def test_unseen_series_are_coded_minus_one_inside_a_fold(spark):
+    start = dt.date(2021, 1, 1)
+    rows = [(f"S1_P{p}", "S1", f"P{p}", start + dt.timedelta(days=i), float(i), float(p + i))
+            for p, first in ((1, 0), (2, 0), (3, 230)) for i in range(first, 400)]
+    df = spark.createDataFrame(rows, "series_id string, store_id string, product_id string, as_of_date date, "
+                                     "sales_lag_1 double, y double")
+    folds = FC.fold_inputs(df, n_folds=3)
+    assert len(folds) >= 2
+    for _, fold in folds:
+        pdf = fold.toPandas()
+        tr = pdf[pdf["role"] == "train"]
+        known = set(tr["series_id"])
+        assert set(pdf[~pdf["series_id"].isin(known)]["series_enc"]) <= {-1}
+        assert abs(tr["sales_lag_1"].mean()) < 1e-9 and abs(tr["sales_lag_1"].std(ddof=0) - 1) < 1e-9
+    first = folds[0][1].toPandas()
+    assert "S1_P3" not in set(first[first["role"] == "train"]["series_id"])
+
+
 def test_series_ridge_equals_direct_numpy_fit(spark):
     df = _series_frame(spark)
     regs = ["holiday_promotion", "price_vs_competitor"]
     got = FC.fit_predict_series(df, regressors=regs).filter(F.col("store_id") == "S1").toPandas()
     pdf = df.filter(F.col("store_id") == "S1").toPandas()
-    exp = FC._fit_predict(pdf, dict(FC.SERIES_DEFAULTS), regs, 30)   # the same fit, called directly
-    m = got.merge(exp, on="as_of_date", suffixes=("", "_e"))
-    assert np.allclose(m["prediction"], m["prediction_e"])
+    pdf["prediction_e"] = _ridge_by_hand(pdf, regs)
+    m = got.merge(pdf[["as_of_date", "prediction_e"]], on="as_of_date")
+    assert np.allclose(m["prediction"], m["prediction_e"], atol=1e-6)
     test = m[m["split"] == "test"]
     naive = np.abs(test["y"].values[1:] - test["y"].values[:-1]).mean()
     assert np.abs(test["y"] - test["prediction"]).mean() < naive      # beats the naive lag-1 baseline

@@ -2,6 +2,7 @@ import datetime as dt
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import functions as F
 
 from shelfcast.operators import quality as Q
 from shelfcast.operators import splits as SP
@@ -43,6 +44,26 @@ def test_split_and_folds_arithmetic(spark):
     assert f[0]["n_train"] == step + 1 and f[0]["n_val"] == 60
 
 
+def test_folds_with_other_parameters(spark):
+    days = [dt.date(2020, 1, 1) + dt.timedelta(days=i) for i in range(300)]
+    df = spark.createDataFrame([(d, "S1") for d in days], "as_of_date date, store_id string")
+    f = SP.walk_forward_folds(df, n_splits=3, gap_days=7, val_days=20).orderBy("fold_number").collect()
+    step = (299 - 27) // 3
+    assert [r["train_end"] for r in f] == [days[0] + dt.timedelta(days=step * i) for i in (1, 2, 3)]
+    for r in f:
+        assert (r["val_start"] - r["train_end"]).days == 7 and (r["val_end"] - r["val_start"]).days <= 20
+        assert r["n_train"] == (r["train_end"] - days[0]).days + 1
+        assert r["n_val"] == (r["val_end"] - r["val_start"]).days
+
+
+def test_quantiles_of_tied_values_collect_nothing(spark):
+    from shelfcast.functions import quantiles as QT
+    df = spark.range(200_000).select(F.when(F.col("id") % 100 == 0, F.col("id").cast("double")).otherwise(F.lit(7.25)).alias("x"))
+    x = np.where(np.arange(200_000) % 100 == 0, np.arange(200_000), 7.25)
+    got = QT.exact_quantiles(df, "x", [0.001, 0.5, 0.9995], max_in_bracket=500, accuracy=100)
+    assert np.allclose(got, np.quantile(x, [0.001, 0.5, 0.9995]))
+
+
 def test_dense_index_is_sorted_position(spark):
     ids = [f"S{i % 7}_P{i:04d}" for i in range(500)]
     df = spark.createDataFrame([(x,) for x in ids], "series_id string")

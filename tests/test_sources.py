@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from shelfcast.operators import forecast as FC
 from shelfcast.sources import readers as RD
-from shelfcast.sources import synth as SY
 from shelfcast.sources import writers as WR
 
 
@@ -34,18 +33,23 @@ def test_csv_blank_is_null_and_names_conformed(spark):
     assert r["store_id"] == "S001" and r["current_stock"] is None and r["lead_time_days"] == 3
 
 
-def test_synth_invariants(spark):
-    inv = SY.synth_inventory(spark, 5, 20, seed=7)
-    rows = inv.collect()
-    assert len(rows) == 100
-    assert all(r["total_units_received"] - r["total_units_sold"] - r["current_stock"] in range(0, 201) for r in rows)
-    low = sum(r["current_stock"] <= 30 for r in rows)
-    assert 10 <= low <= 50
-    rd = SY.synth_retail(inv, days=30, seed=7)
-    assert rd.count() == 3000 and rd.filter(F.col("inventory_level") < 0).count() == 0
-    assert SY.synth_vendors(spark).select("category").distinct().count() == 10
-    # deterministic
-    assert sorted(SY.synth_inventory(spark, 5, 20, seed=7).collect()) == sorted(rows)
+def _json(d, name, value):
+    with open(os.path.join(d, name), "w") as f:
+        json.dump(value, f)
+
+
+def test_json_layout_depends_on_each_file_alone(spark):
+    d = tempfile.mkdtemp()
+    order = {"order_id": 1, "items": [{"p": "a"}, {"p": "b"}]}
+    _json(d, "one.json", [order])                       # an array of one stays an array
+    _json(d, "two.json", [order, order])
+    _json(d, "wrap.json", {"zeta": [{"order_id": 7}], "alpha": [{"order_id": 8}]})  # first list in the document wins
+    one = RD.read_json(spark, os.path.join(d, "one.json")).collect()
+    assert [(r["order_id"], len(r["items"])) for r in one] == [(1, 2)]
+    both = RD.read_json(spark, os.path.join(d, "*.json"), "order_id long").collect()
+    assert sorted(r["order_id"] for r in both) == [1, 1, 1, 7]
+    _json(d, "scalars.json", {"name": "x", "values": [1, 2.5, "t"]})
+    assert [r["value"] for r in RD.read_json(spark, os.path.join(d, "scalars.json")).collect()] == ["1", "2.5", "t"]
 
 
 def test_extract_if_changed_reuses_copy(spark):
@@ -99,3 +103,10 @@ def test_reports_gate_schema_and_contacts(spark):
     OR.record_contacts(sub, p)
     got = spark.read.parquet(p)
     assert got.count() == 2 and "created_at" in got.columns
+
+
+def test_reports_are_written_by_the_tasks_that_hold_the_rows(spark):
+    d = tempfile.mkdtemp()
+    WR.write_report(spark.range(100).repartition(5), os.path.join(d, "r"))
+    assert spark.read.json(os.path.join(d, "r")).count() == 100
+    assert sum(f.startswith("part-") for f in os.listdir(os.path.join(d, "r"))) == 5

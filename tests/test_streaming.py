@@ -36,6 +36,49 @@ def test_ledger_stream_matches_batch_and_ignores_duplicates(spark, sf_dir):
     assert a == b
 
 
+def _files(spark, sf_dir, src, years=2, per_year=4):
+    """Order documents as ``per_year`` files for each of the first years; returns (documents, file paths in order)."""
+    docs = T.orders_nested(spark, sf_dir)
+    first = [r[0] for r in docs.select(F.year("created_at").alias("y")).distinct().orderBy("y").limit(years).collect()]
+    used = docs.filter(F.year("created_at").isin(first)).withColumn("y", F.year("created_at"))
+    used = used.withColumn("k", F.pmod(F.xxhash64("order_id"), F.lit(per_year)))
+    paths = []
+    for y in first:
+        for k in range(per_year):
+            p = os.path.join(src, f"{y}-{k}")
+            used.filter((F.col("y") == y) & (F.col("k") == k)).drop("y", "k").coalesce(1).write.parquet(p)
+            paths.append(p)
+    return used.drop("y", "k"), paths
+
+
+def _touch_in_order(paths):
+    """The file source takes files by modification time."""
+    for i, p in enumerate(paths):
+        for f in os.listdir(p):
+            os.utime(os.path.join(p, f), (1_700_000_000 + 10 * i,) * 2)
+
+
+def test_ledger_takes_late_files_and_repeats_of_earlier_batches(spark, sf_dir):
+    base = tempfile.mkdtemp(prefix="ledger-")
+    src, led = os.path.join(base, "in"), os.path.join(base, "ledger")
+    snap, ven = T.inventory_snapshot(spark, sf_dir, drop_missing=True), T.vendors(spark, sf_dir)
+    docs, paths = _files(spark, sf_dir, src)
+    repeat = os.path.join(src, "repeat")
+    spark.read.parquet(paths[3]).coalesce(1).write.parquet(repeat)
+    _touch_in_order([*reversed(paths), repeat])  # newest year first, one file per batch, a repeat at the end
+    ledger.init_ledger(snap, led)
+    q = ledger.start_ledger(spark, src + "/*", ven, led, os.path.join(base, "ck"), max_files_per_trigger=1)
+    q.awaitTermination()
+    lines = docs.select("order_id", "store_id", F.explode("items").alias("i")).select(
+        "order_id", "store_id", "i.product_id", "i.quantity")
+    exp = OR.apply_receipts(snap, OR.order_pricing(lines, snap, ven))
+    cols = ["store_id", "product_id", "current_stock", "total_units_received"]
+    assert sorted(ledger.current_snapshot(spark, led).select(*cols).collect()) == sorted(exp.select(*cols).collect())
+    applied = spark.read.parquet(led + "_applied")
+    assert applied.count() == applied.select("order_id").distinct().count() == docs.count()
+    assert applied.select("batch").distinct().count() >= 8
+
+
 def _run_ingest(spark, sf_dir, order):
     base = tempfile.mkdtemp(prefix="ingest-")
     retail = T.retail_daily(spark, sf_dir)

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 # Default bound for broadcasting a dimension-like frame (rows).  Beyond it the
 # join stays a shuffle join (AQE may still pick broadcast from runtime size).
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 64 << 20
+# estimated bytes of a value; strings and nested values count as 64
+_WIDTH = {"boolean": 8, "byte": 8, "short": 8, "integer": 8, "long": 8, "float": 8, "double": 8, "date": 8, "timestamp": 8}
 
 
 def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
@@ -37,13 +40,15 @@ def bounded_broadcast(small: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_RO
     shared checkpoint folder (``spark.checkpoint.dir``), so the size check and
     the join read it once, it survives executor loss, and — unlike a cached
     frame, which Spark matches by plan — a later run over changed input files
-    cannot pick up stale rows.  Above the bound the join stays a shuffle join.
+    cannot pick up stale rows.  Above the bound in rows, or in estimated bytes (rows times the
+    width of the columns), the join stays a shuffle join.
     """
     from shelfcast.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(small.sparkSession)
     small = small.checkpoint(eager=True)
     n = small.limit(max_rows + 1).count()
-    return F.broadcast(small) if n <= max_rows else small
+    width = sum(_WIDTH.get(f.dataType.typeName(), 64) for f in small.schema.fields)
+    return F.broadcast(small) if n <= max_rows and n * width <= MAX_BROADCAST_BYTES else small
 
 
 def join_small(big: DataFrame, small: DataFrame, on: Sequence[str] | str, how: str = "left",

@@ -101,13 +101,14 @@ def join_lead_times(retail: DataFrame, snapshot: DataFrame, fill: str = "median"
             .drop("__lead_median"))
 
 
-def store_weights(df: DataFrame, store_col: str = "store_id") -> DataFrame:
+def store_weights(df: DataFrame, store_col: str = "store_id", counts_col: str | None = None) -> DataFrame:
     """J08/W10 helper: per-store inverse-frequency weight frame (store, sample_weight).
 
     Shares are taken over the non-null store ids; a store's weight is
-    1/max(share, 1e-6) clipped to [0.1, 10].
+    1/max(share, 1e-6) clipped to [0.1, 10].  ``counts_col``: rows stand for that many.
     """
-    counts = df.filter(F.col(store_col).isNotNull()).groupBy(store_col).agg(F.count(F.lit(1)).alias("__n"))
+    n = F.count(F.lit(1)) if counts_col is None else F.sum(counts_col)
+    counts = df.filter(F.col(store_col).isNotNull()).groupBy(store_col).agg(n.alias("__n"))
     total = counts.agg(F.sum("__n").alias("__total"))
     shares = attach_row(counts, total)
     share = F.col("__n") / F.col("__total")

@@ -17,10 +17,12 @@ New daily rows arrive as files; each micro-batch ``b`` is processed by
 Storage is append-only and idempotent by batch id (a replayed batch
 overwrites its own ``batch_id=b`` partitions and reads only batches < b):
 ``hist/`` rows + EWM state, ``feat/`` emitted feature rows, ``epoch/``
-rewound series.  A row of a series is valid when its batch id is at least
-the series' epoch.  The two table-wide statistics (store shares, median lead
-time) come from key-only scans of the valid history and are re-applied at
-read time (``read_features``), so earlier rows never go stale.  The
+rewound series, ``stats/`` the number of rows each series gained.  A row of a
+series is valid when its batch id is at least the series' epoch.  The two
+table-wide statistics (store shares, median lead time) are sums of the batches'
+counts, taken and applied at read time (``read_features``), so earlier rows
+never go stale, no batch scans the history for them, and no file is shared
+between batches.  The
 checkpoint replaces the source's fingerprint file.
 """
 
@@ -36,7 +38,7 @@ from shelfcast.functions import scalar as S
 from shelfcast.functions.ewm import ewm_adjust_false
 from shelfcast.functions.joins import bounded_broadcast
 from shelfcast.operators import features as FE
-from shelfcast.session import ensure_checkpoint_dir
+from shelfcast.session import cut_lineage, ensure_checkpoint_dir
 from shelfcast.sources.readers import RETAIL_SCHEMA
 
 KEYS = ["store_id", "product_id"]
@@ -90,22 +92,23 @@ def _process(snapshot: DataFrame, base: str, horizon: int):
         hist = _valid(spark, base, "hist", b, before=True)
         if hist is not None:
             hist = hist.drop("batch_id")
-        touched = new.select(*KEYS).distinct().checkpoint(eager=True)
+        touched = new.select(*KEYS).distinct()
         if hist is None:
             h_t = None
             fresh, late_keys = new, None
         else:
-            h_t = hist.join(F.broadcast(touched) if touched.count() < 1_000_000 else touched, KEYS, "left_semi")
+            h_t = hist.join(touched, KEYS, "left_semi")
             known = h_t.select(*KEYS, "date")
             fresh = new.join(known, KEYS + ["date"], "left_anti")      # a re-delivered day keeps the first copy
             last = h_t.groupBy(*KEYS).agg(F.max("date").alias("_last"))
             late_keys = (fresh.join(last, KEYS, "inner").filter(F.col("date") <= F.col("_last"))
                               .select(*KEYS).distinct().checkpoint(eager=True))
         out_hist, out_feat = [], []
-        # the table-wide statistics over all valid rows including this batch
-        all_rows = fresh.select(*KEYS) if h_t is None else hist.select(*KEYS).unionByName(fresh.select(*KEYS))
-        weights = FE.store_weights(all_rows).checkpoint(eager=True)
-        med = FE.lead_time_median(all_rows, snapshot).checkpoint(eager=True)
+        # what this batch adds to the table-wide statistics; readers fill in their values
+        fresh.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n")).write.mode("overwrite") \
+             .parquet(os.path.join(base, "stats", f"batch_id={b}"))
+        weights = spark.createDataFrame([], "store_id string, sample_weight double")
+        med = spark.range(1).select(F.lit(None).cast("double").alias("lead_median"))
         # --- append path ------------------------------------------------------------------
         app_new = fresh if late_keys is None else fresh.join(late_keys, KEYS, "left_anti")
         if h_t is not None:
@@ -143,8 +146,6 @@ def _process(snapshot: DataFrame, base: str, horizon: int):
         f_out = out_feat[0] if len(out_feat) == 1 else out_feat[0].unionByName(out_feat[1])
         h_out.write.mode("overwrite").parquet(os.path.join(hist_p, f"batch_id={b}"))
         f_out.write.mode("overwrite").parquet(os.path.join(feat_p, f"batch_id={b}"))
-        weights.write.mode("overwrite").parquet(os.path.join(base, "weights"))
-        med.write.mode("overwrite").parquet(os.path.join(base, "lead_median"))
     return run
 
 
@@ -161,9 +162,11 @@ def start_ingest(spark: SparkSession, retail_dir: str, snapshot: DataFrame, base
 def read_features(spark: SparkSession, base: str, snapshot: DataFrame) -> DataFrame:
     """The maintained features with the current table-wide statistics re-applied."""
     f = _valid(spark, base, "feat", None).drop("batch_id", "sample_weight")
-    w = spark.read.parquet(os.path.join(base, "weights"))
-    med = spark.read.parquet(os.path.join(base, "lead_median")).select("lead_median").scalar()
+    counts = spark.read.parquet(os.path.join(base, "stats")).groupBy(*KEYS).agg(F.sum("n").alias("n"))
+    counts = cut_lineage(counts)                                  # one row per series
+    w = FE.store_weights(counts, counts_col="n")
     snap = snapshot.select(*KEYS, F.col("lead_time_days").cast("double").alias("_lead"))
+    med = counts.join(snap, KEYS, "left").agg(F.percentile("_lead", F.lit(0.5), F.col("n"))).scalar()
     f = f.join(bounded_broadcast(w), "store_id", "left").join(snap, KEYS, "left")
     lead = F.coalesce(F.col("_lead"), med)
     return f.withColumns({

@@ -14,11 +14,11 @@ by surrogates of the same kind, format and script:
 
 A surrogate is a function of a secret key, the kind and the canonical entity
 (SHA-256), so one entity has one surrogate in all documents and in all its
-formats (coreference; a person known by titles of
-different gender counts as different persons).  Collision checks keep distinct entities distinct: where
-two entities of a kind get one surrogate, or a surrogate equals an entity that
-occurs in the corpus, all but the smallest entity (all, in the second case) draw
-again with the next attempt number, until no collision is left.
+formats (coreference; a person known by titles of different gender counts as
+different persons).  Collision checks keep distinct entities distinct: where two
+entities of a kind get one surrogate, or a surrogate equals an entity that occurs
+in the corpus, all but the smallest entity (all, in the second case) draw again
+with the next attempt number, until no collision is left.
 
 Entities meet for these checks as distinct values (aggregated map-side first).
 Replacement needs no join in general, as attempt 0 is computed in place; only
@@ -147,7 +147,9 @@ def surrogate(key: str, kind: Column, norm: Column, attempt: Column) -> Column:
     def made(h: Column) -> Column:
         chars = F.split(norm, "")
         is_hex = (kind == "secret") & (F.regexp_like(norm, F.lit(r"^[0-9a-f]+$")) | F.regexp_like(norm, F.lit(r"^[0-9A-F]+$")))
-        classed = _by_class(h, chars, is_hex)
+        return bind(_by_class(h, chars, is_hex), lambda classed: chosen(h, classed))
+
+    def chosen(h: Column, classed: Column) -> Column:
         # an address keeps its top domain
         mail = F.concat(F.regexp_extract(classed, r"^(.*\.)[^.]*$", 1), F.regexp_extract(norm, r"([^.]*)$", 1))
         octets = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)),
@@ -156,7 +158,7 @@ def surrogate(key: str, kind: Column, norm: Column, attempt: Column) -> Column:
         head = F.substr(classed, F.lit(1), F.length(classed) - 1)
         card = F.concat(head, F.pmod(luhn(norm) - bind(F.concat(head, F.lit("0")), luhn), F.lit(10)).cast("string"))
         return (F.when(kind == "email", mail).when(kind == "ip", octets).when(kind == "card", card)
-                .when(kind == "phone", classed).when(kind.startswith("person"), _person(h, kind, norm, classed)).otherwise(classed))
+                .when(kind.startswith("person"), _person(h, kind, norm, classed)).otherwise(classed))
     return bind(hexes, made)
 
 
@@ -180,15 +182,17 @@ def rendered(kind: Column, entity: Column, canon: Column) -> Column:
         at = F.transform(chars, lambda c, i: F.length(F.regexp_replace(F.substr(entity, F.lit(1), i), r"\D", "")))
         return F.array_join(F.zip_with(chars, at, lambda c, k: F.when(
             c.between("0", "9"), F.substr(d, k + 1, F.lit(1))).otherwise(c)), "")
-    shouted = (F.upper(entity) == entity) & (F.lower(entity) != entity)
-    # a phone number keeps its country code
-    code = F.regexp_extract(entity, r"^(\+\d{1,3})(?:[ .(-])", 1)
-    n_code = F.greatest(F.length(code) - 1, F.lit(0))
-    phone = F.concat(F.regexp_replace(code, r"\+", ""), F.substr(canon, n_code + 1, F.length(canon)))
-    return (F.when(kind == "phone", digits_into(phone)).when(kind.isin("card", "ssn"), digits_into(canon))
-            .when(kind == "email", F.when(shouted, F.upper(canon)).otherwise(canon))
-            .when(kind == "secret", F.concat(F.regexp_extract(entity, r"^(.*?)[A-Za-z0-9+/_=-]+$", 1), canon))
-            .when(kind.startswith("person"), F.concat(F.regexp_extract(entity, rf"^({TITLE} )", 1), canon)).otherwise(canon))
+
+    def formatted(c: Column) -> Column:
+        shouted = (F.upper(entity) == entity) & (F.lower(entity) != entity)
+        # a phone number keeps its country code
+        code = F.regexp_extract(entity, r"^\+(\d{1,3})[ .(-]", 1)
+        digits = F.when(kind == "phone", F.concat(code, F.substr(c, F.length(code) + 1, F.length(c)))).otherwise(c)
+        return (F.when(kind.isin("phone", "card", "ssn"), bind(digits, digits_into))
+                .when(kind == "email", F.when(shouted, F.upper(c)).otherwise(c))
+                .when(kind == "secret", F.concat(F.regexp_extract(entity, r"^(.*?)[A-Za-z0-9+/_=-]+$", 1), c))
+                .when(kind.startswith("person"), F.concat(F.regexp_extract(entity, rf"^({TITLE} )", 1), c)).otherwise(c))
+    return bind(canon, formatted)
 
 
 def _described(entities: Column) -> Column:

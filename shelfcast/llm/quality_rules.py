@@ -175,5 +175,8 @@ def quality_rules(docs: DataFrame, text_col: str = "text", rules: LineRules | No
         (100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words"))
     df = df.withColumn("base_failed", base_failed)
     df = df.withColumn("kept", ~F.col("base_failed") & (F.col("kept_chars") >= rules.min_kept_ratio * F.col("word_chars")))
+    # The generator is a border for the optimiser: a filter on a result column is not pushed below it, where
+    # every step above would be written out again inside the condition.
     rest = without(docs, RESULT)
-    return df.select(*[F.col("row").getField(c).alias(c) for c in rest], *RESULT)
+    df = df.select("row", F.explode(F.array(F.struct(*RESULT))).alias("result"))
+    return df.select(*[F.col("row").getField(c).alias(c) for c in rest], *[F.col(f"result.{c}") for c in RESULT])

@@ -48,6 +48,8 @@ from pyspark.sql import functions as F
 
 from shelfcast.llm.common import quoted, ship, stage
 
+# bands of lengths that open sequences together; more bands come closer to one piece at a time
+BANDS = 64
 # letters whose lower case and composed form are the same in every Unicode version
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 SIMPLE = re.compile(rf"([{LETTERS}]*)([!-&(-/:-@\[-`{{-~]*)")
@@ -176,9 +178,11 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int
     while left := sorted((n for n in counts if placed[n] < counts[n]), reverse=True):
         free.sort(reverse=True)
         widest = free[0][0] if free else 0
-        # pieces beyond every gap open sequences: one each over half the capacity, else as many as their tokens fill
-        beyond = [(n, counts[n] - placed[n]) for n in left if n > widest]
-        need = max(sum(c for n, c in beyond if 2 * n > capacity), -(-sum(n * c for n, c in beyond) // capacity))
+        # of the pieces beyond every gap the longest (a band of lengths of which equally many share a sequence)
+        # open sequences; the others may still find gaps
+        beyond = [n for n in left if n > widest]
+        alike = [n for n in beyond if capacity // n == capacity // beyond[0] and n > beyond[0] - max(1, capacity // BANDS)]
+        need = -(-sum(counts[n] - placed[n] for n in alike) // (capacity // beyond[0])) if beyond else 0
         if need:
             free.insert(0, (capacity, sequences, need, 0))
             sequences += need

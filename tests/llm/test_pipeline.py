@@ -56,7 +56,7 @@ def test_run_equals_its_stages(spark):
 
 
 def test_stages_take_odd_rows(spark):
-    docs = documents(spark, [None, "", "word " * 30, None, "A full sentence, with words enough to pass, one two three four five six seven eight nine ten."],
+    docs = documents(spark, [None, "", "word " * 30, None, "A full sentence, with words enough to pass, one two three four five six seven eight nine ten eleven twelve."],
                      [None, 1, 2, 2, 3], clashes=True)
     for _, fn in corpus_pipeline.STAGES[:-1]:
         docs_out = fn(spark, docs, SF)

@@ -26,21 +26,54 @@ from pyspark.sql import functions as F
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], max_in_bracket: int = 100_000,
                     accuracy: int = 10_000) -> list[float | None]:
-    x = F.col(col).cast("double")
-    vals = df.select(x.alias("v")).filter(F.col("v").isNotNull())
-    n = vals.count()
-    if n == 0:
-        return [None for _ in probs]
-    out = []
-    for p in probs:
-        h = (n - 1) * float(p)
-        lo_k, hi_k = math.floor(h), math.ceil(h)       # 0-based order statistics needed
-        frac = h - lo_k
-        need = sorted({lo_k, hi_k})
-        got = {}
-        for k in need:
-            got[k] = _order_statistic(vals, n, k, max_in_bracket, accuracy)
-        out.append(got[lo_k] + (got[hi_k] - got[lo_k]) * frac)
+    """Exact quantiles of one column (None for each if it has no value)."""
+    return exact_quantiles_of(df, [col], probs, max_in_bracket, accuracy)[col]
+
+
+def exact_quantiles_of(df: DataFrame, cols: Sequence[str], probs: Sequence[float], max_in_bracket: int = 100_000,
+                       accuracy: int = 10_000) -> dict[str, list[float | None]]:
+    """Exact quantiles of several columns in three aggregates over ``df``; only order statistics whose
+    bracket does not come out small (heavy ties) are searched one by one."""
+    vals = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)])
+    qs = [q for p in probs for q in (max(0.0, p - 3 / accuracy), min(1.0, p + 3 / accuracy))]
+    first = vals.agg(*[x for i in range(len(cols)) for x in (
+        F.count(f"v{i}").alias(f"n{i}"), F.percentile_approx(f"v{i}", qs, accuracy).alias(f"q{i}"))]).first()
+    # (column, probability) -> bracket, and how many values lie below and inside it
+    brackets = {(i, j): tuple(first[f"q{i}"][2 * j:2 * j + 2]) for i in range(len(cols)) if first[f"n{i}"]
+                for j in range(len(probs))}
+    if not brackets:
+        return {c: [None] * len(probs) for c in cols}
+    second = vals.agg(*[x for (i, j), (a, b) in brackets.items() for x in (
+        F.count_if(F.col(f"v{i}") < a).alias(f"lt_{i}_{j}"),
+        F.count_if(F.col(f"v{i}").between(a, b)).alias(f"in_{i}_{j}"))]).first()
+    need, direct = {}, {}
+    for (i, j), (a, b) in brackets.items():
+        h = (first[f"n{i}"] - 1) * float(probs[j])
+        lo, hi = math.floor(h), math.ceil(h)
+        below, inside = second[f"lt_{i}_{j}"], second[f"in_{i}_{j}"]
+        need[i, j] = (lo, hi, h - lo)
+        if below <= lo and hi < below + inside and (a == b or inside <= max_in_bracket):
+            direct[i, j] = (a, b, below)
+    wide = {k: v for k, v in direct.items() if v[0] < v[1]}
+    third = vals.agg(*[F.sort_array(F.collect_list(F.when(F.col(f"v{i}").between(a, b), F.col(f"v{i}")))).alias(f"s_{i}_{j}")
+                       for (i, j), (a, b, _) in wide.items()]).first() if wide else {}
+
+    def value(i: int, j: int, k: int) -> float:
+        if (i, j) not in direct:
+            some = vals.select(F.col(f"v{i}").alias("v")).filter(F.col("v").isNotNull())
+            return _order_statistic(some, first[f"n{i}"], k, max_in_bracket, accuracy)
+        a, b, below = direct[i, j]
+        return float(a) if a == b else float(third[f"s_{i}_{j}"][k - below])
+    out = {}
+    for i, c in enumerate(cols):
+        out[c] = []
+        for j in range(len(probs)):
+            if (i, j) not in need:
+                out[c].append(None)
+                continue
+            lo, hi, frac = need[i, j]
+            x = value(i, j, lo)
+            out[c].append(x if lo == hi else x + (value(i, j, hi) - x) * frac)
     return out
 
 

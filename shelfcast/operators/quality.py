@@ -72,32 +72,27 @@ def outliers(df: DataFrame, cols: Sequence[str] = C.OUTLIER_COLUMNS, z: float =
              share_threshold: float = C.OUTLIER_SHARE_THRESHOLD) -> DataFrame:
     """Q05-Q07: z-score (population std) or percentile outliers per column.
 
-    Pass 1 is one global aggregate of mean, population std and, for integral
-    columns, the two exact percentiles (linear interpolation; the
-    value->count map of ``percentile`` is bounded by the count domain).
-    Continuous columns get their exact percentiles from
-    ``exact_quantiles`` (approximate brackets + exact counting: no unbounded
-    map, bounded driver payload); ``approx=True`` uses ``percentile_approx``.
+    Pass 1 is one global aggregate of mean and population std; the two exact
+    percentiles (linear interpolation) of all columns come from
+    ``exact_quantiles_of`` (approximate brackets + exact counting: no value map,
+    bounded driver payload); ``approx=True`` uses ``percentile_approx``.
     Pass 2 counts outliers with the statistics attached as constants.  Nulls
     are dropped per column; zero variance gives no z outliers.
     """
-    from shelfcast.functions.quantiles import exact_quantiles
+    from shelfcast.functions.quantiles import exact_quantiles_of
     cols = [c for c in cols if c in df.columns]
     if not cols:
         return df.sparkSession.createDataFrame(
             [], "column string, outlier_count bigint, z_score_outliers bigint, percentile_outliers bigint, "
                 "total_values bigint, outlier_percentage double, is_anomaly boolean, severity string")
     st = []
-    integral = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)
+    exact = {} if approx else exact_quantiles_of(df, cols, [low, high])
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
         if approx:
             pct = F.percentile_approx(x, [low, high], 10000)
-        elif isinstance(df.schema[c].dataType, integral):
-            pct = F.percentile(x, F.array(F.lit(low), F.lit(high)))
         else:
-            lo_v, hi_v = exact_quantiles(df, c, [low, high])
-            pct = F.array(F.lit(lo_v).cast("double"), F.lit(hi_v).cast("double"))
+            pct = F.array(*[F.lit(v).cast("double") for v in exact[c]])
         st += [F.avg(x).alias(f"mu{i}"), F.stddev_pop(x).alias(f"sd{i}"), pct.alias(f"p{i}")]
     stats = df.agg(*st)
     j = attach_row(df.select(*cols), stats)

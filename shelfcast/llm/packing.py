@@ -64,7 +64,7 @@ class WordTokenizer(dict):
     memory is emptied when it holds ``most`` chunks.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 800_000):
         from tokenizers import Tokenizer
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model

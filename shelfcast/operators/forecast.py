@@ -183,7 +183,8 @@ def gbt_pipeline(features: Sequence[str], params: dict | None = None, weight: st
 def _prepare(df: DataFrame, features: Sequence[str]) -> DataFrame:
     # The tree library of the source treats missing values natively; Spark's
     # trees need numbers: missing features become 0.
-    return df.fillna(0, subset=list(features)).withColumn("y", F.col("y").cast("double"))
+    df = df.fillna(0, subset=list(features))
+    return df.withColumn("y", F.col("y").cast("double")) if "y" in df.columns else df  # rows to score have no label
 
 
 def fit_gbt(train: DataFrame, val: DataFrame | None, features: Sequence[str], params: dict | None = None,

@@ -5,8 +5,10 @@ least ``min_words`` words are normalised (lower case, runs of white space to
 one blank) and grouped by a 128-bit digest over the whole corpus.  Each group
 keeps its earliest occurrence, ranked by ``doc_id``, text digest and position;
 the others are cut out of their texts.  ``spans`` retains where they stood:
-offsets (code points from 0) and lengths in the original text.  Shorter units
-(headings, set phrases) carry too little to call them a copied passage and stay.
+offsets (code points from 0) and lengths in the original text.  With
+``min_words`` 1 (the registered query) every unit that holds a word is grouped;
+a higher minimum is an option that leaves short units (headings, set phrases)
+alone.  Units without a word always stay.
 
 Only digests, ids and positions are shuffled for grouping; a digest that holds
 a large part of all rows goes through the bounded part of

@@ -1,5 +1,6 @@
 """Line windows, unit hashing and SimHash against brute force."""
 
+import json
 import random
 from collections import defaultdict
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.llm.common import join_by_key
 from shelfcast.llm.line_dedup import line_dedup
+from shelfcast.llm.queries import queries
 from shelfcast.llm.simhash import components, simhash_components, simhash_dedup
 from shelfcast.llm.substring_dedup import substring_dedup
 
@@ -98,6 +100,17 @@ def test_units_match_brute_force(spark):
         assert [(s.start, s.length) for s in r.spans] == spans and r.n_removed == len(spans)
 
 
+def test_registered_units_include_short_lines(spark, tmp_path):
+    long_line = " ".join(f"w{i}" for i in range(12))
+    texts = [f"Menu\nOne two three\n\n{long_line}\nown a", f"Menu\none  two THREE\n\n{long_line}\nown b", "Menu\n\nown c"]
+    documents(spark, texts).write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries()["op9_substring_dedup"](spark, str(tmp_path)).orderBy("doc_id").collect()
+    assert [r.text for r in got] == [texts[0], "\nown b", "\nown c"]
+    assert [(r.n_units, r.n_removed) for r in got] == [(5, 0), (5, 3), (3, 1)]
+    assert json.loads(got[1].spans) == [{"start": 0, "length": 4}, {"start": 5, "length": 14},
+                                        {"start": 21, "length": len(long_line)}]
+
+
 def test_paragraph_units(spark):
     p = " ".join(f"w{i}" for i in range(60))
     got = substring_dedup(documents(spark, [f"{p}\n\nown text", f"intro\n\n{p}"]), unit="paragraph").orderBy("doc_id").collect()

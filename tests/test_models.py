@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.operators import forecast as FC
 from shelfcast.operators import intent as IN
+from shelfcast.plans import q_models
 
 
 def _series_frame(spark, n=200, seed=3):
@@ -130,3 +131,17 @@ def test_tree_random_search_trials(spark):
     t = FC.tune_gbt(df, ["sig", "noise"], n_trials=2, n_folds=2, space=space).orderBy("trial").toPandas()
     assert list(t["trial"]) == [0, 1] and (t["state"] == "COMPLETE").all()
     assert set(t.loc[0, "params"]) == set(space) and (t["mae"] > 0).all()
+
+
+def test_registered_tree_search_covers_the_whole_budget(spark, sf_dir, monkeypatch):
+    asked = []
+
+    def counted(train, features, params, folds):  # the fits themselves are tested above
+        asked.append((params, [f for f, _ in folds]))
+        return train.sparkSession.createDataFrame([(1.0,)], "mae double")
+    monkeypatch.setattr(FC, "walk_forward_eval", counted)
+    t = q_models.q_gbt_tuning(spark, sf_dir).toPandas()
+    assert sorted(t["trial"]) == list(range(50)) and len(asked) == 50
+    assert all(len(folds) == 5 for _, folds in asked)
+    depth, trees = ({p[k] for p, _ in asked} for k in ("maxDepth", "maxIter"))
+    assert min(depth) >= 3 and max(depth) > 8 and min(trees) >= 100 and max(trees) > 700

@@ -6,7 +6,8 @@ by surrogates of the same kind, format and script:
 * an e-mail address keeps its separators, digits, number of labels and top
   domain; letters become letters of the same script and case;
 * phone and card numbers keep their punctuation and length, a card number also
-  whether its Luhn sum holds; a phone number keeps its country code;
+  whether its Luhn sum holds; a phone number keeps its country code, which the
+  numbering plan (ITU E.164) tells from the digits, with or without separator;
 * an IPv4 address stays one; a secret (``token = "..."``) keeps its length and,
   if it is hexadecimal, stays hexadecimal;
 * a person after a title keeps the title (so the gender) and gets a given name of
@@ -18,7 +19,11 @@ formats (coreference; a person known by titles of different gender counts as
 different persons).  Collision checks keep distinct entities distinct: where two
 entities of a kind get one surrogate, or a surrogate equals an entity that occurs
 in the corpus, all but the smallest entity (all, in the second case) draw again
-with the next attempt number, until no collision is left.
+with the next attempt number, until no collision is left.  The checks compare
+what is emitted: country codes are in place, and persons count as one kind
+whatever their title.  Short phone numbers and single names have few values;
+where these cannot hold the entities and as many surrogates outside the corpus
+(:func:`crowded`), only distinctness within a kind is checked.
 
 Entities meet for these checks as distinct values (aggregated map-side first).
 Replacement needs no join in general, as attempt 0 is computed in place; only
@@ -32,6 +37,8 @@ input column named like a result column is replaced.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,6 +80,8 @@ KINDS = {
 ANY = "|".join(f"(?:{p})" for p in KINDS.values())
 # a text that has none of these holds no entity: most texts end here
 HINT = rf"[@\d]|(?<!\p{{L}}){TITLE} \p{{Lu}}|[=:]\s*[\"']"
+# country codes of the numbering plan: no code begins another one, unassigned ones have three digits
+CODE = r"^\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 RESULT = ["text", "n_entities"]
 PIECE = 32  # hex digits of one digest used per PIECE characters
 
@@ -91,9 +100,13 @@ def kind_of(entity: Column) -> Column:
 
 
 def canonical(kind: Column, entity: Column) -> Column:
-    """What two mentions of one entity share: digits of a number, lower case of an address, the secret, the name."""
+    """What two mentions of one entity share: digits of a number, lower case of an address, the secret, the name.
+
+    A phone number with a country code keeps its ``+``.
+    """
     digits = F.regexp_replace(entity, r"\D", "")
-    return (F.when(kind.isin("phone", "card", "ssn"), digits)
+    return (F.when(kind == "phone", F.concat(F.regexp_extract(entity, r"^\+?", 0), digits))
+            .when(kind.isin("card", "ssn"), digits)
             .when(kind == "secret", F.regexp_extract(entity, r"([A-Za-z0-9+/_=-]+)$", 1))
             .when(kind == "email", F.lower(entity))
             .when(kind.startswith("person"), F.regexp_replace(entity, rf"^{TITLE} ", ""))
@@ -157,7 +170,11 @@ def surrogate(key: str, kind: Column, norm: Column, attempt: Column) -> Column:
         # the last digit of a card number restores its Luhn remainder
         head = F.substr(classed, F.lit(1), F.length(classed) - 1)
         card = F.concat(head, F.pmod(luhn(norm) - bind(F.concat(head, F.lit("0")), luhn), F.lit(10)).cast("string"))
+        # a phone number keeps its country code
+        code = F.regexp_extract(norm, CODE, 0)
+        phone = F.concat(code, F.substr(classed, F.length(code) + 1, F.length(classed)))
         return (F.when(kind == "email", mail).when(kind == "ip", octets).when(kind == "card", card)
+                .when(kind == "phone", phone)
                 .when(kind.startswith("person"), _person(h, kind, norm, classed)).otherwise(classed))
     return bind(hexes, made)
 
@@ -185,10 +202,7 @@ def rendered(kind: Column, entity: Column, canon: Column) -> Column:
 
     def formatted(c: Column) -> Column:
         shouted = (F.upper(entity) == entity) & (F.lower(entity) != entity)
-        # a phone number keeps its country code
-        code = F.regexp_extract(entity, r"^\+(\d{1,3})[ .(-]", 1)
-        digits = F.when(kind == "phone", F.concat(code, F.substr(c, F.length(code) + 1, F.length(c)))).otherwise(c)
-        return (F.when(kind.isin("phone", "card", "ssn"), bind(digits, digits_into))
+        return (F.when(kind.isin("phone", "card", "ssn"), bind(F.ltrim(c, F.lit("+")), digits_into))
                 .when(kind == "email", F.when(shouted, F.upper(c)).otherwise(c))
                 .when(kind == "secret", F.concat(F.regexp_extract(entity, r"^(.*?)[A-Za-z0-9+/_=-]+$", 1), c))
                 .when(kind.startswith("person"), F.concat(F.regexp_extract(entity, rf"^({TITLE} )", 1), c)).otherwise(c))
@@ -206,18 +220,58 @@ def _found(docs: DataFrame, text: Column) -> Column:
         F.array().cast("array<string>"))
 
 
+def family(kind: Column) -> Column:
+    """What collision checks take as one kind: persons of all titles."""
+    return F.when(kind.startswith("person"), "person").otherwise(kind)
+
+
+def room(kind: Column, norm: Column) -> tuple[Column, Column]:
+    """Format that a phone number or a single name shares with its surrogates, and log2 of the number of its values.
+
+    Any other entity stands for itself, with a null number: its values are not counted.
+    """
+    counted = (kind == "phone") | (kind.startswith("person") & (F.instr(norm, " ") == 0))
+    classes = ["0123456789", *LOWER.values(), *UPPER.values()]
+    code = F.when(kind == "phone", F.regexp_extract(norm, CODE, 0)).otherwise("")
+    free = F.translate(F.substr(norm, F.length(code) + 1, F.length(norm)),
+                       "".join(classes), "".join(c[0] * len(c) for c in classes))
+    bits = F.lit(0.0)
+    for c in classes:
+        bits = bits + (F.length(free) - F.length(F.replace(free, F.lit(c[0]), F.lit("")))) * F.lit(math.log2(len(c)))
+    return F.when(counted, F.concat(code, free)).otherwise(norm), F.when(counted, bits)
+
+
+def crowded(known: DataFrame) -> DataFrame:
+    """(fam, shape, n): formats with too few values for the ``n`` entities and as many surrogates outside the corpus."""
+    shape, bits = room(F.col("kind"), F.col("norm"))
+    names = known.withColumns({"shape": shape, "bits": bits}).where("bits > 0 AND bits < 40") \
+        .groupBy("fam", "shape", "bits", "norm").agg(F.count("*").alias("n"))
+    return names.groupBy("fam", "shape", "bits").agg(F.sum("n").alias("n"), F.count("*").alias("real")) \
+        .where(F.col("n") + F.col("real") > F.pow(F.lit(2.0), "bits") + 0.5).select("fam", "shape", "n")
+
+
 def attempts(entities: DataFrame, key: str) -> DataFrame:
     """(kind, norm, attempt) of the entities whose first surrogate collides; ``entities``: kind, norm."""
-    known = stage(entities.groupBy("kind", "norm").agg(F.count("*").alias("n")), "entities")
+    known = stage(entities.groupBy("kind", "norm").agg(F.count("*").alias("n")).withColumn("fam", family(F.col("kind"))),
+                  "entities")
+    full = stage(crowded(known), "crowded")
+    if has_rows(full):
+        shaped = known.withColumnsRenamed({"n": "mentions"}).withColumn("shape", room(F.col("kind"), F.col("norm"))[0])
+        met = join_by_key(shaped, full, ["fam", "shape"], ["kind", "norm"], "n", full.agg(F.sum("n")).first()[0])
+        known = stage(met.select("kind", "norm", F.col("mentions").alias("n"), F.col("n").isNotNull().alias("full"),
+                                 F.when(F.col("n").isNull(), F.col("fam")).otherwise(F.col("kind")).alias("fam")), "entities")
+    else:
+        known = known.withColumn("full", F.lit(False))
     current = known.withColumn("attempt", F.lit(0))
+    me = F.struct("norm", "kind")
     while True:
         drawn = current.withColumn("s", surrogate(key, F.col("kind"), F.col("norm"), F.col("attempt")))
         drawn = stage(drawn, "surrogates")
-        real = known.select("kind", F.col("norm").alias("s"))
-        taken = drawn.join(real, ["kind", "s"], "left_semi").select("kind", "norm")
+        real = known.where(~F.col("full")).select("fam", F.col("norm").alias("s"))
+        taken = drawn.join(real, ["fam", "s"], "left_semi").select("kind", "norm")
         # the smallest entity keeps a shared surrogate: partial aggregation, no group is gathered
-        shared = drawn.groupBy("kind", "s").agg(F.min("norm").alias("keeper"), F.count("*").alias("many")).where("many > 1")
-        twice = drawn.join(shared, ["kind", "s"]).where("norm <> keeper").select("kind", "norm")
+        shared = drawn.groupBy("fam", "s").agg(F.min(me).alias("keeper"), F.count("*").alias("many")).where("many > 1")
+        twice = drawn.join(shared, ["fam", "s"]).where(me != F.col("keeper")).select("kind", "norm")
         again = stage(taken.unionAll(twice).distinct(), "collisions")
         if not has_rows(again):
             return drawn.where("attempt > 0").select("kind", "norm", "attempt", "n")

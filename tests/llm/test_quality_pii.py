@@ -114,6 +114,39 @@ def test_collisions_are_resolved(spark):
     assert not set(found) & set(entities)
 
 
+def test_country_code_is_part_of_the_number(spark):
+    got = run_pii(spark, ["call +14155550123 now", "call +1 415 555 0123 now", "call +1 (415) 555-0123 now",
+                          "call +493012345678 now", "call +49 30 1234 5678 now"])
+    digits = [re.sub(r"\D", "", g) for g in got]
+    assert digits[0] == digits[1] == digits[2] and digits[3] == digits[4]
+    assert re.fullmatch(r"1\d{10}", digits[0]) and digits[0] != "14155550123"
+    assert re.fullmatch(r"49\d{10}", digits[3]) and digits[3] != "493012345678"
+    assert re.fullmatch(r"call \+1 \(\d{3}\) \d{3}-\d{4} now", got[2])
+
+
+def test_collisions_are_checked_on_the_emitted_number(spark):
+    # 1500 numbers of one code among 10,000
+    entities = [f"+49 {i // 100:02d} {i % 100:02d}" for i in range(1500)]
+    found = [g.removeprefix("call ").removesuffix(" now") for g in run_pii(spark, [f"call {e} now" for e in entities])]
+    assert all(re.fullmatch(r"\+49 \d\d \d\d", f) for f in found)
+    assert len(set(found)) == len(entities) and not set(found) & set(entities)
+
+
+def test_collisions_are_checked_across_titles(spark):
+    # 240 of 676 names under three titles
+    names = [chr(65 + i // 26) + chr(97 + i % 26) for i in range(240)]
+    got = run_pii(spark, [f"met {('Mr', 'Ms', 'Dr')[i % 3]} {n}." for i, n in enumerate(names)])
+    found = [re.fullmatch(r"met (?:Mr|Ms|Dr) ([A-Z][a-z])\.", g)[1] for g in got]
+    assert len(set(found)) == len(names) and not set(found) & set(names)
+
+
+def test_crowded_numbers_stay_distinct(spark):
+    # 60 of the 100 numbers of code 385 with two more digits: no 60 others exist
+    entities = [f"+3 85 {i:02d}" for i in range(60)]
+    found = [g.removeprefix("call ") for g in run_pii(spark, [f"call {e}" for e in entities])]
+    assert len(set(found)) == len(entities) and all(f.startswith("+3 85 ") for f in found)
+
+
 def test_pii_edges(spark):
     texts = edge_texts()
     assert run_pii(spark, texts)[:4] == texts[:4]

@@ -13,9 +13,9 @@ Line rules (each a parameter of :class:`LineRules`):
   short line of menu words, fails;
 * boilerplate: a line of at most ``boilerplate_words`` words with a known
   pattern (cookie notice, "all rights reserved", licence line) fails; so does a
-  line that starts with a phrase of up to three words four times in a row, a
-  line without lower-case letters that is longer than a heading, and a repeat
-  of a line seen earlier in the document.
+  line with a phrase of up to three words four times in a row, a line without
+  lower-case letters that is longer than a heading, and a repeat of a line seen
+  earlier in the document.
 
 Blank lines are neutral.  Document rules: at least ``min_words`` words, at most
 ``max_repeat_words`` of the words inside 8-word windows that the text repeats,
@@ -48,8 +48,9 @@ MARK = r"[.!?;:,…。！？]"
 CELL = r"[|>•»·]"
 # what the counted rules look for: one scan finds the few lines that need counting
 NOISE = r"[!?]{2}|[|>•»·#*$%&<]"
-# a phrase of up to three words, four times in a row at the start of a line
-PHRASE = r"^\s*(\S+(?:\s+\S+){0,2}?)(?:\s+\1){3}(?:\s|$)"
+# a phrase of up to three words, four times in a row from any word on (\s is ASCII white space)
+PHRASE = (r"(?<!\S)(?:(\S++)(?:\s++\1){3}|(\S++)\s++(\S++)(?:\s++\2\s++\3){3}"
+          r"|(\S++)\s++(\S++)\s++(\S++)(?:\s++\4\s++\5\s++\6){3})(?!\S)")
 MENU = (r"(?i)^\W*((home|login|log in|sign in|sign up|register|about( us)?|contact( us)?|menu|search|next|previous"
         r"|share|tweet|sitemap|faq|help)(\W+|$))+$")
 
@@ -105,8 +106,7 @@ def repeated_window_words(digests: Column, k: int) -> Column:
 def line_verdict(line: Column, rules: LineRules, symbols_at_all: Column) -> Column:
     """True if a line passes the rules that need no other line (blank lines pass).
 
-    The words of a line are counted as its blanks plus one; ``symbols_at_all``
-    (of the document) saves the symbol counts where there is none.
+    ``symbols_at_all`` (of the document) saves the symbol counts where there is none.
     """
     def count(pattern: str) -> Column:
         return F.regexp_count(line, F.lit(pattern))
@@ -122,8 +122,7 @@ def line_verdict(line: Column, rules: LineRules, symbols_at_all: Column) -> Colu
         return ~(((n > rules.heading_words) & (~has(MARK) | ~has(r"\p{Ll}") & has(r"\p{Lu}"))) | has(PHRASE)
                  | F.when(has(NOISE), symbols | cells | bursts).otherwise(F.lit(False))
                  | ((n <= rules.boilerplate_words) & (has(MENU) | has(BOILERPLATE))))
-    blanks = F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit("")))
-    return ~has(WORD) | bind(blanks + 1, judged)
+    return ~has(WORD) | bind(count(WORD), judged)
 
 
 def first_of_equal_lines(lines: Column) -> Column:

@@ -49,6 +49,14 @@ def test_lines_fail_one_by_one(spark):
     assert all(r.clean_text == SENTENCE for r in got[:len(bad) + 1])
 
 
+def test_words_of_a_line_are_counted_whatever_parts_them(spark):
+    tabbed = "\t".join(f"word{i}" for i in range(20))
+    good = [f"{tabbed}, 5% more.", " " * 40 + "An indented heading", "   ".join(["A", "wide", "heading", "of", "six", "words"])]
+    bad = [tabbed, "now and then\tspam eggs spam  eggs\tspam eggs spam eggs again.", "so it went on and on and on and on and on."]
+    got = quality_rules(documents(spark, [f"{SENTENCE}\n{x}" for x in good + bad])).orderBy("doc_id").collect()
+    assert [r.n_lines_removed for r in got] == [0] * len(good) + [1] * len(bad)
+
+
 def test_documents_that_lose_too_much_are_rejected(spark):
     junk = "\n".join(f"x{i}!! y{i}!! z{i}!! w{i}!!" for i in range(20))
     got = quality_rules(documents(spark, [f"{SENTENCE} {SENTENCE.upper()}", f"{SENTENCE}\n{junk}", None, "", SENTENCE + " " + SENTENCE[2:]]))

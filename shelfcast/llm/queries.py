@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfcast.llm.alignment import token_alignment
 from shelfcast.llm.common import in_training
 from shelfcast.llm.decontamination import decontaminate
 from shelfcast.llm.katz import katz_scores
 from shelfcast.llm.line_dedup import line_dedup
+from shelfcast.llm.mixing import mix
 from shelfcast.llm.packing import pack
 from shelfcast.llm.pii import surrogates
 from shelfcast.llm.quality_rules import quality_rules
@@ -20,6 +22,7 @@ from shelfcast.llm.substring_dedup import substring_dedup
 from shelfcast.llm.toxicity import fit as fit_toxicity
 from shelfcast.llm.toxicity import score_toxicity
 from shelfcast.llm.url_filter import Rule, filter_urls
+from shelfcast.llm.whitening import fit_whitening, whitened_components
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,9 +65,9 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
-    return str(public_tokenizers.path("word_bpe_49k.json"))
+    return str(public_tokenizers.path(name))
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,8 +99,29 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "fingerprint", "component_id")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings on the first 16 principal components of the distinct integer vectors."""
+    return whitened_components(fit_whitening(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", components=16))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded by both tokenizers; groups, links and corpus-wide pair counts."""
+    return token_alignment(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
+                           tokenizer_path("piece_bpe_32k.model"))
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to 150 % of their words, sources weighing 5, 2, 1 in turn, at most twice each."""
+    return mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), budget=1.5, most=2).select(
+        "doc_id", "source", "size", "source_size", "target", "taken")
+
+
+QUERIES = (op1_toxicity, op2_katz_backoff, op3_url_filter, op4_line_dedup, op5_decontamination, op6_packing, op7_quality_rules,
+           op8_pii_surrogates, op9_substring_dedup, op10_simhash_dedup, op11_whitening, op12_token_alignment, op13_mixing)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_katz_backoff, op3_url_filter, op4_line_dedup, op5_decontamination, op6_packing, op7_quality_rules, op8_pii_surrogates, op9_substring_dedup, op10_simhash_dedup)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -88,8 +88,8 @@ def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line hashing over all documents, every line with a word: cleaned texts and the spans cut out."""
-    return substring_dedup(table(spark, sf_dir, "documents"), min_words=1).select(
+    """Line hashing over all documents, every line with a word: texts without repeated passages, and the spans cut out."""
+    return substring_dedup(table(spark, sf_dir, "documents")).select(
         "doc_id", "text", "n_units", "n_removed", F.to_json("spans").alias("spans"))
 
 

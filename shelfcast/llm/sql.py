@@ -4,6 +4,8 @@ The rank ends in a text digest only to part rows that share a ``doc_id``; ids ar
 unique in the test tables, so the SQL ranks by id and position.
 """
 
+from shelfcast.llm.substring_dedup import MIN_RUN_WORDS
+
 BLANK = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 LINE_DEDUP = f"""
@@ -42,13 +44,18 @@ WITH raw AS (
     coalesce(list_sum([length(lines[v + 1]) + 1 FOR v IN range(u)]), 0) AS start,
     [w FOR w IN string_split_regex(trim(lines[u + 1], {BLANK}), '[\\x20\\x09-\\x0D]+') IF w <> ''] AS words
   FROM raw, unnest(range(len(lines))) AS r(u)
-), ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY lower(array_to_string(words, ' ')) ORDER BY doc_id, u) AS rn
-  FROM units WHERE len(words) >= 10
+), worded AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY u) AS w,
+    row_number() OVER (PARTITION BY lower(array_to_string(words, ' ')) ORDER BY doc_id, u) AS rn
+  FROM units WHERE len(words) > 0
+), repeats AS (
+  SELECT *, w - row_number() OVER (PARTITION BY doc_id ORDER BY u) AS run FROM worded WHERE rn > 1
+), passages AS (
+  SELECT *, sum(len(words)) OVER (PARTITION BY doc_id, run) AS run_words FROM repeats
 ), gone AS (
   SELECT doc_id, list(u) AS l,
     '[' || string_agg('{{"start":' || CAST(start AS BIGINT) || ',"length":' || length(x) || '}}', ',' ORDER BY u) || ']' AS spans
-  FROM ranked WHERE rn > 1 GROUP BY doc_id
+  FROM passages WHERE run_words >= {MIN_RUN_WORDS} GROUP BY doc_id
 )
 SELECT raw.doc_id,
   CASE WHEN l IS NULL THEN text

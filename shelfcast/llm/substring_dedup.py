@@ -1,18 +1,24 @@
 """Substring dedup by line or paragraph hashing (operator 9).
 
-A text is cut into units (lines, or paragraphs at blank lines).  Units of at
-least ``min_words`` words are normalised (lower case, runs of white space to
-one blank) and grouped by a 128-bit digest over the whole corpus.  Each group
-keeps its earliest occurrence, ranked by ``doc_id``, text digest and position;
-the others are cut out of their texts.  ``spans`` retains where they stood:
-offsets (code points from 0) and lengths in the original text.  With
-``min_words`` 1 (the registered query) every unit that holds a word is grouped;
-a higher minimum is an option that leaves short units (headings, set phrases)
-alone.  Units without a word always stay.
-
-Only digests, ids and positions are shuffled for grouping; a digest that holds
-a large part of all rows goes through the bounded part of
-:func:`~shelfcast.llm.common.join_by_key`.
+A text is cut into units (lines, or paragraphs at blank lines).  Every unit that
+holds a word is normalised (lower case, runs of white space to one blank) and
+grouped by a 128-bit digest over the whole corpus, however short it is.  Each
+group has an earliest occurrence, ranked by ``doc_id``, text digest and position;
+the others are *repeats*.
+
+What goes is a repeated *passage*: a run of adjacent repeats (units without a word
+between them do not end it) that together have at least ``min_run_words`` words.
+A heading, a set phrase or a short list entry that many documents share is a
+repeat too, but alone it is no passage and stays; the same line inside a longer
+repeated stretch goes with it.  ``min_run_words=1`` cuts every repeat.  The first
+occurrence of each unit always stays.  Units without a word always stay.
+``spans`` retains where the cut units stood: offsets (code points from 0) and
+lengths in the original text.
+
+Only digests, ids, positions and word counts are shuffled for grouping; a digest that
+holds a large part of all rows goes through the bounded part of
+:func:`~shelfcast.llm.common.join_by_key`.  Runs are found per document over its
+repeats, on the partitioning that brings them together.
 
 Defined results: a null text stays null with no spans, an empty one stays
 empty.  A null ``doc_id`` ranks after all others.  Rows equal in id and text are
@@ -30,18 +36,29 @@ from shelfcast.llm.common import add_columns, bind, fresh, join_by_key, quoted,
 BLOCK = 256
 SEPARATOR = {"line": "\n", "paragraph": "\n\n"}
 RESULT = ["text", "n_units", "n_removed", "spans"]
+MIN_RUN_WORDS = 15   # words that make a run of repeated units a passage: about a sentence
 
 
-def units(docs: DataFrame, id_col: str, text_col: str, unit: str, min_words: int) -> DataFrame:
-    """One row per unit of enough words: digest (h1, h2), document (d, t) and unit number (u)."""
+def units(docs: DataFrame, id_col: str, text_col: str, unit: str) -> DataFrame:
+    """One row per unit with a word: digest (h1, h2), document (d, t), unit number (u), its number among these (w), words (k)."""
     text = quoted(text_col)
     parts = F.transform(F.split(text, SEPARATOR[unit]), lambda x, i: F.struct(words_of(x).alias("w"), i.alias("u")))
-    digests = F.transform(F.filter(parts, lambda s: F.size(s["w"]) >= min_words), lambda s: F.struct(
-        F.lower(F.array_join(s["w"], " ")).alias("x"), s["u"].alias("u")))
-    df = docs.where(text.isNotNull()).select(quoted(id_col).alias("d"), text_key(text).alias("t"),
-                                             F.explode(digests).alias("s"))
-    df = df.select("d", "t", F.col("s.u").alias("u"), F.col("s.x").alias("x"))
-    return df.select(F.xxhash64("x").alias("h1"), F.xxhash64(F.lit("u"), "x").alias("h2"), "d", "t", "u")
+    worded = F.transform(F.filter(parts, lambda s: F.size(s["w"]) > 0), lambda s, i: F.struct(
+        F.lower(F.array_join(s["w"], " ")).alias("x"), s["u"].alias("u"), i.alias("w"), F.size(s["w"]).alias("k")))
+    df = docs.where(text.isNotNull()).select(quoted(id_col).alias("d"), text_key(text).alias("t"), F.explode(worded).alias("s"))
+    df = df.select("d", "t", "s.u", "s.w", "s.k", "s.x")
+    return df.select(F.xxhash64("x").alias("h1"), F.xxhash64(F.lit("u"), "x").alias("h2"), "d", "t", "u", "w", "k")
+
+
+def runs(repeats: DataFrame, min_run_words: int) -> DataFrame:
+    """(d, t, gone): the units of each document that stand in long enough runs of adjacent repeats."""
+    per_document = repeats.groupBy("d", "t").agg(F.array_sort(F.collect_set(F.struct("w", "u", "k"))).alias("r"))
+    # in ascending order, number less position is the same within a run and differs between runs
+    marked = per_document.select("d", "t", F.explode(F.transform("r", lambda s, i: F.struct(
+        (s["w"] - i).alias("run"), s["u"].alias("u"), s["k"].alias("k")))).alias("s")).select("d", "t", "s.run", "s.u", "s.k")
+    long = marked.groupBy("d", "t", "run").agg(F.sum("k").alias("words"), F.collect_list("u").alias("us"))
+    return long.where(F.col("words") >= min_run_words).groupBy("d", "t").agg(
+        F.array_sort(F.flatten(F.collect_list("us"))).alias("gone"))
 
 
 def _sum(values: Column) -> Column:
@@ -61,19 +78,18 @@ def running(n: Column, sums: Column, i: Column) -> Column:
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: str = "line",
-                    min_words: int = 10) -> DataFrame:
-    """``docs`` with repeated units cut from ``text``; ``n_units``, ``n_removed`` and ``spans`` describe the cuts."""
+                    min_run_words: int = MIN_RUN_WORDS) -> DataFrame:
+    """``docs`` with repeated passages cut from ``text``; ``n_units``, ``n_removed`` and ``spans`` describe the cuts."""
     d, t, g = fresh(docs, "_d", "_t", "_gone")
-    many = stage(units(docs, id_col, text_col, unit, min_words), "units")
+    many = stage(units(docs, id_col, text_col, unit), "units")
     rank = F.struct(F.col("d").isNull().alias("z"), F.col("d").alias("d"), F.col("t").alias("t"), F.col("u").alias("u"))
     firsts = stage(many.groupBy("h1", "h2").agg(F.min(rank).alias("first"), F.max(rank).alias("last"),
                                                 F.count("*").alias("n"))
                    .where(F.col("first") != F.col("last")).drop("last"), "unit-firsts")
     total = firsts.agg(F.sum("n")).first()[0] or 0
     met = join_by_key(many, firsts, ["h1", "h2"], ["d", "t", "u"], "n", total)
-    gone = (met.where(F.col("first").isNotNull() & (rank != F.col("first")))
-            .groupBy("d", "t").agg(F.array_sort(F.collect_set("u")).alias("gone"))
-            .withColumnsRenamed({"d": d, "t": t, "gone": g}))
+    repeats = met.where(F.col("first").isNotNull() & (rank != F.col("first")))
+    gone = runs(repeats, min_run_words).withColumnsRenamed({"d": d, "t": t, "gone": g})
     text, sep = quoted(text_col), SEPARATOR[unit]
     met = docs.join(gone, quoted(id_col).eqNullSafe(F.col(d)) & (text_key(text) == F.col(t)), "left")
     parts = F.split(text, sep)

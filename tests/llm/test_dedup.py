@@ -75,40 +75,60 @@ def test_dedup_edges(spark):
         # repeated rows: one document, one result
         twice = op(documents(spark, ["a b\nc d\ne f"] * 3, [7, 7, 7])).select("text").distinct().collect()
         assert [r.text for r in twice] == ["a b\nc d\ne f"]
+    assert [r.text for r in substring_dedup(documents(spark, [None, "", " ", "x " * 20, "X " * 20], [None, 1, 2, None, 3]))
+            .orderBy(F.col("doc_id").isNull(), "doc_id", "text").collect()] == ["", " ", "X " * 20, None, ""]
+
+
+def brute_passages(texts, least, sep="\n"):
+    """[(text, spans)]: every repeat is known, those in runs of at least ``least`` words go (blank units between do not count)."""
+    seen, out = set(), []
+    for text in texts:
+        parts = text.split(sep)
+        keys = [" ".join(p.split()).lower() for p in parts]
+        repeat = []
+        for k in keys:
+            repeat.append(k != "" and k in seen)
+            seen.add(k)
+        gone, run = set(), []
+        for u, k in [*enumerate(keys), (len(keys), "end")]:
+            if u < len(keys) and repeat[u]:
+                run.append(u)
+            elif k != "":
+                if sum(len(keys[r].split()) for r in run) >= least:
+                    gone |= set(run)
+                run = []
+        spans, at = [], 0
+        for u, p in enumerate(parts):
+            if u in gone:
+                spans.append((at, len(p)))
+            at += len(p) + len(sep)
+        out.append((sep.join(p for u, p in enumerate(parts) if u not in gone), spans))
+    return out
 
 
-def test_units_match_brute_force(spark):
+def test_passages_match_brute_force(spark):
     rng = random.Random(5)
-    passages = [" ".join(rng.choice("abcdefghij") for _ in range(rng.randint(8, 15))) for _ in range(6)]
-    texts = ["\n".join(rng.choice([*passages, *(p.upper() + "  " for p in passages), "short one", ""]) for _ in range(rng.randint(1, 700 if i == 3 else 7)))
-             for i in range(30)]
-    got = substring_dedup(documents(spark, texts)).orderBy("doc_id").collect()
-    seen = set()
-    for r, text in zip(got, texts, strict=True):
-        left, spans, at = [], [], 0
-        for unit in text.split("\n"):
-            words = unit.split()
-            key = " ".join(words).lower()
-            if len(words) >= 10 and key in seen:
-                spans.append((at, len(unit)))
-            else:
-                left.append(unit)
-                if len(words) >= 10:
-                    seen.add(key)
-            at += len(unit) + 1
-        assert r.text == "\n".join(left)
-        assert [(s.start, s.length) for s in r.spans] == spans and r.n_removed == len(spans)
-
-
-def test_registered_units_include_short_lines(spark, tmp_path):
+    lines = [" ".join(rng.choice("abcdefghij") for _ in range(rng.randint(1, 15))) for _ in range(14)]
+    texts = ["\n".join(rng.choice([*lines, *(p.upper() + "  " for p in lines), *(f"own {i} {j}" for j in range(9)), "", " \t"])
+                       for _ in range(rng.randint(1, 700 if i == 3 else 9))) for i in range(40)]
+    for least in (1, 8, 15, 10**6):
+        got = substring_dedup(documents(spark, texts), min_run_words=least).orderBy("doc_id").collect()
+        for r, (text, spans) in zip(got, brute_passages(texts, least), strict=True):
+            assert r.text == text and [(s.start, s.length) for s in r.spans] == spans and r.n_removed == len(spans)
+    assert all(not s for _, s in brute_passages(texts, 10**6)) and any(s for _, s in brute_passages(texts, 15))
+
+
+def test_short_lines_go_inside_a_passage_only(spark, tmp_path):
     long_line = " ".join(f"w{i}" for i in range(12))
     texts = [f"Menu\nOne two three\n\n{long_line}\nown a", f"Menu\none  two THREE\n\n{long_line}\nown b", "Menu\n\nown c"]
     documents(spark, texts).write.parquet(str(tmp_path / "documents.parquet"))
     got = queries()["op9_substring_dedup"](spark, str(tmp_path)).orderBy("doc_id").collect()
-    assert [r.text for r in got] == [texts[0], "\nown b", "\nown c"]
-    assert [(r.n_units, r.n_removed) for r in got] == [(5, 0), (5, 3), (3, 1)]
+    assert [r.text for r in got] == [texts[0], "\nown b", texts[2]]
+    assert [(r.n_units, r.n_removed) for r in got] == [(5, 0), (5, 3), (3, 0)]
     assert json.loads(got[1].spans) == [{"start": 0, "length": 4}, {"start": 5, "length": 14},
                                         {"start": 21, "length": len(long_line)}]
+    assert [(r.text, spans) for r, spans in zip(got, [json.loads(r.spans) for r in got])] == [
+        (t, [{"start": a, "length": n} for a, n in s]) for t, s in brute_passages(texts, 15)]
 
 
 def test_paragraph_units(spark):

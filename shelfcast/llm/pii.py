@@ -16,14 +16,22 @@ by surrogates of the same kind, format and script:
 A surrogate is a function of a secret key, the kind and the canonical entity
 (SHA-256), so one entity has one surrogate in all documents and in all its
 formats (coreference; a person known by titles of different gender counts as
-different persons).  Collision checks keep distinct entities distinct: where two
-entities of a kind get one surrogate, or a surrogate equals an entity that occurs
-in the corpus, all but the smallest entity (all, in the second case) draw again
-with the next attempt number, until no collision is left.  The checks compare
+different persons).  Collision checks keep distinct entities distinct: a draw is
+settled unless it equals an entity that occurs in the corpus, a surrogate
+settled before, or the draw of a smaller entity of its kind.  Only entities that lose
+draw again, with the next attempt number, until none is left.  The checks compare
 what is emitted: country codes are in place, and persons count as one kind
-whatever their title.  Short phone numbers and single names have few values;
-where these cannot hold the entities and as many surrogates outside the corpus
-(:func:`crowded`), only distinctness within a kind is checked.
+whatever their title.
+
+A format (:func:`room`) is what an entity shares with all its surrogates, such as
+the country code and length of a phone number.  While its entities and as many
+surrogates fill at most three quarters of its values, one draw in four succeeds at
+the least, so the number of rounds grows as the logarithm of the number of losers.  A fuller, *crowded*
+format is not drawn but permuted: each entity moves to another value by a keyed
+permutation without fixed points (:func:`permuted`), so its surrogates differ by construction,
+without a round.  What cannot hold there: that surrogates avoid all entities
+of the corpus, as the values do not suffice; and persons are distinct within
+their title's gender only, with given names replaced letter by letter.
 
 Entities meet for these checks as distinct values (aggregated map-side first).
 Replacement needs no join in general, as attempt 0 is computed in place; only
@@ -83,6 +91,10 @@ HINT = rf"[@\d]|(?<!\p{{L}}){TITLE} \p{{Lu}}|[=:]\s*[\"']"
 # country codes of the numbering plan: no code begins another one, unassigned ones have three digits
 CODE = r"^\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 RESULT = ["text", "n_entities"]
+HEX = ("abcdef", "ABCDEF")   # letters of hexadecimal secrets: looked at before the scripts
+CLASSES = ["0123456789", *HEX, *LOWER.values(), *UPPER.values()]
+PERMUTED = -1   # attempt number of entities of a crowded format
+ROUNDS = 8
 PIECE = 32  # hex digits of one digest used per PIECE characters
 
 
@@ -153,14 +165,21 @@ def luhn(digits: Column) -> Column:
 
 
 def surrogate(key: str, kind: Column, norm: Column, attempt: Column) -> Column:
-    """Canonical surrogate of a canonical entity."""
+    """Canonical surrogate of a canonical entity; attempt ``PERMUTED`` is for crowded formats."""
+    return F.when(attempt == PERMUTED, permuted(key, kind, norm)).otherwise(drawn_surrogate(key, kind, norm, attempt))
+
+
+def is_hexadecimal(kind: Column, norm: Column) -> Column:
+    return (kind == "secret") & (F.regexp_like(norm, F.lit(r"^[0-9a-f]+$")) | F.regexp_like(norm, F.lit(r"^[0-9A-F]+$")))
+
+
+def drawn_surrogate(key: str, kind: Column, norm: Column, attempt: Column) -> Column:
     hexes = F.transform(F.sequence(F.lit(0), F.floor(F.length(norm) / PIECE).cast("int")),
                         lambda b: _stream(key, kind, norm, attempt, b))
 
     def made(h: Column) -> Column:
         chars = F.split(norm, "")
-        is_hex = (kind == "secret") & (F.regexp_like(norm, F.lit(r"^[0-9a-f]+$")) | F.regexp_like(norm, F.lit(r"^[0-9A-F]+$")))
-        return bind(_by_class(h, chars, is_hex), lambda classed: chosen(h, classed))
+        return bind(_by_class(h, chars, is_hexadecimal(kind, norm)), lambda classed: chosen(h, classed))
 
     def chosen(h: Column, classed: Column) -> Column:
         # an address keeps its top domain
@@ -179,9 +198,13 @@ def surrogate(key: str, kind: Column, norm: Column, attempt: Column) -> Column:
     return bind(hexes, made)
 
 
-def _person(h: Column, kind: Column, norm: Column, classed: Column) -> Column:
-    script = F.when(F.regexp_like(norm, F.lit(r"^\p{IsCyrillic}")), "cyrillic").when(
+def _script(norm: Column) -> Column:
+    return F.when(F.regexp_like(norm, F.lit(r"^\p{IsCyrillic}")), "cyrillic").when(
         F.regexp_like(norm, F.lit(r"^\p{IsGreek}")), "greek").otherwise("latin")
+
+
+def _person(h: Column, kind: Column, norm: Column, classed: Column) -> Column:
+    script = _script(norm)
     gender = F.when(kind != "person_n", F.right(kind, F.lit(1))).when(_draw(h, F.lit(31), 2) == 0, "m").otherwise("f")
     first = F.lit(None).cast("string")
     for (s, g), names in NAMES.items():
@@ -225,58 +248,140 @@ def family(kind: Column) -> Column:
     return F.when(kind.startswith("person"), "person").otherwise(kind)
 
 
+def _cells(kind: Column, norm: Column) -> Column:
+    """Characters (c) with the letters they may become (k: number in ``CLASSES``, -1: they stay), how many (r), and their own place (x)."""
+    start = F.when(kind == "phone", F.length(F.regexp_extract(norm, CODE, 0))).otherwise(0)
+    end = F.when(kind == "email", F.length(F.regexp_extract(norm, r"^(.*\.)[^.]*$", 1))).otherwise(F.length(norm))
+
+    def one(c: Column, i: Column, hexadecimal: Column) -> Column:
+        k = F.lit(-1)
+        for n, letters in reversed(list(enumerate(CLASSES))):
+            own = F.instr(F.lit(letters), c) > 0
+            if letters in HEX:
+                own = own & hexadecimal
+            k = F.when(own, F.lit(n)).otherwise(k)
+        return F.when((i >= start) & (i < end), k).otherwise(F.lit(-1))
+
+    classed = bind(is_hexadecimal(kind, norm), lambda h: F.transform(
+        F.split(norm, ""), lambda c, i: F.struct(c.alias("c"), one(c, i, h).alias("k"))))
+    letters = F.lit(CLASSES)
+    return F.transform(classed, lambda s: F.when(s["k"] < 0, F.struct(s["c"].alias("c"), s["k"].alias("k"), F.lit(1).cast("long").alias("r"),
+                                                                    F.lit(0).cast("long").alias("x"))).otherwise(
+        F.struct(s["c"].alias("c"), s["k"].alias("k"), F.length(F.get(letters, s["k"])).cast("long").alias("r"),
+                 (F.instr(F.get(letters, s["k"]), s["c"]) - 1).cast("long").alias("x"))))
+
+
+def _values(cells: Column) -> Column:
+    return F.aggregate(cells, F.lit(1).cast("long"), lambda a, s: a * s["r"])
+
+
+def permuted(key: str, kind: Column, norm: Column) -> Column:
+    """Another value of the entity's format, by a keyed permutation without fixed points.
+
+    The free characters are two numbers, of the left and the right half, to mixed
+    bases.  A Feistel network that adds to one half modulo its number of values permutes
+    their pairs; going through it, one step on around all pairs, and back again
+    gives a permutation that moves every value.
+    """
+    def keyed(cells: Column, *parts: Column) -> Column:
+        shape = F.array_join(F.transform(cells, lambda s: F.when(s["k"] < 0, s["c"]).otherwise(s["k"].cast("string"))), "\x1e")
+        digest = F.sha2(F.concat_ws("\x1f", F.lit(key), F.lit("format"), kind, shape, *[p.cast("string") for p in parts]), 256)
+        return F.conv(F.substr(digest, F.lit(1), F.lit(12)), 16, 10).cast("long")
+
+    def run(cells: Column) -> Column:
+        half = F.ceil(F.size(cells) / 2).cast("int")
+        left, right = F.slice(cells, F.lit(1), half), F.slice(cells, half + 1, F.size(cells) - half)
+        number = lambda part: F.aggregate(part, F.lit(0).cast("long"), lambda a, s: a * s["r"] + s["x"])
+        return bind(F.struct(_values(left).alias("a"), _values(right).alias("b"), number(left).alias("l"), number(right).alias("r")),
+                    lambda v: moved(cells, left, right, v))
+
+    def network(cells: Column, v: Column, pair: Column, rounds: list[int], sign: int) -> Column:
+        def step(p: Column, j: Column) -> Column:
+            on_left = F.struct(F.pmod(p["l"] + sign * F.pmod(keyed(cells, j, p["r"]), v["a"]), v["a"]).alias("l"), p["r"].alias("r"))
+            on_right = F.struct(p["l"].alias("l"), F.pmod(p["r"] + sign * F.pmod(keyed(cells, j, p["l"]), v["b"]), v["b"]).alias("r"))
+            return F.when(j % 2 == 0, on_left).otherwise(on_right)
+        return F.aggregate(F.lit(rounds), pair, step)
+
+    def moved(cells: Column, left: Column, right: Column, v: Column) -> Column:
+        rounds = list(range(ROUNDS))
+        there = network(cells, v, F.struct(v["l"].alias("l"), v["r"].alias("r")), rounds, 1)
+        total = v["a"] * v["b"]
+        on = bind(there, lambda p: F.pmod(p["l"] * v["b"] + p["r"] + 1 + F.pmod(keyed(cells, F.lit("step")), total - 1), total))
+        start = bind(on, lambda n: F.struct(F.floor(n / v["b"]).cast("long").alias("l"), F.pmod(n, v["b"]).alias("r")))
+        return F.when(total > 1, bind(network(cells, v, start, rounds[::-1], -1), lambda p: F.concat(
+            spelled(left, p["l"]), spelled(right, p["r"])))).otherwise(norm)
+
+    def spelled(part: Column, n: Column) -> Column:
+        def one(s: Column, i: Column) -> Column:
+            below = _values(F.slice(part, i + 2, F.size(part)))
+            return F.when(s["k"] < 0, s["c"]).otherwise(F.substr(
+                F.get(F.lit(CLASSES), s["k"]), F.pmod(F.floor(n / below).cast("long"), s["r"]).cast("int") + 1, F.lit(1)))
+        return F.array_join(F.transform(part, one), "")
+
+    return bind(_cells(kind, norm), run)
+
+
 def room(kind: Column, norm: Column) -> tuple[Column, Column]:
-    """Format that a phone number or a single name shares with its surrogates, and log2 of the number of its values.
+    """Format that an entity shares with its surrogates, and log2 of the number of its values.
 
-    Any other entity stands for itself, with a null number: its values are not counted.
+    A person of several names shares the script, and the letters after the given
+    name.  Card numbers (10**12 and more values of a length) and addresses of hosts
+    stand for themselves, with a null number: their values are not counted.
     """
-    counted = (kind == "phone") | (kind.startswith("person") & (F.instr(norm, " ") == 0))
-    classes = ["0123456789", *LOWER.values(), *UPPER.values()]
-    code = F.when(kind == "phone", F.regexp_extract(norm, CODE, 0)).otherwise("")
-    free = F.translate(F.substr(norm, F.length(code) + 1, F.length(norm)),
-                       "".join(classes), "".join(c[0] * len(c) for c in classes))
-    bits = F.lit(0.0)
-    for c in classes:
-        bits = bits + (F.length(free) - F.length(F.replace(free, F.lit(c[0]), F.lit("")))) * F.lit(math.log2(len(c)))
-    return F.when(counted, F.concat(code, free)).otherwise(norm), F.when(counted, bits)
+    person, several = kind.startswith("person"), F.instr(norm, " ") > 0
+    script = _script(norm)
+    names = F.lit(None).cast("double")
+    for s in ("latin", "cyrillic", "greek"):
+        names = F.when(script == s, math.log2(len(NAMES[s, "m"]))).otherwise(names)
+
+    def described(cells: Column) -> Column:
+        after = F.when(person & several, F.length(F.regexp_extract(norm, r"^(\S+)", 1))).otherwise(0)
+        rest = F.slice(cells, after + 1, F.size(cells))
+        shape = F.array_join(F.transform(rest, lambda s: F.when(s["k"] < 0, s["c"]).otherwise(s["k"].cast("string"))), "\x1e")
+        bits = F.aggregate(rest, F.lit(0.0), lambda a, s: a + F.log2(s["r"]))
+        return F.struct(F.when(person & several, F.concat_ws("\x1f", script, kind, shape)).otherwise(shape).alias("shape"),
+                        F.when(person & several, bits + names).otherwise(bits).alias("bits"))
+    known = bind(_cells(kind, norm), described)
+    counted = ~kind.isin("card", "ip")
+    return F.when(counted, known["shape"]).otherwise(norm), F.when(counted, known["bits"])
 
 
 def crowded(known: DataFrame) -> DataFrame:
-    """(fam, shape, n): formats with too few values for the ``n`` entities and as many surrogates outside the corpus."""
+    """(fam, shape, n): formats of which the ``n`` entities and as many surrogates fill more than three quarters."""
     shape, bits = room(F.col("kind"), F.col("norm"))
-    names = known.withColumns({"shape": shape, "bits": bits}).where("bits > 0 AND bits < 40") \
+    names = known.withColumns({"shape": shape, "bits": F.round(bits, 6)}).where("bits > 0 AND bits < 62") \
         .groupBy("fam", "shape", "bits", "norm").agg(F.count("*").alias("n"))
     return names.groupBy("fam", "shape", "bits").agg(F.sum("n").alias("n"), F.count("*").alias("real")) \
-        .where(F.col("n") + F.col("real") > F.pow(F.lit(2.0), "bits") + 0.5).select("fam", "shape", "n")
+        .where(F.col("n") + F.col("real") > F.pow(F.lit(2.0), F.col("bits")) * 0.75 + 0.01).select("fam", "shape", "n")
 
 
 def attempts(entities: DataFrame, key: str) -> DataFrame:
-    """(kind, norm, attempt) of the entities whose first surrogate collides; ``entities``: kind, norm."""
+    """(kind, norm, attempt, n) of the entities whose first surrogate is not the settled one; ``entities``: kind, norm."""
     known = stage(entities.groupBy("kind", "norm").agg(F.count("*").alias("n")).withColumn("fam", family(F.col("kind"))),
                   "entities")
     full = stage(crowded(known), "crowded")
-    if has_rows(full):
-        shaped = known.withColumnsRenamed({"n": "mentions"}).withColumn("shape", room(F.col("kind"), F.col("norm"))[0])
-        met = join_by_key(shaped, full, ["fam", "shape"], ["kind", "norm"], "n", full.agg(F.sum("n")).first()[0])
-        known = stage(met.select("kind", "norm", F.col("mentions").alias("n"), F.col("n").isNotNull().alias("full"),
-                                 F.when(F.col("n").isNull(), F.col("fam")).otherwise(F.col("kind")).alias("fam")), "entities")
-    else:
-        known = known.withColumn("full", F.lit(False))
-    current = known.withColumn("attempt", F.lit(0))
+    shaped = known.withColumnsRenamed({"n": "mentions"}).withColumn("shape", room(F.col("kind"), F.col("norm"))[0])
+    met = join_by_key(shaped, full, ["fam", "shape"], ["kind", "norm"], "n", full.agg(F.sum("n")).first()[0] or 0)
+    known = stage(met.select("kind", "norm", "fam", F.col("mentions").alias("n"), F.col("n").isNotNull().alias("full")), "entities")
+    later = known.where("full").select("kind", "norm", F.lit(PERMUTED).alias("attempt"), "n")
+    current = known.where("NOT full").select("kind", "norm", "fam", "n", F.lit(0).alias("attempt"))
+    occupied = current.select("fam", F.col("norm").alias("s")).distinct()
     me = F.struct("norm", "kind")
     while True:
-        drawn = current.withColumn("s", surrogate(key, F.col("kind"), F.col("norm"), F.col("attempt")))
-        drawn = stage(drawn, "surrogates")
-        real = known.where(~F.col("full")).select("fam", F.col("norm").alias("s"))
-        taken = drawn.join(real, ["fam", "s"], "left_semi").select("kind", "norm")
+        drawn = stage(current.withColumn("s", drawn_surrogate(key, F.col("kind"), F.col("norm"), F.col("attempt"))), "surrogates")
+        hit = drawn.join(occupied, ["fam", "s"]).select("kind", "norm")
         # the smallest entity keeps a shared surrogate: partial aggregation, no group is gathered
         shared = drawn.groupBy("fam", "s").agg(F.min(me).alias("keeper"), F.count("*").alias("many")).where("many > 1")
         twice = drawn.join(shared, ["fam", "s"]).where(me != F.col("keeper")).select("kind", "norm")
-        again = stage(taken.unionAll(twice).distinct(), "collisions")
-        if not has_rows(again):
-            return drawn.where("attempt > 0").select("kind", "norm", "attempt", "n")
-        current = drawn.drop("s").join(again.withColumn("_again", F.lit(1)), ["kind", "norm"], "left") \
-            .withColumn("attempt", F.col("attempt") + F.coalesce("_again", F.lit(0))).drop("_again")
+        again = hit.unionAll(twice).distinct().withColumn("_again", F.lit(True))
+        marked = stage(drawn.join(again, ["kind", "norm"], "left"), "settled")
+        settled = marked.where("_again IS NULL")
+        later = later.unionByName(settled.where("attempt > 0").select("kind", "norm", "attempt", "n"))
+        if not has_rows(marked.where("_again")):
+            return later
+        # only the losers draw again, against what is settled and what is real
+        occupied = occupied.unionByName(settled.select("fam", "s"))
+        current = marked.where("_again").select("kind", "norm", "fam", "n", (F.col("attempt") + 1).alias("attempt"))
 
 
 def surrogates(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

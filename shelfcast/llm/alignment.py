@@ -37,7 +37,8 @@ other columns may have any name.  An empty table gives an empty table.
 from __future__ import annotations
 
 import hashlib
-import itertools
+import json
+import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -53,6 +54,10 @@ from shelfcast.llm.common import quoted, ship, stage
 CHUNK = 1 << 20           # bytes of text that are aligned together
 PENDING = 2_000_000       # partial counts that a task holds before it adds them up
 SHIFT = 32                # document number above, byte offset below
+# The byte-level pre-tokeniser's pattern, and characters whose class is the same in every Unicode version.
+PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+SETTLED = r"\t\n\r -~¡-ƺΑ-ΡΣ-ώА-яЁё‐-‧ぁ-ゖァ-ヺ一-龥가-힣"
+UNSETTLED = re.compile(f"[^{SETTLED}]")
 
 
 class Side(NamedTuple):
@@ -86,6 +91,27 @@ class Encoders:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.side_b = _side([bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                              for i, p in enumerate(pieces)])
+        self.ranked = self._ranked(byte_bpe)
+
+    def _ranked(self, byte_bpe: str):
+        """The same vocabulary in an encoder that merges by rank, if its ids are in the order of its merges; else None."""
+        import tiktoken
+        with open(byte_bpe, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        merged = ["".join(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
+        if [model["vocab"].get(t) for t in merged] != list(range(256, 256 + len(merged))):
+            return None
+        ranks = {e: i for i, e in enumerate(self.side_a.data.to_pylist()[:256 + len(merged)])}
+        return tiktoken.Encoding("byte-bpe", pat_str=PRETOKENS, mergeable_ranks=ranks, special_tokens={})
+
+    def ids_a(self, text: str) -> np.ndarray:
+        """A's ids of blank + text; texts with characters outside ``SETTLED`` go through the tokenizer file's own pre-tokeniser."""
+        if self.ranked and not UNSETTLED.search(text):
+            return self.ranked.encode_to_numpy(" " + text, disallowed_special=())
+        return np.array(self.a.encode(" " + text, add_special_tokens=False).ids, np.uint32)
+
+    def ids_b(self, text: str) -> np.ndarray:
+        return np.array(self.b.encode(text), np.uint32)
 
 
 _ENCODERS: dict[tuple[str, str], Encoders] = {}
@@ -97,10 +123,9 @@ def _encoders(byte_bpe: str, piece_model: str) -> Encoders:
     return _ENCODERS[byte_bpe, piece_model]
 
 
-def _lists(ids: list[list[int]]) -> pa.ListArray:
-    ends = np.cumsum([0, *map(len, ids)])
-    flat = np.fromiter(itertools.chain.from_iterable(ids), np.int32, ends[-1])
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+def _lists(ids: list[np.ndarray]) -> pa.ListArray:
+    flat = np.concatenate([np.empty(0, np.uint32), *ids]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, ids)]), pa.int32()), pa.array(flat))
 
 
 def _spells(lists: pa.ListArray, side: Side, want: list[bytes]) -> np.ndarray:
@@ -131,8 +156,7 @@ def align(texts: list[str | None], enc: Encoders, base: int) -> dict[str, pa.Arr
     """Columns n_a, n_b, n_groups, n_links, groups_sha256, codes and times for texts; code: A id x ``base`` + B id."""
     asked = [i for i, t in enumerate(texts) if t]
     want = [b" " + texts[i].encode() for i in asked]
-    a = _lists([e.ids for e in enc.a.encode_batch([" " + texts[i] for i in asked], add_special_tokens=False)])
-    b = _lists(enc.b.encode([texts[i] for i in asked], num_threads=1) if asked else [])
+    a, b = _lists([enc.ids_a(texts[i]) for i in asked]), _lists([enc.ids_b(texts[i]) for i in asked])
     sound = _spells(a, enc.side_a, want) & _spells(b, enc.side_b, want)
     at = np.array(asked, np.int64)[sound]  # row of each aligned document
     if not sound.all():

@@ -21,6 +21,7 @@ from shelfcast.plans.q_orders import osql
 from shelfcast.plans import oracle_features as O
 from shelfcast.session import scratch_path
 from shelfcast.sources import testdata as T
+from shelfcast.sources.readers import partition_values
 from shelfcast.streaming import ingest, ledger
 
 STOCK_AFTER_SQL = osql("""SELECT s.store_id, s.product_id, s.category, s.region,
@@ -31,9 +32,12 @@ FROM inventory_snapshot s LEFT JOIN (SELECT store_id, product_id, CAST(SUM(quant
 
 
 def _write_by_year(df, col, base):
-    years = [r[0] for r in df.select(F.year(col).alias("y")).distinct().orderBy("y").collect()]
+    """A folder per year, oldest first (the file source takes files by age); the table is made once."""
+    staged = os.path.join(base, "staged")
+    df.withColumn("_y", F.year(col)).repartition("_y").write.partitionBy("_y").parquet(staged)
+    years = partition_values(df.sparkSession, staged, "_y")
     for i, y in enumerate(years):
-        df.filter(F.year(col) == y).write.mode("overwrite").parquet(os.path.join(base, f"f{i:04d}"))
+        df.sparkSession.read.schema(df.schema).parquet(f"{staged}/_y={y}").write.parquet(os.path.join(base, "in", f"f{i:04d}"))
     return len(years)
 
 
@@ -45,7 +49,7 @@ def q_order_ledger_stream(spark, sf_dir):
     T.orders_nested(spark, sf_dir).withColumn("y", F.year("created_at")).repartition(4) \
         .write.partitionBy("y").parquet(os.path.join(base, "in"))
     led = os.path.join(base, "ledger")
-    ledger.init_ledger(T.inventory_snapshot(spark, sf_dir, drop_missing=True), led)
+    ledger.init_ledger(T.inventory_snapshot(spark, sf_dir), led)
     q = ledger.start_ledger(spark, os.path.join(base, "in", "*"), T.vendors(spark, sf_dir), led,
                             os.path.join(base, "ck"), max_files_per_trigger=4)
     q.awaitTermination()
@@ -57,8 +61,8 @@ def q_incremental_features_stream(spark, sf_dir):
     """Daily rows streamed year by year; the incrementally maintained v2 features."""
     base = scratch_path(spark, f"ingest-{uuid.uuid4().hex}")
     retail = T.retail_daily(spark, sf_dir)
-    snap = T.inventory_snapshot(spark, sf_dir, drop_missing=True)
-    _write_by_year(retail, "date", os.path.join(base, "in"))
+    snap = T.inventory_snapshot(spark, sf_dir)
+    _write_by_year(retail, "date", base)
     q = ingest.start_ingest(spark, os.path.join(base, "in", "*"), snap, os.path.join(base, "state"),
                             os.path.join(base, "ck"), max_files_per_trigger=1, schema=retail.schema)
     q.awaitTermination()

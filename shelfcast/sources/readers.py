@@ -156,9 +156,9 @@ def extract_if_changed(df: DataFrame, base: str, run_id: str, date_col: str = "d
     spark = df.sparkSession
     fp_path, data_path = os.path.join(base, "_fingerprint"), os.path.join(base, "runs")
     cur = fingerprint(df, date_col)
-    last = spark.read.parquet(fp_path) if _exists(spark, fp_path) else None
+    last = spark.read.parquet(fp_path) if folder_exists(spark, fp_path) else None
     changed = fingerprint_changed(cur, last).first()["changed"]
-    if not changed and _exists(spark, data_path):
+    if not changed and folder_exists(spark, data_path):
         runs = spark.read.parquet(data_path)
         newest = runs.agg(F.max("run_id")).first()[0]
         if newest is not None:
@@ -171,7 +171,7 @@ def extract_if_changed(df: DataFrame, base: str, run_id: str, date_col: str = "d
 
 def partition_values(spark: SparkSession, base: str, col: str) -> list[int]:
     """Values of an integer partition column, from the folder names under ``base`` (none: no such folder)."""
-    if not _exists(spark, base):
+    if not folder_exists(spark, base):
         return []
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -179,7 +179,12 @@ def partition_values(spark: SparkSession, base: str, col: str) -> list[int]:
     return sorted(int(n[len(col) + 1:]) for n in names if n.startswith(col + "="))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Remove a folder that this engine wrote, with all in it; False if there is none."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -3,15 +3,21 @@
 Input: a stream of order documents (order_id, store_id, created_at, items
 array<struct<product_id, quantity>>), one row per whole order, so an order
 is accepted or rejected atomically inside one micro-batch.  No order is too
-late: repeats are found by id, not by event time.  Ids handled by batch ``b``
-are kept under ``<ledger>_applied/batch=<b>``; a batch drops repeats inside
-itself and orders that an earlier batch has handled.
-
-State: versions of the snapshot under ``<ledger>/v=<batch>``.  Batch ``b``
-reads the newest version below ``b`` (found by listing the folders), applies the accepted receipts (X03)
-and overwrites ``v=b``; rejects go to ``<ledger>_rejects/batch=<b>``.  A
-replayed batch (restart after a failure) recomputes the same version from
-the same input: the sink is idempotent by batch id.
+late: repeats are found by id, not by event time.
+
+Keyed state: the ids ever seen are the state of a streaming ``dropDuplicates`` on
+``order_id`` without a watermark, kept by the RocksDB provider.  A batch looks
+up and adds its own ids only, and its checkpoint is a change log, so neither
+grows with the number of orders handled before.  Of orders that share an id the
+first delivered one counts.
+
+Versions of the snapshot lie under ``<ledger>/v=<batch>``.  Batch ``b`` reads
+version ``b - 1``, applies the accepted receipts (X03) and overwrites ``v=b``; rejects
+go to ``<ledger>_rejects/batch=<b>``, the ids it handled to
+``<ledger>_applied/batch=<b>`` (a log; the stream never reads it).  Versions
+older than the last ``keep`` are removed.  A batch that is replayed after a
+failure starts from the state and the version before it and writes the same
+again: the sink is idempotent by batch id.
 """
 
 from __future__ import annotations
@@ -22,12 +28,19 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shelfcast.operators import orders as OR
 from shelfcast.session import cut_lineage
-from shelfcast.sources.readers import partition_values
+from shelfcast.sources.readers import folder_exists, partition_values, remove_folder
 
 ORDER_DOC_SCHEMA = ("order_id long, store_id string, created_at timestamp, "
                     "items array<struct<product_id:string,quantity:bigint>>")
 
 
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 def init_ledger(snapshot: DataFrame, ledger: str) -> None:
     """Version -1: the starting snapshot."""
     snapshot.withColumn("v", F.lit(-1).cast("long")).write.mode("overwrite") \
@@ -40,40 +53,39 @@ def current_snapshot(spark: SparkSession, ledger: str, before: int | None = None
     return spark.read.parquet(f"{ledger}/v={newest}")
 
 
-def new_orders(batch: DataFrame, ledger: str, batch_id: int) -> DataFrame:
-    """One row per order of the batch that no earlier batch has handled."""
-    spark = batch.sparkSession
-    fields = [c for c in batch.columns if c != "order_id"]
-    once = batch.groupBy("order_id").agg(F.min(F.struct(*fields)).alias("o")).select("order_id", "o.*")
-    applied = f"{ledger}_applied"
-    if any(b < batch_id for b in partition_values(spark, applied, "batch")):
-        seen = spark.read.parquet(applied).filter(F.col("batch") < batch_id).select("order_id")
-        once = once.join(seen, "order_id", "left_anti")
-    return once
+def previous_version(spark: SparkSession, ledger: str, batch_id: int) -> int:
+    """The version a batch starts from: the one before it, or, where its checkpoint is newer than the ledger, the newest below."""
+    if folder_exists(spark, f"{ledger}/v={batch_id - 1}"):
+        return batch_id - 1
+    return max(v for v in partition_values(spark, ledger, "v") if v < batch_id)
 
 
-def _apply_batch(vendors: DataFrame, ledger: str):
+def _apply_batch(vendors: DataFrame, ledger: str, keep: int):
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        snap = current_snapshot(spark, ledger, before=batch_id)
-        orders = cut_lineage(new_orders(batch, ledger, batch_id))
+        snap = spark.read.parquet(f"{ledger}/v={previous_version(spark, ledger, batch_id)}")
+        orders = cut_lineage(batch)  # the state is looked up once
         lines = orders.select("order_id", "store_id", F.explode("items").alias("i")).select(
             "order_id", "store_id", "i.product_id", "i.quantity")
         ev = OR.evaluate_orders(lines, snap, vendors)
         new = OR.apply_receipts(snap, OR.priced_of(ev))
         OR.rejects_of(ev).write.mode("overwrite").parquet(f"{ledger}_rejects/batch={batch_id}")
-        new.withColumn("v", F.lit(batch_id).cast("long")).write.mode("overwrite") \
-           .option("partitionOverwriteMode", "dynamic").partitionBy("v").parquet(ledger)
         orders.select("order_id").write.mode("overwrite").parquet(f"{ledger}_applied/batch={batch_id}")
+        new.write.mode("overwrite").parquet(f"{ledger}/v={batch_id}")
+        # one version leaves per batch: no listing of all versions
+        remove_folder(spark, f"{ledger}/v={batch_id - keep}")
     return run
 
 
 def start_ledger(spark: SparkSession, orders_dir: str, vendors: DataFrame, ledger: str, checkpoint: str,
-                 available_now: bool = True,
-                 max_files_per_trigger: int | None = None) -> StreamingQuery:
+                 available_now: bool = True, max_files_per_trigger: int | None = None, keep: int = 10) -> StreamingQuery:
+    # read at the start of the query; a restarted query keeps the provider of its checkpoint
+    for k, v in STATE_STORE.items():
+        spark.conf.set(k, v)
     r = spark.readStream.schema(ORDER_DOC_SCHEMA)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    w = r.parquet(orders_dir).writeStream.foreachBatch(_apply_batch(vendors, ledger)).option("checkpointLocation", checkpoint)
+    once = r.parquet(orders_dir).dropDuplicates(["order_id"])
+    w = once.writeStream.foreachBatch(_apply_batch(vendors, ledger, max(2, keep))).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()

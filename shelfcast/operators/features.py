@@ -213,9 +213,9 @@ def with_row_features(df: DataFrame, discount_unit: str = "percent",
 
 
 def _finish(df: DataFrame, horizon: int, version: str, warmup: str,
-            final_cols: Sequence[str], include_created_at: bool) -> DataFrame:
+            final_cols: Sequence[str], include_created_at: bool, rows: str = "labelled") -> DataFrame:
     # Warm-up rows (no long lag) and tail rows (no label) leave.
-    df = df.dropna(subset=[warmup, "y"])
+    df = df.dropna(subset=[warmup, "y"]) if rows == "labelled" else df.filter(F.col("__latest")).drop("__latest")
     df = df.withColumns({
         "as_of_date": F.col("date"),
         "horizon": F.lit(horizon).cast("int"),
@@ -238,9 +238,13 @@ def features_v2(retail: DataFrame, snapshot: DataFrame, horizon: int = 1,
                 include_created_at: bool = True, weights: DataFrame | None = None,
                 lead_median: DataFrame | None = None, dedup_method: str = "aggregate",
                 ewm_value: str | None = None, keep: Sequence[str] = (), materialize: bool = True,
-                order_col: str | None = None, **code_maps) -> DataFrame:
+                order_col: str | None = None, rows: str = "labelled", **code_maps) -> DataFrame:
     """The v2 feature table: 36 columns (35 without ``created_at``).
 
+    ``rows="latest"`` gives the rows to score instead of the rows to learn from: the last
+    row of each series, by the same transform, short histories included (their lags are
+    null).  Its label lies ``horizon`` days after ``as_of_date`` and is not known yet.
+
     ``order_col`` is the ingest order that decides between conflicting
     duplicates (P02; the readers' ``_ingest``); it is not part of the result.
 
@@ -276,10 +280,12 @@ def features_v2(retail: DataFrame, snapshot: DataFrame, horizon: int = 1,
     df = df.withColumn("series_id", F.concat_ws("_", F.col("store_id").cast("string"),
                                                   F.col("product_id").cast("string")))
     df = with_series_features(df, horizon, ewm_value=ewm_value)
+    if rows == "latest":
+        df = df.withColumn("__latest", F.lead("date", 1).over(Window.partitionBy(*KEYS).orderBy("date")).isNull())
     df = with_row_features(df, discount_unit, **code_maps)
     df = with_sample_weight(df, series_weights=sw)
     return _finish(df, horizon, C.PIPELINE_VERSION, "sales_lag_28", list(C.FINAL_COLS) + list(keep),
-                   include_created_at)
+                   include_created_at, rows)
 
 
 V1_FEATURES = [

@@ -8,20 +8,25 @@ compute too — the test-split metrics of three deterministic predictors
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from shelfcast import config as C
 from shelfcast.functions import scalar as S
 from shelfcast.functions.joins import attach_row
+from shelfcast.operators import attribution as AT
 from shelfcast.operators import bias as B
+from shelfcast.operators import features as FE
 from shelfcast.operators import forecast as FC
 from shelfcast.operators import intent as IN
+from shelfcast.operators import model_store as MS
 from shelfcast.operators import registry as R
 from shelfcast.operators import scoring as SC
 from shelfcast.operators import splits as SP
 from shelfcast.plans import tables as TB
 from shelfcast.plans.catalog import register
-from shelfcast.session import cut_lineage
+from shelfcast.session import cut_lineage, scratch_path
 from shelfcast.plans.q_splits import split_df, split_table, ssql
 
 PREDICTORS = [("naive_lag1", "y_pred_baseline"), ("rolling_mean_7", "sales_roll_mean_7"),
@@ -255,28 +260,46 @@ def q_gbt_tuning(spark, sf_dir):
     return FC.tune_gbt(train, C.TRAIN_FEATURES)
 
 
-@register("predicted_demand")
-def q_predicted_demand(spark, sf_dir):
-    """M14 -> J06 -> M04 -> M13 -> F30: next-day demand of every series with a snapshot row.
+def demand_from_store(spark, retail, snapshot, root, versions):
+    """Next demand of every series with a snapshot row, by the promoted tree model as it is stored.
 
-    A series without history gets the cold-start features (M15); one that the
-    training rows do not know gets code -1.
+    A series without history gets the cold-start features (M15) as of the newest day.
     """
-    sp = split_table(spark, sf_dir)
-    train = sp.filter(F.col("split") == "train")
+    stored = MS.load_production(spark, root, versions, "tree")
+    horizon, maps = stored.meta["horizon"], stored.meta["code_maps"]
+    rows = FE.features_v2(retail, snapshot, horizon=horizon, include_created_at=False, rows="latest", **maps)
+    known = rows.join(snapshot.select("store_id", "product_id"), ["store_id", "product_id"], "left_semi")
+    cold = SC.cold_start_features(snapshot.join(retail.select("store_id", "product_id").distinct(), ["store_id", "product_id"], "left_anti"))
+    cold = attach_row(cold, retail.agg(F.max("date").alias("as_of_date"))).withColumns({
+        "dow": S.weekday_monday0("as_of_date"), "month": F.month("as_of_date"),
+        "series_id": F.concat_ws("_", "store_id", "product_id")})
+    cold = cold.withColumn("is_weekend", (F.col("dow") >= 5).cast("int"))
+    both = known.withColumn("cold_start", F.lit(False)).unionByName(cold.withColumn("cold_start", F.lit(True)), allowMissingColumns=True)
+    return MS.score(stored.pipeline, both).select(
+        "store_id", "product_id", F.date_add("as_of_date", horizon).alias("target_date"), "predicted_demand", "cold_start",
+        F.lit(stored.meta["version"]).alias("version"))
+
+
+@register("predicted_demand")
+def q_predicted_demand(spark, sf_dir):
+    """M06 -> M10 -> M13 -> F30: a model is fitted, stored and promoted; the next day's demand comes from what is stored."""
     retail, snap = TB.retail(spark, sf_dir), TB.snapshot(spark, sf_dir)
-    last = retail.groupBy("store_id", "product_id").agg(F.max("date").alias("d"))
-    known = SC.scoring_features(retail, snap, discount_unit="percent").join(last, ["store_id", "product_id"])
-    cold = SC.cold_start_features(snap.join(last, ["store_id", "product_id"], "left_anti"))
-    newest = retail.agg(F.max("date").alias("d"))
-    rows = known.unionByName(attach_row(cold, newest), allowMissingColumns=True)
-    target = F.date_add("d", 1)
-    rows = rows.withColumns({"target_date": target, "dow": S.weekday_monday0(target), "month": F.month(target),
-                             "series_id": F.concat_ws("_", "store_id", "product_id")})
-    rows = rows.withColumn("is_weekend", (F.col("dow") >= 5).cast("int"))
-    _mapping, _train, encoded, asked = SP.encode_series(train, sp, rows)
-    stats = SP.scaler_stats(train)
-    d = cut_lineage(SP.apply_scaler(encoded, stats))
-    model = FC.fit_gbt(d.filter(F.col("split") == "train"), d.filter(F.col("split") == "val"), C.TRAIN_FEATURES)
-    return FC.predict(model, SP.apply_scaler(asked, stats), C.TRAIN_FEATURES).select(
-        "store_id", "product_id", "target_date", "predicted_demand")
+    sp = cut_lineage(split_table(spark, sf_dir))
+    root = scratch_path(spark, f"models-{uuid.uuid4().hex}")
+    part = {s: sp.filter(F.col("split") == s) for s in ("train", "val", "test")}
+    pipeline = MS.fit_pipeline(part["train"], part["val"])
+    MS.save(pipeline, root, "tree", 1)
+    mae = B.regression_metrics(MS.score(pipeline, part["test"]), pred="prediction").select(
+        F.lit("tree").alias("model"), F.lit(1).alias("version"), F.col("mae").alias("test_mae"))
+    none = spark.createDataFrame([], "model string, version int, stage string, test_mae double")
+    return demand_from_store(spark, retail, snap, root, R.promote(none, mae))
+
+
+@register("tree_attribution")
+def q_tree_attribution(spark, sf_dir):
+    """Top 20 features by mean absolute attribution over 500 test rows (the source's sample)."""
+    sp = cut_lineage(split_table(spark, sf_dir))
+    pipeline = MS.fit_pipeline(sp.filter(F.col("split") == "train"), sp.filter(F.col("split") == "val"))
+    keys = ["store_id", "product_id", "as_of_date"]
+    sample = AT.attribution_sample(sp.filter(F.col("split") == "test"), keys)
+    return AT.mean_attribution(AT.explain(pipeline, sample, keys))

@@ -27,12 +27,17 @@ from shelfcast.sources import writers as WR
 
 def daily_features_job(spark: SparkSession, retail: DataFrame, snapshot: DataFrame, out_dir: str,
                        run_id: str, horizon: int = 1, max_anomalies: int = 0,
-                       fail_on_anomalies: bool = False) -> dict:
+                       fail_on_anomalies: bool = False, order_col: str | None = None) -> dict:
     """Extract (change-checked copy) -> features -> statistics and checks ->
-    anomalies (+ gate) -> bias.  Returns the one-row anomaly summary."""
+    anomalies (+ gate) -> bias.  Returns the one-row anomaly summary.
+
+    ``order_col`` (the readers' ``_ingest``; taken by itself if ``retail`` has it) decides
+    between conflicting rows of one day: the first ingested one counts (P02).
+    """
+    order_col = order_col or (RD.INGEST if RD.INGEST in retail.columns else None)
     raw, changed = RD.extract_if_changed(retail, os.path.join(out_dir, "raw"), run_id)
     feats_path = os.path.join(out_dir, "features")
-    WR.write_features(FE.features_v2(raw, snapshot, horizon=horizon), feats_path)
+    WR.write_features(FE.features_v2(raw, snapshot, horizon=horizon, order_col=order_col), feats_path)
     f = spark.read.parquet(feats_path)
     rep = os.path.join(out_dir, "reports")
     WR.write_report(spark.createDataFrame(Q.schema_dump(f), "column string, type string"),

@@ -50,7 +50,7 @@ def _windows(horizon: int, lags=(1, 7, 14, 28), std=True, fc=True) -> str:
             "WINDOW s AS (PARTITION BY store_id, product_id ORDER BY date)")
 
 
-def features_v2_sql(horizon: int = 1) -> str:
+def features_v2_sql(horizon: int = 1, partial: bool = False) -> str:
     base = "COALESCE(sales_lag_1, sales_lag_7)" if horizon == 1 else "sales_lag_7"
     body = f"""
 SELECT date AS as_of_date, series_id, CAST({horizon} AS INTEGER) AS horizon, '2.0' AS pipeline_version,
@@ -75,7 +75,7 @@ SELECT date AS as_of_date, series_id, CAST({horizon} AS INTEGER) AS horizon, '2.
 FROM w LEFT JOIN wt USING (store_id)
 WHERE sales_lag_28 IS NOT NULL AND y IS NOT NULL
 """
-    return with_ctes("retail_daily", "inventory_snapshot", partial=True,
+    return with_ctes("retail_daily", "inventory_snapshot", partial=partial,
                      extra=[("j", JOINED), ("f", FILLED), ("wt", WEIGHTS), ("w", _windows(horizon))]) + body
 
 

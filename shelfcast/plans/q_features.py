@@ -13,15 +13,15 @@ from shelfcast.session import cut_lineage
 
 
 def features_v2_df(spark, sf_dir, horizon=1):
-    return FE.features_v2(TB.retail(spark, sf_dir), TB.partial_snapshot(spark, sf_dir),
-                          horizon=horizon, include_created_at=False)
+    return FE.features_v2(TB.retail(spark, sf_dir), TB.snapshot(spark, sf_dir), horizon=horizon, include_created_at=False)
 
 
-def features_table(spark, sf_dir, horizon=1):
-    """The v2 features materialised once (reliable checkpoint in the shared
-    checkpoint folder) for reports that run several aggregations over them:
-    each branch then re-reads the table instead of recomputing the windows."""
-    return cut_lineage(features_v2_df(spark, sf_dir, horizon))
+def features_table(spark, sf_dir, horizon=1, columns=None):
+    """The v2 features (or the ``columns`` a report reads) materialised once in the
+    shared checkpoint folder, for reports that run several aggregations over
+    them: each branch then re-reads the table instead of recomputing the windows."""
+    f = features_v2_df(spark, sf_dir, horizon)
+    return cut_lineage(f.select(*columns) if columns else f)
 
 
 @register("features_v2", O.features_v2_sql(1))
@@ -86,10 +86,12 @@ def q_baseline(spark, sf_dir):
     return features_v2_df(spark, sf_dir).select(*_KEYS, "y_pred_baseline")
 
 
-@register("lead_time_join", f"""WITH ff AS ({O.features_v2_sql(1)})
+@register("lead_time_join", f"""WITH ff AS ({O.features_v2_sql(1, partial=True)})
 SELECT as_of_date, store_id, product_id, lead_time_days, lead_time_demand FROM ff""")
 def q_lead_time_join(spark, sf_dir):
-    return features_v2_df(spark, sf_dir).select(*_KEYS, "lead_time_days", "lead_time_demand")
+    """J01/J02 against a snapshot that misses a series, so that the median fill has something to fill."""
+    return FE.features_v2(TB.retail(spark, sf_dir), TB.partial_snapshot(spark, sf_dir), include_created_at=False) \
+        .select(*_KEYS, "lead_time_days", "lead_time_demand")
 
 
 @register("sample_weights", f"""WITH ff AS ({O.features_v2_sql(1)})

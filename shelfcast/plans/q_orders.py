@@ -40,11 +40,11 @@ FROM order_headers h LEFT JOIN (SELECT order_id, CAST(SUM(quantity) AS BIGINT) A
 WHERE h.order_id NOT IN (SELECT order_id FROM rej)"""
 
 
-def osql(body: str, upto: str = "totals") -> str:
+def osql(body: str, upto: str = "totals", partial: bool = False) -> str:
     order = [("firstv", FIRSTV), ("ln", LN), ("rej", REJ), ("priced", PRICED), ("totals", TOTALS)]
     names = [n for n, _ in order]
     extra = order[: names.index(upto) + 1]
-    return with_ctes("inventory_snapshot", "vendors", "order_headers", "order_lines", extra=extra, partial=True) + body
+    return with_ctes("inventory_snapshot", "vendors", "order_headers", "order_lines", extra=extra, partial=partial) + body
 
 
 @register("vendors_by_category", with_ctes("vendors") + "SELECT * FROM vendors WHERE category = 'Dairy'")
@@ -70,19 +70,20 @@ def q_reorder_suggestions(spark, sf_dir):
     return OR.reorder_suggestions(TB.snapshot(spark, sf_dir), TB.vendors(spark, sf_dir))
 
 
-@register("order_rejects", osql("SELECT * FROM rej", "rej"))
+@register("order_rejects", osql("SELECT * FROM rej", "rej", partial=True))
 def q_order_rejects(spark, sf_dir):
+    """J04 against a snapshot that misses a series, so that there are unknown products."""
     return OR.rejects_of(OR.evaluate_orders(line_items(spark, sf_dir), TB.partial_snapshot(spark, sf_dir),
                                             TB.vendors(spark, sf_dir)))
 
 
 @register("order_pricing", osql("SELECT * FROM priced", "priced"))
 def q_order_pricing(spark, sf_dir):
-    return OR.order_pricing(line_items(spark, sf_dir), TB.partial_snapshot(spark, sf_dir), TB.vendors(spark, sf_dir))
+    return OR.order_pricing(line_items(spark, sf_dir), TB.snapshot(spark, sf_dir), TB.vendors(spark, sf_dir))
 
 
 def _totals_df(spark, sf_dir):
-    ev = OR.evaluate_orders(line_items(spark, sf_dir), TB.partial_snapshot(spark, sf_dir), TB.vendors(spark, sf_dir))
+    ev = OR.evaluate_orders(line_items(spark, sf_dir), TB.snapshot(spark, sf_dir), TB.vendors(spark, sf_dir))
     return OR.order_totals(TB.order_headers(spark, sf_dir), ev)
 
 
@@ -99,7 +100,7 @@ LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY order_id
 def q_orders_placed(spark, sf_dir):
     """Order documents for accepted orders, unnested to one row per item (orders without items: one row)."""
     placed = OR.place_orders(TB.order_headers(spark, sf_dir), line_items(spark, sf_dir),
-                             TB.partial_snapshot(spark, sf_dir), TB.vendors(spark, sf_dir))
+                             TB.snapshot(spark, sf_dir), TB.vendors(spark, sf_dir))
     return placed.select("order_id", "store_id", "total_units", "total_cost", "status", "created_at",
                          F.posexplode_outer("items").alias("pos", "i")).select("*", "i.*").drop("i")
 
@@ -110,7 +111,7 @@ def q_orders_placed(spark, sf_dir):
 FROM inventory_snapshot s LEFT JOIN (SELECT store_id, product_id, CAST(SUM(quantity) AS BIGINT) AS q FROM priced
   GROUP BY 1, 2) a ON a.store_id = s.store_id AND a.product_id = s.product_id""", "priced"))
 def q_stock_after_orders(spark, sf_dir):
-    li, snap, ven = line_items(spark, sf_dir), TB.partial_snapshot(spark, sf_dir), TB.vendors(spark, sf_dir)
+    li, snap, ven = line_items(spark, sf_dir), TB.snapshot(spark, sf_dir), TB.vendors(spark, sf_dir)
     return OR.apply_receipts(snap, OR.order_pricing(li, snap, ven))
 
 

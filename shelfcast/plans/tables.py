@@ -16,7 +16,7 @@ def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def partial_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The snapshot without S005 x P0020 (lead-time fill and order rejects need a miss)."""
+    """The snapshot without S005 x P0020 (``lead_time_join`` and ``order_rejects`` need a miss)."""
     return T.inventory_snapshot(spark, sf_dir, drop_missing=True)
 
 

@@ -101,7 +101,7 @@ def explain(model: PipelineModel, rows: DataFrame, keys: Sequence[str]) -> DataF
     gbt: GBTRegressionModel = model.stages[-1]
     names = list(model.stages[-2].getInputCols())
     spark = rows.sparkSession
-    nodes = node_table(gbt, scratch_path(spark, f"nodes-{gbt.uid}")).limit(MAX_NODES + 1).collect()
+    nodes = node_table(spark, gbt, scratch_path(spark, f"nodes-{gbt.uid}")).limit(MAX_NODES + 1).collect()
     if len(nodes) > MAX_NODES:
         raise ValueError(f"the ensemble has more than {MAX_NODES} nodes")
     table = spark.sparkContext.broadcast(leaves(nodes))

@@ -37,11 +37,10 @@ def best_round(errors: Sequence[float], patience: int = PATIENCE) -> tuple[int,
     return best + 1, False
 
 
-def cut_ensemble(model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
+def cut_ensemble(spark: SparkSession, model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
     """The model of the first ``rounds`` trees."""
     if rounds >= model.getNumTrees:
         return model
-    spark = SparkSession.getActiveSession()
     jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
     trees = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
     weights = gateway.new_array(jvm.double, rounds)
@@ -66,7 +65,7 @@ def fit_with_patience(gbt: GBTRegressor, train: DataFrame, val: DataFrame, patie
         errors = model.evaluateEachIteration(val, metric)
         best, settled = best_round(errors, patience)
         if settled or rounds == most:
-            return cut_ensemble(model, best), errors
+            return cut_ensemble(train.sparkSession, model, best), errors
         rounds = min(most, 2 * rounds)
 
 
@@ -85,14 +84,13 @@ def missing_sides(train: DataFrame, features: Sequence[str]) -> tuple[SQLTransfo
     return stage, [*features, *[c + MISSING for c in gaps]]
 
 
-def node_table(model: GBTRegressionModel, path: str) -> DataFrame:
+def node_table(spark: SparkSession, model: GBTRegressionModel, path: str) -> DataFrame:
     """Nodes of all trees: tree, weight, node, prediction, cover, left, right, feature, threshold, categories.
 
     Read from the model's saved form under ``path`` (written here).  ``left`` and ``right`` are -1 in a
     leaf; ``cover`` is the weighted number of training rows that reached the node.  A row goes left if its
     feature is at most ``threshold``.
     """
-    spark = SparkSession.getActiveSession()
     model.write().overwrite().save(path)
     n, weights = F.col("nodeData"), [float(w) for w in model.treeWeights]
     return spark.read.parquet(f"{path}/data").select(

@@ -144,9 +144,8 @@ def version_path(root: str, model: str, version: int) -> str:
     return os.path.join(root, model, f"v={version}")
 
 
-def save(pipeline: PipelineModel, root: str, model: str, version: int, horizon: int = 1, **meta) -> str:
+def save(spark: SparkSession, pipeline: PipelineModel, root: str, model: str, version: int, horizon: int = 1, **meta) -> str:
     """Write a version (again, if it is there); the meta table comes last and marks it complete."""
-    spark = SparkSession.getActiveSession()
     path = version_path(root, model, version)
     pipeline.write().overwrite().save(os.path.join(path, "pipeline"))
     kept = {"model": model, "version": version, "horizon": horizon,

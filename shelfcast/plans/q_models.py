@@ -23,7 +23,9 @@ from shelfcast.operators import intent as IN
 from shelfcast.operators import model_store as MS
 from shelfcast.operators import registry as R
 from shelfcast.operators import scoring as SC
+from shelfcast.operators import seasonal as SE
 from shelfcast.operators import splits as SP
+from shelfcast.operators import tuning as TU
 from shelfcast.plans import tables as TB
 from shelfcast.plans.catalog import register
 from shelfcast.session import cut_lineage, scratch_path
@@ -184,14 +186,14 @@ def q_top_trials(spark, sf_dir):
 
 @register("seasonal_forecast")
 def q_seasonal_forecast(spark, sf_dir):
-    """Per-series ridge seasonal model, predictions on every row of every series."""
-    return FC.fit_predict_series(split_df(spark, sf_dir))
+    """Per-series multiplicative model, predictions on every row of every series."""
+    return SE.forecast(cut_lineage(split_df(spark, sf_dir)))
 
 
 @register("seasonal_metrics")
 def q_seasonal_metrics(spark, sf_dir):
     """A14 on M05: val/test metrics per split, pooled over series."""
-    p = FC.fit_predict_series(split_df(spark, sf_dir)).filter(F.col("split").isin("val", "test"))
+    p = SE.forecast(cut_lineage(split_df(spark, sf_dir))).filter(F.col("split").isin("val", "test"))
     return B.regression_metrics(p, pred="prediction", group=["split"])
 
 
@@ -201,6 +203,19 @@ def q_seasonal_tuning(spark, sf_dir):
     return FC.tune_series(split_df(spark, sf_dir), n_trials=20)
 
 
+@register("seasonal_search")
+def q_seasonal_search(spark, sf_dir):
+    """M08 (per-series): 50 adaptive trials, halved over the walk-forward folds, both seasonality modes."""
+    train = cut_lineage(split_df(spark, sf_dir).filter(F.col("split") == "train"))
+    return TU.search_seasonal(train, scratch_path(spark, f"search-{uuid.uuid4().hex}"))
+
+
+@register("seasonal_coefficients")
+def q_seasonal_coefficients(spark, sf_dir):
+    """The stored form of the model, one row of coefficients per series."""
+    return SE.fit_series(split_df(spark, sf_dir).filter(F.col("split") == "train"))
+
+
 def _gbt_inputs(spark, sf_dir):
     sp = split_table(spark, sf_dir)
     train = sp.filter(F.col("split") == "train")
@@ -212,11 +227,10 @@ def _gbt_inputs(spark, sf_dir):
 
 @register("gbt_forecast")
 def q_gbt_forecast(spark, sf_dir):
-    """M06 + M13: boosted trees fitted on train (val stops early), batch-scored on test."""
-    d = _gbt_inputs(spark, sf_dir)
-    model = FC.fit_gbt(d.filter(F.col("split") == "train"), d.filter(F.col("split") == "val"), C.TRAIN_FEATURES)
-    return FC.predict(model, d.filter(F.col("split") == "test"), C.TRAIN_FEATURES).select(
-        "as_of_date", "store_id", "product_id", "y", "prediction")
+    """M06 + M13: boosted trees fitted on train (val chooses the number of rounds, with patience), batch-scored on test."""
+    sp = cut_lineage(split_table(spark, sf_dir))
+    pipeline = MS.fit_pipeline(sp.filter(F.col("split") == "train"), sp.filter(F.col("split") == "val"))
+    return MS.score(pipeline, sp.filter(F.col("split") == "test")).select("as_of_date", "store_id", "product_id", "y", "prediction")
 
 
 @register("gbt_importance")
@@ -288,7 +302,7 @@ def q_predicted_demand(spark, sf_dir):
     root = scratch_path(spark, f"models-{uuid.uuid4().hex}")
     part = {s: sp.filter(F.col("split") == s) for s in ("train", "val", "test")}
     pipeline = MS.fit_pipeline(part["train"], part["val"])
-    MS.save(pipeline, root, "tree", 1)
+    MS.save(spark, pipeline, root, "tree", 1)
     mae = B.regression_metrics(MS.score(pipeline, part["test"]), pred="prediction").select(
         F.lit("tree").alias("model"), F.lit(1).alias("version"), F.col("mae").alias("test_mae"))
     none = spark.createDataFrame([], "model string, version int, stage string, test_mae double")

@@ -60,7 +60,7 @@ def test_scored_rows_equal_training_rows(spark, tables):
 def test_stored_pipeline_predicts_as_the_fitted_one(spark, fitted):
     pipeline, part = fitted
     root = tempfile.mkdtemp(prefix="models-")
-    MS.save(pipeline, root, "tree", 3, features=C.TRAIN_FEATURES)
+    MS.save(spark, pipeline, root, "tree", 3, features=C.TRAIN_FEATURES)
     stored = MS.load(spark, root, "tree", 3)
     assert stored.meta["version"] == 3 and stored.meta["code_maps"]["region_codes"] == C.REGION_CODES
     test = part["test"].withColumn("series_id", F.when(F.col("product_id") == "P0003", "S9_P9").otherwise(F.col("series_id")))
@@ -82,7 +82,7 @@ def test_promoted_version_scores(spark, tables, fitted):
     retail, snap, _ = tables
     root = tempfile.mkdtemp(prefix="models-")
     for v in (1, 2):
-        MS.save(fitted[0], root, "tree", v)
+        MS.save(spark, fitted[0], root, "tree", v)
     none = spark.createDataFrame([], "model string, version int, stage string, test_mae double")
     with pytest.raises(ValueError):
         MS.production_version(none, "tree")
@@ -168,7 +168,7 @@ def test_attribution_equals_all_subsets(spark):
                                "id long, a double, b double, c double, d double, y double")
     asm = VectorAssembler(inputCols=list("abcd"), outputCol="features")
     gbt = GBTRegressor(labelCol="y", maxIter=6, maxDepth=3, stepSize=0.5, seed=2, predictionCol="raw_prediction").fit(asm.transform(df))
-    nodes = BO.node_table(gbt, os.path.join(tempfile.mkdtemp(prefix="nodes-"), "m")).collect()
+    nodes = BO.node_table(spark, gbt, os.path.join(tempfile.mkdtemp(prefix="nodes-"), "m")).collect()
     pipeline = PipelineModel([asm, gbt])
     got = AT.explain(pipeline, df.limit(40), ["id"]).toPandas().pivot(index="id", columns="feature", values="value")[list("abcd")]
     base = AT.explain(pipeline, df.limit(1), ["id"]).first()["base"]

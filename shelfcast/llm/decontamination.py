@@ -12,10 +12,11 @@ same suffix, and the patterns of the bucket are compared directly.  Patterns
 are tabled by length class, so one short pattern does not shorten all shifts.
 
 The benchmark is the query set.  It is cut into blocks of at most
-``max_patterns`` patterns: a block is what one task holds and what is sent to
-the executors, whatever the benchmark's size.  Documents are scanned once per
-block, and hits of several blocks are merged per document; with one block there
-is no shuffle at all.
+``max_patterns`` (pattern, item) pairs: a block is what the driver, one task and
+one broadcast hold, whatever the benchmark's size.  Documents are scanned once per
+block, a job each; a block's broadcast is destroyed before the next is made.  Spans
+and items of several blocks are merged per document; with one block there is one pass
+and no shuffle at all.
 
 Defined results: null texts (documents or items) have no words.  Null item ids
 are left out of ``items``, but their windows count as hits.  Repeated items are
@@ -38,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.llm.common import quoted, ship, stage, without
+from shelfcast.llm.common import fresh, quoted, ship, stage, without
 
 BLOCK = 8
 RESULT = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated", "hit_spans"]
@@ -121,8 +122,8 @@ def scan(text: bytes | None, matchers: list[WuManber]) -> tuple[int, list[tuple[
     return len(w), spans, set().union(*(h[2] for h in hits))
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, max_patterns: int) -> Iterator[dict]:
-    """Pattern -> item ids, in blocks of at most ``max_patterns`` patterns (all occurrences of a pattern together)."""
+def _patterns(benchmark: DataFrame, item_col: str, text_col: str, window: int) -> DataFrame:
+    """Distinct (pattern, item) pairs, staged."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [(i, p) for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
@@ -131,14 +132,22 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, max
                                               pa.array([r[1] for r in rows], pa.binary())], ["item", "pattern"])
     found = benchmark.select(quoted(item_col).cast("string").alias("item"), quoted(text_col).cast("binary").alias("t")) \
         .mapInArrow(run, "item string, pattern binary").distinct()
-    found = stage(found.orderBy("pattern", "item"), "patterns")
+    return stage(found.orderBy("pattern", "item"), "patterns")
+
+
+def _blocks(patterns: DataFrame, most: int) -> Iterator[dict]:
+    """Pattern -> item ids, in blocks of at most ``most`` pairs; the driver holds one.
+
+    A pattern of more items than a block holds is in several blocks: its spans are equal, its items add up.
+    """
     block: dict[bytes, set] = {}
-    for row in found.orderBy("pattern", "item").toLocalIterator():
-        p = bytes(row["pattern"])
-        if p not in block and len(block) == max_patterns:
+    size = 0
+    for row in patterns.orderBy("pattern", "item").toLocalIterator():
+        if size == most:
             yield block
-            block = {}
-        block.setdefault(p, set()).add(row["item"])
+            block, size = {}, 0
+        block.setdefault(bytes(row["pattern"]), set()).add(row["item"])
+        size += 1
     if block:
         yield block
 
@@ -147,47 +156,85 @@ def items_digest(items: set) -> str:
     return hashlib.sha256(",".join(sorted(i for i in items if i is not None)).encode()).hexdigest()
 
 
+def _results(found: list[tuple[int, list[tuple[int, int]], set]]) -> list[pa.Array]:
+    """Result columns of (number of words, merged spans, items) per document."""
+    items = [{i for i in r[2] if i is not None} for r in found]
+    return [pa.array([r[0] for r in found], pa.int64()),
+            pa.array([sum(b - a for a, b in r[1]) for r in found], pa.int64()),
+            pa.array([len(i) for i in items], pa.int64()),
+            pa.array([items_digest(i) for i in items], pa.string()),
+            pa.array([bool(r[1]) for r in found], pa.bool_()),
+            pa.array([[{"from": a, "to": b} for a, b in r[1]] for r in found],
+                     pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())])))]
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
                   item_text_col: str = "text", window: int = 10, max_patterns: int = 200_000) -> DataFrame:
     """``docs`` plus ``n_words``, ``n_hit``, ``n_items``, ``items_sha256``, ``contaminated`` and ``hit_spans``
-    (merged word spans [from, to) of the occurrences)."""
+    (merged word spans [from, to) of the occurrences).
+
+    ``max_patterns`` bounds the (pattern, item) pairs that the driver, a broadcast and a task hold at once.  A benchmark
+    of one block is one pass; a larger one is a job per block, each block's broadcast gone before the next.
+    """
     spark = docs.sparkSession
     ship(spark)
     keep = without(docs, RESULT)
     base = docs.select(*[quoted(c) for c in keep])
-    blocks = [(uuid.uuid4().hex, spark.sparkContext.broadcast(b))
-              for b in _blocks(benchmark, item_col, item_text_col, window, max_patterns)]
     span = T.ArrayType(T.StructType([T.StructField("from", T.LongType()), T.StructField("to", T.LongType())]))
-    schema = T.StructType(base.schema.fields + [
-        T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("n_items", T.LongType()),
-        T.StructField("items_sha256", T.StringType()), T.StructField("contaminated", T.BooleanType()),
-        T.StructField("hit_spans", span)])
+    results = [T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("n_items", T.LongType()),
+               T.StructField("items_sha256", T.StringType()), T.StructField("contaminated", T.BooleanType()),
+               T.StructField("hit_spans", span)]
+    schema = T.StructType(base.schema.fields + results)
     at = [c.lower() for c in keep].index(text_col.lower())
+    patterns = _patterns(benchmark, item_col, item_text_col, window)
+    if patterns.count() > max_patterns:
+        return _block_by_block(base, patterns, at, max_patterns, schema)
+    name, block = uuid.uuid4().hex, spark.sparkContext.broadcast(next(_blocks(patterns, max_patterns), {}))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # one block's tables at a time: the batches are held, the tables are not
         for batch in batches:
-            results = None
-            texts = batch.column(at).cast(pa.binary()).to_pylist()
-            for name, block in blocks:
-                matchers = _matchers(name, block)
-                part = [scan(t, matchers) for t in texts]
-                results = part if results is None else [
-                    (n, merge_spans(s1 + s2), i1 | i2) for (n, s1, i1), (_, s2, i2) in zip(results, part, strict=True)]
-            if results is None:
-                results = [(len(words(t)), [], set()) for t in texts]
-            items = [{i for i in r[2] if i is not None} for r in results]
-            cols = [pa.array([r[0] for r in results], pa.int64()),
-                    pa.array([sum(b - a for a, b in r[1]) for r in results], pa.int64()),
-                    pa.array([len(i) for i in items], pa.int64()),
-                    pa.array([items_digest(i) for i in items], pa.string()),
-                    pa.array([bool(r[1]) for r in results], pa.bool_()),
-                    pa.array([[{"from": a, "to": b} for a, b in r[1]] for r in results],
-                             pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())])))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *cols], schema.names)
+            matchers = _matchers(name, block)
+            found = [scan(t, matchers) for t in batch.column(at).cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *_results(found)], schema.names)
     return base.mapInArrow(run, schema)
 
 
+def _block_by_block(base: DataFrame, patterns: DataFrame, at: int, most: int, schema: T.StructType) -> DataFrame:
+    """Spans and items of each block for the documents it hits, merged per document."""
+    spark = base.sparkSession
+    (row,) = fresh(base, "_row")
+    rows = stage(base.withColumn(row, F.monotonically_increasing_id()), "documents")
+    text = quoted(base.columns[at]).cast("binary")
+    found = None
+    for block in _blocks(patterns, most):
+        name, shared = uuid.uuid4().hex, spark.sparkContext.broadcast(block)
+
+        def run(batches: Iterator[pa.RecordBatch], name=name, shared=shared) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                matchers = _matchers(name, shared)
+                got = [(r, *scan(t, matchers)[1:]) for r, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
+                got = [g for g in got if g[1]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([g[0] for g in got], pa.int64()), pa.array([[x for s in g[1] for x in s] for g in got], pa.list_(pa.int64())),
+                     pa.array([sorted(i for i in g[2] if i is not None) for g in got], pa.list_(pa.string()))], ["row", "spans", "items"])
+        part = stage(rows.select(F.col(row).alias("row"), text.alias("t")).mapInArrow(
+            run, "row long, spans array<long>, items array<string>"), "hits")
+        shared.destroy()
+        found = part if found is None else found.unionAll(part)
+    merged = found.groupBy("row").agg(F.collect_list("spans").alias("_spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("_items"))
+    spans, items = fresh(rows, "_spans", "_items")
+    met = rows.join(merged.withColumnsRenamed({"row": row, "_spans": spans, "_items": items}), row, "left")
+    keep = base.columns
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(at).cast(pa.binary()).to_pylist()
+            lists = zip(texts, batch.column(len(keep)).to_pylist(), batch.column(len(keep) + 1).to_pylist(), strict=True)
+            done = [(len(words(t)), merge_spans([p for one in s or [] for p in zip(one[::2], one[1::2], strict=True)]), set(i or [])) for t, s, i in lists]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(keep)], *_results(done)], schema.names)
+    return met.select(*[quoted(c) for c in keep], quoted(spans), quoted(items)).mapInArrow(finish, schema)
+
+
 def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for a, b in sorted(spans):

@@ -121,6 +121,9 @@ def _forest(a: np.ndarray, b: np.ndarray, same: bool, radius: int, block: int =
     return np.array(kept, np.int64).reshape(-1, 2)
 
 
+SLICE = 16  # tiles of a class that one task of the pair join takes
+
+
 def links(distinct: DataFrame, fp: str, radius: int, tile: int = 512) -> DataFrame:
     """Links (u, v) of a spanning forest per tile pair over the distinct fingerprints in column ``fp``."""
     counts = [F.bit_count(F.shiftrightunsigned(F.col(fp), PART_BITS * p).bitwiseAND(F.lit((1 << PART_BITS) - 1)))
@@ -139,7 +142,13 @@ def links(distinct: DataFrame, fp: str, radius: int, tile: int = 512) -> DataFra
         *[(F.col(f"p{p}") + F.col(f"step.d{p}")).alias(f"p{p}") for p in range(PARTS)],
         F.col("k").alias("k2"), F.col("fs").alias("gs"),
         F.expr(" and ".join(f"step.d{p} = 0" for p in range(PARTS))).alias("own"))
-    pairs = moved.join(tiles, keys).where(~F.col("own") | (F.col("k2") <= F.col("k"))).select(
+    # all tiles of two classes would meet in one task: the tiles of the class moved to are dealt to slices of at most
+    # ``SLICE``, and a tile goes to all slices of its target.  Equal classes have equal numbers of slices on both sides.
+    slices = F.ceil(F.ceil(F.col("size") / F.lit(tile / 2)) / F.lit(SLICE)).cast("int")
+    targets = sizes.select(*keys, slices.alias("slices"))
+    moved = moved.join(F.broadcast(targets), keys).withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+    dealt = tiles.join(F.broadcast(targets), keys).withColumn("slice", F.pmod(F.col("k"), F.col("slices")))
+    pairs = moved.join(dealt, [*keys, "slice"]).where(~F.col("own") | (F.col("k2") <= F.col("k"))).select(
         "fs", "gs", (F.col("own") & (F.col("k2") == F.col("k"))).alias("same"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

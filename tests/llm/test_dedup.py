@@ -58,6 +58,27 @@ def test_line_windows_match_brute_force(spark):
             sorted(((i is None, i, want[k]) for k, (i, _) in enumerate(rows)), key=str)
 
 
+def test_a_large_class_is_dealt_to_slices(spark, monkeypatch):
+    # fingerprints of one class: 16 bits of 64, four in each part; many tiles, of which a task takes two
+    from shelfcast.llm import simhash
+    monkeypatch.setattr(simhash, "SLICE", 2)
+    rng = random.Random(6)
+    fps = set()
+    while len(fps) < 300:
+        base = sum(1 << (16 * p + b) for p in range(4) for b in rng.sample(range(16), 4))
+        fps.add(base)
+        if rng.random() < 0.4:  # a neighbour at two bits in the same class
+            p = rng.randrange(4)
+            on = [b for b in range(16) if base >> (16 * p + b) & 1]
+            off = [b for b in range(16) if not base >> (16 * p + b) & 1]
+            fps.add(base ^ 1 << (16 * p + rng.choice(on)) ^ 1 << (16 * p + rng.choice(off)))
+    signed = [f - (1 << 64) if f >> 63 else f for f in sorted(fps)]
+    got = simhash.links(spark.createDataFrame([(f,) for f in signed], "fp long"), "fp", 2, tile=8).collect()
+    root = {r["node"]: r["root"] for r in components(spark.createDataFrame([(r["u"], r["v"]) for r in got], "u long, v long")).collect()}
+    want = brute_components([f % (1 << 64) for f in signed], signed, 2)
+    assert [root.get(f, f) for f in signed] == want and len(set(want)) < 300
+
+
 def test_first_occurrence_stays_whole(spark):
     got = line_dedup(documents(spark, ["x\nx\nx\nx\nx", "x\nx\nx"])).orderBy("doc_id").collect()
     assert [(r.text, r.n_lines, r.n_removed) for r in got] == [("x\nx\nx", 5, 2), ("", 3, 3)]

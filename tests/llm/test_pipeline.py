@@ -1,5 +1,7 @@
 """The corpus pipeline stage by stage, and the registered queries."""
 
+import random
+
 import __spark_entry__ as entry
 import corpus_pipeline
 from helpers import documents
@@ -13,7 +15,7 @@ def test_names_and_registration():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality rules", "line dedup", "simhash near-dedup",
                                                       "benchmark decontamination", "best-fit packing"]
     qs, sql = entry.queries(), entry.oracle_sql()
-    assert {f"op{n}" for n in range(1, 11)} <= {q.split("_")[0] for q in qs} and "pipeline" in qs
+    assert {f"op{n}" for n in range(1, 14)} <= {q.split("_")[0] for q in qs} and "pipeline" in qs
     assert {"op4_line_dedup", "op5_decontamination", "op9_substring_dedup"} <= set(sql)
 
 
@@ -55,6 +57,30 @@ def test_run_equals_its_stages(spark):
     assert sorted(map(str, same.collect())) == sorted(map(str, docs.collect()))
 
 
+def test_stages_take_an_empty_table(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    for _, fn in corpus_pipeline.STAGES[:-1]:
+        docs = fn(spark, docs, SF)
+        assert docs.count() == 0 and {"doc_id", "text", "n_chars"} <= set(docs.columns)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == 0
+
+
+def test_stages_take_a_very_long_text(spark):
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(4000)]
+    line = lambda: " ".join(rng.choice(words) for _ in range(14)).capitalize() + "."
+    long = "\n".join(line() for _ in range(4000))
+    docs = documents(spark, [long, long, "\n".join(line() for _ in range(5)), None], [4, 5, 6, 7])
+    for name, fn in corpus_pipeline.STAGES[:-1]:
+        docs = fn(spark, docs, SF)
+        left = {r.doc_id: r.text for r in docs.collect()}
+        assert left[4] == long and 6 in left and 7 not in left, name
+    assert set(left) == {4, 6}     # the copy lost all its lines
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
+    n = sorted(r.piece for r in packed if r.doc_id == 4)
+    assert n == list(range(len(n))) and len(n) > 20 and all(r.length == 4096 for r in packed if r.doc_id == 4 and r.piece < len(n) - 1)
+
+
 def test_stages_take_odd_rows(spark):
     docs = documents(spark, [None, "", "word " * 30, None, "A full sentence, with words enough to pass, one two three four five six seven eight nine ten eleven twelve."],
                      [None, 1, 2, 2, 3], clashes=True)
@@ -63,3 +89,4 @@ def test_stages_take_odd_rows(spark):
         assert docs_out.columns == docs.columns
         docs = docs_out
     assert [r.doc_id for r in docs.collect()] == [3]
+    assert [(r.doc_id, r.piece, r.offset) for r in corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()] == [(3, 0, 0)]

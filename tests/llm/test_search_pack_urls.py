@@ -58,6 +58,32 @@ def test_decontamination_matches_brute_force(spark):
             assert r["_d"] == CLASHES["_d"]
 
 
+def test_blocks_are_broadcast_one_at_a_time(spark, monkeypatch):
+    live, most, made = set(), [0], [0]
+    real = type(spark.sparkContext).broadcast
+
+    def broadcast(self, value):
+        out = real(self, value)
+        key, made[0] = made[0], made[0] + 1
+        live.add(key)
+        most[0] = max(most[0], len(live))
+        assert sum(map(len, value.values())) <= 4
+        gone = out.destroy
+        monkeypatch.setattr(out, "destroy", lambda *a, **b: (live.discard(key), gone(*a, **b)), raising=False)
+        return out
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", broadcast)
+    # one pattern of five items does not fit into a block of four pairs
+    bench = [(i, "the same words") for i in range(5)] + [(10 + i, f"other text {i}") for i in range(5)]
+    texts = ["say the same words, other text 3", "nothing here", None, "other text 0 other text 4 the same words"]
+    got = decontaminate(documents(spark, texts, clashes=True), spark.createDataFrame(bench, "item_id long, text string"), window=3,
+                        max_patterns=4).orderBy("doc_id").collect()
+    assert made[0] == 3 and most[0] == 1 and not live
+    for r, t in zip(got, texts, strict=True):
+        n, hit, items = brute_hits(t, bench, 3)
+        assert (r.n_words, r.n_hit, r.n_items) == (n, len(hit), len(items))
+        assert r.items_sha256 == hashlib.sha256(",".join(sorted(map(str, items))).encode()).hexdigest()
+
+
 def test_decontamination_with_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     got = decontaminate(documents(spark, ["a b", None]), none).orderBy("doc_id").collect()

@@ -26,29 +26,45 @@ def _with_text(docs: DataFrame, result: DataFrame, text: str) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7: rejected documents go, kept ones lose their failing lines."""
+    """Operator 7: rejected documents go, kept ones lose their failing lines.
+
+    Null, empty and blank texts are rejected; an empty table stays empty.  Repeated rows are judged alike; null ids stay.
+    """
     return _with_text(docs, quality_rules(docs).where("kept"), "clean_text")
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4: later occurrences of three-line windows go; a document left without a word goes too."""
+    """Operator 4: later occurrences of three-line windows go; a document left without a word goes too.
+
+    So null, empty and blank texts go.  Rows equal in id and text are one document and keep the same lines; a null id
+    ranks last.  Texts of fewer than three lines with words stay as they are.
+    """
     out = _with_text(docs, line_dedup(docs), "text")
     return out.where(F.regexp_like("text", F.lit(r"[^\x20\x09-\x0D]")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 10: one document of each SimHash component stays (3-word shingles, 2 bits)."""
+    """Operator 10: one document of each SimHash component stays (3-word shingles, 2 bits): the one with the smallest id.
+
+    Texts without a word share fingerprint zero, so one of them stays; of rows that tie in id, one stays.
+    """
     return simhash_dedup(docs, shingle=3, radius=2).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 5: documents that hold a window of a benchmark item go."""
+    """Operator 5: documents that hold a window of a benchmark item go.
+
+    Null and empty texts hold none and stay; with an empty benchmark all stay.
+    """
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate(docs, benchmark).where(~F.col("contaminated")).select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 6: pieces of at most 4096 tokens and their places in sequences."""
+    """Operator 6: pieces of at most 4096 tokens and their places in sequences.
+
+    A null or empty text is one piece, the end id; an empty table gives an empty table.  Only pieces come out, no other column.
+    """
     return pack(docs, tokenizer_path(), capacity=4096, end_id=1)
 
 

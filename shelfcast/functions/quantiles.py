@@ -1,28 +1,59 @@
-"""Exact quantiles (numpy ``linear`` interpolation) without an unbounded map.
+"""Exact quantiles (numpy ``linear`` interpolation) without an unbounded map, all ranks at once.
 
 Spark's exact ``percentile`` aggregates a value -> count map that is merged in
 one task: fine when the column has few distinct values (counts, units), not
-for continuous columns at scale.  ``exact_quantiles`` finds the order
-statistics around each target rank distributively:
-
-1. one pass: n and ``percentile_approx`` brackets around every target rank;
-2. one pass: for every bracket, the number of values below it and the number
-   inside it (conditional counts);
-3. a bracket of equal values is the answer; one with more than
-   ``max_in_bracket`` values is narrowed again, by percentiles restricted to it
-   or, where ties leave them no effect, by halving its value range; otherwise
-   its values are ranked exactly.  Only bounded data reaches the driver:
-   bracket bounds, counts and at most ``max_in_bracket`` values per target.
+for continuous columns at scale.  Here every order statistic that any column and
+probability needs is a *target* with an open interval it must lie in.  One scan
+serves all open targets with one aggregate:
+
+* the first scan counts each column and builds a mergeable sketch (KLL) of it;
+* from a sketch of its interval a target gets two pivots just below and above its
+  rank.  The next scan counts what lies below and at either pivot, exactly, and builds
+  the sketch of the values between them.  The rank then is at a pivot (an answer,
+  however many ties there are), or between them (the interval shrinks by the sketch's
+  accuracy, about 1,600-fold), or, if the sketch was off, beyond one (the interval still shrinks);
+* an interval of at most ``max_in_bracket`` values is collected by the next scan and ranked.
+
+So an interval holds n, n / 1600, n / 2.6e6 values after one, two and three scans: the usual end
+is the fourth scan for up to 2.6e11 rows, the fifth for any size.  What reaches the driver are
+counts, pivots and at most ``max_in_bracket`` values per target; sketches stay in a one-row table.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfcast.session import cut_lineage
+
+SKETCH = 32768  # KLL's k: rank error about 1 in 10,000, and about a MB a sketch
+
+
+@dataclass(eq=False)
+class _Target:
+    column: int
+    rank: int                      # 0-based in the whole column
+    low: float | None = None       # the open interval; None: no bound
+    high: float | None = None
+    below: int = 0                 # values at or below ``low``
+    inside: int = 0
+    pivots: tuple[float, float] | None = None
+    answer: float | None = None
+
+    def within(self, v: Column, low: float | None, high: float | None) -> Column:
+        c = v.isNotNull()
+        c = c if low is None else c & (v > F.lit(low))
+        return c if high is None else c & (v < F.lit(high))
+
+    def fractions(self, accuracy: int) -> list[float]:
+        centre = (self.rank - self.below + 0.5) / self.inside
+        margin = 3 / accuracy
+        return [max(0.0, centre - margin), min(1.0, centre + margin)]
+
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], max_in_bracket: int = 100_000,
                     accuracy: int = 10_000) -> list[float | None]:
@@ -32,80 +63,98 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], max_in_brac
 
 def exact_quantiles_of(df: DataFrame, cols: Sequence[str], probs: Sequence[float], max_in_bracket: int = 100_000,
                        accuracy: int = 10_000) -> dict[str, list[float | None]]:
-    """Exact quantiles of several columns in three aggregates over ``df``; only order statistics whose
-    bracket does not come out small (heavy ties) are searched one by one."""
-    vals = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)])
-    qs = [q for p in probs for q in (max(0.0, p - 3 / accuracy), min(1.0, p + 3 / accuracy))]
-    first = vals.agg(*[x for i in range(len(cols)) for x in (
-        F.count(f"v{i}").alias(f"n{i}"), F.percentile_approx(f"v{i}", qs, accuracy).alias(f"q{i}"))]).first()
-    # (column, probability) -> bracket, and how many values lie below and inside it
-    brackets = {(i, j): tuple(first[f"q{i}"][2 * j:2 * j + 2]) for i in range(len(cols)) if first[f"n{i}"]
-                for j in range(len(probs))}
-    if not brackets:
-        return {c: [None] * len(probs) for c in cols}
-    second = vals.agg(*[x for (i, j), (a, b) in brackets.items() for x in (
-        F.count_if(F.col(f"v{i}") < a).alias(f"lt_{i}_{j}"),
-        F.count_if(F.col(f"v{i}").between(a, b)).alias(f"in_{i}_{j}"))]).first()
-    need, direct = {}, {}
-    for (i, j), (a, b) in brackets.items():
-        h = (first[f"n{i}"] - 1) * float(probs[j])
-        lo, hi = math.floor(h), math.ceil(h)
-        below, inside = second[f"lt_{i}_{j}"], second[f"in_{i}_{j}"]
-        need[i, j] = (lo, hi, h - lo)
-        if below <= lo and hi < below + inside and (a == b or inside <= max_in_bracket):
-            direct[i, j] = (a, b, below)
-    wide = {k: v for k, v in direct.items() if v[0] < v[1]}
-    third = vals.agg(*[F.sort_array(F.collect_list(F.when(F.col(f"v{i}").between(a, b), F.col(f"v{i}")))).alias(f"s_{i}_{j}")
-                       for (i, j), (a, b, _) in wide.items()]).first() if wide else {}
-
-    def value(i: int, j: int, k: int) -> float:
-        if (i, j) not in direct:
-            some = vals.select(F.col(f"v{i}").alias("v")).filter(F.col("v").isNotNull())
-            return _order_statistic(some, first[f"n{i}"], k, max_in_bracket, accuracy)
-        a, b, below = direct[i, j]
-        return float(a) if a == b else float(third[f"s_{i}_{j}"][k - below])
-    out = {}
+    """Exact quantiles of several columns; nulls and NaN are left out.  ``accuracy`` sets how near pivots go (3 in
+    ``accuracy`` of the interval to either side)."""
+    return quantiles_and_scans(df, cols, probs, max_in_bracket, accuracy)[0]
+
+
+def quantiles_and_scans(df: DataFrame, cols: Sequence[str], probs: Sequence[float], max_in_bracket: int = 100_000,
+                        accuracy: int = 10_000) -> tuple[dict[str, list[float | None]], int]:
+    """The quantiles and how many times ``df`` was scanned for them."""
+    vals = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(f"v{i}") for i, c in enumerate(cols)])
+    scans = 1
+    first = cut_lineage(vals.agg(*[x for i in range(len(cols)) for x in (
+        F.count(f"v{i}").alias(f"n{i}"), F.kll_sketch_agg_double(f"v{i}", F.lit(SKETCH)).alias(f"k{i}"))]))
+    n = first.select(*[f"n{i}" for i in range(len(cols))]).first()
+    need: dict[tuple[int, int], tuple[int, int, float]] = {}
+    targets: dict[tuple[int, int], _Target] = {}
+    for i in range(len(cols)):
+        for j, p in enumerate(probs):
+            if not n[i]:
+                continue
+            h = (n[i] - 1) * float(p)
+            need[i, j] = (math.floor(h), math.ceil(h), h - math.floor(h))
+            for k in need[i, j][:2]:
+                targets.setdefault((i, k), _Target(i, k, inside=n[i]))
+    _pivot(first, {t: f"k{t.column}" for t in targets.values() if t.inside > max_in_bracket}, accuracy)
+    while todo := [t for t in targets.values() if t.answer is None]:
+        scans += 1
+        _narrow(vals, todo, max_in_bracket, accuracy)
+    out: dict[str, list[float | None]] = {}
     for i, c in enumerate(cols):
         out[c] = []
         for j in range(len(probs)):
             if (i, j) not in need:
                 out[c].append(None)
                 continue
-            lo, hi, frac = need[i, j]
-            x = value(i, j, lo)
-            out[c].append(x if lo == hi else x + (value(i, j, hi) - x) * frac)
-    return out
-
-
-def _order_statistic(vals: DataFrame, n: int, k: int, max_in: int, accuracy: int) -> float:
-    """The k-th smallest value (0-based).
-
-    Each round is one aggregate over the bracket; it always shrinks: to the
-    approximate percentiles around the rank if they exclude anything, else to
-    one half of the value range (by an exact count).  Equal values end the
-    search at once, however many they are.
-    """
-    sub, below, m = vals, 0, n
-    while True:
-        kk = k - below               # rank inside the bracket
-        q_lo, q_hi = max(0.0, (kk - 2 * m / accuracy) / m), min(1.0, (kk + 2 * m / accuracy) / m)
-        r = sub.agg(F.min("v").alias("lo"), F.max("v").alias("hi"),
-                    F.percentile_approx("v", [q_lo, q_hi], accuracy).alias("q")).first()
-        lo, hi, (a, b) = r["lo"], r["hi"], r["q"]
-        if lo == hi:
-            return float(lo)
-        if m <= max_in:
-            return float(sub.agg(F.sort_array(F.collect_list("v")).alias("a")).first()["a"][kk])
-        mid = lo + (hi - lo) / 2
-        mid = lo if mid >= hi else mid
-        c = sub.agg(F.count_if(F.col("v") < a).alias("lt"), F.count_if(F.col("v") <= b).alias("le"),
-                    F.count_if(F.col("v") <= mid).alias("half")).first()
-        if c["lt"] <= kk < c["le"] and c["le"] - c["lt"] < m:
-            below, m = below + c["lt"], c["le"] - c["lt"]
-            sub = sub.filter((F.col("v") >= a) & (F.col("v") <= b))
-        elif kk < c["half"]:
-            m = c["half"]
-            sub = sub.filter(F.col("v") <= mid)
+            lo, hi, part = need[i, j]
+            a, b = targets[i, lo].answer, targets[i, hi].answer
+            out[c].append(a if lo == hi else a + (b - a) * part)
+    return out, scans
+
+
+def _pivot(row: DataFrame, sketches: dict, accuracy: int) -> None:
+    """Pivots of targets from the sketches (columns of a one-row table) of their intervals."""
+    asked = list(sketches.items())
+    if not asked:
+        return
+    got = row.select(*[F.kll_sketch_get_quantile_double(name, F.lit(t.fractions(accuracy))).alias(f"q{m}")
+                       for m, (t, name) in enumerate(asked)]).first()
+    for m, (t, _) in enumerate(asked):
+        t.pivots = (float(got[m][0]), float(got[m][1]))
+
+
+def _narrow(vals: DataFrame, todo: list[_Target], max_in: int, accuracy: int) -> None:
+    """One scan for all open targets: small intervals are collected, others counted at their pivots and sketched between."""
+    aggs = []
+    for m, t in enumerate(todo):
+        v = F.col(f"v{t.column}")
+        if t.inside <= max_in:
+            aggs.append(F.sort_array(F.collect_list(F.when(t.within(v, t.low, t.high), v))).alias(f"s{m}"))
+            continue
+        low, high = t.pivots or (t.low, t.high)
+        if t.pivots:
+            aggs += [F.count_if(v < low).alias(f"a{m}"), F.count_if(v <= low).alias(f"b{m}"),
+                     F.count_if(v < high).alias(f"c{m}"), F.count_if(v <= high).alias(f"d{m}")]
+        aggs.append(F.kll_sketch_agg_double(F.when(t.within(v, low, high), v), F.lit(SKETCH)).alias(f"k{m}"))
+    row = cut_lineage(vals.agg(*aggs))
+    got = row.drop(*[c for c in row.columns if c.startswith("k")]).first()
+    sketches = {}
+    for m, t in enumerate(todo):
+        if t.inside <= max_in:
+            t.answer = float(got[f"s{m}"][t.rank - t.below])
+        elif t.pivots is None:
+            sketches[t] = f"k{m}"
         else:
-            below, m = below + c["half"], m - c["half"]
-            sub = sub.filter(F.col("v") > mid)
+            if _decide(t, got[f"a{m}"], got[f"b{m}"], got[f"c{m}"], got[f"d{m}"]) and t.inside > max_in:
+                sketches[t] = f"k{m}"
+    _pivot(row, sketches, accuracy)
+
+
+def _decide(t: _Target, before_low: int, up_to_low: int, before_high: int, up_to_high: int) -> bool:
+    """Answer or narrower interval from the counts at the pivots; whether the sketch between them is the one to go on with."""
+    low, high = t.pivots
+    t.pivots = None
+    if before_low <= t.rank < up_to_low:
+        t.answer = low
+    elif before_high <= t.rank < up_to_high:
+        t.answer = high
+    elif up_to_low <= t.rank < before_high:
+        t.low, t.high, t.below, t.inside = low, high, up_to_low, before_high - up_to_low
+        return True
+    elif t.rank < before_low:          # the sketch was off: go on below, with a sketch of that part
+        t.high, t.inside = low, before_low - t.below
+    else:
+        t.inside -= up_to_high - t.below
+        t.low, t.below = high, up_to_high
+    return False

@@ -32,24 +32,33 @@ from shelfcast.sources import writers as WR
 
 def daily_features_job(spark: SparkSession, retail: DataFrame, snapshot: DataFrame, out_dir: str,
                        run_id: str, horizon: int = 1, max_anomalies: int = 0,
-                       fail_on_anomalies: bool = False, order_col: str | None = None) -> dict:
+                       fail_on_anomalies: bool = False, order_col: str | None = None, table: str | None = None,
+                       buckets: int = 64) -> dict:
     """Extract (change-checked copy) -> features -> statistics and checks ->
     anomalies (+ gate) -> bias.  Returns the one-row anomaly summary.
 
     ``order_col`` (the readers' ``_ingest``; taken by itself if ``retail`` has it) decides
-    between conflicting rows of one day: the first ingested one counts (P02).
+    between conflicting rows of one day: the first ingested one counts (P02).  ``table`` names a
+    catalog table that keeps the features bucketed by series, in place of store folders.  Statistics, missingness
+    and value rules are observed by the write; the other reports read what is stored.
     """
     order_col = order_col or (RD.INGEST if RD.INGEST in retail.columns else None)
     raw, changed = RD.extract_if_changed(retail, os.path.join(out_dir, "raw"), run_id)
     feats_path = os.path.join(out_dir, "features")
-    WR.write_features(FE.features_v2(raw, snapshot, horizon=horizon, order_col=order_col), feats_path)
-    f = spark.read.parquet(feats_path)
+    seen = Q.Observed()
+    made = seen.watch(FE.features_v2(raw, snapshot, horizon=horizon, order_col=order_col))
+    if table:
+        WR.write_bucketed(made, table, feats_path, buckets)
+        f = spark.table(table)
+    else:
+        WR.write_features(made, feats_path)
+        f = spark.read.parquet(feats_path)
     rep = os.path.join(out_dir, "reports")
     WR.write_report(spark.createDataFrame(Q.schema_dump(f), "column string, type string"),
                     os.path.join(rep, "schema"))
-    WR.write_report(Q.column_stats(f), os.path.join(rep, "stats"))
-    WR.write_report(Q.expectations(f), os.path.join(rep, "expectations"))
-    WR.write_report(Q.missingness(f), os.path.join(rep, "missingness"))
+    WR.write_report(seen.column_stats(), os.path.join(rep, "stats"))
+    WR.write_report(seen.expectations(f), os.path.join(rep, "expectations"))
+    WR.write_report(seen.missingness(), os.path.join(rep, "missingness"))
     WR.write_report(Q.outliers(f), os.path.join(rep, "outliers"))
     WR.write_report(Q.date_gaps(f).filter("is_anomaly"), os.path.join(rep, "date_gap_anomalies"))
     row = Q.anomaly_summary(f).first()

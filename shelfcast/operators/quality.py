@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,9 +33,17 @@ def _long(rows: list[Column], alias: str = "e") -> Column:
     return F.explode(F.array(*rows)).alias(alias)
 
 
+Report = tuple[list[Column], list[Column]]  # aggregates over a table, and the report's rows over their one row
+
+
 def column_stats(df: DataFrame) -> DataFrame:
     """Q02: mean, sample std, min, max (numeric columns) and null share of every column."""
-    aggs, entries = [], []
+    aggs, entries = _stats_report(df)
+    return df.agg(*aggs).select(_long(entries)).select("e.*")
+
+
+def _stats_report(df: DataFrame) -> Report:
+    aggs, entries = [F.count(F.lit(1)).alias("__rows")], []
     for i, c in enumerate(df.columns):
         num = _is_numeric(df, c)
         x = F.col(c).cast("double") if num else None
@@ -48,14 +56,17 @@ def column_stats(df: DataFrame) -> DataFrame:
                                 F.col(f"s{i}").alias("std"), F.col(f"lo{i}").alias("min"),
                                 F.col(f"hi{i}").alias("max"),
                                 (F.col(f"n{i}") / F.col("__rows")).alias("null_pct")))
-    one = df.agg(F.count(F.lit(1)).alias("__rows"), *aggs)
-    return one.select(_long(entries)).select("e.*")
+    return aggs, entries
 
 
 def missingness(df: DataFrame, threshold: float = C.MISSING_THRESHOLD) -> DataFrame:
     """Q04: null count/share per column; anomaly if share > threshold (strict)."""
     one = df.agg(F.count(F.lit(1)).alias("__rows"),
                  *[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(df.columns)])
+    return _missingness_of(df, one, threshold)
+
+
+def _missingness_of(df: DataFrame, one: DataFrame, threshold: float) -> DataFrame:
     entries = [F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("null_count"),
                         F.col("__rows").alias("total_count")) for i, c in enumerate(df.columns)]
     out = one.select(_long(entries)).select("e.*")
@@ -172,6 +183,20 @@ def expectations(df: DataFrame, unique_keys: Sequence[str] = ("as_of_date", "sto
     group-by on the keys (partial aggregation; rows in duplicated keys).
     Rules on absent columns are reported as ``skipped`` (D9).
     """
+    aggs, _ = _rules_report(df, unique_keys)
+    return _expectations_of(df, df.agg(*aggs), unique_keys)
+
+
+def _expectations_of(df: DataFrame, one: DataFrame, unique_keys: Sequence[str]) -> DataFrame:
+    """The suite from the one row of conditional counts, and key uniqueness from ``df``."""
+    _, entries = _rules_report(df, unique_keys)
+    keys = [k for k in unique_keys if k in df.columns]
+    dup = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+             .agg(F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).cast("long").alias("__dups")))
+    return attach_row(one, dup).select(_long(entries)).select("e.*")
+
+
+def _rules_report(df: DataFrame, unique_keys: Sequence[str]) -> Report:
     cols = set(df.columns)
     rules: list[tuple[str, str, Column | None, Column | None]] = []
     for c in CRITICAL_COLUMNS:
@@ -205,12 +230,42 @@ def expectations(df: DataFrame, unique_keys: Sequence[str] = ("as_of_date", "sto
                                 F.col("__rows").alias("element_count"),
                                 F.col(f"u{i}").alias("unexpected_count"),
                                 F.when(F.col(f"u{i}") == 0, "pass").otherwise("fail").alias("status")))
-    one = df.agg(*aggs)
     keys = [k for k in unique_keys if k in cols]
-    dup = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-             .agg(F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).cast("long").alias("__dups")))
-    one = attach_row(one, dup)
     entries.append(F.struct(F.lit("compound_unique").alias("rule"), F.lit(",".join(keys)).alias("column"),
                             F.col("__rows").alias("element_count"), F.col("__dups").alias("unexpected_count"),
                             F.when(F.col("__dups") == 0, "pass").otherwise("fail").alias("status")))
-    return one.select(_long(entries)).select("e.*")
+    return aggs, entries
+
+
+class Observed:
+    """Q02, Q03 (the value rules) and Q04 collected by the write of a table itself.
+
+    ``watch(df)`` is ``df`` with the aggregates of all three reports observed; once an action has run over it, the
+    reports come from that one row of metrics, without another pass.  ``expectations`` reads the keys of the
+    stored table for the uniqueness rule.
+    """
+
+    def __init__(self, unique_keys: Sequence[str] = ("as_of_date", "store_id", "product_id")):
+        self.keys = unique_keys
+        self.observation = Observation()
+        self.df: DataFrame | None = None
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        stats, _ = _stats_report(df)
+        rules, _ = _rules_report(df, self.keys)
+        self.df = df
+        self.schema = df.agg(*stats, *rules[1:]).schema  # the rules' row count is that of the statistics
+        return df.observe(self.observation, *stats, *rules[1:])
+
+    def _one(self) -> DataFrame:
+        got = self.observation.get
+        return self.df.sparkSession.createDataFrame([tuple(got.get(f.name) for f in self.schema)], self.schema)
+
+    def column_stats(self) -> DataFrame:
+        return self._one().select(_long(_stats_report(self.df)[1])).select("e.*")
+
+    def missingness(self, threshold: float = C.MISSING_THRESHOLD) -> DataFrame:
+        return _missingness_of(self.df, self._one(), threshold)
+
+    def expectations(self, stored: DataFrame) -> DataFrame:
+        return _expectations_of(stored.select(*self.df.columns), self._one(), self.keys)

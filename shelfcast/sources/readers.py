@@ -10,6 +10,7 @@ stored by the previous run.
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -105,10 +106,12 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | str | None
 
     A top-level array gives one row per element.  An object gives the elements
     of its first list field (in document order, of any element type); an object
-    without a list is a single document.  ``schema`` describes one row; without
-    it the rows' schema is inferred.  Elements that are not objects come back as one
-    string column ``value``.  A file is read as a whole, so it must fit into
-    a task.
+    without a list is a single document.  ``schema`` describes one row.  Without it
+    the elements are taken as VARIANT: if all are objects, their common schema becomes
+    the columns; else (scalars, lists, or a mixture, objects among them) nothing is
+    lost either: all come back in one string column ``value``, scalars as text, the others as
+    JSON.  With a ``schema`` an element that is no object is an error.  A file is read as a
+    whole, so it must fit into a task.
     """
     files = spark.read.option("wholetext", True).text(path).select(F.trim(F.regexp_replace("value", r"^\s+|\s+$", "")).alias("j"))
     lists = F.filter(F.json_object_keys("j"), lambda k: F.substring(_json_field(F.col("j"), k), 1, 1) == "[")
@@ -120,11 +123,27 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | str | None
     if parsed.filter(F.col("e").isNull()).limit(1).count():
         raise ValueError("JSON file must contain an array or object at the top level.")
     rows = parsed.select(F.explode("e").alias("value"))
-    if not rows.filter(F.substring("value", 1, 1) == "{").limit(1).count():
+    other = rows.filter(~F.coalesce(F.substring("value", 1, 1) == "{", F.lit(False))).limit(1).count() > 0
+    if schema is not None:
+        if other:
+            raise ValueError("an element that is not an object has no columns: read the file without a schema")
+        return rows.select(F.from_json("value", schema).alias("r")).select("r.*")
+    if other:
         return rows
-    if schema is None:
-        return spark.read.json(rows.rdd.map(lambda r: r["value"]))
-    return rows.select(F.from_json("value", schema).alias("r")).select("r.*")
+    elements = rows.select(F.parse_json("value").alias("v"))
+    found = elements.agg(F.schema_of_variant_agg("v")).first()[0]
+    return elements.select(F.variant_get("v", "$", struct_type(found)).alias("r")).select("r.*")
+
+
+def struct_type(found: str) -> str:
+    """Column types for a schema of VARIANTs: objects are structs, fractions doubles, what is null or mixed a string (JSON text)."""
+    parts = re.split(r"(`(?:[^`]|``)*`)", found)  # quoted names stay as they are
+    for i in range(0, len(parts), 2):
+        p = re.sub(r"\bOBJECT<", "STRUCT<", parts[i])
+        p = re.sub(r"\bDECIMAL\(\d+,\s*0\)(?!\s*:)", "DECIMAL(38,0)", p)
+        p = re.sub(r"\bDECIMAL\(\d+,\s*[1-9]\d*\)(?!\s*:)", "DOUBLE", p)
+        parts[i] = re.sub(r"\b(VOID|VARIANT)\b(?!\s*:)", "STRING", p)
+    return "".join(parts)
 
 
 def _json_field(doc, key):

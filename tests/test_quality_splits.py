@@ -91,3 +91,24 @@ def test_exact_quantiles_match_numpy(spark):
     got = exact_quantiles(df, "x", [0.001, 0.5, 0.999], max_in_bracket=500, accuracy=200)
     exp = np.percentile(x, [0.1, 50, 99.9])
     assert np.allclose(got, exp, rtol=0, atol=1e-9)
+
+
+def test_all_ranks_in_few_scans(spark):
+    from shelfcast.functions.quantiles import quantiles_and_scans
+    rng = np.random.default_rng(8)
+    n = 300_000
+    pdf = pd.DataFrame({"x": rng.normal(size=n), "ties": rng.integers(0, 5, n).astype(float), "long": np.exp(rng.normal(size=n) * 4)})
+    pdf["mixed"] = np.where(rng.random(n) < 0.4, 7.0, pdf["x"] * 10)
+    pdf.loc[rng.random(n) < 0.01, "x"] = np.nan
+    df = spark.createDataFrame(pdf).repartition(6)
+    probs = [0.0, 0.001, 0.25, 0.5, 0.7777, 0.999, 1.0]
+    got, scans = quantiles_and_scans(df, list(pdf.columns), probs, max_in_bracket=100)
+    for c in pdf.columns:
+        want = np.percentile(pdf[c].dropna(), [100 * p for p in probs])
+        assert np.allclose(got[c], want, rtol=1e-12, atol=0), c
+    assert scans <= 4
+    # coarse pivots that miss their rank still end, with the same answer
+    some = pdf.head(5000)
+    rough, _ = quantiles_and_scans(spark.createDataFrame(some), ["x", "mixed"], [0.31], max_in_bracket=3, accuracy=10**9)
+    for c in ("x", "mixed"):
+        assert np.isclose(rough[c][0], np.percentile(some[c].dropna(), 31), rtol=1e-12)

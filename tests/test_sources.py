@@ -2,6 +2,7 @@ import json
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from shelfcast.operators import forecast as FC
@@ -52,6 +53,76 @@ def test_json_layout_depends_on_each_file_alone(spark):
     assert [r["value"] for r in RD.read_json(spark, os.path.join(d, "scalars.json")).collect()] == ["1", "2.5", "t"]
 
 
+def test_json_elements_as_variants(spark):
+    d = tempfile.mkdtemp()
+    _json(d, "deep.json", [{"a": 1, "b": {"c": [1, 2.5], "VOID": None}, "d e": "x"}, {"a": None, "b": {"c": []}, "list": [[1], [2, 3]]},
+                           {"a": 7, "mix": 1}, {"mix": {"k": "v"}}])
+    out = RD.read_json(spark, os.path.join(d, "deep.json"))
+    plan = out._jdf.queryExecution().toString()
+    assert "Python" not in plan and "ExistingRDD" not in plan
+    rows = [r.asDict(recursive=True) for r in out.collect()]
+    assert [r["a"] for r in rows] == [1, None, 7, None] and rows[0]["b"]["c"] == [1.0, 2.5] and rows[0]["d e"] == "x"
+    assert rows[1]["list"] == [[1], [2, 3]] and rows[1]["b"]["c"] == [] and rows[0]["b"]["VOID"] is None
+    assert rows[2]["mix"] == "1" and json.loads(rows[3]["mix"]) == {"k": "v"}
+
+
+def test_json_mixed_elements_are_kept(spark):
+    d = tempfile.mkdtemp()
+    _json(d, "mixed.json", {"rows": [1, "two", {"a": 3}, [4, 5], None, 2.5]})
+    out = RD.read_json(spark, os.path.join(d, "mixed.json"))
+    assert out.columns == ["value"]
+    got = [r["value"] for r in out.collect()]
+    assert got[:2] == ["1", "two"] and json.loads(got[2]) == {"a": 3} and json.loads(got[3]) == [4, 5] and got[4] is None and got[5] == "2.5"
+    with pytest.raises(ValueError):
+        RD.read_json(spark, os.path.join(d, "mixed.json"), "a long")
+    _json(d, "nested.json", [[1, 2], [{"x": 1}]])
+    assert [json.loads(r["value"]) for r in RD.read_json(spark, os.path.join(d, "nested.json")).collect()] == [[1, 2], [{"x": 1}]]
+
+
+def test_reports_over_a_bucketed_table_need_no_exchange(spark, sf_dir):
+    from shelfcast.operators import features as FE
+    from shelfcast.operators import quality as Q
+    from shelfcast.sources import testdata as T
+    base = tempfile.mkdtemp()
+    f = FE.features_v2(T.retail_daily(spark, sf_dir), T.inventory_snapshot(spark, sf_dir), include_created_at=False)
+    path = os.path.join(base, "features")
+    WR.write_bucketed(f, "bucketed_features", path, 4)
+    stored = spark.table("bucketed_features")
+    gaps = Q.date_gaps(stored)
+    plan = gaps._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Bucketed: true" in plan
+    want = sorted(map(str, Q.date_gaps(f).collect()))
+    assert sorted(map(str, gaps.collect())) == want
+    files = [x for x in os.listdir(path) if x.endswith(".parquet")]
+    assert len(files) <= 4
+    # another session knows the folder only
+    again = WR.open_bucketed(spark, "bucketed_again", path, ", ".join(f"`{c}` {t}" for c, t in f.dtypes), 4)
+    assert "Exchange" not in Q.date_gaps(again)._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(str, Q.date_gaps(again).collect())) == want
+    for t in ("bucketed_features", "bucketed_again"):
+        spark.sql(f"DROP TABLE {t}")
+
+
+def test_reports_are_observed_by_the_write(spark, sf_dir):
+    from shelfcast.operators import features as FE
+    from shelfcast.operators import quality as Q
+    from shelfcast.sources import testdata as T
+    f = FE.features_v2(T.retail_daily(spark, sf_dir), T.inventory_snapshot(spark, sf_dir), include_created_at=False)
+    f = f.withColumn("gap", F.when(F.col("dow") == 2, 1.0)).withColumn("price", F.col("effective_price") - 20)
+    path = os.path.join(tempfile.mkdtemp(), "f")
+    seen = Q.Observed()
+    seen.watch(f).write.parquet(path)
+    stored = spark.read.parquet(path).select(*f.columns)
+    norm = lambda d: sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in d.fillna("-").collect())
+    key = lambda d: sorted(map(str, norm(d)))
+    assert key(seen.missingness()) == key(Q.missingness(stored))
+    assert key(seen.expectations(stored)) == key(Q.expectations(stored))
+    a, b = (d.toPandas().set_index("column").sort_index() for d in (seen.column_stats(), Q.column_stats(stored)))
+    assert (a.index == b.index).all() and a["null_pct"].equals(b["null_pct"])
+    assert ((a[["mean", "std", "min", "max"]] - b[["mean", "std", "min", "max"]]).abs().max() < 1e-6).all()
+    assert a["mean"].isna().equals(b["mean"].isna())
+
+
 def test_extract_if_changed_reuses_copy(spark):
     base = tempfile.mkdtemp()
     df = spark.createDataFrame([("2022-01-01", 1), ("2022-01-02", 2)], "date string, v int") \

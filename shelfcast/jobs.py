@@ -26,6 +26,7 @@ from shelfcast.operators import registry as R
 from shelfcast.operators import seasonal as SE
 from shelfcast.operators import splits as SP
 from shelfcast.operators import tuning as TU
+from shelfcast.session import released
 from shelfcast.sources import readers as RD
 from shelfcast.sources import writers as WR
 
@@ -42,7 +43,12 @@ def daily_features_job(spark: SparkSession, retail: DataFrame, snapshot: DataFra
     catalog table that keeps the features bucketed by series, in place of store folders.  Statistics, missingness
     and value rules are observed by the write; the other reports read what is stored.
     """
-    order_col = order_col or (RD.INGEST if RD.INGEST in retail.columns else None)
+    with released(spark):
+        return _daily_features(spark, retail, snapshot, out_dir, run_id, horizon, max_anomalies, fail_on_anomalies,
+                               order_col or (RD.INGEST if RD.INGEST in retail.columns else None), table, buckets)
+
+
+def _daily_features(spark, retail, snapshot, out_dir, run_id, horizon, max_anomalies, fail_on_anomalies, order_col, table, buckets) -> dict:
     raw, changed = RD.extract_if_changed(retail, os.path.join(out_dir, "raw"), run_id)
     feats_path = os.path.join(out_dir, "features")
     seen = Q.Observed()
@@ -91,6 +97,11 @@ def model_job(spark: SparkSession, features_path: str, out_dir: str, series_tria
     Searches resume from ``<out_dir>/search`` after a kill.  Every run's models are stored as their next version;
     :func:`score_job` uses those in Production.
     """
+    with released(spark):
+        return _model(spark, features_path, out_dir, series_trials, gbt_params, versions, tree_trials, tree_space)
+
+
+def _model(spark, features_path, out_dir, series_trials, gbt_params, versions, tree_trials, tree_space) -> DataFrame:
     f = spark.read.parquet(features_path)
     sp = SP.chronological_split(f)
     WR.write_splits(sp, os.path.join(out_dir, "splits"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,11 +70,39 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     into it, which an RDD checkpoint does not allow.
     """
     spark = df.sparkSession
-    path, schema = scratch_path(spark, f"stage-{uuid.uuid4().hex}"), df.schema
+    path, schema = staged_path(spark, f"stage-{uuid.uuid4().hex}"), df.schema
     df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
+_OPEN: list[list[str]] = []  # staged folders of the scopes that are open in this driver, innermost last
+
+
+def staged_path(spark: SparkSession, name: str) -> str:
+    """A folder for an intermediate table; it belongs to the innermost open :func:`released` scope, if there is one."""
+    path = scratch_path(spark, name)
+    if _OPEN:
+        _OPEN[-1].append(path)
+    return path
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Scope of a job: intermediate tables staged inside are removed at its end, also when it fails.
+
+    What leaves the scope must be written (or collected) before: a frame that still reads a staged table cannot be
+    used afterwards.  Scopes nest; one driver thread at a time stages into a scope.
+    """
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        jvm = spark.sparkContext._jvm
+        for path in _OPEN.pop():
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for intermediate tables."""
     base = ensure_checkpoint_dir(spark)

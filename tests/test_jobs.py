@@ -14,12 +14,19 @@ def test_daily_and_model_jobs(spark, sf_dir):
     out = tempfile.mkdtemp(prefix="jobs-")
     retail, snap = T.retail_daily(spark, sf_dir), T.inventory_snapshot(spark, sf_dir)
     s1 = jobs.daily_features_job(spark, retail, snap, out, "r1")
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = {d for d in os.listdir(shared) if d.startswith("stage-")}
     s2 = jobs.daily_features_job(spark, retail, snap, out, "r2")
+    assert {d for d in os.listdir(shared) if d.startswith("stage-")} <= before      # nothing staged is left behind
     assert s1["data_changed"] and not s2["data_changed"]
     assert "total_anomaly_types" in s1
     for r in ("stats", "expectations", "missingness", "outliers", "anomaly_summary", "slice_performance",
               "mitigation_plan", "bias_summary", "schema"):
         assert os.path.isdir(os.path.join(out, "reports", r)), r
+    s3 = jobs.daily_features_job(spark, retail, snap, os.path.join(out, "b"), "r1", table="job_features", buckets=4)
+    assert s3["total_anomaly_types"] == s1["total_anomaly_types"]
+    assert spark.table("job_features").count() == spark.read.parquet(os.path.join(out, "features")).count()
+    spark.sql("DROP TABLE job_features")
     m = jobs.model_job(spark, os.path.join(out, "features"), os.path.join(out, "model"), series_trials=2,
                        gbt_params={"maxIter": 10})
     got = {(r["model"], r["split"]) for r in m.collect()}

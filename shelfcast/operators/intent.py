@@ -52,8 +52,8 @@ TRAINING_EXAMPLES = [
 LABELS = ["inventory", "predictive", "irrelevant"]
 
 
-def train_router(spark: SparkSession, num_features: int = 1 << 12) -> PipelineModel:
-    train = spark.createDataFrame(TRAINING_EXAMPLES, "text string, label int") \
+def train_router(spark: SparkSession, num_features: int = 1 << 12, examples: list[tuple[str, int]] | None = None) -> PipelineModel:
+    train = spark.createDataFrame(examples or TRAINING_EXAMPLES, "text string, label int") \
                  .withColumn("label", F.col("label").cast("double"))
     pipe = Pipeline(stages=[
         RegexTokenizer(inputCol="text", outputCol="tokens", pattern="\\W+", toLowercase=True),
@@ -73,3 +73,20 @@ def route(model: PipelineModel, texts: DataFrame, text_col: str = "text") -> Dat
     return (out.withColumn("intent", F.element_at(names, F.col("prediction").cast("int") + 1))
                .withColumn("confidence", F.array_max(vector_to_array(F.col("probability"))))
                .drop("tokens", "tf", "tfidf", "rawPrediction", "probability", "prediction"))
+
+
+def cross_validated_accuracy(spark: SparkSession, folds: int = 5, examples: list[tuple[str, int]] | None = None) -> float:
+    """Share of the examples that a router trained on the other folds routes right (folds hold each label evenly)."""
+    seen: dict[int, int] = {}
+    fold_of = []
+    for _, label in examples or TRAINING_EXAMPLES:
+        seen[label] = seen.get(label, -1) + 1
+        fold_of.append(seen[label] % folds)
+    right = 0
+    for k in range(folds):
+        rest = [e for e, f in zip(examples or TRAINING_EXAMPLES, fold_of, strict=True) if f != k]
+        held = [e for e, f in zip(examples or TRAINING_EXAMPLES, fold_of, strict=True) if f == k]
+        routed = route(train_router(spark, examples=rest), spark.createDataFrame(held, "text string, label int"))
+        names = F.array(*[F.lit(x) for x in LABELS])
+        right += routed.filter(F.col("intent") == F.element_at(names, F.col("label") + 1)).count()
+    return right / len(fold_of)

@@ -91,7 +91,7 @@ BIAS_SLICE_COLUMNS = ["holiday_promotion", "seasonality_enc", "category_enc",
 TRAIN_FRAC, VAL_FRAC = 0.80, 0.10
 N_FOLDS, FOLD_GAP_DAYS, FOLD_VAL_DAYS = 5, 14, 60
 
-# Columns standard-scaled for the tree model (fit on train only).
+# FIXED VALUES: columns standard-scaled for the tree model (fit on train only).
 SCALED_COLUMNS = [
     "sales_lag_1", "sales_lag_7", "sales_lag_14", "sales_lag_28",
     "sales_roll_mean_7", "sales_roll_mean_14", "sales_roll_mean_28",
@@ -100,7 +100,7 @@ SCALED_COLUMNS = [
     "inventory_level", "lead_time_demand", "y_pred_baseline",
 ]
 
-# Model features used for training (27 features + series code).
+# FIXED VALUES: model features used for training (27 features + series code).
 TRAIN_FEATURES = [
     "sales_lag_1", "sales_lag_7", "sales_lag_14", "sales_lag_28",
     "sales_roll_mean_7", "sales_roll_mean_14", "sales_roll_mean_28",
@@ -121,7 +121,7 @@ MIN_SERIES_HISTORY = 30
 PIPELINE_VERSION = "2.0"
 PIPELINE_VERSION_V1 = "1.0"
 
-# Column order of the v2 feature table (meta, ids, features, label).
+# FIXED VALUES: column order of the v2 feature table (meta, ids, features, label).
 META_COLS = ["as_of_date", "series_id", "horizon", "pipeline_version", "created_at"]
 ID_COLS = ["store_id", "product_id"]
 FEATURE_COLS = [
@@ -140,7 +140,7 @@ FEATURE_COLS = [
 LABEL_COLS = ["y"]
 FINAL_COLS = META_COLS + ID_COLS + FEATURE_COLS + LABEL_COLS
 
-# Required input columns (schema check P01).
+# FIXED VALUES: required input columns (schema check P01).
 REQUIRED_RETAIL = [
     "date", "store_id", "product_id", "category", "region",
     "units_sold", "inventory_level", "units_ordered",
@@ -149,7 +149,7 @@ REQUIRED_RETAIL = [
 ]
 REQUIRED_SNAPSHOT = ["store_id", "product_id", "lead_time_days"]
 
-# Display names of the source application (for readers of its files).
+# FIXED VALUES: display names of the source application (for readers of its files).
 DISPLAY_NAMES = {
     "Date": "date", "Store ID": "store_id", "Product ID": "product_id",
     "Category": "category", "Region": "region",

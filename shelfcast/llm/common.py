@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.session import ensure_checkpoint_dir
+from shelfcast.session import staged_path
 
 # ASCII white space as the text contracts define it: \x20 and \x09-\x0D.
 WS = r"[\x20\x09-\x0D]+"
@@ -39,8 +39,8 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_path(spark: SparkSession, tag: str) -> str:
-    """A fresh folder name under ``spark.checkpoint.dir`` (shared by all executors)."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/shelfcast-llm/{tag}-{uuid.uuid4().hex}"
+    """A fresh folder name under ``spark.checkpoint.dir`` (shared by all executors), removed with its ``released`` scope."""
+    return staged_path(spark, f"shelfcast-llm/{tag}-{uuid.uuid4().hex}")
 
 
 def stage(df: DataFrame, tag: str) -> DataFrame:

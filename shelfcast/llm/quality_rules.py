@@ -44,7 +44,8 @@ RESULT = ["clean_text", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_
 BOILERPLATE = (r"(?i)(all rights reserved|cookie(s)? (policy|notice|settings)|terms of (use|service)|privacy policy"
                r"|subscribe to our newsletter|javascript (is )?(disabled|required)|click here to"
                r"|^\W*(licensed|released) under |work is licensed under|^\W*copyright )")
-MARK = r"[.!?;:,…。！？]"
+# sentence and clause marks: Latin, CJK, Devanagari, Armenian, Arabic, Ethiopic, Khmer, Tibetan, Myanmar, Mongolian, Hebrew
+MARK = r"[.!?;:,…。！？；：，、।॥։؟۔؛،።፣፤፥፧፨។៕།༎၊။᠂᠃׃]"
 CELL = r"[|>•»·]"
 # what the counted rules look for: one scan finds the few lines that need counting
 NOISE = r"[!?]{2}|[|>•»·#*$%&<]"
@@ -149,6 +150,8 @@ def quality_rules(docs: DataFrame, text_col: str = "text", rules: LineRules | No
     ``base_failed`` and ``kept``.
     """
     rules = rules or LineRules()
+    if rules.window < 1 or rules.window & (rules.window - 1):
+        raise ValueError("the window is a power of two: its digests are made by doubling")
     df = docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("row"),
                      F.coalesce(quoted(text_col), F.lit("")).alias("txt"))
     df = df.withColumns({"words": words_of(F.col("txt")), "lines": F.split("txt", "\n")})

@@ -8,8 +8,11 @@ The urls that rules decide train two variable-order Markov models over url
 characters, one of accepted and one of rejected urls: Witten-Bell smoothing
 blends the longest context of up to ``ORDER`` characters with all shorter ones.
 All other urls are judged by the difference of both log-likelihoods per
-character against a threshold calibrated on the training urls (smallest sum of
-both error rates over a histogram of ``BINS`` fixed bins).
+character against a calibrated threshold: a quarter of the decided urls, by hash
+of the url, trains no model; over a histogram of ``BINS`` fixed bins of their
+scores the threshold has the smallest sum of both error rates (the middle of
+several).  Where the held-out quarter lacks one of the two kinds, all decided
+urls calibrate.
 
 Characters are mapped to an alphabet of ``len(ALPHABET) + 2`` symbols (A-Z
 lower-cased, digits as one, one symbol for all others, one for the border), so
@@ -41,6 +44,7 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyz0/.-_?=&#%:"
 BORDER, OTHER = 0, len(ALPHABET) + 1
 BASE, ORDER = len(ALPHABET) + 2, 3
 BINS, SPAN = 4096, 8.0
+HELD_OUT = 4  # one in so many decided urls calibrates and does not train
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 AUTHORITY = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -115,7 +119,8 @@ def filter_urls(pages: DataFrame, rules: Sequence[Rule], url_col: str = "url") -
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(code), kind, np.int32)), pa.array(code), pa.array(n.astype(np.int64))],
                         ["kind", "code", "n"])
-    decided = parsed.where(F.col(action).isNotNull()).select(url, action)
+    held = F.pmod(F.xxhash64(F.coalesce(F.col(url), F.lit(""))), F.lit(HELD_OUT)) == 0
+    decided = parsed.where(F.col(action).isNotNull() & ~held).select(url, action)
     counts = decided.mapInArrow(count, "kind int, code int, n long").groupBy("kind", "code").agg(F.sum("n").alias("n"))
     table = np.zeros((2, BASE ** (ORDER + 1)), np.int64)
     for r in counts.toLocalIterator():  # at most 2 * BASE ** (ORDER + 1) rows
@@ -134,18 +139,19 @@ def filter_urls(pages: DataFrame, rules: Sequence[Rule], url_col: str = "url") -
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([llr(u) for u in urls], pa.float64())],
                                              [*batch.schema.names, "llr"])
     scored = parsed.mapInArrow(score, T.StructType(parsed.schema.fields + [T.StructField("llr", T.DoubleType())]))
-    threshold = _threshold(scored, action) if trained else -np.inf
+    threshold = _threshold(scored, action, held) if trained else -np.inf
     verdict = F.coalesce(F.col(action), F.when((F.coalesce(F.col(url), F.lit("")) != "") & (
         F.col("llr") >= F.lit(float(threshold))), "allow").otherwise("block"))
     return add_columns(scored, {"verdict": verdict}).drop(url, action)
 
 
-def _threshold(scored: DataFrame, action: str) -> float:
-    """The score with the smallest sum of both error rates on the urls that rules decide."""
+def _threshold(scored: DataFrame, action: str, held: Column) -> float:
+    """The score with the smallest sum of both error rates on the held-out urls that rules decide."""
     at = F.least(F.greatest(F.floor((F.col("llr") + SPAN) / (2 * SPAN) * BINS), F.lit(0)), F.lit(BINS - 1))
-    hist = np.zeros((2, BINS))
-    for r in scored.where(F.col(action).isNotNull()).groupBy(F.col(action).alias("a"), at.alias("b")).count().collect():
-        hist[int(r["a"] == "block"), r["b"]] += r["count"]
+    both = np.zeros((2, 2, BINS))
+    for r in scored.where(F.col(action).isNotNull()).groupBy(held.alias("h"), F.col(action).alias("a"), at.alias("b")).count().collect():
+        both[int(r["h"]), int(r["a"] == "block"), r["b"]] += r["count"]
+    hist = both[1] if both[1].any(axis=1).all() else both.sum(axis=0)
     below = np.concatenate((np.zeros((2, 1)), hist.cumsum(axis=1)), axis=1) / np.maximum(hist.sum(axis=1, keepdims=True), 1)
     errors = below[0] + (1 - below[1])  # accepted below the cut, rejected at or above it
     best = np.flatnonzero(errors == errors.min())

@@ -12,7 +12,8 @@ serves all open targets with one aggregate:
   the sketch of the values between them.  The rank then is at a pivot (an answer,
   however many ties there are), or between them (the interval shrinks by the sketch's
   accuracy, about 1,600-fold), or, if the sketch was off, beyond one (the interval still shrinks);
-* an interval of at most ``max_in_bracket`` values is collected by the next scan and ranked.
+* an interval of at most ``max_in_bracket`` values (a few thousand, before a round of pivots has been
+  tried) is collected by the next scan and ranked.
 
 So an interval holds n, n / 1600, n / 2.6e6 values after one, two and three scans: the usual end
 is the fourth scan for up to 2.6e11 rows, the fifth for any size.  What reaches the driver are
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 from shelfcast.session import cut_lineage
 
 SKETCH = 32768  # KLL's k: rank error about 1 in 10,000, and about a MB a sketch
+FEW = 4096      # values that are collected rather than counted at pivots while a round of pivots still shrinks much
 
 
 @dataclass(eq=False)
@@ -86,10 +88,11 @@ def quantiles_and_scans(df: DataFrame, cols: Sequence[str], probs: Sequence[floa
             need[i, j] = (math.floor(h), math.ceil(h), h - math.floor(h))
             for k in need[i, j][:2]:
                 targets.setdefault((i, k), _Target(i, k, inside=n[i]))
-    _pivot(first, {t: f"k{t.column}" for t in targets.values() if t.inside > max_in_bracket}, accuracy)
+    few = min(FEW, max_in_bracket)
+    _pivot(first, {t: f"k{t.column}" for t in targets.values() if t.inside > few}, accuracy)
     while todo := [t for t in targets.values() if t.answer is None]:
         scans += 1
-        _narrow(vals, todo, max_in_bracket, accuracy)
+        _narrow(vals, todo, few if scans < 3 else max_in_bracket, max_in_bracket, accuracy)
     out: dict[str, list[float | None]] = {}
     for i, c in enumerate(cols):
         out[c] = []
@@ -114,8 +117,11 @@ def _pivot(row: DataFrame, sketches: dict, accuracy: int) -> None:
         t.pivots = (float(got[m][0]), float(got[m][1]))
 
 
-def _narrow(vals: DataFrame, todo: list[_Target], max_in: int, accuracy: int) -> None:
-    """One scan for all open targets: small intervals are collected, others counted at their pivots and sketched between."""
+def _narrow(vals: DataFrame, todo: list[_Target], max_in: int, next_in: int, accuracy: int) -> None:
+    """One scan for all open targets: small intervals are collected, others counted at their pivots and sketched between.
+
+    ``next_in`` is the size up to which the next scan will collect.
+    """
     aggs = []
     for m, t in enumerate(todo):
         v = F.col(f"v{t.column}")
@@ -136,7 +142,7 @@ def _narrow(vals: DataFrame, todo: list[_Target], max_in: int, accuracy: int) ->
         elif t.pivots is None:
             sketches[t] = f"k{m}"
         else:
-            if _decide(t, got[f"a{m}"], got[f"b{m}"], got[f"c{m}"], got[f"d{m}"]) and t.inside > max_in:
+            if _decide(t, got[f"a{m}"], got[f"b{m}"], got[f"c{m}"], got[f"d{m}"]) and t.inside > next_in:
                 sketches[t] = f"k{m}"
     _pivot(row, sketches, accuracy)
 

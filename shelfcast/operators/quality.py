@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from shelfcast import config as C
 from shelfcast.functions.joins import attach_row
+from shelfcast.session import cut_lineage
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
             T.DecimalType, T.BooleanType)
@@ -152,10 +153,20 @@ def date_gaps(df: DataFrame, date_col: str = "as_of_date", keys: Sequence[str] =
 
 def anomaly_summary(df: DataFrame, missing_threshold: float = C.MISSING_THRESHOLD,
                     z: float = C.Z_THRESHOLD, gap: int = C.GAP_DAYS) -> DataFrame:
-    """Q09: flagged columns (missingness, outliers) + flagged series (gaps), one row."""
-    m = missingness(df, missing_threshold).agg(F.count_if("is_anomaly").alias("missingness_anomalies"))
-    o = outliers(df, z=z).agg(F.count_if("is_anomaly").alias("outlier_anomalies"))
-    g = date_gaps(df, gap=gap).agg(F.count_if("is_anomaly").alias("date_gap_anomalies"))
+    """Q09: flagged columns (missingness, outliers) + flagged series (gaps), one row.
+
+    ``df`` is run once: null counts of all columns are observed while the few columns that outliers and
+    gaps read are staged.
+    """
+    counts = [F.count(F.lit(1)).alias("__rows"), *[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(df.columns)]]
+    seen = Observation()
+    read = ["store_id", "product_id", "as_of_date", *[c for c in C.OUTLIER_COLUMNS if c in df.columns]]
+    few = cut_lineage(df.observe(seen, *counts).select(*read))
+    schema = df.agg(*counts).schema
+    one = df.sparkSession.createDataFrame([tuple(seen.get[f.name] for f in schema)], schema)
+    m = _missingness_of(df, one, missing_threshold).agg(F.count_if("is_anomaly").alias("missingness_anomalies"))
+    o = outliers(few, z=z).agg(F.count_if("is_anomaly").alias("outlier_anomalies"))
+    g = date_gaps(few, gap=gap).agg(F.count_if("is_anomaly").alias("date_gap_anomalies"))
     s = attach_row(attach_row(m, o), g)
     total = F.col("missingness_anomalies") + F.col("outlier_anomalies") + F.col("date_gap_anomalies")
     return s.select(total.alias("total_anomaly_types"), "missingness_anomalies", "outlier_anomalies",

@@ -12,7 +12,7 @@ from shelfcast.plans.q_quality import ff
 
 
 def perf_df(spark, sf_dir):
-    return B.slice_performance(features_table(spark, sf_dir))
+    return B.slice_performance(features_table(spark, sf_dir, columns=[*C.BIAS_SLICE_COLUMNS, "y", "y_pred_baseline"]))
 
 
 def _perf_sql_body() -> str:

@@ -6,7 +6,7 @@ from shelfcast import config as C
 from shelfcast.operators import quality as Q
 from shelfcast.plans import oracle_features as O
 from shelfcast.plans.catalog import register
-from shelfcast.plans.q_features import features_table
+from shelfcast.plans.q_features import features_table, features_v2_df
 
 FEATURE_OUT = [c for c in C.FINAL_COLS if c != "created_at"]
 NON_NUMERIC = {"as_of_date", "series_id", "pipeline_version", "store_id", "product_id"}
@@ -32,7 +32,7 @@ def _stats_sql() -> str:
 
 @register("column_stats", _stats_sql())
 def q_column_stats(spark, sf_dir):
-    return Q.column_stats(features_table(spark, sf_dir))
+    return Q.column_stats(features_v2_df(spark, sf_dir))  # one aggregate: nothing to stage
 
 
 def _missing_body(th: float = C.MISSING_THRESHOLD) -> str:
@@ -50,7 +50,7 @@ def _missing_sql() -> str:
 
 @register("missingness", _missing_sql())
 def q_missingness(spark, sf_dir):
-    return Q.missingness(features_table(spark, sf_dir))
+    return Q.missingness(features_v2_df(spark, sf_dir))
 
 
 OUTLIER_COLS = ("y", "inventory_level")
@@ -84,7 +84,7 @@ def _outlier_sql() -> str:
 
 @register("outliers", _outlier_sql())
 def q_outliers(spark, sf_dir):
-    return Q.outliers(features_table(spark, sf_dir))
+    return Q.outliers(features_table(spark, sf_dir, columns=list(OUTLIER_COLS)))
 
 
 GAPS_SQL = """SELECT store_id, product_id, count_if(diff > 1) AS gap_count,
@@ -101,7 +101,7 @@ GROUP BY store_id, product_id"""
 
 @register("date_gaps", ff(GAPS_SQL))
 def q_date_gaps(spark, sf_dir):
-    return Q.date_gaps(features_table(spark, sf_dir))
+    return Q.date_gaps(features_v2_df(spark, sf_dir))
 
 
 def _summary_sql() -> str:
@@ -114,7 +114,7 @@ FROM (SELECT count_if(is_anomaly) AS mm FROM m), (SELECT count_if(is_anomaly) AS
 
 @register("anomaly_summary", _summary_sql())
 def q_anomaly_summary(spark, sf_dir):
-    return Q.anomaly_summary(features_table(spark, sf_dir))
+    return Q.anomaly_summary(features_v2_df(spark, sf_dir))
 
 
 def _expect_sql() -> str:

@@ -30,10 +30,10 @@ def split_df(spark, sf_dir):
     return SP.chronological_split(features_v2_df(spark, sf_dir))
 
 
-def split_table(spark, sf_dir):
-    """Split over the materialised features, for queries with several
-    full-width branches (fit statistics and transform both read all columns)."""
-    return SP.chronological_split(features_table(spark, sf_dir))
+def split_table(spark, sf_dir, columns=None):
+    """Split over the materialised features (or the ``columns`` that are read), for
+    queries with several branches (fit statistics and transform)."""
+    return SP.chronological_split(features_table(spark, sf_dir, columns=columns))
 
 
 @register("chronological_split", ssql("SELECT as_of_date, store_id, product_id, split FROM sp"))
@@ -107,7 +107,7 @@ _MU = ", ".join(f"avg(CAST({c} AS DOUBLE)) AS mu_{c}, CASE WHEN stddev_pop(CAST(
     f"round((CAST({c} AS DOUBLE) - mu_{c}) / sd_{c}, 5) + 0e0 AS {c}" for c in C.SCALED_COLUMNS) + " FROM sp, st",
     [("st", f"SELECT {_MU} FROM sp WHERE split = 'train'")]))
 def q_scaled_features(spark, sf_dir):
-    sp = split_table(spark, sf_dir)
+    sp = split_table(spark, sf_dir, ["as_of_date", "store_id", "product_id", *C.SCALED_COLUMNS])
     stats = SP.scaler_stats(sp.filter(F.col("split") == "train"))
     return SP.apply_scaler(sp, stats).select("as_of_date", "store_id", "product_id", "split", *[
         (F.round(c, 5) + F.lit(0.0)).alias(c) for c in C.SCALED_COLUMNS])

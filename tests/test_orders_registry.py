@@ -1,10 +1,13 @@
 import datetime as dt
+import re
 
 from pyspark.sql import functions as F
 
+from shelfcast.functions import joins
 from shelfcast.operators import conversations as CV
 from shelfcast.operators import orders as OR
 from shelfcast.operators import registry as R
+from shelfcast.plans import q_orders
 
 
 def _snap(spark):
@@ -35,6 +38,33 @@ def test_order_rejected_whole_and_receipts(spark):
     assert after["P2"]["current_stock"] == 7
 
 
+def test_order_steps_spread_by_rows_not_by_session(spark, tmp_path, monkeypatch):
+    # 60 orders of 3 lines, 20 rows a partition: 9 partitions by order id where the session has 4
+    lines = spark.range(180).selectExpr("id div 3 AS l_orderkey", "id % 3 + 1 AS l_linenumber", "id % 20 AS l_partkey",
+                                        "id % 5 AS l_suppkey", "CAST(1 AS DOUBLE) AS l_quantity", "'N' AS l_returnflag",
+                                        "'O' AS l_linestatus")
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.range(60).selectExpr("id AS o_orderkey", "id AS o_custkey", "TIMESTAMP'2030-01-01' AS o_orderdate") \
+         .write.parquet(str(tmp_path / "orders.parquet"))
+    spark.range(10).selectExpr("id AS s_suppkey", "concat('Supplier#', id) AS s_name", "CAST(id AS DOUBLE) AS s_acctbal") \
+         .write.parquet(str(tmp_path / "supplier.parquet"))
+
+    def run(query):
+        df = query(spark, str(tmp_path))
+        rows = sorted(df.collect())
+        return rows, df._jdf.queryExecution().executedPlan().toString()
+    queries = [q_orders.q_order_pricing, q_orders.q_order_totals, q_orders.q_order_rejects, q_orders.q_orders_placed]
+    before = [run(q)[0] for q in queries]
+    monkeypatch.setattr(joins.partitions_for, "__defaults__", (20,))
+    for query, rows in zip(queries, before, strict=True):
+        got, plan = run(query)
+        assert got == rows
+        # every shuffle by order is spread by the number of lines, and the lines are not shuffled by product
+        by_order = re.findall(r"hashpartitioning\((?:l_orderkey|o_orderkey|order_id)#\d+L?, (\d+)\)", plan)
+        assert by_order and set(by_order) == {"9"}, query.__name__
+        assert not re.search(r"hashpartitioning\(store_id#\d+, product_id#\d+, \d+\)", plan), query.__name__
+
+
 def test_promotion_and_rollback(spark):
     versions = spark.createDataFrame([("m", 1, "Production", 10.0), ("m", 0, "Archived", 12.0),
                                       ("k", 1, "Production", 10.0)],

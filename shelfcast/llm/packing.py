@@ -69,7 +69,8 @@ class WordTokenizer(dict):
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
         self.most = most
-        self.specials = {t.content.encode() for t in self.whole.get_added_tokens_decoder().values()}
+        specials = sorted(t.content.encode() for t in self.whole.get_added_tokens_decoder().values())
+        self.special = re.compile(b"|".join(map(re.escape, specials)) or rb"(?!)")
         # printable stand-ins of the byte-level alphabet: visible Latin-1 bytes stand for themselves
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in shown]
@@ -88,8 +89,9 @@ class WordTokenizer(dict):
     def __missing__(self, chunk: bytes) -> bytes:
         text = chunk.decode()
         m = SIMPLE.fullmatch(text)
-        if m and not any(s in chunk for s in self.specials):
-            got = b"".join(self._part(p) for p in (m[1].lower(), m[2]) if p)
+        if m and not self.special.search(chunk):
+            word, marks = m.groups()
+            got = (self._part(word.lower()) if word else b"") + (self._part(marks) if marks else b"")
         else:
             got = np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if len(self) >= self.most:

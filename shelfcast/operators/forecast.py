@@ -23,6 +23,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -166,18 +167,25 @@ GBT_DEFAULTS = {"maxDepth": 6, "stepSize": 0.05, "maxIter": 500, "subsamplingRat
                 "featureSubsetStrategy": "0.8", "minInstancesPerNode": 5, "validationTol": 0.001, "seed": 42}
 
 
-def gbt_pipeline(features: Sequence[str], params: dict | None = None, weight: str | None = "sample_weight",
-                 validation: str | None = "is_val") -> Pipeline:
-    """Assembler + boosted trees (squared error, row weights, early stopping)."""
+def _assembler(features: Sequence[str]) -> VectorAssembler:
+    return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
+
+
+def _trees(params: dict | None, weight: str | None, validation: str | None) -> GBTRegressor:
     p = dict(GBT_DEFAULTS, **(params or {}))
-    asm = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
     gbt = GBTRegressor(featuresCol="features", labelCol="y", predictionCol="raw_prediction", lossType="squared",
                        **{k: v for k, v in p.items()})
     if weight:
         gbt.setWeightCol(weight)
     if validation:
         gbt.setValidationIndicatorCol(validation)
-    return Pipeline(stages=[asm, gbt])
+    return gbt
+
+
+def gbt_pipeline(features: Sequence[str], params: dict | None = None, weight: str | None = "sample_weight",
+                 validation: str | None = "is_val") -> Pipeline:
+    """Assembler + boosted trees (squared error, row weights, early stopping)."""
+    return Pipeline(stages=[_assembler(features), _trees(params, weight, validation)])
 
 
 def _prepare(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -236,17 +244,27 @@ def fold_inputs(train: DataFrame, n_folds: int = C.N_FOLDS, gap_days: int = C.FO
     return out
 
 
+def fold_vectors(rows: DataFrame, features: Sequence[str]) -> DataFrame:
+    """What a fit needs of a fold from :func:`fold_inputs`: ``y``, ``features`` (vector), ``is_val`` and the weight."""
+    feats = [f for f in features if f in rows.columns]
+    keep = ["y", "features", "is_val", *(c for c in ("sample_weight",) if c in rows.columns)]
+    return _assembler(feats).transform(_prepare(rows, feats)).withColumn("is_val", F.col("role") == "val").select(*keep)
+
+
 def walk_forward_eval(train: DataFrame, features: Sequence[str], params: dict | None = None,
                       n_folds: int = C.N_FOLDS, folds: list[tuple[int, DataFrame]] | None = None) -> DataFrame:
     """Per fold fit on the fold's train rows (its val rows stop early), MAE/RMSE/R2 on val.
 
-    ``train`` holds raw features; ``folds`` (from :func:`fold_inputs`) saves preparing them again.
+    ``train`` holds raw features; ``folds`` (from :func:`fold_inputs`, or their :func:`fold_vectors`) saves preparing
+    them again.
     """
     metrics = []
     for f, rows in folds if folds is not None else fold_inputs(train, n_folds):  # n_folds distributed fits
-        tr, va = rows.filter(F.col("role") == "train"), rows.filter(F.col("role") == "val")
-        model = fit_gbt(tr, va, features, params)
-        metrics.append((f, regression_metrics(predict(model, va, features), pred="prediction").first()))
+        vectors = rows if "features" in rows.columns else fold_vectors(rows, features)
+        weight = "sample_weight" if "sample_weight" in vectors.columns else None
+        scored = _trees(params, weight, "is_val").fit(vectors).transform(vectors.filter("is_val"))
+        scored = scored.withColumn("prediction", F.greatest(F.col("raw_prediction"), F.lit(0.0)))
+        metrics.append((f, regression_metrics(scored, pred="prediction").first()))
     return train.sparkSession.createDataFrame(
         [(f, r["mae"], r["rmse"], r["mape"], r["r2"], r["n"]) for f, r in metrics],
         "fold_number int, mae double, rmse double, mape double, r2 double, n long")
@@ -323,19 +341,24 @@ def tune_gbt(train: DataFrame, features: Sequence[str], n_trials: int = 50, seed
     """M08 (tree part, re-aimed): seeded random search scored by mean walk-forward MAE.
 
     At most ``n_trials`` x ``n_folds`` distributed fits (the budget is the
-    bound); the folds are prepared once and ``threads`` trials run at a time, so
-    small fits share the cluster.  The trials table ``(model, trial, state,
-    mae, params)`` feeds ``param_sensitivity`` and ``top_trials``.
+    bound); the folds are prepared once, their vectors are kept by the executors
+    (on disk where memory is short) for the time of the search, and ``threads``
+    trials run at a time, so small fits share the cluster.  The trials table
+    ``(model, trial, state, mae, params)`` feeds ``param_sensitivity`` and ``top_trials``.
     """
     spark = train.sparkSession
-    folds = fold_inputs(train, n_folds)
+    folds = [(f, fold_vectors(rows, features).persist(StorageLevel.MEMORY_AND_DISK)) for f, rows in fold_inputs(train, n_folds)]
 
     def trial(c: dict) -> tuple:
         params = {k: int(c[k]) if k in WHOLE else c[k] for k in (space or GBT_SPACE)}
         used = {k: str(v) if k == "featureSubsetStrategy" else v for k, v in params.items()}
         mae = walk_forward_eval(train, features, used, folds=folds).agg(F.avg("mae")).first()[0]
         return ("gbt", c["trial"], "COMPLETE" if mae is not None else "FAIL", mae, {k: float(v) for k, v in params.items()})
-    with ThreadPoolExecutor(max_workers=threads) as pool:
-        rows = list(pool.map(trial, random_candidates(n_trials, space or GBT_SPACE, seed, log_scale=("stepSize",))))
+    try:
+        with ThreadPoolExecutor(max_workers=threads) as pool:
+            rows = list(pool.map(trial, random_candidates(n_trials, space or GBT_SPACE, seed, log_scale=("stepSize",))))
+    finally:
+        for _, vectors in folds:
+            vectors.unpersist()
     return spark.createDataFrame(rows, "model string, trial long, state string, mae double, "
                                        "params map<string,double>")

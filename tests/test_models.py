@@ -133,6 +133,46 @@ def test_tree_random_search_trials(spark):
     assert set(t.loc[0, "params"]) == set(space) and (t["mae"] > 0).all()
 
 
+def _fold_frame(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for p in range(3):
+        for i in range(220):
+            sig = float(rng.normal())
+            rows.append(("S1", f"P{p}", dt.date(2021, 1, 1) + dt.timedelta(days=i), None if i % 9 == 0 else sig, i % 2 == 0,
+                         0.5 + p, 10 + 3 * sig + float(rng.normal(0, 0.2))))
+    return spark.createDataFrame(rows, "store_id string, product_id string, as_of_date date, sig double, even boolean, "
+                                       "sample_weight double, y double")
+
+
+def test_walk_forward_metrics_equal_fit_and_predict(spark):
+    feats, params = ["sig", "absent", "even"], {"maxIter": 5, "maxDepth": 3, "stepSize": 0.3}
+    folds = FC.fold_inputs(_fold_frame(spark), 2)
+    want = []
+    for f, rows in folds:
+        va = rows.filter(F.col("role") == "val")
+        pred = FC.predict(FC.fit_gbt(rows.filter(F.col("role") == "train"), va, feats, params), va, feats)
+        want.append((f, *FC.regression_metrics(pred).first()))
+    for given in (folds, [(f, FC.fold_vectors(rows, feats)) for f, rows in folds]):
+        got = FC.walk_forward_eval(folds[0][1], feats, params, folds=given).orderBy("fold_number").collect()
+        assert [tuple(r) for r in got] == want
+
+
+def test_tree_search_prepares_a_fold_once_for_all_trials(spark, monkeypatch):
+    seen, whole = [], FC.walk_forward_eval
+
+    def watched(train, features, params, folds):
+        seen.append([(f, id(rows), rows.is_cached, sorted(rows.columns)) for f, rows in folds])
+        return whole(train, features, params, folds=folds)
+    monkeypatch.setattr(FC, "walk_forward_eval", watched)
+    space = {"maxDepth": (2, 3), "maxIter": (2, 3), "minInstancesPerNode": (1, 3)}
+    before = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    assert FC.tune_gbt(_fold_frame(spark), ["sig", "even"], n_trials=3, n_folds=2, space=space).count() == 3
+    assert len(seen) == 3 and seen[0] == seen[1] == seen[2] and [f for f, *_ in seen[0]] == [1, 2]
+    assert all(kept and names == ["features", "is_val", "sample_weight", "y"] for _, _, kept, names in seen[0])
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() <= before
+
+
 def test_registered_tree_search_covers_the_whole_budget(spark, sf_dir, monkeypatch):
     asked = []
 
